@@ -64,3 +64,12 @@ def chunks(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
             start, total = end, 0
     if start < end:
         yield start, end
+
+
+#: Rows that may be broadcast; beyond that the same join shuffles.
+SMALL = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few columns, with a broadcast hint if it has at most SMALL rows."""
+    return F.broadcast(df) if df.count() <= SMALL else df

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, row_key, ship, text_or_empty
+from .common import chunks, materialize, row_key, ship, small, text_or_empty
 from .linking import Matcher, link
 
 SHINGLE, BANDS, ROWS, PERCENT = 5, 32, 5, 75
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         reps = some.join(ids.withColumnRenamed("id", "set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("doc_id", "row")).alias("r"))
         reps = materialize(reps.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.row").alias("rep_row")), "reps")
         same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("row") == F.col("rep_row"))
-        found = docs.join(reps, same).select(F.col("set_id").alias("id"), F.col("text").alias("payload"))
+        found = docs.join(small(reps), same).select(F.col("set_id").alias("id"), F.col("text").alias("payload"))
         return found.dropDuplicates(["id"])
 
     labels = link(members, texts, lambda x, y: F.expr(f"100 * least({x}, {y}) >= {PERCENT} * greatest({x}, {y})"), Jaccard)

@@ -5,18 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import embedding, line_dedup, minhash, packing, quality_rules
+from .common import text_or_empty
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its remaining text, and how many lines it had and has."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split(text_or_empty(), "\n", -1)).alias("n_lines"))
+    out = line_dedup.drop_duplicate_lines(docs)
+    return out.withColumn("text_sha256", F.sha2(text_or_empty(), 256)).select("doc_id", "n_lines", "text_sha256", "text")
+
+
+def op4_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
