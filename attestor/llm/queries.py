@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding, line_dedup, minhash, packing, quality_rules
+from . import bpe, embedding, line_dedup, minhash, packing, quality_rules
 from .common import text_or_empty
 
 
@@ -22,6 +22,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("text_sha256", F.sha2(text_or_empty(), 256)).select("doc_id", "n_lines", "text_sha256", "text")
 
 
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op4_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
