@@ -155,7 +155,7 @@ class Jaccard(Matcher):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+    """One row per row of docs: doc_id, n_shingles, component_id, kept, and row (row_key() of the text).
 
     Documents with Jaccard >= 0.75 of their sets of 5-word shingles (words split at ASCII white space, A-Z lower-cased)
     are linked; component_id is the smallest doc_id reachable. Documents with equal sets are one node from the start.
@@ -187,12 +187,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = materialize(groups.select("set_id", "low", F.coalesce("root", "set_id").alias("root")), "groups")
     lowest = groups.groupBy("root").agg(F.min("low").alias("component_id"))
     named = materialize(groups.join(lowest, "root").select("set_id", "component_id"), "named")
-    out = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    out = signed.select("doc_id", "n_shingles", "set_id", "row").join(named, "set_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """docs without the rows that near_duplicates does not keep, all columns unchanged."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct()
+    gone = materialize(gone, "gone")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (row_key() == F.col("_r"))
+    return docs.join(small(gone), same, "left_anti")

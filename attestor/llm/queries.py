@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding, line_dedup, minhash, packing, quality_rules
+from . import bpe, chat, embedding, line_dedup, minhash, packing, pii, quality_model, quality_rules, warc
 from .common import text_or_empty
 
 
@@ -26,12 +26,29 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op3_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return chat.preference_pairs(turns, chat.neighbours(turns))
+
+
+def op6_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("row")
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_preference_format": chat.ORACLE}

@@ -1,4 +1,8 @@
-"""Corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what the next one reads."""
+"""Corpus pipeline over documents: quality rules, line dedup, near-dedup, pseudonyms, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all that the one before it kept, and returns what the next one reads:
+the columns of documents, or packed pieces at the end.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +10,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from attestor.llm import minhash
+from attestor.llm import line_dedup, minhash, packing, pii, quality_rules
 from attestor.llm.common import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    return quality_rules.keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one go, from every document."""
+    return line_dedup.drop_duplicate_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays."""
     return minhash.drop_near_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("minhash_near_dedup", near_dedup)]
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become pseudonyms."""
+    return pii.pseudonymise(docs).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("minhash_near_dedup", near_copies),
+    ("feistel_pii", privacy),
+    ("kk_packing", packed),
+]
 
-#: Similarity classes, keyed pseudonyms and byte-pair ids have no SQL form; tests hold the stages against brute force.
+#: Edit-distance classes, keyed pseudonyms and byte-pair ids have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
