@@ -50,23 +50,36 @@ def line_keys(line: str) -> list[int]:
     return [digest(wide[4 * s : 4 * e], seed) - (1 << 63) for s, e, seed in probes(len(line))]
 
 
+def _shared(a: str, b: str) -> int:
+    """Length of the common prefix, by halving."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
 def within(a: str, b: str, edits: int = EDITS) -> bool:
     """Whether the edit distance is at most `edits` (under 32): bit-parallel columns, one 64-bit word along the diagonal."""
     if abs(len(a) - len(b)) > edits:
         return False
     if a == b:
         return True
+    same = _shared(a, b)
+    a, b = a[same:], b[same:]
+    same = _shared(a[::-1], b[::-1])
+    a, b = a[: len(a) - same], b[: len(b) - same]
     if len(a) < len(b):
         a, b = b, a
     if len(b) <= edits:
-        return _table(a, b) <= edits
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    up, down, shift, cost, edge = _WORD << (63 - edits) & _WORD, 0, edits - 63, edits, 1 << 62
+        return max(len(a), len(b)) <= edits or _table(a, b) <= edits
+    up, down, cost, edge = _WORD << (63 - edits) & _WORD, 0, edits, 1 << 62
     for j, c in enumerate(b):
-        found = places.get(c, 0)
-        found = (found << -shift if shift < 0 else found >> shift) & _WORD
+        found, bit = 0, 1 << (63 - 2 * edits + max(0, edits - j))
+        for x in a[max(0, j - edits) : j + edits + 1]:
+            if x == c:
+                found |= bit
+            bit <<= 1
         same = ((((found & up) + up) ^ up) | found | down) & _WORD
         right, left = (down | ~(same | up)) & _WORD, same & up
         if j < len(a) - edits:
@@ -77,7 +90,6 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
             cost += bool(right & edge) - bool(left & edge)
             edge >>= 1
         up, down = (left | ~(same >> 1 | right)) & _WORD, same >> 1 & right
-        shift += 1
     return cost <= edits
 
 
