@@ -88,7 +88,7 @@ class _Page(HTMLParser):
             return
         if "title" in tags:
             self.title.append(data)
-        self.text.append(data)
+        self.text.append(f" {data}")
         if self.anchor:
             self.anchor[1] += data
         if {"h1", "h2"}.intersection(tags) and self.heads:
