@@ -127,7 +127,7 @@ def _pseudonym(m: str, key: str) -> str:
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """docs with personal data in text replaced, n_chars (if there) set to the new length, n_pii added (long).
+    """docs with personal data in text replaced, n_chars (if there) set to the new length where something was, n_pii added (long).
 
     Numbers are replaced where their check holds: Luhn for cards, mod 97 for IBANs, octets for addresses, the calendar
     for dates from 1900 to 2099; the pseudonym passes the same check in the same format. E-mails, phones, keys, tokens,
@@ -144,5 +144,5 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     out = out.withColumn("text", F.when(F.col("_hit"), F.expr(glued)).otherwise(F.col("text")))
     out = out.withColumn("n_pii", F.when(F.col("_hit"), F.expr("size(filter(_found, f -> f.kind is not null))")).otherwise(0).cast("long"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_hit"), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("n_pii") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*[c for c in docs.columns if c != "n_pii"], "n_pii")
