@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embedding, line_dedup, minhash, packing, pii, quality_model, quality_rules, warc
+from . import bpe, chat, embedding, line_dedup, minhash, oracle, packing, pii, quality_model, quality_rules, warc
 from .common import text_or_empty
 
 
@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_preference_format": chat.ORACLE}
+    return dict(oracle.ORACLES)
