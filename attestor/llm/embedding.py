@@ -49,9 +49,10 @@ def _directions(dim: int, width: int, groups: int) -> tuple[np.ndarray, np.ndarr
     return rng.standard_normal((dim, width * groups)), rng.uniform(0, CELL, width * groups)
 
 
-def _unit(cells: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _scaled(cells: list[bytes]) -> np.ndarray:
+    """Vectors with a largest component of 1, so that squares neither overflow nor vanish."""
     raw = np.stack([np.frombuffer(c, np.float64) for c in cells])
-    return raw, raw / np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.abs(raw).max(axis=1, keepdims=True)
 
 
 def _project(x: np.ndarray, width: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +73,7 @@ def _cells(batches: Iterator[pa.RecordBatch], width: int, groups: int) -> Iterat
         keys: list = [None] * len(raw)
         for size in {len(v) for v in raw}:
             rows = [i for i, v in enumerate(raw) if len(v) == size]
-            found = _project(_unit([raw[i] for i in rows])[1], width, groups)[1]
+            found = _project(_scaled([raw[i] for i in rows]), width, groups)[1]
             for i, k in zip(rows, found, strict=True):
                 keys[i] = k
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(keys, pa.list_(pa.int64()))], ["id", "cells"])
@@ -90,7 +91,7 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int, groups: int, need: i
 
     def run(rows: list[dict]) -> pa.RecordBatch:
         t = rows[0]["t"]
-        raw, x = _unit([r["vec"] for r in rows])
+        x = _scaled([r["vec"] for r in rows])
         p, keys = _project(x, width, groups)
         side = np.array([r["side"] for r in rows])
         i, j = np.triu_indices(len(rows), 1)
