@@ -72,67 +72,74 @@ def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
     both = both.join(known, "entity_id", "left_semi")
     # one row a field: its state and first claim on either side
     st = lambda s: F.max(F.when((F.col("side") == s) & ok, F.lit("available")))
-    first = lambda s, c: F.min(F.when((F.col("side") == s) & c, F.struct("ord", "availability", "section", "note", "value", "reporting_period", "observed")))
+    claim = F.struct("ord", "availability", "section", "note", "value", "reporting_period", "observed")
+    first = lambda s, c: F.min(F.when((F.col("side") == s) & c, claim))
     every = F.lit(True)
+    family = F.when(F.col("source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("source"))
     fields = both.groupBy("entity_id", "field").agg(
         st("p").alias("p_ok"), st("c").alias("c_ok"), first("p", every).alias("p"), first("c", every).alias("c"), first("p", ok).alias("pa"), first("c", ok).alias("ca"),
-        F.collect_set(F.when((F.col("side") == "c") & ok, F.when(F.col("source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("source")))).alias("sources"),
+        F.collect_set(F.when((F.col("side") == "c") & ok, family)).alias("sources"),
     )
-    fields = fields.withColumns({"ps": F.coalesce("p_ok", "p.availability"), "cs": F.coalesce("c_ok", "c.availability")})
-    live = (F.col("ps") == "available") & (F.col("cs") == "available")
-    first_seen = lambda p, c: F.coalesce(F.col(f"{p}.observed"), F.col(f"{c}.observed"))
-
-    def made(rows: DataFrame, kind: Column, before: Column, after: Column, seen: Column) -> DataFrame:
-        material = kind.isin(*MATERIAL) | ((kind == "availability_changed") & F.col("section").isin("web", "accounts"))
-        return rows.select("entity_id", "field", kind.alias("change_type"), F.when(material, F.lit("material")).otherwise(F.lit("minor")).alias("materiality"), before.alias("previous_value"), after.alias("current_value"), seen.alias("first_observed"))
-
-    section = F.coalesce("c.section", "p.section")
-    fields = fields.withColumn("section", section)
-    # At most one filing an entity: the first field, in a fixed order, whose period advances
-    order = F.array_position(F.array(*map(F.lit, (*FILINGS, *sorted(MONEY)))), F.col("field")).cast("int")
-    advanced = F.when(F.col("field").isin("accounts_history", "accounts_filing_years"), F.size(_new_items(F.col("ca.value"), F.col("pa.value"))) > 0).otherwise(F.lit(True))
-    advanced &= F.coalesce(_newest_end(F.col("ca.value")), F.lit("")) > F.coalesce(_newest_end(F.col("pa.value")), F.lit(""))
+    fields = fields.withColumns({"ps": F.coalesce("p_ok", "p.availability"), "cs": F.coalesce("c_ok", "c.availability"), "section": F.coalesce("c.section", "p.section")})
+    f, live = F.col("field"), (F.col("ps") == "available") & (F.col("cs") == "available")
     moved = ~F.col("pa.reporting_period").eqNullSafe(F.col("ca.reporting_period"))
-    filing = fields.where(live).where((F.col("field").isin(*FILINGS) & advanced) | (F.col("field").isin(*MONEY) & moved))
-    filing = filing.groupBy("entity_id").agg(F.min(F.struct(order.alias("o"), "field", "section", "pa", "ca")).alias("f")).select("entity_id", "f.*")
-    filing = made(filing, F.lit("new_filing"), F.col("pa.value"), F.col("ca.value"), first_seen("pa", "ca"))
+    more = F.size(_new_items(F.col("ca.value"), F.col("pa.value"))) > 0
+    # Fields whose period advances, in a fixed order; an entity tells the first of them
+    order = F.array_position(F.array(*map(F.lit, (*FILINGS, *sorted(MONEY)))), f).cast("int")
+    advanced = F.when(f.isin("accounts_history", "accounts_filing_years"), more).otherwise(F.lit(True))
+    advanced &= F.coalesce(_newest_end(F.col("ca.value")), F.lit("")) > F.coalesce(_newest_end(F.col("pa.value")), F.lit(""))
+    filed = F.coalesce(live & ((f.isin(*FILINGS) & advanced) | (f.isin(*MONEY) & moved)), F.lit(False))
     # Single values
-    differs = X.canonical(F.col("pa.value")) != X.canonical(F.col("ca.value"))
-    f = F.col("field")
     kind = (
         F.when(f == "website_description", F.when(F.col("pa.value") != F.col("ca.value"), F.lit("changed_description")))
-        .when(f.isin(*SCALAR), F.when(differs, _lookup(SCALAR, f)))
+        .when(f.isin(*SCALAR), F.when(X.canonical(F.col("pa.value")) != X.canonical(F.col("ca.value")), _lookup(SCALAR, f)))
         .when(f == "official_website", F.when(claim_key(F.col("pa.value")) != claim_key(F.col("ca.value")), F.lit("changed_website")))
         .when(f.isin(*MONEY), F.when(~moved & (F.col("pa.value") != F.col("ca.value")), F.lit("changed_financials")))
     )
-    single = fields.where(live).withColumn("kind", kind).where("kind is not null")
-    single = made(single, F.col("kind"), F.col("pa.value"), F.col("ca.value"), first_seen("pa", "ca"))
-    site = fields.where((f == "official_website") & (F.col("cs") == "available") & F.col("pa").isNull())
-    site = made(site, F.lit("new_website"), F.lit(None).cast("string"), F.col("ca.value"), F.col("ca.observed"))
-    # Former names, only where the legal name itself stays
-    renamed = single.where("change_type = 'changed_name'").select("entity_id").distinct()
-    names = fields.where((f == "former_names") & (F.col("cs") == "available")).where(F.size(_new_items(F.col("ca.value"), F.col("pa.value"))) > 0)
-    names = names.join(renamed, "entity_id", "left_anti")
-    names = made(names, F.lit("changed_name"), F.col("pa.value"), F.col("ca.value"), first_seen("pa", "ca"))
-    # Items of lists
-    keyed = both.where(ok & f.isin(*ADDED)).groupBy("entity_id", "field", "key", "side").agg(F.min(F.struct("ord", "section", "value", "source", "observed")).alias("v"))
-    pair = keyed.where("side = 'p'").select("entity_id", "field", "key", F.col("v").alias("pv")).join(keyed.where("side = 'c'").select("entity_id", "field", "key", F.col("v").alias("cv")), ["entity_id", "field", "key"], "full")
-    pair = pair.where("pv is null or cv is null").join(fields.select("entity_id", "field", "ps", "cs", "sources"), ["entity_id", "field"]).where("cs = 'available'")
-    counted = fields.where("field = 'active_job_count' and cs = 'available'").select("entity_id", F.lit(True).alias("counted")).distinct()
-    pair = pair.join(counted, "entity_id", "left").withColumn("section", F.coalesce("cv.section", "pv.section"))
-    family = F.when(F.col("pv.source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("pv.source"))
-    vouched = family.isNull() | F.array_contains("sources", family) | ((f == "job_posting") & (family == "nav") & F.col("counted").isNotNull())
-    kind = F.when(F.col("pv").isNull(), _lookup(ADDED, f)).when(F.coalesce(vouched, F.lit(True)), F.when(f.isin(*REMOVED), _lookup(REMOVED, f)))
-    pair = pair.withColumn("kind", kind).where("kind is not null")
-    items = made(pair, F.col("kind"), F.col("pv.value"), F.col("cv.value"), F.coalesce("pv.observed", "cv.observed"))
-    # Availability lost, or gained without another change of the field
-    lost = fields.where((F.col("ps") == "available") & F.col("cs").isNotNull() & (F.col("cs") != "available") & ~F.coalesce(F.col("c.note").startswith(NOT_CHECKED), F.lit(False)))
-    lost = made(lost, F.lit("availability_changed"), F.col("ps"), F.col("cs"), first_seen("p", "c"))
-    told = filing.union(single).union(site).union(names).union(items)
-    gained = fields.where((F.col("cs") == "available") & F.col("ps").isNotNull() & (F.col("ps") != "available") & ~f.isin(*FILINGS))
-    gained = gained.join(told.select("entity_id", "field").distinct(), ["entity_id", "field"], "left_anti")
-    gained = made(gained, F.lit("availability_changed"), F.col("ps"), F.col("cs"), first_seen("p", "c"))
-    return told.union(lost).union(gained)
+    fields = fields.withColumns({"filed": F.when(filed, order), "kind": F.when(live, kind), "more": F.coalesce(more, F.lit(False))})
+    # one row an entity: what its fields decide together
+    entity = fields.groupBy("entity_id").agg(
+        F.min("filed").alias("first_filed"),
+        F.coalesce(F.bool_or(F.col("kind") == "changed_name"), F.lit(False)).alias("renamed"),
+        F.coalesce(F.bool_or((f == "active_job_count") & (F.col("cs") == "available")), F.lit(False)).alias("counted"),
+    )
+    fields = fields.join(entity, "entity_id")
+    c_ok, gone = F.col("cs") == "available", F.col("ps") != "available"
+    site = (f == "official_website") & c_ok & F.col("pa").isNull()
+    names = (f == "former_names") & c_ok & F.col("more") & ~F.col("renamed")
+    skipped = F.coalesce(F.col("c.note").startswith(NOT_CHECKED), F.lit(False))
+    # a field that had nothing before has only new items now, so its gain is told by them
+    gained = c_ok & gone & ~f.isin(*FILINGS) & ~site & ~names & ~(f.isin(*ADDED) & F.col("ca").isNotNull())
+    null = F.lit(None).cast("string")
+    seen = F.coalesce("pa.observed", "ca.observed")
+
+    def told(when: Column, kind: Column, before: Column, after: Column, observed: Column) -> Column:
+        return F.when(F.coalesce(when, F.lit(False)), F.struct(kind.alias("change_type"), before.alias("previous_value"), after.alias("current_value"), observed.alias("first_observed")))
+
+    pv, cv = F.col("pa.value"), F.col("ca.value")
+    said = F.array_compact(
+        F.array(
+            told(F.col("filed") == F.col("first_filed"), F.lit("new_filing"), pv, cv, seen),
+            told(F.col("kind").isNotNull(), F.col("kind"), pv, cv, seen),
+            told(site, F.lit("new_website"), null, cv, F.col("ca.observed")),
+            told(names, F.lit("changed_name"), pv, cv, seen),
+            # Availability lost, or gained without another change of the field
+            told((F.col("ps") == "available") & (F.col("cs") != "available") & ~skipped, F.lit("availability_changed"), F.col("ps"), F.col("cs"), F.coalesce("p.observed", "c.observed")),
+            told(gained, F.lit("availability_changed"), F.col("ps"), F.col("cs"), F.coalesce("p.observed", "c.observed")),
+        )
+    )
+    single = fields.select("entity_id", "field", "section", F.explode(said).alias("t")).select("entity_id", "field", "section", "t.*")
+    # Items of lists, both sides of a key in one aggregate
+    side = lambda s: F.min(F.when(F.col("side") == s, F.struct("ord", "section", "value", family.alias("family"), "observed")))
+    items = both.where(ok & f.isin(*ADDED)).groupBy("entity_id", "field", "key").agg(side("p").alias("pv"), side("c").alias("cv")).where("pv is null or cv is null")
+    items = items.join(fields.where(c_ok & f.isin(*ADDED)).select("entity_id", "field", "sources", "counted"), ["entity_id", "field"])
+    source = F.col("pv.family")
+    vouched = source.isNull() | F.array_contains("sources", source) | ((f == "job_posting") & (source == "nav") & F.col("counted"))
+    kind = F.when(F.col("pv").isNull(), _lookup(ADDED, f)).when(vouched & f.isin(*REMOVED), _lookup(REMOVED, f))
+    items = items.select("entity_id", "field", F.coalesce("cv.section", "pv.section").alias("section"), kind.alias("change_type"), F.col("pv.value").alias("previous_value"), F.col("cv.value").alias("current_value"), F.coalesce("pv.observed", "cv.observed").alias("first_observed"))
+    out = single.union(items.where("change_type is not null"))
+    material = F.col("change_type").isin(*MATERIAL) | ((F.col("change_type") == "availability_changed") & F.col("section").isin("web", "accounts"))
+    return out.select("entity_id", "field", "change_type", F.when(material, F.lit("material")).otherwise(F.lit("minor")).alias("materiality"), "previous_value", "current_value", "first_observed")
 
 
 def changes_by_type(changes: DataFrame) -> DataFrame:
