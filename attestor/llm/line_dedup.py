@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from .common import materialize, row_key, ship, small
 from .linking import Matcher, link
 
-#: Edits between two lines that still count as one, and the characters below which a line is left alone.
-EDITS, MIN_CHARS = 2, 40
+#: Edits between two lines that still count as one, and the characters below which they could rewrite a whole line: each of
+#: the segments needs one. Shorter lines repeat only what equals them.
+EDITS = 2
+MIN_CHARS = EDITS + 1
+#: White space of the contracts (common.SPACE): a line of nothing else has no word and no part.
+_BLANK = " \t\n\v\f\r"
 _WORD = (1 << 64) - 1
 
 
@@ -37,7 +41,7 @@ def probes(n: int, edits: int = EDITS) -> list[tuple[int, int, int]]:
     shifted by at most what the edits before it and after it allow. The seed holds m and the segment's number.
     """
     out = set()
-    for m in range(max(0, n - edits), n + 1):
+    for m in range(max(edits + 1, n - edits), n + 1):
         gap = n - m
         for i, (at, size) in enumerate(segments(m, edits)):
             low, high = max(0, at - i, at + gap - (edits - i)), min(n - size, at + i, at + gap + (edits - i))
@@ -111,16 +115,16 @@ class Edits(Matcher):
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line of MIN_CHARS or more: its hash (Spark's xxhash64), place, length and keys."""
+    """Each line with a word: its hash (Spark's xxhash64), place, length and keys, none for one below MIN_CHARS."""
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
     for batch in batches:
         cols: list[list] = [[] for _ in kinds]
         many = 0
         for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
             for pos, line in enumerate((text or "").split("\n")):
-                if len(line) >= MIN_CHARS:
+                if line.strip(_BLANK):
                     h = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
-                    for c, v in zip(cols, (doc, row, pos, h - (h >> 63 << 64), len(line), line_keys(line)), strict=True):
+                    for c, v in zip(cols, (doc, row, pos, h - (h >> 63 << 64), len(line), line_keys(line) if len(line) >= MIN_CHARS else []), strict=True):
                         c.append(v)
                     many += 1
             if many >= 20_000:
@@ -132,9 +136,9 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, drop): the line numbers, from 0, that repeat an earlier line; row is row_key() of the text.
 
-    Lines of 40 characters or more are one class if at most 2 edits apart, directly or over others. Of each class the
-    occurrence with the smallest (doc_id, row, line number) stays, a null doc_id first; the others are listed, whether in
-    the same document or in another. Shorter lines, null and empty texts have no part. Repeated rows count as one row.
+    Lines of 3 characters or more are one class if at most 2 edits apart, directly or over others; shorter ones if equal. Of
+    each class the occurrence with the smallest (doc_id, row, line number) stays, a null doc_id first; the others are listed,
+    whether in the same document or in another. Lines without a word and null texts have no part. Repeated rows count as one row.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", row_key())

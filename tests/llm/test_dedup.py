@@ -135,6 +135,38 @@ def test_lines_against_brute_force(spark):
         assert got[i].text == want and got[i].n_chars in (-1, len(want)) and got[i].keys == "k"
 
 
+def test_lines_of_every_length_against_brute_force(spark):
+    """No line is too short: those of 3 characters or more join by edits, those below by equality, blank ones not at all."""
+    rng = random.Random(7)
+    alphabet = "".join(map(chr, range(0x4E00, 0x4E00 + 400)))
+    line = lambda n: "".join(rng.choices(alphabet, k=n))
+    stock, texts = [line(n) for n in [*range(1, 45), 1, 2, 2, 3, 3, 4, 4, 5]], []
+    for _ in range(60):
+        rows = []
+        for _ in range(rng.randint(1, 8)):
+            x = list(rng.choice(stock))
+            for _ in range(rng.choice([0, 0, 1, 2, 3]) if len(x) > 2 else 0):
+                i = rng.randrange(len(x))
+                x[i : i + 1] = rng.choice([[], [rng.choice(alphabet)], [x[i], rng.choice(alphabet)]]) if len(x) > 2 else x[i : i + 1]
+            rows.append("".join(x))
+        texts.append("\n".join([*rows, rng.choice(["", "  ", "\t"]), "}"]))
+    long = line(41)
+    texts += ["Erheed. Titionly.\nErheed. Titionly.", long[:39], long, "ab\nab\nax"]
+    found = sorted({x for t in texts for x in t.split("\n") if x.strip()})
+    klass = components(found, [(a, b) for a, b in combinations(found, 2) if min(len(a), len(b)) >= 3 and abs(len(a) - len(b)) <= 2 and line_dedup._table(a, b) <= 2])
+    got = {r.doc_id: r.text for r in line_dedup.drop_duplicate_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        keep = []
+        for x in t.split("\n"):
+            if x not in klass or klass[x] not in seen:
+                keep.append(x)
+            seen.add(klass.get(x))
+        want[i] = "\n".join(keep)
+    assert got == want
+    assert got[60] == "Erheed. Titionly." and (got[61], got[62]) == (long[:39], "") and got[63] == "ab\nax"
+
+
 def test_lines_nulls_repeats_and_nothing(spark):
     a, b = "first line of the text, long enough to count", "second line of the text, long enough to count"
     rows = [(None, a), (1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, b)]
