@@ -152,6 +152,29 @@ def squashed(c: Column) -> Column:
     return F.regexp_replace(c, r"\s+", "")
 
 
+def decoded(c: Column) -> Column:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", ""), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
+def span_candidates(spans: DataFrame, snapshots: DataFrame, key: str) -> DataFrame:
+    """(key, claim_span, content_sha256) of all pairs of which span_verify_join can call one verbatim, without a cross join.
+
+    A span of 2 w - 1 characters, white space aside, covers a whole one of the windows of w that a text is cut into. So each
+    span gives all its windows of the largest such power of two (32 at most), each text those of the widths in use; an
+    empty span meets every text.
+    """
+    s = spans.select(key, "claim_span", squashed(F.col("claim_span")).alias("_s")).where("_s is not null")
+    s = s.withColumn("_w", F.expr("case when _s = '' then 0 else element_at(filter(array(1, 2, 4, 8, 16, 32), w -> 2 * w - 1 <= char_length(_s)), -1) end"))
+    cut = s.withColumn("_key", F.explode(F.expr("array_distinct(transform(sequence(1, if(_w = 0, 1, char_length(_s) - _w + 1)), i -> xxhash64(substr(_s, i, _w))))")))
+    raw = squashed(F.col("body"))
+    t = snapshots.where("sha256 is not null").select("sha256", F.explode(F.array_distinct(F.array(raw, decoded(raw), squashed(F.col("text"))))).alias("_t")).where("_t is not null")
+    t = t.crossJoin(F.broadcast(s.select("_w").distinct()))
+    t = t.select("sha256", "_w", F.explode(F.expr("if(_w = 0, array(''), regexp_extract_all(_t, concat('(?s).{', _w, '}'), 0))")).alias("_x")).select(F.col("sha256").alias("content_sha256"), "_w", F.xxhash64("_x").alias("_key"))
+    return cut.join(t, ["_w", "_key"]).select(key, "claim_span", "content_sha256").distinct()
+
+
 def span_verify_join(evidence: DataFrame, snapshots: DataFrame, exempt: Sequence[str] = ()) -> DataFrame:
     """Evidence with `verdict`: verbatim, not_verbatim or no_snapshot; methods in exempt are computed.
 
@@ -160,11 +183,8 @@ def span_verify_join(evidence: DataFrame, snapshots: DataFrame, exempt: Sequence
     """
     snap = snapshots.select("sha256", squashed(F.col("body")).alias("_raw"), squashed(F.col("text")).alias("_text"))
     out = evidence.join(snap, evidence["content_sha256"] == snap["sha256"], "left")
-    decoded = F.col("_raw")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", ""), ("&amp;", "&")):
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
     span = squashed(F.col("claim_span"))
-    hit = F.contains("_raw", span) | F.contains(decoded, span) | F.coalesce(F.contains("_text", span), F.lit(False))
+    hit = F.contains("_raw", span) | F.contains(decoded(F.col("_raw")), span) | F.coalesce(F.contains("_text", span), F.lit(False))
     verdict = F.when(F.col("extraction_method").isin(*exempt), F.lit("computed")).when(F.col("sha256").isNull(), F.lit("no_snapshot")).when(hit, F.lit("verbatim")).otherwise(F.lit("not_verbatim"))
     return out.withColumn("verdict", verdict).drop("sha256", "_raw", "_text")
 

@@ -137,6 +137,16 @@ def j12_span_verify(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("item_id").agg(F.count(F.when(F.col("verdict") == "verbatim", 1)).alias("documents"))
 
 
+@query()
+def j12_span_verify_all(spark: SparkSession, d: str) -> DataFrame:
+    """Each benchmark item against every document; SQL would need all pairs, so a test holds it against brute force."""
+    docs = table(spark, d, "documents").selectExpr("sha2(concat(doc_id, text), 256) as sha256", "text as body", "text")
+    items = table(spark, d, "benchmark").selectExpr("item_id", "text as claim_span")
+    ev = joins.span_candidates(items, docs, "item_id").withColumn("extraction_method", F.lit("m"))
+    found = joins.span_verify_join(ev, docs).where("verdict = 'verbatim'").groupBy("item_id").agg(F.count("*").alias("documents"))
+    return items.join(found, "item_id", "left").select("item_id", F.coalesce("documents", F.lit(0)).alias("documents"))
+
+
 _FACTS = "facts as (select o_custkey as entity_id, o_orderstatus as field, 'available' as availability, count(*)::varchar as value, half from (select *, 1 as half from orders where year(o_orderdate) <= 1999 union all select *, 2 from orders) group by 1, 2, half)"
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gzip
 import json
+import random
+import re
 from datetime import date
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from attestor.functions import expr as X
 from attestor.operators import joins, normalise, pages, quality, rank, rollup, synth
+from attestor.plans import evidence
 from attestor.sources import io
 from attestor.streaming import feeds
 
@@ -118,6 +121,25 @@ def test_roles_leave_out_the_dead_and_the_gone(spark):
     assert "fodselsdato" not in str(got)
 
 
+def test_spans_against_all_documents(spark, tmp_path):
+    """Every item meets every document, whatever their ids; held against brute force."""
+    rng = random.Random(3)
+    docs = [(i, "".join(rng.choices("abc \n", k=rng.randint(0, 300)))) for i in range(70)] + [(70, "x &lt;b&gt; y"), (71, None), (72, "é😀 ü" * 30)]
+    items = []
+    for i in range(90):
+        text = docs[rng.randrange(70)][1]
+        at = rng.randrange(len(text) + 1)
+        items.append((i, text[at : at + rng.choice([1, 2, 3, 7, 20, 63, 64, 100])]))
+    items += [(90, ""), (91, "<b>"), (92, "é 😀ü"), (93, "nowhere"), (94, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    bare = lambda t: re.sub(r"\s+", "", t)
+    texts = [(bare(t), bare(t).replace("&lt;", "<").replace("&gt;", ">")) for _, t in docs if t is not None]
+    want = {i: 0 if t is None else sum(bare(t) in a or bare(t) in b for a, b in texts) for i, t in items}
+    got = {r.item_id: r.documents for r in evidence.j12_span_verify_all(spark, str(tmp_path)).collect()}
+    assert got == want and sum(n > 0 for i, n in want.items() if i >= 40) > 40
+
+
 def test_absence(spark):
     f = spark.createDataFrame([("a", ["2020", "x", "2019", "2020"], 200, "available"), ("b", None, 404, "failed"), ("c", None, 500, "failed")], "entity_id string, years array<string>, status int, state string")
     got = {(r.entity_id, r.field): (r.value, r.availability) for r in normalise.filing_years(f).collect()}
