@@ -11,6 +11,8 @@ ROUNDS = 10
 #: First and one-past-last day that a date is permuted within.
 FIRST_DAY, DAYS = "1900-01-01", 73049
 
+#: Usual forms of a card number; a looser one does not run into the start of such.
+_CARD = r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{14,19})"
 #: kind -> pattern of a whole value, most specific first. A value starts and ends at no letter or digit.
 PATTERNS: dict[str, str] = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -19,11 +21,11 @@ PATTERNS: dict[str, str] = {
     "password": r"(?i:password|passwd|pwd|secret|token|api_?key)[=:][^\s\"',;]+",
     "hex": r"[0-9a-f]{32,64}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "date": r"(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9]([./])[01][0-9]\1(?:19|20)[0-9]{2}",
+    "date": r"(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9]([./])[01][0-9]\1(?:19|20)[0-9]{2}|[01][0-9]/[0-3][0-9]/(?:19|20)[0-9]{2}",
     "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}",
-    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
+    "card": rf"[0-9](?:(?:[ -](?!{_CARD}(?![A-Za-z0-9])))?[0-9]){{12,18}}",
 }
 _ANY = r"(?<![A-Za-z0-9])(?:" + "|".join(PATTERNS.values()) + r")(?![A-Za-z0-9])"
 
@@ -84,6 +86,19 @@ def _mod97(text: str) -> str:
     return f"aggregate(transform({spelt}, c -> conv(c, 36, 10)), 0, (s, c) -> cast((s * if(char_length(c) = 2, 100, 10) + cast(c as int)) % 97 as int))"
 
 
+def _inside(m: str, kind: str, usual: str, check: str, value: str) -> str:
+    """SQL: struct(kind, value) of a match in which a run of its groups passes `check`, the one in a usual form or else the
+    longest; the groups around it stay. check and value are SQL of `x`. Kind null and m where no run passes.
+    """
+    n = f"char_length({m})"
+    runs = f"flatten(transform(sequence(1, {n}), i -> transform(sequence(i, {n}), j -> named_struct('i', i, 'x', substr({m}, i, j - i + 1), 'r', substr({m}, j + 1)))))"
+    whole = f"(w.i = 1 or substr({m}, w.i - 1, 1) rlike '[ -]') and w.r rlike '^($|[ -])' and w.x rlike {_sql(f'^(?:{PATTERNS[kind]})$')}"
+    good = f"filter(filter({runs}, w -> {whole}), w -> {_let('x', 'w.x', check)})"
+    best = f"array_max(transform({good}, w -> named_struct('u', w.x rlike {_sql(f'^{usual}$')}, 'n', char_length(w.x), 'i', -w.i, 'x', w.x, 'r', w.r)))"
+    filled = f"concat(substr({m}, 1, -b.i - 1), {_let('x', 'b.x', value)}, b.r)"
+    return _let("b", best, f"if(b is null, named_struct('kind', cast(null as string), 'value', {m}), named_struct('kind', '{kind}', 'value', {filled}))")
+
+
 def _pseudonym(m: str, key: str) -> str:
     """SQL: struct(kind, value) of a match; kind null and the value unchanged where the check of its kind fails."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
@@ -94,17 +109,18 @@ def _pseudonym(m: str, key: str) -> str:
     walk = feistel("lpad(cast(x as string), 5, '0')", 10, "'date'", key)
     # the days are a part of the five-digit numbers: permute until one of them comes
     moved = f"aggregate(sequence(1, 80), datediff(y, date'{FIRST_DAY}'), (x, i) -> if(i > 1 and x < {DAYS}, x, cast({walk} as int)))"
-    shown = f"date_format(date_add(date'{FIRST_DAY}', z), case when {m} rlike '-' then 'yyyy-MM-dd' when {m} rlike '/' then 'dd/MM/yyyy' else 'dd.MM.yyyy' end)"
+    shown = f"date_format(date_add(date'{FIRST_DAY}', z), case when {m} rlike '-' then 'yyyy-MM-dd' when {m} rlike '/' then if(try_to_date({m}, 'dd/MM/yyyy') is null, 'MM/dd/yyyy', 'dd/MM/yyyy') else 'dd.MM.yyyy' end)"
     date = _let("y", day, f"if(y is null, {none}, {got('date', _let('z', moved, shown))})")
     octets = f"split({m}, '[.]')"
     address = f"array_join(transform({octets}, o -> lpad(lower(conv(o, 10, 16)), 2, '0')), '')"
     ip = _let("h", address, _let("g", feistel("h", 16, "'ip'", key), "array_join(transform(sequence(0, 3), k -> conv(substr(g, 2 * k + 1, 2), 16, 10)), '.')"))
     number = lambda kind, of: _let("h", of, _let("g", feistel("h", 10, f"'{kind}'", key), _refill(m, "[0-9]", "g")))
-    body = _let("h", f"substr({digits}, 1, char_length({digits}) - 1)", feistel("h", 10, "'card'", key))
-    card = _let("g", body, _let("e", f"concat(g, cast(pmod(10 - {_luhn("concat(g, '0')")} % 10, 10) as string))", _refill(m, "[0-9]", "e")))
+    only = "regexp_replace(x, '[^0-9]', '')"
+    body = _let("h", f"substr({only}, 1, char_length({only}) - 1)", feistel("h", 10, "'card'", key))
+    card = _let("g", body, _let("e", f"concat(g, cast(pmod(10 - {_luhn("concat(g, '0')")} % 10, 10) as string))", _refill("x", "[0-9]", "e")))
     # country and check digits lead; the account is permuted within digits and letters alike, the check digits made anew
-    plain = f"upper(replace({m}, ' ', ''))"
-    account = _let("q", plain, _let("g", f"upper({_wide('substr(q, 5)', "'iban'", key)})", _let("e", f"concat(substr(q, 1, 2), lpad(cast(98 - {_mod97("concat(substr(q, 1, 2), '00', g)")} as string), 2, '0'), g)", _refill(m, "[A-Za-z0-9]", "e"))))
+    plain = "upper(replace(x, ' ', ''))"
+    account = _let("q", plain, _let("g", f"upper({_wide('substr(q, 5)', "'iban'", key)})", _let("e", f"concat(substr(q, 1, 2), lpad(cast(98 - {_mod97("concat(substr(q, 1, 2), '00', g)")} as string), 2, '0'), g)", _refill("x", "[A-Za-z0-9]", "e"))))
     phone = f"concat(regexp_extract({m}, '^([+][0-9]{{1,3}}[ .-])?', 0), {_let('t', f'regexp_replace({m}, {_sql("^[+][0-9]{1,3}[ .-]")}, {_sql("")})', _let('h', "regexp_replace(t, '[^0-9]', '')", _let('g', feistel('h', 10, "'phone'", key), _refill('t', '[0-9]', 'g'))))})"
     at = f"locate('@', {m})"
     email = f"concat({_wide(f'lower(substr({m}, 1, {at} - 1))', "'local'", key)}, '@', {_wide(f"lower(substring_index(substr({m}, {at} + 1), '.', size(split(substr({m}, {at} + 1), '[.]')) - 1))", "'host'", key)}, '.', lower(substring_index({m}, '.', -1)))"
@@ -117,12 +133,12 @@ def _pseudonym(m: str, key: str) -> str:
         f"when {is_('token')} then {got('token', token)} "
         f"when {is_('password')} then {got('password', secret)} "
         f"when {is_('hex')} then {got('hex', hexed)} "
-        f"when {is_('iban')} then if({_mod97(plain)} = 1, {got('iban', account)}, {none}) "
+        f"when {is_('iban')} then {_inside(m, 'iban', '.*', f'{_mod97(plain)} = 1', account)} "
         f"when {is_('date')} then {date} "
         f"when {is_('ip')} then if(forall({octets}, o -> cast(o as int) < 256), {got('ip', ip)}, {none}) "
         f"when {is_('ssn')} then if({m} rlike '^(?!000|666|9)', {got('ssn', number('ssn', digits))}, {none}) "
         f"when {is_('phone')} then {got('phone', phone)} "
-        f"when {is_('card')} then if({_luhn(digits)} % 10 = 0, {got('card', card)}, {none}) else {none} end"
+        f"when {is_('card')} then {_inside(m, 'card', _CARD, f'{_luhn(only)} % 10 = 0', card)} else {none} end"
     )
 
 
@@ -130,7 +146,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """docs with personal data in text replaced, n_chars (if there) set to the new length where something was, n_pii added (long).
 
     Numbers are replaced where their check holds: Luhn for cards, mod 97 for IBANs, octets for addresses, the calendar
-    for dates from 1900 to 2099; the pseudonym passes the same check in the same format. E-mails, phones, keys, tokens,
+    for dates from 1900 to 2099 (the day first if both ways are dates). Where digits or groups stand beside a card number or
+    IBAN, the run of groups that passes is replaced. The pseudonym passes the same check in the same format. E-mails, phones, keys, tokens,
     passwords and long hex strings are permuted letter for letter. Equal values get equal pseudonyms in every document.
     A null text stays null (n_pii 0); a text without matches is unchanged. Rows and other columns are untouched; a
     column named n_pii is replaced.

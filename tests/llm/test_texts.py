@@ -124,6 +124,26 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_pseudonyms_beside_other_groups(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [f"{card} 12/25", "4111111111111111 123", "qty 2 4111111111111111", f"2 {card}", f"1 2 3 4 5 6 {card}", "3782 822463 10005 1234", "4111-1111-1111-1111 123", f"{iban} EUR", f"AB13 {iban}", "07/25/2019", "411111111111111 1"]
+    hidden = [card, "4111111111111111", "4111111111111111", card, card, "3782 822463 10005", "4111-1111-1111-1111", iban, iban, "07/25/2019", "411111111111111 1"]
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for before, private, after in zip(texts, hidden, got, strict=True):
+        at = before.index(private)
+        end = len(after) - (len(before) - at - len(private))
+        assert after[:at] == before[:at] and after[end:] == before[at + len(private) :]  # the groups around it stay
+        new = after[at:end]
+        form = "[A-Z0-9]" if private == iban else "[0-9]"
+        assert new != private and re.sub(form, "0", new) == re.sub(form, "0", private)
+        if private[0] in "34":
+            assert luhn(re.sub("[ -]", "", new))
+        if private == iban:
+            x = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    assert 1 <= int(got[9][:2]) <= 12 and 1 <= int(got[9][3:5]) <= 31
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     got = n.select(F.expr(pii.feistel("v", 10, "'t'", "k")).alias("p"))
