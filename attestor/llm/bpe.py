@@ -56,10 +56,12 @@ with recursive enc(w, p, t, done) as (
 select w, p, t from enc where done
 """
 
-_FOLD = """
-select e.w, string_agg(e.t::varchar, ' ' order by e.p) as ids, string_agg(v.hex, '' order by e.p) as bytes
-from encoded e join vocabulary v on v.token = e.t group by e.w
-"""
+_FOLD = "select w, string_agg(t::varchar, ' ' order by p) as ids from encoded group by w"
+
+#: Ids (d: document, p: place, t: token) back to bytes.
+_DECODE = "select c.d, string_agg(v.hex, '' order by c.p) from coded c join vocabulary v on v.token = c.t group by c.d"
+#: Ids that are decoded together at most; a longer document comes in several parts.
+DECODED = 500_000
 
 
 class _Recent:
@@ -101,20 +103,19 @@ class Bpe:
         self._table("merges", {"pair": pair, "token": merged.astype(np.int32), "safe": safe})
         self._table("vocabulary", {"token": np.array(list(ranks.values()), np.int32), "hex": [t.hex() for t in ranks]})
         self.words, self.pieces = _Recent(REMEMBERED), _Recent(REMEMBERED)
-        self.odd: dict[str, bytes] = {}  # pieces whose ids do not decode to their own bytes; none for a whole vocabulary
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
         self.db.execute(f"create or replace table {name} as select * from incoming")
         self.db.unregister("incoming")
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[str, bytes]]:
-        """(ids joined by spaces, their bytes decoded again) of each word."""
+    def encode_words(self, words: list[bytes]) -> list[str]:
+        """The ids of each word, joined by spaces."""
         out: list = [None] * len(words)
         open_ = []
         for i, w in enumerate(words):
             if (rank := self.ranks.get(w)) is not None:
-                out[i] = (str(rank), w)
+                out[i] = str(rank)
             else:
                 open_.append(i)
         for short in (True, False):
@@ -128,37 +129,48 @@ class Bpe:
                 token = self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
                 self._table("tokens", {"w": np.repeat(np.arange(len(part), dtype=np.int32), size), "p": place, "t": token, "nx": after})
                 self.db.execute(f"create or replace table encoded as {_ENCODE if short else _ENCODE_LONG}")
-                for w, ids, raw in self.db.execute(_FOLD).fetchall():
-                    out[part[w]] = (ids, bytes.fromhex(raw))
+                for w, ids in self.db.execute(_FOLD).fetchall():
+                    out[part[w]] = ids
         return out
 
+    def decode(self, ids: list[str]) -> list[bytes]:
+        """The bytes of each document's ids (joined by spaces), by the vocabulary alone."""
+        out: list[list[bytes]] = [[] for _ in ids]
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), [i.count(" ") + 1 if i else 0 for i in ids])
+        token = np.array(" ".join(filter(None, ids)).split(), np.int32)
+        for at in range(0, len(token), DECODED):
+            part = slice(at, at + DECODED)
+            self._table("coded", {"d": doc[part], "p": np.arange(len(token[part]), dtype=np.int32), "t": token[part]})
+            for d, raw in self.db.execute(_DECODE).fetchall():
+                out[d].append(bytes.fromhex(raw))
+        return [b"".join(parts) for parts in out]
+
     def learn(self, texts: set[str]) -> None:
         """Encode the pieces not remembered, each distinct match of the pattern once."""
         new = self.pieces.missing(texts)
         split = {p: self.split.findall(p) for p in new}
         words = sorted(self.words.missing({w for found in split.values() for w in found}))
-        for w, (ids, raw) in zip(words, self.encode_words([w.encode("utf-8", "surrogatepass") for w in words]), strict=True):
+        for w, ids in zip(words, self.encode_words([w.encode("utf-8", "surrogatepass") for w in words]), strict=True):
             self.words.new[w] = ids
-            if raw != w.encode("utf-8", "surrogatepass"):
-                self.odd[w] = raw
         known = self.words.new
         for p, found in split.items():
             self.pieces.new[p] = known[found[0]] if len(found) == 1 else " ".join([known[w] for w in found])
-            if self.odd and any(w in self.odd for w in found):
-                self.odd[p] = b"".join(self.odd.get(w, w.encode("utf-8", "surrogatepass")) for w in found)
 
-    def documents(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        """(tokens, ids joined by spaces, decoded bytes) of whole texts; a batch's new pieces are encoded together."""
+    def ids(self, texts: list[str]) -> list[str]:
+        """The ids of whole texts, joined by spaces; a batch's new pieces are encoded together."""
         cut = [pieces(t) if t else [] for t in texts]
         self.learn({p for parts in cut for p in parts if p})
         known, out = self.pieces.new.__getitem__, []
-        for text, parts in zip(texts, cut, strict=True):
+        for parts in cut:
             parts = parts[1:] if parts and not parts[0] else parts  # a text that starts with a space
-            ids = " ".join(map(known, parts))
-            raw = b"".join(self.odd.get(p) or p.encode("utf-8", "surrogatepass") for p in parts) if self.odd else text.encode("utf-8", "surrogatepass")
-            out.append((ids.count(" ") + 1 if ids else 0, ids, raw))
+            out.append(" ".join(map(known, parts)))
         return out
 
+    def documents(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """(tokens, ids joined by spaces, bytes decoded from these ids) of whole texts."""
+        ids = self.ids(texts)
+        return [(i.count(" ") + 1 if i else 0, i, raw) for i, raw in zip(ids, self.decode(ids), strict=True)]
+
 
 @lru_cache(1)
 def _bpe(path: str | None) -> Bpe:
@@ -186,7 +198,8 @@ def _run(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.Rec
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of docs.
 
-    Whole texts are split by the vocabulary's pattern; each match is encoded by itself and its ids are decoded again.
+    Whole texts are split by the vocabulary's pattern; each match is encoded by itself; the ids of the whole text are
+    decoded through the vocabulary.
     Null and empty texts have no tokens. Null and repeated doc_ids pass through; extra columns are not read. `path` names
     a rank file on the workers, by default the 50k byte-level vocabulary.
     """
@@ -199,8 +212,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 def _ids(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.RecordBatch]:
     bpe = _bpe(path)
     for batch in batches:
-        done = bpe.documents(batch.column("text").to_pylist())
-        ids = [[int(i) for i in s.split()] for _, s, _ in done]
+        ids = [[int(i) for i in s.split()] for s in bpe.ids(batch.column("text").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
 

@@ -59,6 +59,18 @@ def test_bpe_forgets_but_stays_right(monkeypatch):
         assert [*map(int, ids.split())] == e.encode_ordinary(t) and raw == t.encode() and n == len(ids.split())
 
 
+def test_bpe_decodes_the_ids(monkeypatch):
+    """The bytes come from the ids: a wrong id shows in them; a document of several parts stays in order."""
+    b = bpe.Bpe()
+    text = "one two three"
+    assert b.documents([text])[0][2] == text.encode()
+    b.pieces.new[" two"] = b.pieces.new[" three"]
+    assert b.documents(["", text])[1][2] == b"one three three"
+    monkeypatch.setattr(bpe, "DECODED", 3)
+    t = ["a b c d e f g h é 日本", "", "x y"]
+    assert [raw for _, _, raw in b.documents(t)] == [x.encode() for x in t]
+
+
 def test_packing(spark, texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
