@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from math import ceil, comb, erf, log, sqrt
+from math import ceil, erf, erfc, exp, lgamma, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,11 @@ def plan(n: int, threshold: float = COSINE) -> tuple[int, int, int]:
     near, far = same_cell(sqrt(2 - 2 * threshold)), same_cell(sqrt(2))
     width = max(4, ceil(log(max(1, n) / 8) / -log(far)))
     groups = ceil(log(MISS) / log(1 - near**width))
-    total, p = width * groups, erf(WINDOW / sqrt(2 - 2 * threshold) / sqrt(2))
+    total, far_off = width * groups, WINDOW / sqrt(2 - 2 * threshold) / sqrt(2)
+    hit, miss = log(erf(far_off)), log(max(erfc(far_off), 1e-300))
     need, tail = 0, 0.0
-    while (tail := tail + comb(total, need) * p**need * (1 - p) ** (total - need)) < MISS:
+    ways = lambda k: lgamma(total + 1) - lgamma(k + 1) - lgamma(total - k + 1)  # noqa: E731  its logarithm: comb() outgrows floats
+    while (tail := tail + exp(ways(need) + need * hit + (total - need) * miss)) < MISS:
         need += 1
     return width, groups, need
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from itertools import combinations
@@ -201,6 +202,19 @@ def test_embeddings_against_brute_force(spark):
     assert embedding.near_duplicates(none).count() == 0
 
 
+def test_embedding_plan_of_any_size():
+    p = math.erf(embedding.WINDOW / math.sqrt(2 - 2 * embedding.COSINE) / math.sqrt(2))
+    for n in (0, 1, 100, 10_000, 1_000_000, 30_000_000, 120_000_000):
+        width, groups, need = embedding.plan(n)
+        total, tail, want = width * groups, 0.0, 0
+        while (tail := tail + math.comb(total, want) * p**want * (1 - p) ** (total - want)) < embedding.MISS:
+            want += 1
+        assert need == want
+    for n in (140_000_000, 10**10, 10**12):
+        width, groups, need = embedding.plan(n)
+        assert 0 < need < width * groups
+
+
 def test_embedding_repeats_and_null_ids(spark):
     rows = [(5, [1.0, 2.0], 1), (5, [1.0, 2.0], 1), (None, [2.0, 4.0], 1), (3, [1.0, 2.0], 2)]
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()), key=repr)
