@@ -73,6 +73,17 @@ def _verdict() -> Column:
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _judged(docs: DataFrame, text: Column, *carried: str) -> DataFrame:
+    """The carried columns, the five counts, base_failed and kept, all made before any filter over them.
+
+    Counts and verdict leave as the one struct of an inlined array. A filter on a generated column stays above the generator, so
+    no caller's filter takes copies of the counts with it below the projections that make the arrays.
+    """
+    base = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
+    row = F.struct(*COUNTS, base.alias("base_failed"), (~base & _verdict()).alias("kept"))
+    return _counts(docs, text).select(*carried, F.inline(F.array(row)))
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, the five counts, base_failed and kept.
 
@@ -81,15 +92,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     the words repeats. kept also needs every ratio of RULES within its limits. Null texts count as empty: all counts 0,
     base_failed. Null and repeated doc_ids pass through; extra columns are not read.
     """
-    out = _counts(docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("_in")), F.col("_in"))
-    out = out.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
-    return out.withColumn("kept", ~F.col("base_failed") & _verdict()).select("doc_id", *COUNTS, "base_failed", "kept")
+    return _judged(docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("_in")), F.col("_in"), "doc_id")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with their own columns only; no join, so repeated doc_ids are each judged."""
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("text").alias("_in"))
-    # the partition's number keeps Spark from moving the filter, and a copy of every count with it, below the counts
-    out = _counts(packed, F.col("_in")).withColumn("_partition", F.spark_partition_id())
-    good = (F.col("_partition") >= 0) & F.expr(f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words") & _verdict()
-    return out.where(good).select("_row.*")
+    return _judged(packed, F.col("_in"), "_row").where("kept").select("_row.*")

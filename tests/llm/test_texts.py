@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -195,6 +196,19 @@ def test_quality_rules(spark, texts, sf_dir):
     assert judged.where("kept = (quality = 1)").count() >= 0.95 * judged.count()
 
 
+def test_quality_rules_under_a_filter(spark, sf_dir):
+    """Filters on results leave the plan as it is: three passes of regular expressions, in about the time of the whole."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged, took = quality_rules.quality_rules(docs), []
+    for df in (judged, judged, judged.where("kept"), judged.where("not base_failed"), judged.where("n_words > 3 and n_symbols < 9"), quality_rules.keep_good(docs)):
+        assert plan(df) == 3
+        began = time.monotonic()
+        df.write.format("noop").mode("overwrite").save()
+        took.append(time.monotonic() - began)
+    assert max(took[2:]) < 3 * took[1] + 5
+
+
 def test_quality_model(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/{t}.parquet") for t in ("documents", "labels"))
     odd = spark.createDataFrame([(90_000, None), (90_001, ""), (None, "a text")], "doc_id long, text string")
