@@ -25,9 +25,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and Spark is local."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -66,10 +68,20 @@ def chunks(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-#: Rows that may be broadcast; beyond that the same join shuffles.
-SMALL = 500_000
+#: Parts that the rows of one key are dealt to where a key may hold a large part of a table.
+PARTS = 8
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table of a few columns, with a broadcast hint if it has at most SMALL rows."""
-    return F.broadcast(df) if df.count() <= SMALL else df
+def spread_join(many: DataFrame, few: DataFrame, key: str, by: Column, how: str = "inner") -> DataFrame:
+    """many joined with few on key; rows of one key are dealt to PARTS tasks by a hash of `by`, each row of few goes to all.
+
+    few has one row a key and is the smaller side by far; `by` tells rows of one key apart. _part is added to many and dropped.
+    """
+    dealt = many.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
+    copies = few.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
+
+
+def carried(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that no name of theirs can clash with one of ours."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))

@@ -8,10 +8,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key, ship, small
+from .common import carried, materialize, row_key, ship, spread_join
 from .linking import Matcher, link
 
 #: Edits between two lines that still count as one, and the characters below which they could rewrite a whole line: each of
@@ -21,37 +21,58 @@ MIN_CHARS = EDITS + 1
 #: White space of the contracts (common.SPACE): a line of nothing else has no word and no part.
 _BLANK = " \t\n\v\f\r"
 _WORD = (1 << 64) - 1
+#: A mark is the parity of a line's characters in so many classes, and above it the line's length modulo the rest of 64 bits.
+CLASSES = 54
+_PARITY, _LENGTHS = (1 << CLASSES) - 1, 1 << (64 - CLASSES)
+#: Lines whose keys a task remembers having given out already.
+GIVEN = 200_000
 
 
-def segments(n: int, edits: int = EDITS) -> list[tuple[int, int]]:
-    """edits + 1 segments (start, length) of a line of n characters, the longer ones last."""
-    k, out, at = edits + 1, [], 0
-    for i in range(k):
-        size = n // k + (i >= k - n % k)
-        out.append((at, size))
-        at += size
-    return out
+@lru_cache(65536)
+def segment_size(n: int, edits: int = EDITS) -> int:
+    """Characters of each of the edits + 1 segments of a line of n: the largest of a growing row of sizes that fits so often.
+
+    The row grows by a fifth, so lines of similar lengths have segments of one size and share keys.
+    """
+    size = 1
+    while (larger := max(size + 1, size * 6 // 5)) * (edits + 1) <= n:
+        size = larger
+    return size
 
 
-@lru_cache(4096)
+@lru_cache(65536)
 def probes(n: int, edits: int = EDITS) -> list[tuple[int, int, int]]:
-    """(start, end, seed) of a line's own segments and of the substrings that can equal a segment of a shorter line.
+    """(start, end, seed) of a line's own segments and of the substrings that can equal a segment of a line in reach.
 
-    If at most `edits` edits turn a line of m characters into one of n, one of its segments occurs untouched in the other,
-    shifted by at most what the edits before it and after it allow. The seed holds m and the segment's number.
+    The segments of the shorter line of a pair lie one after another: the first half from the start, the others up to
+    the end. At most `edits` edits leave one of edits + 1 segments untouched; one with i segments on the nearer side is shifted
+    by i places at most, for more edits there leave fewer for the other side, where another segment is untouched then.
     """
     out = set()
-    for m in range(max(edits + 1, n - edits), n + 1):
-        gap = n - m
-        for i, (at, size) in enumerate(segments(m, edits)):
-            low, high = max(0, at - i, at + gap - (edits - i)), min(n - size, at + i, at + gap + (edits - i))
-            out |= {(s, s + size, m * (edits + 1) + i) for s in range(low, high + 1)}
+    for size in {segment_size(m, edits) for m in range(max(edits + 1, n - edits), n + 1)}:
+        for i in range(edits + 1):
+            at = i * size if 2 * i <= edits else n - (edits + 1 - i) * size
+            shift = min(i, edits - i)
+            out |= {(s, s + size, size * (edits + 1) + i) for s in range(max(0, at - shift), min(n - size, at + shift) + 1)}
     return sorted(out)
 
 
-def line_keys(line: str) -> list[int]:
-    wide, digest = line.encode("utf-32-le", "surrogatepass"), xxhash.xxh3_64_intdigest
-    return [digest(wide[4 * s : 4 * e], seed) - (1 << 63) for s, e, seed in probes(len(line))]
+def line_keys(line: str, edits: int = EDITS) -> list[int]:
+    digest, found = xxhash.xxh3_64_intdigest, probes(len(line), edits)
+    if line.isascii():
+        raw = line.encode()
+        return [digest(raw[s:e], seed) - (1 << 63) for s, e, seed in found]
+    return [digest(line[s:e].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for s, e, seed in found]
+
+
+def marks(lines: list[str]) -> np.ndarray:
+    """The mark of each line. An edit changes the parity of two classes at most, and the length by one."""
+    size = np.array([len(x) for x in lines], np.int64)
+    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    place = np.repeat(np.arange(len(lines), dtype=np.int64) * CLASSES, size) + flat % CLASSES
+    odd = (np.bincount(place, minlength=len(lines) * CLASSES) & 1).reshape(-1, CLASSES).astype(np.uint64)
+    parity = (odd << np.arange(CLASSES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    return (parity | (size.astype(np.uint64) << np.uint64(CLASSES))).view(np.int64)
 
 
 def _shared(a: str, b: str) -> int:
@@ -108,29 +129,53 @@ def _table(a: str, b: str) -> int:
 
 class Edits(Matcher):
     def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return abs(a - b) <= EDITS
+        x, y = a.view(np.uint64), b.view(np.uint64)
+        gap = (x >> np.uint64(CLASSES)) - (y >> np.uint64(CLASSES)) + np.uint64(EDITS) & np.uint64(_LENGTHS - 1)
+        return (gap <= 2 * EDITS) & (np.bitwise_count((x ^ y) & np.uint64(_PARITY)) <= 2 * EDITS)
 
     def linked(self, a: str, b: str) -> bool:
         return within(a, b)
 
 
+def _fits(x: str, y: str) -> Column:
+    """Edits.fit as SQL."""
+    gap = f"pmod(shiftrightunsigned({x}, {CLASSES}) - shiftrightunsigned({y}, {CLASSES}) + {EDITS}, {_LENGTHS})"
+    return F.expr(f"{gap} <= {2 * EDITS} and bit_count(({x} ^ {y}) & {_PARITY}L) <= {2 * EDITS}")
+
+
+_LINES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("id", pa.int64()), ("mark", pa.int64()), ("keys", pa.list_(pa.int64()))])
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line with a word: its hash (Spark's xxhash64), place, length and keys, none for one below MIN_CHARS."""
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+    """Each line with a word: its hash, place, mark and keys; no keys below MIN_CHARS, nor where this task gave them lately."""
+    given: set[int] = set()
+    rows: list[tuple] = []
+    texts: list[str] = []
+
+    def out() -> pa.RecordBatch:
+        doc, row, pos, ids, keys = zip(*rows, strict=True) if rows else ((),) * 5
+        made = (doc, row, pos, ids, marks(texts) if texts else (), keys)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(made, _LINES, strict=True)], schema=_LINES)
+
     for batch in batches:
-        cols: list[list] = [[] for _ in kinds]
-        many = 0
         for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
+            held = 0
             for pos, line in enumerate((text or "").split("\n")):
                 if line.strip(_BLANK):
-                    h = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
-                    for c, v in zip(cols, (doc, row, pos, h - (h >> 63 << 64), len(line), line_keys(line) if len(line) >= MIN_CHARS else []), strict=True):
-                        c.append(v)
-                    many += 1
-            if many >= 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "row", "pos", "id", "size", "keys"])
-                cols, many = [[] for _ in kinds], 0
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "row", "pos", "id", "size", "keys"])
+                    h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
+                    new = len(line) >= MIN_CHARS and h not in given
+                    if new:
+                        if len(given) >= GIVEN:
+                            given.clear()
+                        given.add(h)
+                    rows.append((doc, row, pos, h, line_keys(line) if new else []))
+                    texts.append(line)
+                    held += len(line)
+                    if len(rows) >= 20_000 or held > 4_000_000:
+                        yield out()
+                        rows, texts, held = [], [], 0
+        yield out()
+        rows, texts = [], []
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
@@ -142,38 +187,45 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", row_key())
-    lines = materialize(docs.mapInArrow(_lines, "doc_id long, row long, pos int, id long, size int, keys array<long>"), "lines")
+    lines = materialize(docs.mapInArrow(_lines, "doc_id long, row long, pos int, id long, mark long, keys array<long>"), "lines")
+    spots: list[DataFrame] = []
 
     def texts(ids: DataFrame) -> DataFrame:
-        first = lines.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "row", "pos")).alias("r"))
-        first = first.groupBy(F.col("r.doc_id").alias("d"), F.col("r.row").alias("r")).agg(F.collect_list(F.struct("id", "r.pos")).alias("at"))
-        first = materialize(first, "places")
-        found = docs.join(small(first), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
-        found = found.select(F.split("text", "\n", -1).alias("lines"), F.explode("at").alias("at"))
-        return found.select("at.id", F.col("lines")[F.col("at.pos")].alias("payload")).dropDuplicates(["id"])
-
-    members = lines.select(F.explode("keys").alias("key"), "id", "size")
-    labels = materialize(link(members, texts, lambda x, y: F.expr(f"abs({x} - {y}) <= {EDITS}"), Edits), "labels")
-    again = lines.groupBy("id").count().where("count > 1").select("id", F.col("id").alias("root"))
-    classes = materialize(labels.union(again.join(labels, "id", "left_anti")), "classes")
-    seen = materialize(lines.select("id", "doc_id", "row", "pos").join(small(classes), "id").select("root", F.struct("doc_id", "row", "pos").alias("at")), "seen")
-    first = materialize(seen.groupBy("root").agg(F.min("at").alias("first")), "first")
-    gone = seen.join(first, "root").where("at <> first")
+        """Each id's first place, for ids that come again or whose text is asked for; then the texts of the latter."""
+        first = lines.groupBy("id").agg(F.min(F.struct("doc_id", "row", "pos")).alias("at"), F.count("*").alias("n"))
+        first = first.join(ids.withColumn("asked", F.lit(True)), "id", "left").where("n > 1 or asked")
+        spots.append(materialize(first, "spots"))
+        places = spots[0].where("asked").groupBy(F.col("at.doc_id").alias("d"), F.col("at.row").alias("r")).agg(F.collect_list(F.struct("id", "at.pos")).alias("held"))
+        found = docs.join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+        found = found.select(F.split("text", "\n", -1).alias("lines"), F.inline("held"))
+        return found.select("id", F.col("lines")[F.col("pos")].alias("payload")).dropDuplicates(["id"])
+
+    members = lines.select(F.explode("keys").alias("key"), "id", "mark")
+    labels = materialize(link(members, texts, _fits, Edits), "labels")
+    classes = spots[0].join(labels, "id", "left").where("n > 1 or root is not null")
+    classes = materialize(classes.select("id", "n", "at", F.coalesce("root", "id").alias("root")), "classes")
+    first = materialize(classes.groupBy("root").agg(F.min("at").alias("first")), "first")
+    again = materialize(classes.join(first, "root").where("n > 1 or at <> first").select("id", "first"), "again")
+    gone = spread_join(lines.select("id", F.struct("doc_id", "row", "pos").alias("at")), again, "id", F.col("at")).where("at <> first")
     return gone.groupBy("at.doc_id", "at.row").agg(F.collect_set("at.pos").alias("drop"))
 
 
 def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     """docs with the duplicate lines taken out of text, n_chars (if there) set to the new length, all else unchanged.
 
-    Every row stays; a text of which all lines repeat earlier ones becomes empty, a null text stays null.
+    Every row stays; a text of which all lines repeat earlier ones becomes empty, a null text stays null. Any other column may
+    have any name.
     """
-    gone = materialize(duplicate_lines(docs).select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.col("drop").alias("_drop")), "gone")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_row") == F.col("_r"))
-    out = docs.withColumn("_row", row_key()).join(small(gone), same, "left")
-    out = out.withColumn("_lines", F.when(F.col("_drop").isNotNull(), F.split("text", "\n", -1)))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    rest = F.array_join(F.transform(keep, lambda i: F.col("_lines")[i]), "\n")
-    out = out.withColumn("text", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(rest))
+    gone = materialize(duplicate_lines(docs).select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "drop"), "gone")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("key"), carried(docs).alias("own"))
+    out = rows.join(gone, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("r")), "left")
+    split = F.when(F.col("drop").isNotNull(), F.split("own.text", "\n", -1))
+    out = out.select("own", "drop", split.alias("lines"))
+    keep = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop"))
+    rest = F.array_join(F.transform(keep, lambda i: F.col("lines")[i]), "\n")
+    out = out.select("own", F.when(F.col("drop").isNotNull(), rest).alias("rest"))
+    new = F.col("own").withField("text", F.coalesce("rest", "own.text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        new = new.withField("n_chars", F.coalesce(F.char_length("rest").cast(kind), F.col("own.n_chars")))
+    return out.select(new.alias("own")).select("own.*")

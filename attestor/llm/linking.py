@@ -1,9 +1,8 @@
 """Candidate buckets, verified links and components, without all pairs of a group and without a driver-side graph.
 
-`link` is shared by line and document deduplication. A bucket of two members is one pair. A larger bucket is first
-compared with four leaders only; members that the links found so far leave outside its largest component are then compared
-with all others, in blocks of a bounded size, so no candidate pair is lost, while a group of copies costs a few comparisons
-a member.
+`link` is shared by line and document deduplication. The members of a bucket are first compared with up to four leaders
+only; members that the links found so far leave outside its largest component are then compared with all others, in blocks
+of a bounded size, so no candidate pair is lost, while a group of copies costs a few comparisons a member.
 """
 
 from __future__ import annotations
@@ -49,8 +48,8 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _pairs(df: DataFrame, fits: Callable[[str, str], Column]) -> DataFrame:
-    """Distinct (a, b), a < b, of rows (x, xs, y, ys) whose sizes fit."""
-    df = df.where("x <> y").where(fits("xs", "ys"))
+    """Distinct (a, b), a < b, of rows (x, xm, y, ym) whose marks fit."""
+    df = df.where("x <> y").where(fits("xm", "ym"))
     return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -98,8 +97,8 @@ def _block(rows: list[dict], matcher: Matcher) -> pa.RecordBatch:
     left, right = ([r for r in rows if r["side"] == s] for s in (0, 1))
     if not left or not right:
         return _edges([])
-    ids, roots, sizes = (([np.array([r[c] for r in x]) for x in (left, right)]) for c in ("id", "root", "size"))
-    mask = (roots[0][:, None] != roots[1][None, :]) & matcher.fit(sizes[0][:, None], sizes[1][None, :])
+    ids, roots, marks = (([np.array([r[c] for r in x]) for x in (left, right)]) for c in ("id", "root", "mark"))
+    mask = (roots[0][:, None] != roots[1][None, :]) & matcher.fit(marks[0][:, None], marks[1][None, :])
     mask &= ~_earlier(left, right, rows[0]["key"])
     found = np.argwhere(mask & matcher.all([r["payload"] for r in left], [r["payload"] for r in right], mask)) if mask.any() else ()
     return _edges([(int(ids[0][i]), int(ids[1][j])) for i, j in found])
@@ -122,7 +121,7 @@ class Matcher:
     """How two payloads are compared; made once a task."""
 
     def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which sizes can link at all."""
+        """Which marks, as 64-bit numbers, can belong to payloads that link."""
         raise NotImplementedError
 
     def prepare(self, payload: str) -> object:
@@ -144,26 +143,27 @@ LEFT, RIGHT = 128, 256
 
 
 def link(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], fits: Callable[[str, str], Column], matcher: type[Matcher]) -> DataFrame:
-    """members(key, id, size), read twice, so written by the caller -> (id, root) of the verified links.
+    """members(key, id, mark), read twice, so written by the caller -> (id, root) of the verified links.
 
-    Members of one key are candidates. `fits` is matcher.fit as SQL; payloads(ids) gives (id, payload) of the ids. An id
-    may come many times in a key, and any number of ids may share one.
+    Members of one key are candidates if their marks fit. `fits` is matcher.fit as SQL; payloads(ids) gives (id, payload)
+    of the ids. An id may come many times in a key, and any number of ids may share one.
     """
-    # With two members a and b every other id would have to lie between a & b and a | b bit by bit: a third one shows.
-    ends = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_and("id").alias("all"), F.bit_or("id").alias("any"))
-    ends = materialize(ends.where("lo < hi"), "buckets")
-    more = F.expr("all <> (lo & hi) or any <> (lo | hi)")
-    two = ends.where(~more).select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct()
-    crowd = materialize(members.join(ends.where(more).select("key"), "key").select("key", "id", "size").distinct(), "crowd")
-    lead = crowd.withColumn("mixed", F.xxhash64("id", "key")).groupBy("key").agg(
-        F.min("id").alias("l0"), F.max("id").alias("l1"), F.min_by("id", "mixed").alias("l2"), F.max_by("id", "mixed").alias("l3")
-    )
-    lead = lead.select("key", F.explode(F.array_distinct(F.array("l0", "l1", "l2", "l3"))).alias("y"))
-    sizes = crowd.select(F.col("id").alias("y"), F.col("size").alias("ys")).distinct()
-    lead = materialize(lead.join(sizes, "y"), "leaders")
-    stars = _pairs(crowd.select("key", F.col("id").alias("x"), F.col("size").alias("xs")).join(lead, "key"), fits)
-    first = materialize(two.union(stars).distinct(), "pairs")
-    ids = first.select(F.explode(F.array("a", "b")).alias("id")).union(crowd.select("id")).distinct()
+    # A key with two ids or more. Both sides of the join are in proportion to the corpus, so it is always a merge; AQE splits a
+    # key that fills a partition, as nothing but the writing follows.
+    shared = materialize(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "shared")
+    crowd = materialize(members.join(shared.hint("merge"), "key"), "crowd")
+    crowd = materialize(crowd.distinct(), "crowd")
+    # Leaders by the same few orders in all keys, so that keys with the same members choose the same ones.
+    mixed = F.xxhash64("id", F.pmod("key", F.lit(4)))
+    ends = {"0": (F.min_by, F.col("id")), "1": (F.max_by, F.col("id")), "2": (F.min_by, mixed), "3": (F.max_by, mixed)}
+    lead = crowd.groupBy("key").agg(F.count("*").alias("n"), *(pick(c, order).alias(c + k) for k, (pick, order) in ends.items() for c in ("id", "mark")))
+    leaders = F.array_distinct(F.array(*(F.struct(F.col("id" + k).alias("y"), F.col("mark" + k).alias("ym")) for k in ends)))
+    lead = materialize(lead.select("key", "n", leaders.alias("leaders")), "leaders")
+    met = crowd.select("key", F.col("id").alias("x"), F.col("mark").alias("xm")).join(lead.select("key", F.inline("leaders")), "key")
+    first = materialize(_pairs(met, fits), "pairs")
+    # Keys with two members or more besides the leaders: these may have to meet each other.
+    wide = crowd.join(lead.where("n > size(leaders) + 1").select("key"), "key", "left_semi")
+    ids = first.select(F.explode(F.array("a", "b")).alias("id")).union(wide.select("id")).distinct()
     texts = materialize(payloads(ids), "payloads")
     both = first
     for c in ("a", "b"):
@@ -171,8 +171,8 @@ def link(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], fits: C
     both = both.select("a", "b", "pa", "pb")
     links = materialize(both.mapInArrow(partial(_star, matcher=matcher), "a long, b long"), "links")
     label = materialize(connected(links), "labels")
-    # Members of a larger bucket that are still apart: those outside its largest component meet all of the others.
-    apart = crowd.join(label, "id", "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
+    # Members of such a key that are still apart: those outside its largest component meet all of the others.
+    apart = wide.join(label, "id", "left").select("key", "id", "mark", F.coalesce("root", "id").alias("root"))
     parts = apart.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("root", "count").alias("big"), F.count("*").alias("roots"))
     parts = parts.where("roots > 1").select("key", "big", F.expr(f"ceil((n - most) / {LEFT})").alias("nl"), F.expr(f"ceil(n / {RIGHT})").alias("nm"))
     parts = materialize(parts, "mixed")
@@ -183,7 +183,7 @@ def link(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], fits: C
     part = lambda n, salt: F.expr(f"pmod(xxhash64(id, '{salt}'), {n})")
     left = apart.where("root <> big").select("*", F.lit(0).alias("side"), part("nl", "l").alias("l"), F.explode(F.expr("sequence(0, nm - 1)")).alias("m"))
     right = apart.select("*", F.lit(1).alias("side"), F.explode(F.expr("sequence(0, nl - 1)")).alias("l"), part("nm", "m").alias("m"))
-    rows = left.select("key", "l", "m", "side", "id", "root", "size").union(right.select("key", "l", "m", "side", "id", "root", "size"))
+    rows = left.select("key", "l", "m", "side", "id", "root", "mark").union(right.select("key", "l", "m", "side", "id", "root", "mark"))
     rows = rows.join(keys, "id").join(texts, "id")
     rows = rows.repartition("key", "l", "m").sortWithinPartitions("key", "l", "m")
     again = materialize(rows.mapInArrow(partial(_blocks, matcher=matcher), "a long, b long"), "links")

@@ -11,10 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, row_key, ship, small, text_or_empty
+from .common import carried, chunks, materialize, row_key, ship, spread_join, text_or_empty
 from .linking import Matcher, link
 
 SHINGLE, BANDS, ROWS, PERCENT = 5, 32, 5, 75
+#: Sets whose band keys a task remembers having given out already.
+GIVEN = 200_000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -100,20 +102,32 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, id and band keys of each text's set; no keys where this task gave them for an equal set lately."""
+    given: set[int] = set()
     for batch in batches:
         texts = batch.column("text")
         lengths = pc.binary_length(texts).to_pylist()
         for lo, hi in chunks(lengths, 1_000_000):
             sets = [shingle_set(t) for t in texts.slice(lo, hi - lo).to_pylist()]
-            full = [s for s in sets if len(s)]
-            keys = iter(band_keys(super_minhash(full, BANDS * ROWS), BANDS, ROWS) if full else ())
+            ids = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets]
+            new = []
+            for k, i in enumerate(ids):
+                if i is not None and i not in given:
+                    if len(given) >= GIVEN:
+                        given.clear()
+                    given.add(i)
+                    new.append(k)
+            keys: list = [None] * len(sets)
+            if new:
+                for k, bands in zip(new, band_keys(super_minhash([sets[k] for k in new], BANDS * ROWS), BANDS, ROWS), strict=True):
+                    keys[k] = bands
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, hi - lo),
                     batch.column("row").slice(lo, hi - lo),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([int(np.int64(xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63)) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array(ids, pa.int64()),
+                    pa.array(keys, pa.list_(pa.int64())),
                 ],
                 ["doc_id", "row", "n_shingles", "set_id", "bands"],
             )
@@ -169,33 +183,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.withColumn("row", row_key())
     signed = materialize(docs.mapInArrow(_sign, "doc_id long, row long, n_shingles long, set_id long, bands array<long>"), "signed")
     some = signed.where("set_id is not null")
-    members = some.select(F.explode("bands").alias("key"), F.col("set_id").alias("id"), F.col("n_shingles").alias("size"))
+    members = some.select(F.explode("bands").alias("key"), F.col("set_id").alias("id"), F.col("n_shingles").alias("mark"))
+    sets: list[DataFrame] = []
 
     def texts(ids: DataFrame) -> DataFrame:
-        """One row of each set stands for it, found again by its id and its text's hash."""
-        reps = some.join(ids.withColumnRenamed("id", "set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("doc_id", "row")).alias("r"))
-        reps = materialize(reps.select("set_id", F.col("r.doc_id").alias("rep"), F.col("r.row").alias("rep_row")), "reps")
+        """Sets that come again or whose text is asked for, with the row that stands for each; then the texts of the latter."""
+        all_ = some.groupBy(F.col("set_id").alias("id")).agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min(F.struct("doc_id", "row")).alias("r"))
+        sets.append(materialize(all_.join(ids.withColumn("asked", F.lit(True)), "id", "left").where("n > 1 or asked"), "sets"))
+        reps = sets[0].where("asked").select("id", F.col("r.doc_id").alias("rep"), F.col("r.row").alias("rep_row"))
         same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("row") == F.col("rep_row"))
-        found = docs.join(small(reps), same).select(F.col("set_id").alias("id"), F.col("text").alias("payload"))
-        return found.dropDuplicates(["id"])
+        return docs.join(reps, same).select("id", F.col("text").alias("payload")).dropDuplicates(["id"])
 
     labels = link(members, texts, lambda x, y: F.expr(f"100 * least({x}, {y}) >= {PERCENT} * greatest({x}, {y})"), Jaccard)
     labels = materialize(labels, "labels")
     # Only sets that another document shares or that link with another can have a component beyond the row itself.
-    smallest = some.groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
-    groups = smallest.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").where("n > 1 or root is not null")
-    groups = materialize(groups.select("set_id", "low", F.coalesce("root", "set_id").alias("root")), "groups")
+    groups = sets[0].join(labels, "id", "left").where("n > 1 or root is not null")
+    groups = materialize(groups.select("id", "low", F.coalesce("root", "id").alias("root")), "groups")
     lowest = groups.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = materialize(groups.join(lowest, "root").select("set_id", "component_id"), "named")
-    out = signed.select("doc_id", "n_shingles", "set_id", "row").join(named, "set_id", "left")
+    named = materialize(groups.join(lowest, "root").select(F.col("id").alias("set_id"), "component_id"), "named")
+    out = spread_join(signed.select("doc_id", "n_shingles", "set_id", "row"), named, "set_id", F.struct("doc_id", "row"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without the rows that near_duplicates does not keep, all columns unchanged."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct()
+    """docs without the rows that near_duplicates does not keep, all columns unchanged; other columns may have any name."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("d"), F.col("row").alias("r")).distinct()
     gone = materialize(gone, "gone")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (row_key() == F.col("_r"))
-    return docs.join(small(gone), same, "left_anti")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("key"), carried(docs).alias("own"))
+    same = F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("r"))
+    return rows.join(gone, same, "left_anti").select("own.*")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path, ship, small
+from .common import materialize, new_path, ship, spread_join
 
 END = "\r\n\r\n"
 #: Date of capture 0; capture n is n seconds later.
@@ -87,7 +87,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     pages = pages.withColumn("hash", F.sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
     newest = pages.where(f"size >= {MIN_REVISIT}").groupBy("hash").agg(F.max("page_id").alias("newest"), F.count("page_id").alias("n")).where("n > 1")
     newest = materialize(newest.select("hash", "newest"), "newest")
-    rows = pages.join(small(newest), "hash", "left")
+    rows = spread_join(pages, newest, "hash", F.col("page_id"), "left")
     rows = rows.withColumn("original", F.expr("if(page_id < newest, newest, null)")).select("page_id", "url", "html", "original")
     most = max(1, FILE_BYTES // max(1, int(pages.agg(F.avg("size")).first()[0] or 1)))
     rows.mapInArrow(_records, "value string").write.option("lineSep", END).option("maxRecordsPerFile", most).text(path)
