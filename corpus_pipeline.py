@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attestor.llm import line_dedup, minhash, packing, pii, quality_rules
+from attestor.llm import line_dedup, minhash, packing, pii, quality_rules, queries
 from attestor.llm.common import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,8 +33,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data become pseudonyms."""
-    return pii.pseudonymise(docs).select(*docs.columns)
+    """Personal data become pseudonyms, by the fixed key of the registered queries; a corpus of one's own takes a secret one."""
+    return pii.pseudonymise(docs, key=queries.KEY).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
