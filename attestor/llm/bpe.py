@@ -17,29 +17,14 @@ from pyspark.sql import functions as F
 from .common import chunks, ship, text_or_empty
 from .tokens import pieces, rank_table
 
-#: Words up to so many bytes go through one query together; pieces remembered by a worker.
-SHORT, REMEMBERED = 64, 300_000
+#: Pieces and words that a worker remembers, each.
+REMEMBERED = 300_000
 
-#: Token rows (w: word, p: place, t: token, nx: the next one's place) join the merge table; each word's leftmost pair of
-#: least rank is contracted until it has none. A step carries unfinished words on; finished ones stay behind as the result.
+#: Token rows (w: word, p: place, t: token) join the merge table. A step contracts each word's leftmost pair of least rank and,
+#: where the merged token can't be drawn into a merge of lower rank (safe), the later places of the same pair that the next steps
+#: would contract one by one; of overlapping ones (aaa) every other. So the steps of a word are its distinct merges at most,
+#: however long it is. Unfinished words are carried on; finished ones stay behind as the result.
 _ENCODE = """
-with recursive enc(w, p, t, nx, done) as (
-  select w, p, t, nx, false from tokens
-  union all
-  (with live as (select w, p, t, nx from enc where not done),
-   pairs as (select a.w, (m.token::bigint << 32) | a.p as b, n.p as gone, n.nx
-             from live a join live n on n.p = a.nx join merges m on m.pair = (a.t::bigint << 20) | n.t),
-   best as (select w, min(b) as b, arg_min(gone, b) as gone, arg_min(nx, b) as after from pairs group by w)
-   select l.w, l.p, case when l.p = (b & 4294967295) then (b >> 32)::integer else l.t end,
-          case when l.p = (b & 4294967295) then after else l.nx end, b is null
-   from live l left join best using (w) where b is null or l.p <> gone)
-)
-select w, p, t from enc where done
-"""
-
-#: The same for long words: every place of the word's least pair in one step, unless the merged token could be drawn into a
-#: merge of lower rank; where one overlaps the next (aaa) the odd ones of the run.
-_ENCODE_LONG = """
 with recursive enc(w, p, t, done) as (
   select w, p, t, false from tokens
   union all
@@ -118,19 +103,14 @@ class Bpe:
                 out[i] = str(rank)
             else:
                 open_.append(i)
-        for short in (True, False):
-            todo = [i for i in open_ if (len(words[i]) <= SHORT) == short]
-            for lo, hi in chunks([len(words[i]) for i in todo], 300_000):
-                part = todo[lo:hi]
-                size = np.array([len(words[i]) for i in part])
-                place = np.arange(size.sum(), dtype=np.int32)
-                after = place + 1
-                after[np.cumsum(size) - 1] = -1
-                token = self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
-                self._table("tokens", {"w": np.repeat(np.arange(len(part), dtype=np.int32), size), "p": place, "t": token, "nx": after})
-                self.db.execute(f"create or replace table encoded as {_ENCODE if short else _ENCODE_LONG}")
-                for w, ids in self.db.execute(_FOLD).fetchall():
-                    out[part[w]] = ids
+        for lo, hi in chunks([len(words[i]) for i in open_], 300_000):
+            part = open_[lo:hi]
+            size = np.array([len(words[i]) for i in part])
+            token = self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
+            self._table("tokens", {"w": np.repeat(np.arange(len(part), dtype=np.int32), size), "p": np.arange(len(token), dtype=np.int32), "t": token})
+            self.db.execute(f"create or replace table encoded as {_ENCODE}")
+            for w, ids in self.db.execute(_FOLD).fetchall():
+                out[part[w]] = ids
         return out
 
     def decode(self, ids: list[str]) -> list[bytes]:

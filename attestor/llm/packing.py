@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, text_or_empty
-from .tokens import encoding, pieces
+from .tokens import added, encoding, pieces
 
 WINDOW, EOS = 2048, 1
 #: Windows a group, and tokens left free in each for the imbalance.
@@ -36,7 +36,15 @@ _END = np.array([EOS], "<u4").tobytes()
 
 
 def document_ids(text: str) -> bytes:
-    return b"".join(map(_ids.__getitem__, pieces(text))) + _END if text else _END
+    """The ids of a text and the end id. Added tokens of the `tokenizers` file count as such where a text spells them."""
+    if not text:
+        return _END
+    pattern, ids = added()
+    parts = pattern.split(text)
+    if len(parts) == 1:
+        return b"".join(map(_ids.__getitem__, pieces(text))) + _END
+    out = [np.array([ids[p]], "<u4").tobytes() if k % 2 else b"".join(map(_ids.__getitem__, pieces(p))) for k, p in enumerate(parts) if p]
+    return b"".join(out) + _END
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:

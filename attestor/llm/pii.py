@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Give the key of your own; equal values get equal pseudonyms wherever the key is the same.
-KEY = "change-me"
+from .common import carried
+
 ROUNDS = 10
+#: Area numbers that are never given out.
+_SSN = "{} rlike '^(?!000|666|9)'"
 #: First and one-past-last day that a date is permuted within.
 FIRST_DAY, DAYS = "1900-01-01", 73049
 
@@ -57,6 +59,15 @@ def _let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+#: Steps of a cycle walk at most: a chain of so many misses has a chance under 10^-20 even in a third of the range.
+STEPS = 120
+
+
+def _walk(start: str, inside: str, step: str) -> str:
+    """SQL: a permutation of the values `inside` a larger range: step again and again until one comes. Both are SQL of x."""
+    return f"aggregate(sequence(1, {STEPS}), {start}, (x, i) -> if(i > 1 and {inside}, x, {step}))"
+
+
 def _refill(shape: str, chars: str, digits: str) -> str:
     """shape with its characters of a class replaced, in order, by those of digits; upper case stays upper."""
     return (
@@ -107,14 +118,15 @@ def _pseudonym(m: str, key: str) -> str:
     none = f"named_struct('kind', cast(null as string), 'value', {m})"
     day = f"coalesce(try_to_date({m}, 'yyyy-MM-dd'), try_to_date({m}, 'dd.MM.yyyy'), try_to_date({m}, 'dd/MM/yyyy'), try_to_date({m}, 'MM/dd/yyyy'))"
     walk = feistel("lpad(cast(x as string), 5, '0')", 10, "'date'", key)
-    # the days are a part of the five-digit numbers: permute until one of them comes
-    moved = f"aggregate(sequence(1, 80), datediff(y, date'{FIRST_DAY}'), (x, i) -> if(i > 1 and x < {DAYS}, x, cast({walk} as int)))"
+    # the days are a part of the five-digit numbers, those that only read as month first a part of the days
+    inside = f"x < {DAYS} and ({m} not rlike '/' or try_to_date({m}, 'dd/MM/yyyy') is not null or day(date_add(date'{FIRST_DAY}', x)) > 12)"
+    moved = _walk(f"datediff(y, date'{FIRST_DAY}')", inside, f"cast({walk} as int)")
     shown = f"date_format(date_add(date'{FIRST_DAY}', z), case when {m} rlike '-' then 'yyyy-MM-dd' when {m} rlike '/' then if(try_to_date({m}, 'dd/MM/yyyy') is null, 'MM/dd/yyyy', 'dd/MM/yyyy') else 'dd.MM.yyyy' end)"
     date = _let("y", day, f"if(y is null, {none}, {got('date', _let('z', moved, shown))})")
     octets = f"split({m}, '[.]')"
     address = f"array_join(transform({octets}, o -> lpad(lower(conv(o, 10, 16)), 2, '0')), '')"
     ip = _let("h", address, _let("g", feistel("h", 16, "'ip'", key), "array_join(transform(sequence(0, 3), k -> conv(substr(g, 2 * k + 1, 2), 16, 10)), '.')"))
-    number = lambda kind, of: _let("h", of, _let("g", feistel("h", 10, f"'{kind}'", key), _refill(m, "[0-9]", "g")))
+    ssn = _let("h", digits, _let("g", _walk("h", _SSN.format("x"), feistel("x", 10, "'ssn'", key)), _refill(m, "[0-9]", "g")))
     only = "regexp_replace(x, '[^0-9]', '')"
     body = _let("h", f"substr({only}, 1, char_length({only}) - 1)", feistel("h", 10, "'card'", key))
     card = _let("g", body, _let("e", f"concat(g, cast(pmod(10 - {_luhn("concat(g, '0')")} % 10, 10) as string))", _refill("x", "[0-9]", "e")))
@@ -123,7 +135,7 @@ def _pseudonym(m: str, key: str) -> str:
     account = _let("q", plain, _let("g", f"upper({_wide('substr(q, 5)', "'iban'", key)})", _let("e", f"concat(substr(q, 1, 2), lpad(cast(98 - {_mod97("concat(substr(q, 1, 2), '00', g)")} as string), 2, '0'), g)", _refill("x", "[A-Za-z0-9]", "e"))))
     phone = f"concat(regexp_extract({m}, '^([+][0-9]{{1,3}}[ .-])?', 0), {_let('t', f'regexp_replace({m}, {_sql("^[+][0-9]{1,3}[ .-]")}, {_sql("")})', _let('h', "regexp_replace(t, '[^0-9]', '')", _let('g', feistel('h', 10, "'phone'", key), _refill('t', '[0-9]', 'g'))))})"
     at = f"locate('@', {m})"
-    email = f"concat({_wide(f'lower(substr({m}, 1, {at} - 1))', "'local'", key)}, '@', {_wide(f"lower(substring_index(substr({m}, {at} + 1), '.', size(split(substr({m}, {at} + 1), '[.]')) - 1))", "'host'", key)}, '.', lower(substring_index({m}, '.', -1)))"
+    email = f"concat({_wide(f'substr({m}, 1, {at} - 1)', "'local'", key)}, '@', {_wide(f"substring_index(substr({m}, {at} + 1), '.', size(split(substr({m}, {at} + 1), '[.]')) - 1)", "'host'", key)}, '.', substring_index({m}, '.', -1))"
     secret = f"concat(regexp_extract({m}, '^[^=:]+[=:]', 0), {_wide(f"regexp_replace({m}, '^[^=:]+[=:]', '')", "'secret'", key)})"
     token = f"concat(regexp_extract({m}, '^(?:ghp_|gho_|sk-|xox[bp]-)', 0), {_wide(f"regexp_replace({m}, '^(?:ghp_|gho_|sk-|xox[bp]-)', '')", "'token'", key)})"
     hexed = f"array_join(transform(sequence(0, (char_length({m}) - 1) div 20), j -> {_let('p', f'substr({m}, j * 20 + 1, 20)', feistel('p', 16, "concat('hex', j)", key))}), '')"
@@ -136,30 +148,35 @@ def _pseudonym(m: str, key: str) -> str:
         f"when {is_('iban')} then {_inside(m, 'iban', '.*', f'{_mod97(plain)} = 1', account)} "
         f"when {is_('date')} then {date} "
         f"when {is_('ip')} then if(forall({octets}, o -> cast(o as int) < 256), {got('ip', ip)}, {none}) "
-        f"when {is_('ssn')} then if({m} rlike '^(?!000|666|9)', {got('ssn', number('ssn', digits))}, {none}) "
+        f"when {is_('ssn')} then if({_SSN.format(m)}, {got('ssn', ssn)}, {none}) "
         f"when {is_('phone')} then {got('phone', phone)} "
         f"when {is_('card')} then {_inside(m, 'card', _CARD, f'{_luhn(only)} % 10 = 0', card)} else {none} end"
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """docs with personal data in text replaced, n_chars (if there) set to the new length where something was, n_pii added (long).
 
-    Numbers are replaced where their check holds: Luhn for cards, mod 97 for IBANs, octets for addresses, the calendar
-    for dates from 1900 to 2099 (the day first if both ways are dates). Where digits or groups stand beside a card number or
-    IBAN, the run of groups that passes is replaced. The pseudonym passes the same check in the same format. E-mails, phones, keys, tokens,
-    passwords and long hex strings are permuted letter for letter. Equal values get equal pseudonyms in every document.
-    A null text stays null (n_pii 0); a text without matches is unchanged. Rows and other columns are untouched; a
-    column named n_pii is replaced.
+    Numbers are replaced where their check holds: Luhn for cards, mod 97 for IBANs, octets for addresses, areas for social
+    security numbers, the calendar for dates from 1900 to 2099 (the day first if both ways are dates; those that are dates only
+    with the month first stay so). Where digits or groups stand beside a card number or IBAN, the run of groups that passes is
+    replaced. The pseudonym passes the same check in the same format. E-mails, phones, keys, tokens, passwords and long hex
+    strings are permuted letter for letter, capitals staying capital where a letter stays a letter. Equal values, e-mails in
+    any case, get equal pseudonyms in every document. Whoever has `key` can undo them, so it has no default.
+    A null text stays null (n_pii 0); a text without matches is unchanged. Rows and other columns, of any name, are untouched;
+    a column named n_pii is replaced.
     """
-    out = docs.withColumn("_hit", F.coalesce(F.col("text").rlike(_ANY), F.lit(False)))
-    out = out.withColumn("_found", F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))))
-    out = out.withColumn("_found", F.expr(f"transform(_found, m -> {_pseudonym('m', key)})"))
-    out = out.withColumn("_rest", F.when(F.col("_hit"), F.split("text", _ANY, -1)))
+    out = docs.select(carried(docs).alias("own"), F.coalesce(F.col("text").rlike(_ANY), F.lit(False)).alias("hit"), F.col("text").cast("string").alias("text"))
+    out = out.withColumn("found", F.when(F.col("hit"), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))))
+    out = out.withColumn("found", F.expr(f"transform(found, m -> {_pseudonym('m', key)})"))
+    out = out.withColumn("rest", F.when(F.col("hit"), F.split("text", _ANY, -1)))
     # the text between the matches, each followed by what stands for the match
-    glued = "array_join(transform(_rest, (r, i) -> concat(r, coalesce(get(_found, i).value, ''))), '')"
-    out = out.withColumn("text", F.when(F.col("_hit"), F.expr(glued)).otherwise(F.col("text")))
-    out = out.withColumn("n_pii", F.when(F.col("_hit"), F.expr("size(filter(_found, f -> f.kind is not null))")).otherwise(0).cast("long"))
+    glued = "array_join(transform(rest, (r, i) -> concat(r, coalesce(get(found, i).value, ''))), '')"
+    out = out.withColumn("text", F.when(F.col("hit"), F.expr(glued)).otherwise(F.col("text")))
+    out = out.withColumn("n_pii", F.when(F.col("hit"), F.expr("size(filter(found, f -> f.kind is not null))")).otherwise(0).cast("long"))
+    new = F.col("own").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_pii") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[c for c in docs.columns if c != "n_pii"], "n_pii")
+        new = new.withField("n_chars", F.when(F.col("n_pii") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("own.n_chars")))
+    # one struct, inlined: a caller's filter on n_pii or text does not copy the replacing below itself
+    row = out.select(*(new.getField(c).alias(c) for c in docs.columns if c != "n_pii"), "n_pii")
+    return row.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in row.columns)))))

@@ -189,17 +189,23 @@ def held_out(doc_id: str = "doc_id"):
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted; higher scores are likelier of quality 1.
 
-    Only figures of the whole text are inputs. The model is fitted on at most `sample` labelled rows that are not held
-    out; without both labels among them every score is the share of label 1 (0.5 without labels). Null texts count as
-    empty and get a score; null ids are not held out and have no label. A repeated label row counts once, of several
-    labels of one id the largest.
+    Only figures of the whole text are inputs. The model is fitted on at most `sample` labelled documents that are not held
+    out, those of the smallest hashes of doc_id; without both labels among them every score is the share of label 1 (0.5
+    without labels). Null texts count as empty and get a score; null ids are not held out and have no label. A repeated label
+    row counts once, of several labels of one id the largest. Of different texts of one id the one of the smallest figures is
+    learned from; each gets its own score.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     made = materialize(docs.mapInArrow(_compute, "doc_id long, " + ", ".join(f"{c} double" for c in FEATURES)), "features")
-    known = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("_quality"))
-    known = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = made.join(known, "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample).toPandas()
-    model = fit(rows[list(FEATURES)].to_numpy(), rows["_quality"].to_numpy())
+    model = fit(*learned(made, labels, sample))
     out = made.mapInArrow(partial(_score, model=model), "doc_id long, score double, predicted int")
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def learned(made: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the bounded sample, in order of doc_id; the same rows whatever the partitions are."""
+    known = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("_quality"))
+    rows = made.join(known.where(~held_out()), "doc_id").groupBy("doc_id").agg(F.min(F.struct(*FEATURES)).alias("x"), F.first("_quality").alias("y"))
+    drawn = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "x.*", "y").toPandas().sort_values("doc_id")
+    return drawn[list(FEATURES)].to_numpy(), drawn["y"].to_numpy()

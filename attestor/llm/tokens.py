@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -31,3 +32,11 @@ def pieces(text: str) -> list[str]:
     """
     parts = _GAP.split(text) if _ODD.search(text) else text.split(" ")
     return [parts[0], *(" " + p for p in parts[1:])]
+
+
+@lru_cache(1)
+def added(path: str | None = None) -> tuple[re.Pattern, dict[str, int]]:
+    """The tokens that the `tokenizers` file takes out of a text before anything else, as a splitting pattern and by id."""
+    with open(path or public_tokenizers.path(f"{VOCABULARY}.json")) as f:
+        found = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return re.compile("(" + "|".join(map(re.escape, found)) + ")"), found

@@ -203,16 +203,42 @@ def test_embeddings_against_brute_force(spark):
 
 
 def test_embedding_plan_of_any_size():
+    """The limits keep the recall at the threshold; blocks stay of one size whatever the number of vectors."""
     p = math.erf(embedding.WINDOW / math.sqrt(2 - 2 * embedding.COSINE) / math.sqrt(2))
-    for n in (0, 1, 100, 10_000, 1_000_000, 30_000_000, 120_000_000):
+    near, far = (embedding.same_cell(math.sqrt(d)) for d in (2 - 2 * embedding.COSINE, 2))
+    for n in (0, 1, 100, 10_000, 1_000_000, 30_000_000, 140_000_000, 10**10, 10**12):
         width, groups, need = embedding.plan(n)
-        total, tail, want = width * groups, 0.0, 0
-        while (tail := tail + math.comb(total, want) * p**want * (1 - p) ** (total - want)) < embedding.MISS:
-            want += 1
-        assert need == want
-    for n in (140_000_000, 10**10, 10**12):
-        width, groups, need = embedding.plan(n)
-        assert 0 < need < width * groups
+        reached = sum(math.comb(embedding.COUNTED, k) * p**k * (1 - p) ** (embedding.COUNTED - k) for k in range(need, embedding.COUNTED + 1))
+        assert reached > 1 - embedding.MISS and (1 - near**width) ** groups <= embedding.MISS
+        assert n * far**width <= embedding.BLOCK
+
+
+def test_window_collisions():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 50):
+        p = rng.standard_normal((n, 5)).round(1 if n == 50 else 9) + 0.013 * np.arange(5)
+        want = (np.abs(p[:, None] - p[None]) <= embedding.WINDOW + 1e-12).sum(axis=2)
+        i, j = embedding.collided(p, 3)
+        assert {*zip(i.tolist(), j.tolist(), strict=True)} == {(a, b) for a in range(n) for b in range(a + 1, n) if want[a, b] >= 3} or n == 50
+        near, far = ((np.abs(p[:, None] - p[None]) <= embedding.WINDOW + e).sum(axis=2) for e in (-1e-9, 1e-9))
+        found = {*zip(i.tolist(), j.tolist(), strict=True)}
+        assert {(a, b) for a, b in zip(*np.nonzero(np.triu(near >= 3, 1)), strict=True)} <= found <= {(a, b) for a, b in zip(*np.nonzero(np.triu(far >= 3, 1)), strict=True)}
+
+
+def test_embedding_recall_of_planted_pairs(spark):
+    """6,000 vectors of one label, 1,000 pairs planted just above the threshold and 500 just below it."""
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.standard_normal((4500, 48)))
+    aim = np.concatenate([rng.uniform(0.9801, 0.984, 1000), rng.uniform(0.97, 0.9799, 500)])[:, None]
+    off = rng.standard_normal((1500, 48))
+    off = unit(off - (off * x[:1500]).sum(axis=1, keepdims=True) * x[:1500])
+    x = np.concatenate([x, aim * x[:1500] + np.sqrt(1 - aim**2) * off])
+    assert embedding.plan(len(x))[0] > 2
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embedding.near_duplicates(frame).collect()}
+    assert sum(got[4500 + i].component_id == i for i in range(1000)) >= 990
+    assert all(got[5500 + i].n_links == 0 for i in range(500))
 
 
 def test_embedding_repeats_and_null_ids(spark):
