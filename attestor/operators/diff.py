@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..schemas import NOT_CHECKED
+from ..shared import stored
 
 #: field -> change type, by how a field is compared. Fixed values.
 ADDED = {"job_posting": "new_job", "role": "new_role", "social_profile": "new_social_profile", "workplace": "new_location", "site_location": "new_location", "news_item": "new_news", "registry_update": "new_registry_update"}
@@ -40,7 +41,7 @@ def claim_key(value: Column) -> Column:
         .when(j("platform").isNotNull(), X.canonical(j("platform")))
         .when(j("date").isNotNull() & j("change_type").isNotNull(), F.concat_ws("|", j("date"), j("change_type")))
         .when(j("name").isNotNull(), X.canonical(j("name")))
-        .otherwise(F.coalesce(value, F.lit("")))
+        .otherwise(X.sorted_object(value))
     )
 
 
@@ -56,37 +57,46 @@ def _new_items(cur: Column, prev: Column) -> Column:
     return F.array_except(parse(cur), parse(prev))
 
 
+_OPTIONAL = {"evidence_ids": "array<string>", "run_started": "string", "run_completed": "string"}
+
+
 def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Changes between claims(entity_id, ord, field, section, value, availability, reporting_period, note, source, observed).
 
-    ord is the claim's place in its document, observed when its evidence was read (text). Entities without any earlier
-    claim are a baseline and give none. Columns: entity_id, field, change_type, materiality, previous_value,
-    current_value, first_observed.
+    ord is the claim's place in its document, observed when its evidence was read (text). evidence_ids (array), run_started and
+    run_completed (text, of the claim's run) may be there too. Entities without any earlier claim are a baseline and give none.
+    Columns: entity_id, field, change_type, materiality, previous_value, current_value, first_observed (of the earlier claim,
+    else of the later one; its evidence's, else its run's start), last_observed (the later run's end), evidence_ids and
+    previous_evidence_ids. Two tables are written on the way: one row a claim key with both sides, one row a field.
     """
     cols = ["entity_id", "ord", "field", "section", "value", "availability", "reporting_period", "note", "source", "observed"]
-    both = prev.select(*cols, F.lit("p").alias("side")).unionByName(cur.select(*cols, F.lit("c").alias("side")))
-    both = both.withColumn("value", F.coalesce("value", F.lit("")))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        more = [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in _OPTIONAL.items()]
+        return df.select(*cols, *more, F.lit(name).alias("side"))
+
+    both = side(prev, "p").unionByName(side(cur, "c")).withColumn("value", F.coalesce("value", F.lit("")))
     ok = F.col("availability") == "available"
-    both = both.withColumn("key", F.when(ok, F.coalesce(claim_key(F.col("value")), F.lit(""))))
-    known = prev.select("entity_id").distinct()
-    both = both.join(known, "entity_id", "left_semi")
-    # one row a field: its state and first claim on either side
-    st = lambda s: F.max(F.when((F.col("side") == s) & ok, F.lit("available")))
-    claim = F.struct("ord", "availability", "section", "note", "value", "reporting_period", "observed")
-    first = lambda s, c: F.min(F.when((F.col("side") == s) & c, claim))
-    every = F.lit(True)
     family = F.when(F.col("source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("source"))
-    fields = both.groupBy("entity_id", "field").agg(
-        st("p").alias("p_ok"), st("c").alias("c_ok"), first("p", every).alias("p"), first("c", every).alias("c"), first("p", ok).alias("pa"), first("c", ok).alias("ca"),
-        F.collect_set(F.when((F.col("side") == "c") & ok, family)).alias("sources"),
-    )
-    fields = fields.withColumns({"ps": F.coalesce("p_ok", "p.availability"), "cs": F.coalesce("c_ok", "c.availability"), "section": F.coalesce("c.section", "p.section")})
+    claim = F.struct("ord", "availability", "section", "note", "value", "reporting_period", F.coalesce("observed", "run_started").alias("observed"), F.coalesce("evidence_ids", F.array().cast("array<string>")).alias("evidence_ids"), "run_completed", family.alias("family"))
+    both = both.select("entity_id", "field", F.when(ok, F.coalesce(claim_key(F.col("value")), F.lit(""))).alias("key"), F.when(F.col("side") == "p", claim).alias("p"), F.when(F.col("side") == "c", claim).alias("c"))
+    # one row a key, combined before the shuffle and spread by key: an entity with many items is not one task's work
+    items = stored(both.groupBy("entity_id", "field", "key").agg(F.min("p").alias("p"), F.min("c").alias("c")), "diff-items")
+    # one row a field: its first claim and its first available one on either side
+    live_ = F.col("key").isNotNull()
+    fields = items.groupBy("entity_id", "field").agg(
+        F.min("p").alias("p"), F.min("c").alias("c"), F.min(F.when(live_, F.col("p"))).alias("pa"), F.min(F.when(live_, F.col("c"))).alias("ca"), F.collect_set(F.when(live_, F.col("c.family"))).alias("sources")
+    )
+    state = lambda first, available: F.when(F.col(available).isNotNull(), F.lit("available")).otherwise(F.col(f"{first}.availability"))
+    fields = fields.withColumns({"ps": state("p", "pa"), "cs": state("c", "ca"), "section": F.coalesce("c.section", "p.section")})
     f, live = F.col("field"), (F.col("ps") == "available") & (F.col("cs") == "available")
     moved = ~F.col("pa.reporting_period").eqNullSafe(F.col("ca.reporting_period"))
-    more = F.size(_new_items(F.col("ca.value"), F.col("pa.value"))) > 0
+    fresh = _new_items(F.col("ca.value"), F.col("pa.value"))
+    more = F.size(fresh) > 0
     # Fields whose period advances, in a fixed order; an entity tells the first of them
     order = F.array_position(F.array(*map(F.lit, (*FILINGS, *sorted(MONEY)))), f).cast("int")
-    advanced = F.when(f.isin("accounts_history", "accounts_filing_years"), more).otherwise(F.lit(True))
+    listed = f.isin("accounts_history", "accounts_filing_years")
+    advanced = F.when(listed, more).otherwise(F.lit(True))
     advanced &= F.coalesce(_newest_end(F.col("ca.value")), F.lit("")) > F.coalesce(_newest_end(F.col("pa.value")), F.lit(""))
     filed = F.coalesce(live & ((f.isin(*FILINGS) & advanced) | (f.isin(*MONEY) & moved)), F.lit(False))
     # Single values
@@ -96,50 +106,57 @@ def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
         .when(f == "official_website", F.when(claim_key(F.col("pa.value")) != claim_key(F.col("ca.value")), F.lit("changed_website")))
         .when(f.isin(*MONEY), F.when(~moved & (F.col("pa.value") != F.col("ca.value")), F.lit("changed_financials")))
     )
-    fields = fields.withColumns({"filed": F.when(filed, order), "kind": F.when(live, kind), "more": F.coalesce(more, F.lit(False))})
+    fields = stored(fields.withColumns({"filed": F.when(filed, order), "kind": F.when(live, kind), "fresh": fresh}), "diff-fields")
     # one row an entity: what its fields decide together
     entity = fields.groupBy("entity_id").agg(
         F.min("filed").alias("first_filed"),
         F.coalesce(F.bool_or(F.col("kind") == "changed_name"), F.lit(False)).alias("renamed"),
         F.coalesce(F.bool_or((f == "active_job_count") & (F.col("cs") == "available")), F.lit(False)).alias("counted"),
+        F.bool_or(F.col("p").isNotNull()).alias("known"),
+        F.max("c.run_completed").alias("last_observed"),
     )
-    fields = fields.join(entity, "entity_id")
-    c_ok, gone = F.col("cs") == "available", F.col("ps") != "available"
+    fields = fields.join(entity.where("known"), "entity_id")
+    c_ok, gone, more = F.col("cs") == "available", F.col("ps") != "available", F.size("fresh") > 0
     site = (f == "official_website") & c_ok & F.col("pa").isNull()
-    names = (f == "former_names") & c_ok & F.col("more") & ~F.col("renamed")
+    names = (f == "former_names") & c_ok & more & ~F.col("renamed")
     skipped = F.coalesce(F.col("c.note").startswith(NOT_CHECKED), F.lit(False))
     # a field that had nothing before has only new items now, so its gain is told by them
     gained = c_ok & gone & ~f.isin(*FILINGS) & ~site & ~names & ~(f.isin(*ADDED) & F.col("ca").isNotNull())
-    null = F.lit(None).cast("string")
-    seen = F.coalesce("pa.observed", "ca.observed")
-
-    def told(when: Column, kind: Column, before: Column, after: Column, observed: Column) -> Column:
-        return F.when(F.coalesce(when, F.lit(False)), F.struct(kind.alias("change_type"), before.alias("previous_value"), after.alias("current_value"), observed.alias("first_observed")))
+    null, empty = F.lit(None).cast("string"), F.array().cast("array<string>")
+
+    def told(when: Column, kind: Column, before: Column, after: Column, old: str | None, new: str | None) -> Column:
+        ids = lambda c: F.coalesce(F.col(f"{c}.evidence_ids"), empty) if c else empty
+        seen = F.coalesce(*(F.col(f"{c}.observed") for c in (old, new) if c), F.col("last_observed"))
+        return F.when(
+            F.coalesce(when, F.lit(False)),
+            F.struct(kind.alias("change_type"), before.alias("previous_value"), after.alias("current_value"), seen.alias("first_observed"), ids(new).alias("evidence_ids"), ids(old).alias("previous_evidence_ids")),
+        )
 
     pv, cv = F.col("pa.value"), F.col("ca.value")
+    money = lambda c: F.when(f.isin(*MONEY), F.to_json(F.struct(F.col(f"{c}.reporting_period").alias("reporting_period"), F.col(f"{c}.value").alias("value")))).otherwise(F.col(f"{c}.value"))
+    listed_now = F.when(listed, F.to_json(F.struct(F.col("fresh").alias("new_periods")))).otherwise(money("ca"))
     said = F.array_compact(
         F.array(
-            told(F.col("filed") == F.col("first_filed"), F.lit("new_filing"), pv, cv, seen),
-            told(F.col("kind").isNotNull(), F.col("kind"), pv, cv, seen),
-            told(site, F.lit("new_website"), null, cv, F.col("ca.observed")),
-            told(names, F.lit("changed_name"), pv, cv, seen),
+            told(F.col("filed") == F.col("first_filed"), F.lit("new_filing"), money("pa"), listed_now, "pa", "ca"),
+            told(F.col("kind").isNotNull(), F.col("kind"), pv, cv, "pa", "ca"),
+            told(site, F.lit("new_website"), null, cv, None, "ca"),
+            told(names, F.lit("changed_name"), pv, F.to_json(F.struct(F.col("fresh").alias("former_names_added"))), "pa", "ca"),
             # Availability lost, or gained without another change of the field
-            told((F.col("ps") == "available") & (F.col("cs") != "available") & ~skipped, F.lit("availability_changed"), F.col("ps"), F.col("cs"), F.coalesce("p.observed", "c.observed")),
-            told(gained, F.lit("availability_changed"), F.col("ps"), F.col("cs"), F.coalesce("p.observed", "c.observed")),
+            told((F.col("ps") == "available") & (F.col("cs") != "available") & ~skipped, F.lit("availability_changed"), F.col("ps"), F.col("cs"), "p", "c"),
+            told(gained, F.lit("availability_changed"), F.col("ps"), F.col("cs"), "p", "c"),
         )
     )
-    single = fields.select("entity_id", "field", "section", F.explode(said).alias("t")).select("entity_id", "field", "section", "t.*")
-    # Items of lists, both sides of a key in one aggregate
-    side = lambda s: F.min(F.when(F.col("side") == s, F.struct("ord", "section", "value", family.alias("family"), "observed")))
-    items = both.where(ok & f.isin(*ADDED)).groupBy("entity_id", "field", "key").agg(side("p").alias("pv"), side("c").alias("cv")).where("pv is null or cv is null")
-    items = items.join(fields.where(c_ok & f.isin(*ADDED)).select("entity_id", "field", "sources", "counted"), ["entity_id", "field"])
-    source = F.col("pv.family")
+    single = fields.select("entity_id", "field", "section", "last_observed", F.explode(said).alias("t")).select("entity_id", "field", "section", "t.*", "last_observed")
+    # Items of lists that only one side has
+    lone = items.where(live_ & f.isin(*ADDED) & (F.col("p").isNull() | F.col("c").isNull()))
+    lone = lone.join(fields.where(c_ok & f.isin(*ADDED)).select("entity_id", "field", "sources", "counted", "last_observed"), ["entity_id", "field"])
+    source = F.col("p.family")
     vouched = source.isNull() | F.array_contains("sources", source) | ((f == "job_posting") & (source == "nav") & F.col("counted"))
-    kind = F.when(F.col("pv").isNull(), _lookup(ADDED, f)).when(vouched & f.isin(*REMOVED), _lookup(REMOVED, f))
-    items = items.select("entity_id", "field", F.coalesce("cv.section", "pv.section").alias("section"), kind.alias("change_type"), F.col("pv.value").alias("previous_value"), F.col("cv.value").alias("current_value"), F.coalesce("pv.observed", "cv.observed").alias("first_observed"))
-    out = single.union(items.where("change_type is not null"))
+    kind = F.when(F.col("p").isNull(), _lookup(ADDED, f)).when(vouched & f.isin(*REMOVED), _lookup(REMOVED, f))
+    lone = lone.select("entity_id", "field", F.coalesce("c.section", "p.section").alias("section"), "last_observed", told(kind.isNotNull(), kind, F.col("p.value"), F.col("c.value"), "p", "c").alias("t"))
+    out = single.unionByName(lone.where("t is not null").select("entity_id", "field", "section", "t.*", "last_observed"))
     material = F.col("change_type").isin(*MATERIAL) | ((F.col("change_type") == "availability_changed") & F.col("section").isin("web", "accounts"))
-    return out.select("entity_id", "field", "change_type", F.when(material, F.lit("material")).otherwise(F.lit("minor")).alias("materiality"), "previous_value", "current_value", "first_observed")
+    return out.select("entity_id", "field", "change_type", F.when(material, F.lit("material")).otherwise(F.lit("minor")).alias("materiality"), "previous_value", "current_value", "first_observed", "last_observed", "evidence_ids", "previous_evidence_ids")
 
 
 def changes_by_type(changes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -67,9 +68,10 @@ def name_candidates(entities: DataFrame, feed: DataFrame, top: int = 8, min_len:
 
 
 def exact_name_match(entities: DataFrame, ads: DataFrame) -> DataFrame:
-    """Active ads whose business or employer name equals the entity's, whole or less its last legal-form word; each uuid once."""
+    """Active ads whose business or employer name equals the entity's, whole or less its last legal-form word (of those
+    that ads know); each uuid once."""
     e = entities.select("entity_id", X.fold_words(F.col("name")).alias("n"))
-    e = e.select("entity_id", F.explode(F.array_distinct(F.array("n", X.without_form(F.col("n"))))).alias("k")).where("k <> ''")
+    e = e.select("entity_id", F.explode(F.array_distinct(F.array("n", X.without_form(F.col("n"), X.AD_LEGAL_FORMS)))).alias("k")).where("k <> ''")
     a = ads.where("status = 'ACTIVE'").select("uuid", F.explode(F.array(X.fold_words(F.col("business_name")), X.fold_words(F.col("employer_name")))).alias("k"))
     return e.join(a, "k").select("entity_id", "uuid").distinct()
 
@@ -93,15 +95,26 @@ def blocked_host(h: Column, dotted: Sequence[str], bare: Sequence[str]) -> Colum
     return out
 
 
+#: Entries without a dot at most: each is looked for inside every host, so they are settings, read by the driver.
+BARE_WORDS = 1000
+
+
 def host_blocklist(urls: DataFrame, blocklist: DataFrame, url: str = "url") -> DataFrame:
-    """J8 over a table blocklist(entry): every suffix of a host is looked up; entries without a dot match anywhere in it."""
-    rows = urls.withColumn("_h", X.host(F.col(url))).withColumn("_i", F.monotonically_increasing_id())
+    """J8 over a table blocklist(entry): every suffix of a host is looked up; entries without a dot match anywhere in it.
+
+    Entries with a dot may be any number, those without one BARE_WORDS at most.
+    """
+    bare = sorted(r[0] for r in blocklist.where("entry not like '%.%' and entry <> ''").select("entry").distinct().limit(BARE_WORDS + 1).collect())
+    if len(bare) > BARE_WORDS:
+        raise ValueError(f"more than {BARE_WORDS} entries without a dot")
+    one = urls.select(X.host(F.col(url)).alias("_h")).where("_h is not null").distinct()
     suffixes = F.expr("transform(sequence(1, size(split(_h, '[.]'))), i -> substring_index(_h, '.', -i))")
     dotted = blocklist.where("entry like '%.%'").select(F.col("entry").alias("_k")).distinct()
-    hit = rows.select("_i", F.explode(suffixes).alias("_k")).join(dotted, "_k").select("_i").distinct()
-    words = F.broadcast(blocklist.where("entry not like '%.%'").agg(F.array_join(F.collect_set(F.regexp_replace("entry", r"([^A-Za-z0-9])", r"\\$1")), "|").alias("_rx")))
-    rows = rows.join(hit, "_i", "left_anti").crossJoin(words)
-    return rows.where(F.expr("_rx = '' or not _h rlike _rx")).drop("_h", "_i", "_rx")
+    hit = one.select("_h", F.explode(suffixes).alias("_k")).join(dotted, "_k").select("_h").distinct()
+    rows = urls.withColumn("_h", X.host(F.col(url)))
+    if bare:
+        rows = rows.where(~F.coalesce(F.col("_h").rlike("|".join(re.escape(w) for w in bare)), F.lit(False)))
+    return rows.join(hit, "_h", "left_anti").drop("_h")
 
 
 def website_candidates(entities: DataFrame, blocked: Column | None = None) -> DataFrame:
@@ -195,15 +208,45 @@ def two_run_compare(a: DataFrame, b: DataFrame) -> DataFrame:
     return symmetric_difference(a.select(*cols), b.select(*cols))
 
 
+#: Routes of questions at most: a table of settings, read by the driver.
+ROUTES = 1000
+
+
 def question_router(questions: DataFrame, routes: DataFrame, claims: DataFrame, top: int = 12) -> DataFrame:
     """questions(question_id, entity_id, text) -> the first route(route_id, pattern, section, fields) by regex, and its claims.
 
-    Up to `top` available claims of the route's fields; a question without a route or a claim gets one row that says so.
+    Up to `top` available claims of the route's fields; a question without a route or a claim gets one row that says so. The
+    routes are settings: they become one expression over the questions, and more than ROUTES of them are refused.
     """
-    hit = questions.join(F.broadcast(routes), F.expr("lower(text) rlike pattern"))
-    hit = hit.groupBy("question_id").agg(F.min(F.struct("route_id", "section", "fields")).alias("r"))
-    q = questions.join(hit, "question_id", "left").select("question_id", "entity_id", "r.route_id", "r.section", F.explode_outer("r.fields").alias("field"))
+    known = routes.select("route_id", "pattern", "section", "fields").limit(ROUTES + 1).collect()
+    if len(known) > ROUTES:
+        raise ValueError(f"more than {ROUTES} routes")
+    kinds = {f.name: f.dataType for f in routes.schema.fields}
+    value = lambda r: F.struct(F.lit(r.route_id).cast(kinds["route_id"]).alias("route_id"), F.lit(r.section).cast("string").alias("section"), F.array(*map(F.lit, r.fields)).cast("array<string>").alias("fields"))
+    none = F.lit(None).cast(f"struct<route_id:{kinds['route_id'].simpleString()},section:string,fields:array<string>>")
+    first = none
+    for r in sorted(known, key=lambda r: r.route_id, reverse=True):
+        first = F.when(F.lower("text").rlike(r.pattern), value(r)).otherwise(first)
+    q = questions.select("question_id", "entity_id", first.alias("r")).select("question_id", "entity_id", "r.route_id", "r.section", F.explode_outer("r.fields").alias("field"))
     got = q.join(claims.where("availability = 'available'").select("entity_id", "section", "field", "claim_id", "value"), ["entity_id", "section", "field"], "left")
     got = got.withColumn("_none", F.col("claim_id").isNull().cast("int"))
     out = top_n_per_entity(got, ["question_id"], [F.col("_none"), F.col("field"), F.col("claim_id")], top).where("_none = 0 or rank = 1")
     return out.select("question_id", "entity_id", "route_id", F.when(F.col("_none") == 1, F.lit("not established")).otherwise(F.lit("answered")).alias("state"), "claim_id", "value")
+
+
+def registered_domains(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """X5 by a suffix table: hosts(host, ...) with `domain`, the label below the longest public suffix(suffix) and that suffix.
+
+    Entries are as in the public suffix list: plain, `*.` for any label below, `!` for an exception to it. A host under none
+    counts its last label as the suffix; a host that is a suffix itself, or has one label, has no domain (null). Every host is
+    looked up once, by its ends.
+    """
+    rules = suffixes.select(F.lower(F.trim("suffix")).alias("s")).where("s <> ''").distinct()
+    rules = rules.select(F.regexp_replace("s", r"^(?:!|\*\.)", "").alias("_end"), F.when(F.col("s").startswith("!"), F.lit(-1)).when(F.col("s").startswith("*."), F.lit(1)).otherwise(F.lit(0)).alias("more"))
+    one = hosts.select("host").where("host is not null").distinct().withColumn("_n", F.size(F.split("host", "[.]")))
+    ends = one.select("host", "_n", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("i")).withColumn("_end", F.expr("substring_index(host, '.', -i)"))
+    # labels of the suffix that a rule gives; an exception stands above all others and has one label less than its entry
+    hit = ends.join(rules, "_end").where("i + more <= _n").groupBy("host").agg(F.max(F.struct((F.col("more") == -1).alias("x"), (F.col("i") + F.col("more")).alias("k")))["k"].alias("k"))
+    found = one.join(hit, "host", "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    found = found.select("host", F.when(F.col("_n") > F.col("k"), F.expr("substring_index(host, '.', -(k + 1))")).alias("domain"))
+    return hosts.join(found, "host", "left")

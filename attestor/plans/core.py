@@ -10,7 +10,7 @@ from ..sources import io
 from .registry import query, table
 
 #: How event types stand for availability in the roll-up queries.
-_STATE = "case event_type when 'purchase' then 'available' when 'click' then 'ambiguous' when 'error' then 'failed' when 'view' then 'blocked' else 'not_available' end"
+_STATE = "case when event_type = 'purchase' and event_id % 40 = 0 then 'available' when event_type = 'click' and event_id % 30 = 0 then 'ambiguous' when event_type = 'view' and event_id % 20 = 0 then 'blocked' when user_id % 7 = 0 then 'failed' else 'not_available' end"
 _SECTION = "case user_id % 3 when 0 then 'identity' when 1 then 'hiring' else 'web' end"
 
 
@@ -93,13 +93,13 @@ def w10_hash_split(spark: SparkSession, d: str) -> DataFrame:
     return rank.hash_split(table(spark, d, "documents").select("doc_id"), "doc_id")
 
 
-_HALVES = "a as (select distinct user_id, event_type from events where day(ts) <= 15 and event_id % 9 = 0), b as (select distinct user_id, event_type from events where day(ts) > 15 and event_id % 9 = 1)"
+#: What users did in the two halves of months, in kinds fine enough for the halves to differ.
+_HALVES = "e as (select user_id, event_type || event_id % 40 as event_type, day(ts) <= 15 as early from events), a as (select distinct user_id, event_type from e where early), b as (select distinct user_id, event_type from e where not early)"
 
 
 def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = table(spark, d, "events")
-    halves = ("day(ts) <= 15 and event_id % 9 = 0", "day(ts) > 15 and event_id % 9 = 1")
-    return tuple(e.where(h).select("user_id", "event_type").distinct() for h in halves)
+    e = table(spark, d, "events").selectExpr("user_id", "concat(event_type, event_id % 40) as event_type", "day(ts) <= 15 as early")
+    return tuple(e.where(h).select("user_id", "event_type").distinct() for h in ("early", "not early"))
 
 
 @query(f"with {_HALVES} select source, count(*) as n from (select 'a' as source from a union all select 'b' from b) group by 1")
@@ -137,7 +137,7 @@ def _claims(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").selectExpr("user_id as entity_id", f"{_SECTION} as section", f"{_STATE} as availability", "event_id")
 
 
-_ROLLED = f"""c as (select user_id as entity_id, {_SECTION} as section, {_STATE} as availability from events where event_id % 5 < 2 and event_type <> 'purchase' or event_id % 40 = 0),
+_ROLLED = f"""c as (select user_id as entity_id, {_SECTION} as section, {_STATE} as availability from events),
   s as (select entity_id, section, min(list_position(['available', 'ambiguous', 'blocked', 'not_available', 'failed'], availability)) as r from c group by 1, 2),
   w as (select entity_id, unnest(['identity', 'hiring', 'web']) as section from (select distinct user_id as entity_id from events)),
   st as (select w.entity_id, w.section, coalesce(['available', 'ambiguous', 'blocked', 'not_available', 'failed'][r], 'not_available') as state from w left join s using (entity_id, section))"""
@@ -145,7 +145,7 @@ _ROLLED = f"""c as (select user_id as entity_id, {_SECTION} as section, {_STATE}
 
 def _states(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events")
-    some = rows.where("event_id % 5 < 2 and event_type <> 'purchase' or event_id % 40 = 0").selectExpr("user_id as entity_id", f"{_SECTION} as section", f"{_STATE} as availability")
+    some = rows.selectExpr("user_id as entity_id", f"{_SECTION} as section", f"{_STATE} as availability")
     return rollup.section_state(some, rows.select(F.col("user_id").alias("entity_id")).distinct(), ["identity", "hiring", "web"])
 
 
@@ -159,7 +159,7 @@ def a1_section_state(spark: SparkSession, d: str) -> DataFrame:
     select entity_id, section, case when section = 'hiring' and state = 'not_available' and entity_id in (select entity_id from f) then 'failed' else state end as state from st"""
 )
 def a2_hiring_override(spark: SparkSession, d: str) -> DataFrame:
-    counts = table(spark, d, "events").where("event_type = 'error' and event_id % 7 = 0").selectExpr("user_id as entity_id", "'active_job_count' as field", "'failed' as availability")
+    counts = table(spark, d, "events").selectExpr("user_id as entity_id", "if(event_type = 'error', 'active_job_count', 'job_posting') as field", "if(event_id % 7 = 0, 'failed', 'available') as availability")
     return rollup.hiring_override(_states(spark, d), counts)
 
 
@@ -194,7 +194,7 @@ def a5_run_report(spark: SparkSession, d: str) -> DataFrame:
 @query("select case when event_type in ('view', 'click') then 'web' else 'hiring' end as family, count(distinct user_id) as entities, count(*) as claims, round(count(distinct user_id) / (select count(distinct user_id) from events), 3) as coverage from events where event_id % 11 = 0 and event_type <> 'error' group by 1")
 def a6_coverage_score(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    rows = e.where("event_id % 11 = 0 and event_type <> 'error'").selectExpr("user_id as entity_id", "event_type as field", "'available' as availability")
+    rows = e.selectExpr("user_id as entity_id", "event_type as field", "if(event_id % 11 = 0 and event_type <> 'error', 'available', 'failed') as availability")
     families = e.select(F.col("event_type").alias("field")).distinct().withColumn("family", F.expr("if(field in ('view', 'click'), 'web', 'hiring')"))
     return rollup.coverage_score(rows, families, e.select("user_id").distinct().count())
 
@@ -290,13 +290,15 @@ def a16_batch_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """with p as (select user_id as entity_id, case when event_id % 5 = 0 then 'registry' else 'other' end as origin, case event_type when 'error' then 'unreachable' when 'view' then 'blocked' else 'unproven' end as outcome from events where event_id % 20 < 2),
+    """with p as (select user_id as entity_id, case when event_id % 5 = 0 and user_id % 5 < 4 then 'registry' else 'other' end as origin,
+      case user_id % 5 when 0 then 'unreachable' when 1 then case when event_type = 'view' then 'blocked' else 'unproven' end when 2 then case when event_id % 5 = 0 then 'unreachable' else 'unproven' end when 3 then 'unproven' else case when event_type = 'view' then 'unreachable' else 'unproven' end end as outcome from events),
     f as (select entity_id, bool_or(origin = 'registry' and outcome = 'blocked') as b, bool_or(origin = 'registry' and outcome = 'unreachable') as u, bool_or(origin = 'registry' and outcome = 'unproven') as p, bool_and(outcome = 'unreachable') as a from p group by 1)
     select entity_id, case when b then 'blocked' when u then 'failed' when p then 'ambiguous' when a then 'failed' else 'not_available' end as state,
       case when b then 'registry site blocked' when u then 'registry site unreachable' when p then 'registry site unproven' when a then 'no candidate reachable' else 'no candidate proven' end as reason from f"""
 )
 def a17_web_fallback_state(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "events").where("event_id % 20 < 2").selectExpr("user_id as entity_id", "if(event_id % 5 = 0, 'registry', 'other') as origin", "case event_type when 'error' then 'unreachable' when 'view' then 'blocked' else 'unproven' end as outcome")
+    outcome = "case user_id % 5 when 0 then 'unreachable' when 1 then if(event_type = 'view', 'blocked', 'unproven') when 2 then if(event_id % 5 = 0, 'unreachable', 'unproven') when 3 then 'unproven' else if(event_type = 'view', 'unreachable', 'unproven') end as outcome"
+    rows = table(spark, d, "events").selectExpr("user_id as entity_id", "if(event_id % 5 = 0 and user_id % 5 < 4, 'registry', 'other') as origin", outcome)
     return rollup.web_fallback_state(rows)
 
 

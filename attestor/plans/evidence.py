@@ -19,17 +19,17 @@ def j1_seed_enrich(spark: SparkSession, d: str) -> DataFrame:
 
 def _order_claims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """An order as a claim whose evidence are its line items; the first id given does not exist."""
-    o = table(spark, d, "orders").where("o_orderkey % 5 < 3")
-    claims = o.selectExpr("cast(o_custkey as string) as entity_id", "cast(o_orderkey as string) as claim_id", "if(o_orderkey % 5 = 0, array('gone'), if(o_orderkey % 5 = 1, array('gone', concat(o_orderkey, '-2'), concat(o_orderkey, '-1')), array())) as evidence_ids", "'available' as availability")
+    o = table(spark, d, "orders")
+    claims = o.selectExpr("cast(o_custkey as string) as entity_id", "cast(o_orderkey as string) as claim_id", "if(o_orderkey % 5 = 0, array('gone'), if(o_orderkey % 5 = 1, array('gone', concat(o_orderkey, '-2'), concat(o_orderkey, '-1')), if(o_orderkey % 5 = 2, array(), array(concat(o_orderkey, '-1'))))) as evidence_ids", "'available' as availability")
     li = table(spark, d, "lineitem").join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     ev = li.selectExpr("cast(o_custkey as string) as entity_id", "concat(l_orderkey, '-', l_linenumber) as evidence_id", "concat('part/', l_partkey) as source_url", "l_linestatus as source_class", "date_format(l_shipdate, 'yyyy-MM-dd') as retrieved_at", "l_returnflag as content_sha256", "cast(l_suppkey as string) as claim_span").dropDuplicates(["entity_id", "evidence_id"])
     return claims, ev
 
 
-_EV = "ev as (select o_custkey::varchar as entity_id, l_orderkey || '-' || l_linenumber as evidence_id, min('part/' || l_partkey) as source_url, count(*) as n from lineitem join orders on l_orderkey = o_orderkey where o_orderkey % 5 < 3 group by 1, 2)"
+_EV = "ev as (select o_custkey::varchar as entity_id, l_orderkey || '-' || l_linenumber as evidence_id, min('part/' || l_partkey) as source_url, count(*) as n from lineitem join orders on l_orderkey = o_orderkey group by 1, 2)"
 
 
-@query(f"with {_EV} select o_orderkey::varchar as claim_id, case when o_orderkey % 5 = 1 then coalesce(b.evidence_id, a.evidence_id) end as used from orders left join ev b on b.evidence_id = o_orderkey || '-2' left join ev a on a.evidence_id = o_orderkey || '-1' where o_orderkey % 5 < 3")
+@query(f"with {_EV} select o_orderkey::varchar as claim_id, case when o_orderkey % 5 = 1 then coalesce(b.evidence_id, a.evidence_id) when o_orderkey % 5 > 2 then a.evidence_id end as used from orders left join ev b on b.evidence_id = o_orderkey || '-2' left join ev a on a.evidence_id = o_orderkey || '-1'")
 def j2_attach_provenance(spark: SparkSession, d: str) -> DataFrame:
     claims, ev = _order_claims(spark, d)
     # the id itself rides in claim_span, so that the oracle can name the evidence that was used
@@ -37,7 +37,7 @@ def j2_attach_provenance(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""with {_EV}, r as (select o_orderkey::varchar as claim_id, unnest(case o_orderkey % 5 when 0 then ['gone'] when 1 then ['gone', o_orderkey || '-2', o_orderkey || '-1'] else [] end) as evidence_id from orders where o_orderkey % 5 < 3)
+    f"""with {_EV}, r as (select o_orderkey::varchar as claim_id, unnest(case o_orderkey % 5 when 0 then ['gone'] when 1 then ['gone', o_orderkey || '-2', o_orderkey || '-1'] when 2 then [] else [o_orderkey || '-1'] end) as evidence_id from orders)
     select claim_id, evidence_id, 'missing evidence' as problem from r where evidence_id not in (select evidence_id from ev) union all select o_orderkey::varchar, null, 'no evidence' from orders where o_orderkey % 5 = 2"""
 )
 def j3_orphan_refs(spark: SparkSession, d: str) -> DataFrame:
@@ -59,22 +59,24 @@ def j4_name_candidates(spark: SparkSession, d: str) -> DataFrame:
     return joins.name_candidates(entities, feed).select("entity_id", "uuid", F.col("rank").cast("long").alias("rank"))
 
 
-@query("select distinct e.p_name as entity_id, a.p_partkey as uuid from part e join part a on a.p_partkey % 3 > 0 and e.p_name = a.p_name")
+@query("select distinct e.p_name || f as entity_id, a.p_partkey as uuid from part e, (select unnest([' SE', ' BRL']) as f) join part a on a.p_partkey % 3 > 0 and e.p_name = a.p_name and (f = ' SE' or a.p_partkey % 5 = 0)")
 def j5_exact_name_match(spark: SparkSession, d: str) -> DataFrame:
+    """Names in capitals with Ø for o; SE is a form that ads leave out, BRL is none, so it has to be written."""
     p = table(spark, d, "part")
-    entities = p.select(F.col("p_name").alias("entity_id"), F.concat(F.upper("p_name"), F.lit(" AS")).alias("name")).distinct()
-    ads = p.select(F.col("p_partkey").alias("uuid"), F.expr("if(p_partkey % 3 = 0, 'INACTIVE', 'ACTIVE')").alias("status"), F.concat("p_name", F.lit(" AS")).alias("business_name"), F.col("p_name").alias("employer_name"))
+    name = F.upper(F.replace("p_name", F.lit("o"), F.lit("ø")))
+    entities = p.select(F.explode(F.array(*(F.struct(F.concat("p_name", F.lit(f)).alias("entity_id"), F.concat(name, F.lit(f)).alias("name")) for f in (" SE", " BRL")))).alias("e")).select("e.*").distinct()
+    ads = p.select(F.col("p_partkey").alias("uuid"), F.expr("if(p_partkey % 3 = 0, 'INACTIVE', 'ACTIVE')").alias("status"), F.concat("p_name", F.expr("if(p_partkey % 5 = 0, ', BRL', ' & co')")).alias("business_name"), F.col("p_name").alias("employer_name"))
     return joins.exact_name_match(entities, ads)
 
 
 def _confirmed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     s, li = table(spark, d, "supplier"), table(spark, d, "lineitem")
     keys = s.selectExpr("s_nationkey as entity_id", "cast(s_suppkey as string) as number", "true as via_subunit").union(s.selectExpr("s_nationkey", "concat('n', s_nationkey)", "false").distinct())
-    cands = li.where("l_linenumber = 1").selectExpr("cast(l_orderkey % 25 as int) as entity_id", "l_orderkey as uuid", "if(l_orderkey % 7 = 0, concat('n', l_orderkey % 25), cast(l_suppkey as string)) as number").dropDuplicates(["uuid"])
+    cands = li.selectExpr("cast(l_orderkey % 25 as int) as entity_id", "concat(l_orderkey, '-', l_linenumber) as uuid", "if(l_orderkey % 7 = 0, concat('n', l_orderkey % 25), cast(l_suppkey as string)) as number").distinct()
     return joins.confirm_by_id(cands, keys)
 
 
-_CAND = "c as (select distinct on (l_orderkey) l_orderkey % 25 as entity_id, l_orderkey as uuid, case when l_orderkey % 7 = 0 then 'n' || (l_orderkey % 25) else l_suppkey::varchar end as number from lineitem where l_linenumber = 1), k as (select s_nationkey as entity_id, s_suppkey::varchar as number, true as via_subunit from supplier union all select distinct s_nationkey, 'n' || s_nationkey, false from supplier)"
+_CAND = "c as (select distinct l_orderkey % 25 as entity_id, l_orderkey || '-' || l_linenumber as uuid, case when l_orderkey % 7 = 0 then 'n' || (l_orderkey % 25) else l_suppkey::varchar end as number from lineitem), k as (select s_nationkey as entity_id, s_suppkey::varchar as number, true as via_subunit from supplier union all select distinct s_nationkey, 'n' || s_nationkey, false from supplier)"
 
 
 @query(f"with {_CAND} select c.entity_id, uuid, number, via_subunit from c join k using (entity_id, number)")
@@ -90,13 +92,19 @@ def j6_rejected(spark: SparkSession, d: str) -> DataFrame:
 _HOST = "regexp_replace(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1), '^www\\.', '')"
 
 
+#: Names for pages in turn, and the domains that they suggest.
+_NAMES = ("Nordlys Hansen Bygg AS", "Holding Invest AS", "Åse Rør AS", "Fjell AS", "")
+_GUESSED = (("nordlyshansenbygg.no", "nordlys-hansen-bygg.no", "nordlys.no", "nordlyshansenbygg.com"), (), ("aseror.no", "ase-ror.no", "aseror.com", "ase-ror.com"), ("fjell.no", "fjell.com"), ())
+
+
 @query(
-    f"""with c as (select page_id as entity_id, unnest([{{'prio': 0, 'seq': 0, 'origin': 'registry', 'host': {_HOST}}}, {{'prio': 1, 'seq': 1, 'origin': 'email', 'host': 'mail' || page_id % 7 || '.example.com'}}]) as c from pages),
+    f"""with n as (select *, [{", ".join(f"[{', '.join(repr(g) for g in x)}]::varchar[]" for x in _GUESSED)}][page_id % 5 + 1] as guessed from pages),
+    c as (select page_id as entity_id, unnest([{{'prio': 0, 'seq': 0, 'origin': 'registry', 'host': {_HOST}}}, {{'prio': 1, 'seq': 1, 'origin': 'email', 'host': 'mail' || page_id % 7 || '.example.com'}}] || list_transform(guessed, lambda g, i: {{'prio': 2, 'seq': i::int + 1, 'origin': 'guess', 'host': g}})) as c from n),
     h as (select entity_id, c.prio as prio, c.seq as seq, c.origin as origin, c.host as host, array_to_string(list_slice(string_split(c.host, '.'), -2, -1), '.') as domain from c)
     select entity_id, domain, origin, 'https://' || host as url from (select *, row_number() over (partition by entity_id, domain order by prio, seq) as k from h) where k = 1"""
 )
 def j7_website_candidates(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "pages").selectExpr("page_id as entity_id", "'' as name", "url as website", "concat('x@mail', page_id % 7, '.example.com') as email")
+    e = table(spark, d, "pages").select(F.col("page_id").alias("entity_id"), F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("page_id") % 5 + 1).cast("int")).alias("name"), F.col("url").alias("website"), F.expr("concat('x@mail', page_id % 7, '.example.com')").alias("email"))
     return joins.website_candidates(e).select("entity_id", "domain", "origin", "url")
 
 
@@ -129,22 +137,29 @@ def j10_gold_join(spark: SparkSession, d: str) -> DataFrame:
     return joins.gold_join(pred, gold)
 
 
-@query("select item_id, count(d.doc_id) as documents from benchmark b left join documents d on contains(regexp_replace(d.text, '\\s+', '', 'g'), regexp_replace(b.text, '\\s+', '', 'g')) and d.doc_id % 40 = b.item_id group by 1")
-def j12_span_verify(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").selectExpr("doc_id", "sha2(concat(doc_id, text), 256) as sha256", "text as body", "text")
-    ev = table(spark, d, "benchmark").selectExpr("item_id", "text as claim_span").join(docs.selectExpr("doc_id", "sha256 as content_sha256"), F.expr("doc_id % 40 = item_id"), "left").withColumn("extraction_method", F.lit("m"))
-    out = joins.span_verify_join(ev, docs.select("sha256", "body", "text"))
-    return out.groupBy("item_id").agg(F.count(F.when(F.col("verdict") == "verbatim", 1)).alias("documents"))
+_SQUASHED = "b as (select item_id, regexp_replace(text, '\\s+', '', 'g') as b from benchmark), t as (select doc_id, regexp_replace(text, '\\s+', '', 'g') as t from documents)"
 
 
-@query()
-def j12_span_verify_all(spark: SparkSession, d: str) -> DataFrame:
-    """Each benchmark item against every document; SQL would need all pairs, so a test holds it against brute force."""
+def _verbatim(spark: SparkSession, d: str) -> DataFrame:
+    """(item_id, content_sha256) of each benchmark item and each document that it stands in."""
     docs = table(spark, d, "documents").selectExpr("sha2(concat(doc_id, text), 256) as sha256", "text as body", "text")
     items = table(spark, d, "benchmark").selectExpr("item_id", "text as claim_span")
     ev = joins.span_candidates(items, docs, "item_id").withColumn("extraction_method", F.lit("m"))
-    found = joins.span_verify_join(ev, docs).where("verdict = 'verbatim'").groupBy("item_id").agg(F.count("*").alias("documents"))
-    return items.join(found, "item_id", "left").select("item_id", F.coalesce("documents", F.lit(0)).alias("documents"))
+    return joins.span_verify_join(ev, docs).where("verdict = 'verbatim'").select("item_id", "content_sha256")
+
+
+@query(f"with {_SQUASHED} select item_id, doc_id from b join t on contains(t, b)")
+def j12_span_verify(spark: SparkSession, d: str) -> DataFrame:
+    """Each benchmark item against every document, found by shared windows, not by pairs."""
+    ids = table(spark, d, "documents").selectExpr("sha2(concat(doc_id, text), 256) as content_sha256", "doc_id")
+    return _verbatim(spark, d).join(ids, "content_sha256").select("item_id", "doc_id")
+
+
+@query(f"with {_SQUASHED} select item_id, count(doc_id) as documents from b left join t on contains(t, b) group by 1")
+def j12_span_verify_all(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents each benchmark item stands in."""
+    found = _verbatim(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"))
+    return table(spark, d, "benchmark").select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("documents", F.lit(0)).alias("documents"))
 
 
 _FACTS = "facts as (select o_custkey as entity_id, o_orderstatus as field, 'available' as availability, count(*)::varchar as value, half from (select *, 1 as half from orders where year(o_orderdate) <= 1999 union all select *, 2 from orders) group by 1, 2, half)"
@@ -169,14 +184,14 @@ def q6_determinism_report(spark: SparkSession, d: str) -> DataFrame:
 @query(
     """with q as (select conv_id || '-' || turn as question_id, conv_id % 150 as entity_id, lower(text) as t from conversations where role = 'user'),
     r as (select *, case when contains(t, 'tion') then 1 when contains(t, 'the') then 2 when contains(t, 'ung') then 3 end as route_id from q),
-    m as (select user_id as entity_id, event_type as field, event_id from events where event_id % 20 = 0),
+    m as (select user_id as entity_id, event_type as field, event_id from events),
     j as (select r.question_id, r.entity_id, r.route_id, m.event_id, m.field, row_number() over (partition by question_id order by m.field, m.event_id::varchar) as k from r left join m on m.entity_id = r.entity_id and m.field = case r.route_id when 1 then 'click' when 2 then 'view' when 3 then 'error' end)
     select question_id, entity_id, route_id, case when event_id is null then 'not established' else 'answered' end as state, event_id::varchar as claim_id from j where k <= 12"""
 )
 def j14_question_router(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "conversations").where("role = 'user'").selectExpr("concat(conv_id, '-', turn) as question_id", "conv_id % 150 as entity_id", "text")
     routes = spark.range(1, 4).selectExpr("id as route_id", "element_at(array('tion', 'the', 'ung'), cast(id as int)) as pattern", "'s' as section", "array(element_at(array('click', 'view', 'error'), cast(id as int))) as fields")
-    claims = table(spark, d, "events").where("event_id % 20 = 0").selectExpr("user_id as entity_id", "'s' as section", "event_type as field", "cast(event_id as string) as claim_id", "'' as value", "'available' as availability")
+    claims = table(spark, d, "events").selectExpr("user_id as entity_id", "'s' as section", "event_type as field", "cast(event_id as string) as claim_id", "'' as value", "'available' as availability")
     return joins.question_router(q, routes, claims).drop("value")
 
 
@@ -343,10 +358,10 @@ def n11_merge_connectors(spark: SparkSession, d: str) -> DataFrame:
     return normalise.merge_connectors(a, b.drop("note")).groupBy("section").agg(F.count("*").alias("claims"))
 
 
-@query("select 'duplicate id' as problem, 'c' || o_custkey as detail from orders where o_orderkey < 4000 group by 2 having count(*) > 1 union all select 'count', count(*)::varchar from orders where o_orderkey < 4000 union all select 'missing', 'c' || c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderkey < 4000) union all select 'order', 'c' || o_custkey from orders where o_orderkey < 4000 and o_orderkey <> o_custkey")
+@query("select 'duplicate id' as problem, 'c' || o_custkey as detail from orders group by 2 having count(*) > 1 union all select 'count', count(*)::varchar from orders union all select 'missing', 'c' || c_custkey from customer where c_custkey not in (select o_custkey from orders) union all select 'order', 'c' || o_custkey from orders where o_orderkey <> o_custkey")
 def q1_validate_batch(spark: SparkSession, d: str) -> DataFrame:
     ids = table(spark, d, "customer").selectExpr("c_custkey as pos", "concat('c', c_custkey) as id")
-    return quality.validate_batch(ids, table(spark, d, "orders").where("o_orderkey < 4000").selectExpr("o_orderkey as pos", "concat('c', o_custkey) as entity_id"), 1)
+    return quality.validate_batch(ids, table(spark, d, "orders").selectExpr("o_orderkey as pos", "concat('c', o_custkey) as entity_id"), 1)
 
 
 @query("select problem, count(*) as n from (select unnest([case when length(c_custkey::varchar) < 3 then 'entity id' end, case when c_custkey % 11 = 0 then 'state' end, case when c_acctbal < 0 then 'confidence' end]) as problem from customer) where problem is not null group by 1")
@@ -355,14 +370,14 @@ def q2_validate_records(spark: SparkSession, d: str) -> DataFrame:
     return quality.validate_records(c).groupBy("problem").agg(F.count("*").alias("n"))
 
 
-@query("select source as extraction_method, count(*) as checked, count(*) filter (not contains(regexp_replace(text, '\\s+', '', 'g'), regexp_replace(substr(text, 1, 30) || case when doc_id % 3 = 0 then '~~' else '' end, '\\s+', '', 'g'))) as bad from documents group by 1")
+@query("select source as extraction_method, count(*) as checked, count(*) filter (not contains(regexp_replace(text, '\\s+', '', 'g'), regexp_replace(substr(text, 1 + doc_id % greatest(length(text) - 30, 1), 30) || case when doc_id % 3 = 0 then '~~' else '' end, '\\s+', '', 'g'))) as bad from documents group by 1")
 def q3_span_audit(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").withColumn("sha256", F.sha2(F.concat("doc_id", "text"), 256))
-    ev = docs.selectExpr("doc_id", "sha256 as content_sha256", "concat(substr(text, 1, 30), if(doc_id % 3 = 0, '~~', '')) as claim_span", "source as extraction_method")
+    ev = docs.selectExpr("doc_id", "sha256 as content_sha256", "concat(substr(text, 1 + cast(doc_id % greatest(char_length(text) - 30, 1) as int), 30), if(doc_id % 3 = 0, '~~', '')) as claim_span", "source as extraction_method")
     return quality.span_audit(joins.span_verify_join(ev, docs.select("sha256", F.col("text").alias("body"), "text")))
 
 
-@query(f"with {_EV} select count(*) as claims from orders where o_orderkey % 5 in (0, 2) or (o_orderkey % 5 = 1 and o_orderkey || '-1' not in (select evidence_id from ev) and o_orderkey || '-2' not in (select evidence_id from ev))")
+@query(f"with {_EV} select count(*) as claims from orders where o_orderkey % 5 in (0, 2) or (o_orderkey % 5 = 1 and o_orderkey || '-1' not in (select evidence_id from ev) and o_orderkey || '-2' not in (select evidence_id from ev)) or (o_orderkey % 5 > 2 and o_orderkey || '-1' not in (select evidence_id from ev))")
 def q5_provenance_audit(spark: SparkSession, d: str) -> DataFrame:
     claims, ev = _order_claims(spark, d)
     return quality.provenance_audit(joins.attach_provenance(claims, ev), ev).where("problem = 'no url or time'").agg(F.count("*").alias("claims"))

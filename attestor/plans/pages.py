@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..operators import pages as P
 from ..operators import rank, resolve
+from ..shared import shared_path, stored
 from ..streaming import feeds
 from .registry import query, table
 
@@ -69,12 +67,13 @@ def p13_identity_positions(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def r0_assess(spark: SparkSession, d: str) -> DataFrame:
-    """Every page against the name in its own title and against the next page's."""
-    parsed = _parsed(spark, d)
+    """Every page against the name in its own title and against the next page's; pages are parsed and folded once, names too."""
+    pages = stored(resolve.page_facts(_parsed(spark, d), "title"), "page-facts")
     none = F.lit(None).cast("string")
-    e = parsed.select("page_id", F.lpad(F.col("page_id").cast("string"), 9, "9").alias("entity_id"), F.array_join(F.slice(F.split("title", " "), 1, 3), " ").alias("name"), F.col("url").alias("website"))
-    e = e.select(F.explode(F.array(F.col("page_id"), F.col("page_id") + 1)).alias("page_id"), "entity_id", "name", "website", none.alias("email"), none.alias("municipality"), F.array().cast("array<string>").alias("former_names"), F.lit(None).cast("array<struct<postcode:string,city:string,lines:array<string>,municipality:string>>").alias("addresses"))
-    return resolve.assess(e.join(parsed, "page_id")).select("entity_id", "page_id", "score", "status", F.array_join("reasons", ",").alias("reasons"), "self_identified")
+    e = pages.select("page_id", F.lpad(F.col("page_id").cast("string"), 9, "9").alias("entity_id"), F.array_join(F.slice(F.split("title", " "), 1, 3), " ").alias("name"), F.col("url").alias("website"))
+    e = e.select("page_id", "entity_id", "name", "website", none.alias("email"), none.alias("municipality"), F.array().cast("array<string>").alias("former_names"), F.lit(None).cast("array<struct<postcode:string,city:string,lines:array<string>,municipality:string>>").alias("addresses"))
+    e = resolve.entity_facts(e, "page_id").select(F.explode(F.array(F.col("page_id"), F.col("page_id") + 1)).alias("page_id"), "entity_id", "name", "e")
+    return resolve.assess_facts(e.join(pages.drop("title"), "page_id")).select("entity_id", "page_id", "score", "status", F.array_join("reasons", ",").alias("reasons"), "self_identified")
 
 
 @query()
@@ -115,15 +114,18 @@ def x17_fetch_state(spark: SparkSession, d: str) -> DataFrame:
 
 def _run_stream(spark: SparkSession, out: DataFrame, mode: str) -> DataFrame:
     """Run a stream over what there is, into a table in the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    path = f"{base}/stream-{uuid.uuid4().hex}"
+    path = shared_path(spark, "stream")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(f"{path}/out")
+        # a folder a batch, overwritten, so that a batch that is run again after a failure stands there once
+        batch.write.mode("overwrite").parquet(f"{path}/out/_batch={batch_id}")
 
     query_ = out.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start()
     query_.awaitTermination()
-    return spark.read.schema(f"{', '.join(f'`{n}` {t}' for n, t in out.dtypes)}, _batch int").parquet(f"{path}/out")
+    kinds = f"{', '.join(f'`{n}` {t}' for n, t in out.dtypes)}, _batch int"
+    written = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/out")
+    there = written.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(written)
+    return spark.read.schema(kinds).parquet(f"{path}/out") if there else spark.createDataFrame([], kinds)
 
 
 def _events_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -154,8 +156,7 @@ def st2_active_counts_stream(spark: SparkSession, d: str) -> DataFrame:
 def st3_change_stream(spark: SparkSession, d: str) -> DataFrame:
     # a run is a part of the month; its facts are complete before the stream of runs starts
     facts = table(spark, d, "events").selectExpr("cast(user_id as string) as entity_id", "cast(dayofmonth(ts) div 11 as bigint) as run", "event_type as field", "event_id").groupBy("entity_id", "run", "field").agg(F.max("event_id").cast("string").alias("value"))
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    path = f"{base}/facts-{uuid.uuid4().hex}"
+    path = shared_path(spark, "facts")
     facts.write.parquet(path)
     stream = spark.readStream.schema(facts.schema).parquet(path)
     return _run_stream(spark, feeds.change_stream(stream), "append").select("entity_id", "run", "field", "change_type")

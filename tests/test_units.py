@@ -25,6 +25,9 @@ def values(spark):
     checks = [
         (X.fold_ascii(s("Ærø Café Ångström ß")), "aero cafe angstrom "),
         (X.fold_words(s("Café  d'Or, AS")), "café d or as"),
+        (X.fold_words(s("Ås Rør_1 AS")), "as ror_1 as"),
+        (X.without_form(s("alfa se"), X.AD_LEGAL_FORMS), "alfa"),
+        (X.without_form(s("alfa brl"), X.AD_LEGAL_FORMS), "alfa brl"),
         (X.fold_feed(s("STRAßE & Sønn, AS")), "strasse sonn as"),
         (X.fold_nfkd(s("Ærø Čapek ﬁ")), "aero capek fi"),
         (X.punycode_host(s("xn--pnerom-hua.no")), "åpnerom.no"),
@@ -35,8 +38,12 @@ def values(spark):
         (X.host(s("www.a.no/x")), "a.no"),
         (X.registered_domain(s("x.y.co.uk")), "y.co.uk"),
         (X.registered_domain(s("x.y.no")), "y.no"),
-        (F.array_join(X.domain_guesses(s("Nordlys Bakeri AS")), " "), "nordlysbakeri.no nordlysbakeri.com nordlys-bakeri.no nordlys-bakeri.com"),
+        (F.array_join(X.domain_guesses(s("Nordlys Bakeri AS")), " "), "nordlysbakeri.no nordlys-bakeri.no nordlys.no nordlysbakeri.com"),
+        (F.array_join(X.domain_guesses(s("Nordlys Hansen Bygg AS")), " "), "nordlyshansenbygg.no nordlys-hansen-bygg.no nordlys.no nordlyshansenbygg.com"),
+        (F.array_join(X.domain_guesses(s("Invest Nor AS")), " "), "investnor.no invest-nor.no investnor.com invest-nor.com"),
+        (F.array_join(X.domain_guesses(s("Nordlys AS")), " "), "nordlys.no nordlys.com"),
         (F.size(X.domain_guesses(s("The Group AS"))), 0),
+        (F.size(X.domain_guesses(s("Holding Invest AS"))), 0),
         (X.email_domain(s("a@gmail.com")), None),
         (X.email_domain(s("a@B.no")), "b.no"),
         (F.array_join(X.phones(s("Tlf. 22 33 44 55, 0047 91234567, 12345678")), " "), "+4722334455 +4791234567"),
@@ -54,6 +61,15 @@ def values(spark):
         (X.literal_span(s("a/b"), s('{"u":"a\\/b"}')), "a\\/b"),
         (X.literal_span(s("a & b"), s("<p>a &amp; b</p>")), "a &amp; b"),
         (X.literal_span(s("a"), s("b")), None),
+        (X.literal_span(s("Ås/ø 😀"), s('{"u":"\\u00c5s\\/\\u00f8 \\ud83d\\ude00"}')), "\\u00c5s\\/\\u00f8 \\ud83d\\ude00"),
+        (X.literal_span(s("Ås/ø"), s('{"u":"\\u00c5s/\\u00f8"}')), "\\u00c5s/\\u00f8"),
+        (X.excerpt_match(s("xx ÆRØ  Bakeri yy"), X.accented(F.array(s("aero"), s("bakeri")), r"\s+"), 10), "ÆRØ Bakeri"),
+        (X.excerpt_match(s("none"), X.accented(F.array(s("aero")), " "), 10), ""),
+        (X.canonical(s('{"b":1,"a":"X  y"}')), '{a:x y,b:1}'),
+        (X.canonical(s('{"a":"x y","b":1}')), '{a:x y,b:1}'),
+        (X.number_pattern(s("12")), None),
+        (X.number_pattern(s("")), None),
+        (F.array_join(X.company_names(s("Stålleverandøren AS, STÅLLEVERANDØREN AS, Ærlig & Co")), "|"), "Stålleverandøren AS"),
         (X.money_text(F.lit(24_100_000.0), s("NOK")), "NOK 24.1 million"),
         (X.money_text(F.lit(-950.0), s("NOK")), "NOK -950"),
         (X.spoken_list(F.array(s("a"), s("b"), s("c"))), "a, b and c"),
