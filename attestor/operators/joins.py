@@ -39,13 +39,22 @@ def orphan_refs(claims: DataFrame, evidence: DataFrame) -> DataFrame:
     return lost.select(*bare.columns).unionByName(bare)
 
 
+def _by_rarest(few: DataFrame, keys: Column, many: DataFrame) -> DataFrame:
+    """Rows of few joined with rows of many(k, ...) by that one of few's keys which the fewest rows of many have."""
+    counts = many.groupBy("k").agg(F.count("*").alias("_n"))
+    own = few.columns
+    best = few.withColumn("k", F.explode(keys)).join(counts, "k").groupBy(*own).agg(F.min(F.struct("_n", "k"))["k"].alias("k"))
+    return best.join(many, "k")
+
+
 def name_candidates(entities: DataFrame, feed: DataFrame, top: int = 8, min_len: int = 6) -> DataFrame:
     """entities(entity_id, name) x feed(uuid, name, seen) that may belong together, the newest `top` of each entity.
 
     Folded names match if equal, with or without legal-form words; if the entity's name is a part of the feed's
     (min_len letters at least); the other way round (both so long); or if the feed's words hold two distinctive words or
-    more, and all, of the entity's. No nested loop: each condition has a key. A part of min_len letters starts with a gram
-    of that length, which the whole contains; a set of words holds its longest one.
+    more, and all, of the entity's. No nested loop: each condition has a key, a gram of min_len letters or a word of the
+    part, of which the whole has all. The part's rarest one on the other side is taken, so a frequent gram or word joins
+    only what has no rarer.
     """
     e = entities.select("entity_id", X.fold_feed(F.col("name")).alias("target"), X.feed_words(F.col("name")).alias("want")).where(F.size("want") > 0)
     plain = F.array_join(F.filter(F.split("target", " "), lambda t: ~t.isin(*X.FEED_LEGAL_FORMS)), " ")
@@ -57,11 +66,12 @@ def name_candidates(entities: DataFrame, feed: DataFrame, top: int = 8, min_len:
     wants = e.select("entity_id", "plain", "want")
     equal = e.select("entity_id", F.explode(F.array_distinct(F.array("target", "plain"))).alias("said")).join(names, "said").select(*cols)
     long = wants.where(F.char_length("plain") >= min_len)
-    inside = long.withColumn("k", F.left("plain", F.lit(min_len))).join(names.withColumn("k", F.explode(grams("said"))), "k").where(F.contains("said", "plain")).select(*cols)
-    around = long.withColumn("k", F.explode(grams("plain"))).join(names.where(F.char_length("said") >= min_len).withColumn("k", F.left("said", F.lit(min_len))), "k")
-    around = around.where(F.contains("plain", "said")).select(*cols)
-    longest = F.array_max(F.transform("want", lambda t: F.struct(F.char_length(t).alias("n"), t.alias("t"))))["t"]
-    tokens = wants.where(F.size("want") >= 2).withColumn("k", longest).join(names.withColumn("k", F.explode(F.array_distinct(F.split("said", " ")))), "k")
+    said = names.withColumn("k", F.explode(grams("said")))
+    inside = _by_rarest(long, grams("plain"), said).where(F.contains("said", "plain")).select(*cols)
+    mine = long.withColumn("k", F.explode(grams("plain")))
+    around = _by_rarest(names.where(F.char_length("said") >= min_len), grams("said"), mine).where(F.contains("plain", "said")).select(*cols)
+    said_words = names.withColumn("k", F.explode(F.array_distinct(F.split("said", " "))))
+    tokens = _by_rarest(wants.where(F.size("want") >= 2), F.array_distinct("want"), said_words)
     tokens = tokens.where(F.size(F.array_except("want", F.split("said", " "))) == 0).select(*cols)
     hits = equal.union(inside).union(around).union(tokens).distinct().join(f, "said")
     return top_n_per_entity(hits.select("entity_id", "uuid", "seen").distinct(), ["entity_id"], [F.desc("seen"), F.desc("uuid")], top)

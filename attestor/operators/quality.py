@@ -60,8 +60,15 @@ def site_audit(published: DataFrame, verdicts: DataFrame) -> DataFrame:
     return rows.select("entity_id", F.explode(found).alias("problem"))
 
 
-def provenance_audit(claims: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Q5: claims that already carry provenance columns: copies that differ from the first evidence, available ones without URL or time."""
+#: Answers that an entity's document has at least. Fixed value.
+ANSWERS = 10
+
+
+def provenance_audit(claims: DataFrame, evidence: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """Q5: claims that already carry provenance columns: copies that differ from the first evidence, available ones without URL or time.
+
+    With answers(entity_id, ...), also entities of claims with fewer than ANSWERS of them (claim_id null).
+    """
     cols = ["source_url", "source_class", "retrieved_at", "content_sha256", "claim_span"]
     again = attach_provenance(claims.drop(*cols), evidence).select("entity_id", "claim_id", *(F.col(c).alias(f"_{c}") for c in cols))
     both = claims.join(again, ["entity_id", "claim_id"])
@@ -70,7 +77,12 @@ def provenance_audit(claims: DataFrame, evidence: DataFrame) -> DataFrame:
         same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
     bare = F.expr("availability = 'available' and (source_url is null or retrieved_at is null)")
     found = F.array_compact(F.array(F.when(~same, F.lit("differs from evidence")), F.when(bare, F.lit("no url or time"))))
-    return both.select("entity_id", "claim_id", F.explode(found).alias("problem"))
+    out = both.select("entity_id", "claim_id", F.explode(found).alias("problem"))
+    if answers is None:
+        return out
+    n = answers.groupBy("entity_id").agg(F.count("*").alias("n"))
+    few = claims.select("entity_id").distinct().join(n, "entity_id", "left").where(F.coalesce("n", F.lit(0)) < ANSWERS)
+    return out.union(few.select("entity_id", F.lit(None).cast("string"), F.lit("answers missing")))
 
 
 def determinism_report(a: DataFrame, b: DataFrame) -> DataFrame:

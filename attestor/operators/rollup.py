@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import SECTIONS
+from ..shared import stored
+from .rank import top_n_per_entity
 
 #: What a section says when no claim of it is available, most telling first; what isn't listed comes last. Fixed values.
 PRIORITY = ("available", "ambiguous", "blocked", "not_available", "failed")
@@ -55,18 +57,37 @@ def count_semantics(counts: DataFrame) -> DataFrame:
     )
 
 
-def run_report(profile: DataFrame) -> DataFrame:
+def run_report(profile: DataFrame, states: DataFrame | None = None, claims: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:
     """A5: profile(entity_id, status, requests, bytes, elapsed_ms) -> (metric, value): counts by status, sums, p50, p95.
 
-    p95 is the row at greatest(1, floor(0.95 n)), p50 the mean of the middle, cut to a whole number.
+    p95 is the row at greatest(1, floor(0.95 n)), p50 the mean of the middle, cut to a whole number; both come from counts of
+    values, so no task sees all of them. profile may also have cost_usd (the sum is given in hundredths of a cent), exhausted
+    (true: a row exhausted:<id> of 1) and problems (validation problems, summed). states(section, state), claims(field, availability)
+    and changes(change_type) add counts: section:<section>:<state>, field:<field> of available claims, change:<type>.
     """
     n = profile.count()
-    sums = profile.agg(F.count("*").alias("entities"), F.sum("requests").alias("requests"), F.sum("bytes").alias("bytes"), F.floor(F.median("elapsed_ms")).alias("p50_ms"))
-    sums = sums.selectExpr("stack(4, 'entities', entities, 'requests', requests, 'bytes', bytes, 'p50_ms', p50_ms) as (metric, value)")
-    status = profile.groupBy(F.concat(F.lit("status:"), "status").alias("metric")).agg(F.count("*").alias("value"))
-    p95 = kth(profile.select("elapsed_ms"), "elapsed_ms", max(1, int(n * 0.95))).select(F.lit("p95_ms").alias("metric"), F.col("elapsed_ms").alias("value"))
-    cast = lambda d: d.select("metric", F.col("value").cast("long").alias("value"))
-    return cast(sums).union(cast(status)).union(cast(p95))
+    sums = {"entities": F.count("*"), "requests": F.sum("requests"), "bytes": F.sum("bytes")}
+    if "cost_usd" in profile.columns:
+        sums["cost_usd_e4"] = F.round(F.sum("cost_usd") * 10_000)
+    if "problems" in profile.columns:
+        sums["validation_problems"] = F.sum("problems")
+    one = profile.agg(*(v.cast("long").alias(k) for k, v in sums.items()))
+    out = one.select(F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in sums))).alias("m")).select("m.*")
+    ms = profile.select("elapsed_ms")
+    middle = kth(ms, "elapsed_ms", max(1, (n + 1) // 2)).union(kth(ms, "elapsed_ms", n // 2 + 1)).agg(F.floor(F.avg("elapsed_ms")).alias("value"))
+    out = out.union(middle.select(F.lit("p50_ms"), F.col("value").cast("long")))
+    out = out.union(kth(ms, "elapsed_ms", max(1, int(n * 0.95))).select(F.lit("p95_ms"), F.col("elapsed_ms").cast("long")))
+    counted = lambda df, *name: df.groupBy(F.concat(*name).alias("metric")).agg(F.count("*").alias("value"))
+    out = out.union(counted(profile, F.lit("status:"), F.col("status")))
+    if "exhausted" in profile.columns:
+        out = out.union(profile.where("exhausted").select(F.concat(F.lit("exhausted:"), F.col("entity_id").cast("string")), F.lit(1).cast("long")))
+    if states is not None:
+        out = out.union(counted(states, F.lit("section:"), F.col("section"), F.lit(":"), F.col("state")))
+    if claims is not None:
+        out = out.union(counted(claims.where("availability = 'available'"), F.lit("field:"), F.col("field")))
+    if changes is not None:
+        out = out.union(counted(changes, F.lit("change:"), F.col("change_type")))
+    return out
 
 
 def kth(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -75,24 +96,45 @@ def kth(df: DataFrame, col: str, k: int) -> DataFrame:
     return counts.where(F.col("before") < k).where(F.col("before") + F.col("n") >= k).select(col)
 
 
-def running_total(df: DataFrame, order: Sequence[str], amount: str, partitions: int = 16) -> DataFrame:
-    """df with `before`: the sum of `amount` over all earlier rows of a total order, by two passes, never in one task."""
-    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    # the boundaries of ranges are sampled: fix them once, so that both passes see the same partitions
-    ranged = ranged.persist()
+def running_total(df: DataFrame, order: Sequence[str], amount: str, partitions: int | None = None) -> DataFrame:
+    """df with `before`: the sum of `amount` over all earlier rows of a total order, by two passes, never in one task.
+
+    The rows are dealt to ranges, as many as the session shuffles to, and written with their range's number: the bounds of
+    ranges are drawn from a sample, and both passes have to see the same ones.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(df.repartitionByRange(partitions, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    # one row a range: as few as there are partitions
     sums = ranged.groupBy("_p").agg(F.sum(amount).alias("_s"))
-    ahead = sums.alias("a").join(sums.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p").agg(F.coalesce(F.sum("b._s"), F.lit(0)).alias("_ahead"))
+    ahead = sums.select("_p", F.coalesce(F.sum("_s").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
     w = W.partitionBy("_p").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(amount).over(w), F.lit(0))
-    return ranged.join(F.broadcast(ahead), "_p").withColumn("before", inside + F.col("_ahead")).drop("_p", "_ahead")
+    return ranged.join(ahead, "_p").withColumn("before", inside + F.col("_ahead")).drop("_p", "_ahead")
 
 
 def coverage_score(claims: DataFrame, families: DataFrame, n_entities: int) -> DataFrame:
     """Per field family the share of entities with an available claim (3 places) and the claims."""
-    out = claims.where("availability = 'available'").join(F.broadcast(families), "field").groupBy("family").agg(F.countDistinct("entity_id").alias("entities"), F.count("*").alias("claims"))
+    out = claims.where("availability = 'available'").join(families, "field").groupBy("family").agg(F.countDistinct("entity_id").alias("entities"), F.count("*").alias("claims"))
     return out.withColumn("coverage", F.round(F.col("entities") / F.lit(n_entities), 3))
 
 
+def coverage_report(claims: DataFrame, evidence: DataFrame, profile: DataFrame) -> DataFrame:
+    """A6, the rest: (metric, value) of claims(entity_id, claim_id, availability, evidence_ids), evidence(entity_id, evidence_id), profile(requests).
+
+    Evidence completeness is the share of available claims that have evidence ids which all exist (4 places); then claims by
+    state, and requests in all, on average (1 place) and at most.
+    """
+    refs = claims.select("entity_id", "claim_id", F.explode("evidence_ids").alias("evidence_id")).join(evidence.select("entity_id", "evidence_id").distinct(), ["entity_id", "evidence_id"], "left_anti")
+    lost = refs.select("entity_id", "claim_id").distinct().withColumn("_lost", F.lit(True))
+    ok = claims.where("availability = 'available'").join(lost, ["entity_id", "claim_id"], "left")
+    bad = F.col("_lost").isNotNull() | (F.coalesce(F.size("evidence_ids"), F.lit(0)) < 1)
+    done = ok.agg(F.round(1 - F.avg(bad.cast("int")), 4).alias("value")).select(F.lit("evidence_completeness").alias("metric"), "value")
+    states = claims.groupBy(F.concat(F.lit("state:"), "availability").alias("metric")).agg(F.count("*").cast("double").alias("value"))
+    r = profile.agg(F.sum("requests").cast("double").alias("t"), F.round(F.avg("requests"), 1).alias("a"), F.max("requests").cast("double").alias("m"))
+    r = r.selectExpr("stack(3, 'requests_total', t, 'requests_mean', a, 'requests_max', m) as (metric, value)")
+    return done.union(states).union(r)
+
+
 def precision_recall(joined: DataFrame) -> DataFrame:
     """joined(predicted, expected, wrong) -> tp, fp, fn, wrong, precision and recall (3 places, NULL over nothing)."""
     yes = lambda c: F.sum(F.when(F.expr(c), 1).otherwise(0))
@@ -105,13 +147,23 @@ def precision_recall(joined: DataFrame) -> DataFrame:
     return out.withColumns({"precision": F.expr("round(try_divide(tp, tp + fp), 3)"), "recall": F.expr("round(try_divide(tp, tp + fn), 3)")})
 
 
-def directory_summary(claims: DataFrame, states: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One row per entity: newest value of each field, sections available, latest date, number of claims."""
+def directory_summary(claims: DataFrame, states: DataFrame, fields: Sequence[str] | Mapping[str, Sequence[str]], changes: DataFrame | None = None, leaders: Sequence[str] = ("role", "site_leader")) -> DataFrame:
+    """One row per entity: newest value of each field, sections available, latest date, number of claims and of leaders.
+
+    A field may stand for several (name -> aliases); the newest claim is by reporting_period, if there is such a column, then by
+    effective_date. With changes, n_changes counts them.
+    """
+    groups = fields if isinstance(fields, Mapping) else {f: (f,) for f in fields}
     ok = F.col("availability") == "available"
-    newest = [F.max(F.when(ok & (F.col("field") == f), F.struct("effective_date", "value"))).alias(f) for f in fields]
-    out = claims.groupBy("entity_id").agg(*newest, F.max(F.when(ok, F.col("effective_date"))).alias("latest_date"), F.count(F.when(ok, 1)).alias("n_claims"))
+    period = [F.coalesce("reporting_period", F.lit("")).alias("reporting_period")] if "reporting_period" in claims.columns else []
+    newest = [F.max(F.when(ok & F.col("field").isin(*names), F.struct(*period, "effective_date", "value"))).alias(g) for g, names in groups.items()]
+    out = claims.groupBy("entity_id").agg(*newest, F.max(F.when(ok, F.col("effective_date"))).alias("latest_date"), F.count(F.when(ok, 1)).alias("n_claims"), F.count(F.when(ok & F.col("field").isin(*leaders), 1)).alias("n_leaders"))
     cover = states.groupBy("entity_id").agg(F.count(F.when(F.col("state") == "available", 1)).alias("sections_available"))
-    return out.select("entity_id", *(F.col(f"{f}.value").alias(f) for f in fields), "latest_date", "n_claims").join(cover, "entity_id", "left")
+    out = out.select("entity_id", *(F.col(f"{g}.value").alias(g) for g in groups), "latest_date", "n_claims", "n_leaders").join(cover, "entity_id", "left")
+    if changes is None:
+        return out
+    n = changes.groupBy("entity_id").agg(F.count("*").alias("n_changes"))
+    return out.join(n, "entity_id", "left").withColumn("n_changes", F.coalesce("n_changes", F.lit(0)))
 
 
 def request_accounting(log: DataFrame) -> DataFrame:
@@ -143,20 +195,27 @@ def error_taxonomy(log: DataFrame) -> DataFrame:
 
 
 def rate_limit_runs(log: DataFrame, bad: Column, trip: int = 3, cooldown_s: int = 90) -> DataFrame:
-    """log(host, ts, seq) -> runs of at least `trip` bad answers on a host without another between, and their cooldown."""
-    w = W.partitionBy("host").orderBy("ts", "seq")
-    rows = log.withColumn("bad", bad).withColumn("island", F.sum(F.when(F.col("bad"), 0).otherwise(1)).over(w))
-    runs = rows.where("bad").groupBy("host", "island").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    """log(host, ts, seq) -> runs of at least `trip` bad answers on a host without another between, and their cooldown.
+
+    Bad answers of a host with the same number of good ones before them are one run. The number is a prefix sum over ranges of
+    the whole log, so a host with most of the log is many tasks' work.
+    """
+    rows = log.select("host", "ts", "seq", F.coalesce(bad, F.lit(False)).alias("bad"))
+    rows = running_total(rows.withColumn("good", (~F.col("bad")).cast("int")), ["host", "ts", "seq"], "good")
+    runs = rows.where("bad").groupBy("host", "before").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     return runs.where(F.col("n") >= trip).select("host", "n", "first_ts", "last_ts", (F.col("last_ts") + F.expr(f"interval {cooldown_s} seconds")).alias("cooled_at"))
 
 
 def budget_cap(plan: DataFrame, per_entity: int, total: int, order: Sequence[str]) -> DataFrame:
     """plan(entity_id, ...) with `verdict`: ok, entity_cap or total_cap in priority order; shared keys (_) have no entity cap.
 
-    The total is a two-pass prefix sum over what the entity caps leave.
+    The last place that an entity's cap allows is found by a pruned ranking, and only for entities that have one. The total
+    is a two-pass prefix sum over what the entity caps leave.
     """
-    own = F.row_number().over(W.partitionBy("entity_id").orderBy(*order))
-    plan = plan.withColumn("_in", (F.col("entity_id").startswith("_") | (own <= per_entity)).cast("int"))
+    at = F.struct(*order)
+    ranked = plan.where(~F.col("entity_id").startswith("_")).select("entity_id", *order)
+    last = top_n_per_entity(ranked, ["entity_id"], [F.col(c) for c in order], per_entity).groupBy("entity_id").agg(F.max(at).alias("_last"))
+    plan = plan.join(last, "entity_id", "left").withColumn("_in", F.coalesce(at <= F.col("_last"), F.col("entity_id").startswith("_")).cast("int")).drop("_last")
     plan = running_total(plan, order, "_in")
     verdict = F.when(F.col("_in") == 0, F.lit("entity_cap")).when(F.col("before") >= total, F.lit("total_cap")).otherwise(F.lit("ok"))
     return plan.withColumn("verdict", verdict).drop("_in", "before")
@@ -182,12 +241,31 @@ def facets(summary: DataFrame, cols: Sequence[str]) -> DataFrame:
     return summary.select(pairs).groupBy("f.facet", "f.value").agg(F.count("*").alias("n"))
 
 
-def batch_manifest_stats(batch: DataFrame) -> DataFrame:
-    """batch(id, website) -> rows, with website, SHA-256 of the sorted ids joined by newlines.
+def directory_filter(
+    summary: DataFrame, text: str = "", searched: Sequence[str] = (), form: str | None = None, municipality: str | None = None, has_website: bool = False, hiring: bool = False, sort: str | None = None, descending: bool = False
+) -> DataFrame:
+    """Rows of a directory(form, municipality, website, jobs, ...) that hold a text in one of the searched columns and pass the
+    filters set; sorted by a column, nulls last either way."""
+    out = summary
+    if text:
+        out = out.where(F.contains(F.lower(F.concat_ws(" ", *searched)), F.lit(text.lower())))
+    for col, value in (("form", form), ("municipality", municipality)):
+        if value is not None:
+            out = out.where(F.col(col) == value)
+    if has_website:
+        out = out.where(F.coalesce("website", F.lit("")) != "")
+    if hiring:
+        out = out.where(F.col("jobs") > 0)
+    return out if sort is None else out.orderBy(F.desc_nulls_last(sort) if descending else F.asc_nulls_last(sort))
+
+
+def batch_manifest_stats(batch: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """batch(id, website) -> rows, with website, SHA-256 of the sorted ids joined by newlines; eligible counts the universe's rows.
 
     The digest needs all ids in one place: it is meant for a batch's list of ids.
     """
-    return batch.agg(F.count("*").alias("selected"), F.count("website").alias("with_website"), F.sha2(F.array_join(F.sort_array(F.collect_list("id")), "\n"), 256).alias("ids_sha256"))
+    out = batch.agg(F.count("*").alias("selected"), F.count("website").alias("with_website"), F.sha2(F.array_join(F.sort_array(F.collect_list("id")), "\n"), 256).alias("ids_sha256"))
+    return out if universe is None else out.crossJoin(universe.agg(F.count("*").alias("eligible")))
 
 
 def web_fallback_state(probes: DataFrame) -> DataFrame:

@@ -182,13 +182,18 @@ def a4_count_semantics(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """with p as (select o_orderstatus as status, o_orderkey % 7 as requests, o_custkey as bytes, floor(o_totalprice)::bigint as ms from orders), n as (select count(*) as n from p)
-    select 'entities' as metric, count(*)::bigint as value from p union all select 'requests', sum(requests)::bigint from p union all select 'bytes', sum(bytes)::bigint from p
-    union all select 'p50_ms', floor(median(ms))::bigint from p union all select 'status:' || status, count(*) from p group by status
-    union all select 'p95_ms', ms from (select ms, row_number() over (order by ms) as k from p), n where k = greatest(1, floor(n * 0.95))"""
+    """with p as (select o_orderkey as id, o_orderstatus as status, o_orderkey % 7 as requests, o_custkey as bytes, floor(o_totalprice)::bigint as ms, o_orderkey % 400 = 0 as exhausted, o_orderkey % 3 as problems from orders), n as (select count(*) as n from p)
+    select 'entities' as metric, count(*)::bigint as value from p union all select 'requests', sum(requests)::bigint from p union all select 'bytes', sum(bytes)::bigint from p union all select 'cost_usd_e4', (count(*) * 5)::bigint from p
+    union all select 'validation_problems', sum(problems)::bigint from p union all select 'p50_ms', floor(median(ms))::bigint from p union all select 'status:' || status, count(*) from p group by status
+    union all select 'p95_ms', ms from (select ms, row_number() over (order by ms) as k from p), n where k = greatest(1, floor(n * 0.95)) union all select 'exhausted:' || id, 1 from p where exhausted
+    union all select 'section:' || o_orderpriority || ':' || o_orderstatus, count(*) from orders group by o_orderpriority, o_orderstatus union all select 'field:' || event_type, count(*) from events where event_id % 3 > 0 group by event_type
+    union all select 'change:' || c_mktsegment, count(*) from customer group by c_mktsegment"""
 )
 def a5_run_report(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.run_report(table(spark, d, "orders").selectExpr("o_orderstatus as status", "o_orderkey % 7 as requests", "o_custkey as bytes", "cast(floor(o_totalprice) as bigint) as elapsed_ms"))
+    o = table(spark, d, "orders")
+    p = o.selectExpr("o_orderkey as entity_id", "o_orderstatus as status", "o_orderkey % 7 as requests", "o_custkey as bytes", "cast(floor(o_totalprice) as bigint) as elapsed_ms", "0.0005D as cost_usd", "o_orderkey % 400 = 0 as exhausted", "o_orderkey % 3 as problems")
+    claims = table(spark, d, "events").selectExpr("event_type as field", "if(event_id % 3 > 0, 'available', 'failed') as availability")
+    return rollup.run_report(p, o.selectExpr("o_orderpriority as section", "o_orderstatus as state"), claims, table(spark, d, "customer").selectExpr("c_mktsegment as change_type"))
 
 
 @query("select case when event_type in ('view', 'click') then 'web' else 'hiring' end as family, count(distinct user_id) as entities, count(*) as claims, round(count(distinct user_id) / (select count(distinct user_id) from events), 3) as coverage from events where event_id % 11 = 0 and event_type <> 'error' group by 1")
@@ -199,6 +204,20 @@ def a6_coverage_score(spark: SparkSession, d: str) -> DataFrame:
     return rollup.coverage_score(rows, families, e.select("user_id").distinct().count())
 
 
+@query(
+    """with c as (select o_orderkey, case o_orderstatus when 'F' then 'available' when 'O' then 'failed' else 'blocked' end as availability, case o_orderkey % 4 when 0 then [] when 1 then [o_orderkey || '-1', 'gone'] else [o_orderkey || '-1'] end as ids from orders),
+    e as (select distinct l_orderkey || '-' || l_linenumber as id from lineitem), x as (select o_orderkey, unnest(ids) as id from c), lost as (select distinct o_orderkey from x where id not in (select id from e))
+    select 'evidence_completeness' as metric, round(1 - avg((len(ids) = 0 or o_orderkey in (select o_orderkey from lost))::int), 4) as value from c where availability = 'available'
+    union all select 'state:' || availability, count(*)::double from c group by availability union all select 'requests_total', sum(o_orderkey % 7)::double from orders union all select 'requests_mean', round(avg(o_orderkey % 7), 1) from orders union all select 'requests_max', max(o_orderkey % 7)::double from orders"""
+)
+def a6_coverage_report(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    ids = "case o_orderkey % 4 when 0 then array() when 1 then array(concat(o_orderkey, '-1'), 'gone') else array(concat(o_orderkey, '-1')) end as evidence_ids"
+    claims = o.selectExpr("1 as entity_id", "o_orderkey as claim_id", "case o_orderstatus when 'F' then 'available' when 'O' then 'failed' else 'blocked' end as availability", ids)
+    evidence = table(spark, d, "lineitem").selectExpr("1 as entity_id", "concat(l_orderkey, '-', l_linenumber) as evidence_id")
+    return rollup.coverage_report(claims, evidence, o.selectExpr("o_orderkey % 7 as requests"))
+
+
 @query(
     """with j as (select case when d.n_chars > 1500 then 'long' end as predicted, case when l.quality = 1 then 'long' end as expected, l.toxic = 1 as wrong from labels l left join documents d using (doc_id)),
     s as (select sum((predicted is not null and predicted = expected)::int) as tp, sum((predicted is not null and (expected is null or predicted <> expected))::int) as fp,
@@ -213,13 +232,13 @@ def a7_precision_recall(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """with c as (select o_custkey as entity_id, o_orderpriority as value, strftime(o_orderdate, '%Y-%m-%d') || '|' || lpad(o_orderkey::varchar, 12, '0') as effective_date, o_orderstatus as field, o_orderkey % 10 > 0 as ok from orders)
-    select entity_id, max_by(value, effective_date) filter (field = 'F' and ok) as "F", max_by(value, effective_date) filter (field = 'O' and ok) as "O", max(effective_date) filter (ok) as latest_date, count(*) filter (ok) as n_claims,
-      count(distinct field) filter (ok) as sections_available from c group by 1"""
+    select entity_id, max_by(value, effective_date) filter (field = 'F' and ok) as "F", max_by(value, effective_date) filter (field in ('O', 'P') and ok) as open, max(effective_date) filter (ok) as latest_date, count(*) filter (ok) as n_claims,
+      count(*) filter (ok and field = 'P') as n_leaders, count(distinct field) filter (ok) as sections_available, coalesce((select count(*) from events e where e.user_id = c.entity_id), 0) as n_changes from c group by 1"""
 )
 def a8_directory_summary(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "orders").selectExpr("o_custkey as entity_id", "o_orderpriority as value", "concat(date_format(o_orderdate, 'yyyy-MM-dd'), '|', lpad(cast(o_orderkey as string), 12, '0')) as effective_date", "o_orderstatus as field", "if(o_orderkey % 10 > 0, 'available', 'failed') as availability")
     states = c.groupBy("entity_id", "field").agg(F.min("availability").alias("state"))
-    return rollup.directory_summary(c, states, ["F", "O"])
+    return rollup.directory_summary(c, states, {"F": ["F"], "open": ["O", "P"]}, table(spark, d, "events").selectExpr("user_id as entity_id"), ["P"])
 
 
 _LOG = "select case when user_id % 10 = 0 then '_shared' else 'c' || user_id end as company, 1 + event_id % 3 as attempts, event_id % 1000 as bytes from events"
@@ -284,9 +303,15 @@ def a15_facets(spark: SparkSession, d: str) -> DataFrame:
     return rollup.facets(table(spark, d, "customer").selectExpr("c_mktsegment as segment", "c_nationkey as nation"), ["segment", "nation"])
 
 
-@query("select count(*) as selected, count(case when n_nationkey % 3 = 0 then 1 end) as with_website, sha256(string_agg(n_name, chr(10) order by n_name)) as ids_sha256 from nation")
+@query("select c_custkey, c_name, c_mktsegment as form, c_nationkey::varchar as municipality from customer where contains(lower(c_name || ' ' || c_mktsegment), '1') and c_mktsegment = 'BUILDING' and c_acctbal > 0 and c_custkey % 3 > 0")
+def a15_directory_filter(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").selectExpr("c_custkey", "c_name", "c_mktsegment as form", "cast(c_nationkey as string) as municipality", "if(c_acctbal > 0, 'w', '') as website", "c_custkey % 3 as jobs")
+    return rollup.directory_filter(c, "1", ["c_name", "form"], form="BUILDING", has_website=True, hiring=True, sort="municipality").select("c_custkey", "c_name", "form", "municipality")
+
+
+@query("select count(*) as selected, count(case when n_nationkey % 3 = 0 then 1 end) as with_website, sha256(string_agg(n_name, chr(10) order by n_name)) as ids_sha256, (select count(*) from customer where c_acctbal > 0) as eligible from nation")
 def a16_batch_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.batch_manifest_stats(table(spark, d, "nation").selectExpr("n_name as id", "if(n_nationkey % 3 = 0, 'x', null) as website"))
+    return rollup.batch_manifest_stats(table(spark, d, "nation").selectExpr("n_name as id", "if(n_nationkey % 3 = 0, 'x', null) as website"), table(spark, d, "customer").where("c_acctbal > 0"))
 
 
 @query(

@@ -60,13 +60,15 @@ def snapshot_store(bodies: DataFrame, existing: DataFrame | None = None) -> Data
     return out if existing is None else out.join(existing.select("sha256"), "sha256", "left_anti")
 
 
-def ordered_profiles(profile: DataFrame, ids: DataFrame, partitions: int = 8) -> DataFrame:
-    """IO5: one document per input id, in input order; ids without a document stay."""
+def ordered_profiles(profile: DataFrame, ids: DataFrame, partitions: int | None = None) -> DataFrame:
+    """IO5: one document per input id, in input order, in as many ranges as the session shuffles to unless told otherwise; ids
+    without a document stay."""
     out = ids.join(profile, ids["id"] == profile["entity_id"], "left").drop("entity_id")
-    return out.repartitionByRange(partitions, "pos").sortWithinPartitions("pos")
+    ranged = out.repartitionByRange(partitions, "pos") if partitions else out.repartitionByRange("pos")
+    return ranged.sortWithinPartitions("pos")
 
 
-def write_profiles(profile: DataFrame, ids: DataFrame, path: str, partitions: int = 8) -> None:
+def write_profiles(profile: DataFrame, ids: DataFrame, path: str, partitions: int | None = None) -> None:
     ordered_profiles(profile, ids, partitions).drop("pos").write.json(path)
 
 
