@@ -18,17 +18,23 @@ REASONS = {
     "legal_name_and_registered_address": "the page writes the legal name and the registered address",
     "registry_linked_domain": "the domain is one that the registry holds for the company",
 }
+#: Standard questions, the column that answers, the fields whose claims it rests on. Fixed values.
 QUESTIONS = (
-    ("What does it do?", "what", ("legal_name", "industry_code", "industry_label")),
+    ("What does the company do?", "what", ("legal_name", "industry_code", "industry_label", "website_description")),
     ("Who leads it?", "leaders", ("role",)),
-    ("How big is it?", "size", ("registry_employees", "revenue")),
-    ("What did its latest accounts show?", "accounts", ("revenue", "annual_result")),
-    ("Where is it?", "place", ("municipality",)),
-    ("Is it hiring?", "hiring", ("active_job_count",)),
+    ("How big is it?", "big", ("registry_employees", "revenue", "annual_result")),
+    ("What did its latest accounts show?", "accounts", ("revenue", "annual_result", "reporting_period")),
+    ("Is it growing?", "trend", ("accounts_prior_period", "revenue", "annual_result")),
+    ("How long has it filed accounts?", "history", ("accounts_filing_years", "first_filing_year", "filings_on_file")),
+    ("Where is it?", "place", ("business_address", "workplace", "site_location")),
+    ("Is it hiring?", "hiring", ("active_job_count", "job_posting")),
     ("What is its website?", "website", ("official_website",)),
-    ("What has happened recently?", "activity", ("registry_update",)),
+    ("What has happened recently?", "activity", ("news_item", "registry_update", "job_posting", "sitemap_lastmod")),
+    ("What changed since the last run?", "what_changed", ()),
     ("Are there warning signs?", "risks", ("status_flags", "equity")),
 )
+#: What is said of a first run instead of its changes. Fixed value.
+FIRST_RUN = "First run — there is no previous snapshot to compare."
 NOT_ESTABLISHED = "The evidence does not establish this."
 
 
@@ -58,14 +64,18 @@ def age(founded: Column, as_of: int) -> Column:
 
 def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
     """One row of sentences per entity; what has no available claim is NULL."""
-    fields = ["legal_name", "legal_form", "municipality", "industry_code", "industry_label", "registry_employees", "revenue", "annual_result", "equity", "status_flags", "founded", "official_website", "active_job_count"]
+    fields = ["legal_name", "legal_form", "municipality", "industry_code", "industry_label", "registry_employees", "revenue", "annual_result", "equity", "status_flags", "founded", "official_website", "active_job_count", "reporting_period", "accounts_filing_years", "business_address"]
     p = pivoted(claims, fields)
     roles = claims.where("availability = 'available' and field = 'role'").select("entity_id", "claim_id", F.get_json_object("value", "$.role").alias("role"), F.get_json_object("value", "$.name").alias("name"))
     roles = roles.groupBy("entity_id", "role").agg(F.slice(F.sort_array(F.collect_list(F.struct("claim_id", "name")))["name"], 1, 6).alias("n"))
     roles = roles.groupBy("entity_id").agg(F.array_join(F.sort_array(F.collect_list(F.concat("role", F.lit(": "), X.spoken_list(F.col("n"))))), "; ").alias("leaders"))
     events = claims.where("availability = 'available' and effective_date is not null and section = 'activity'")
     events = events.groupBy("entity_id").agg(F.max("effective_date").alias("last"), F.count("*").alias("n_events"))
-    p = p.join(roles, "entity_id", "left").join(events, "entity_id", "left")
+    p = p.join(roles, "entity_id", "left").join(events, "entity_id", "left").join(_trends(claims), "entity_id", "left")
+    years = F.array_sort(F.from_json("accounts_filing_years", "array<string>"))
+    filed = F.when(F.size(years) == 1, F.concat(F.lit("One annual-account filing is on file, for "), years[0], F.lit("."))).when(
+        F.size(years) > 1, F.concat(F.lit("Annual accounts are on file for "), F.size(years).cast("string"), F.lit(" years, "), years[0], F.lit(" to "), F.element_at(years, -1), F.lit("."))
+    )
     number = lambda c: F.col(c).cast("double")
     kr = F.lit("NOK")
     amounts = F.array_compact(F.array(F.concat(F.lit("revenue of "), X.money_text(number("revenue"), kr)), F.concat(F.when(number("annual_result") < 0, F.lit("a loss of ")).otherwise(F.lit("a result of ")), X.money_text(F.abs(number("annual_result")), kr))))
@@ -78,7 +88,9 @@ def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
         F.when(F.size(amounts) > 0, F.concat(F.lit("It filed "), X.spoken_list(amounts), F.lit("."))).alias("accounts"),
         F.when(jobs == 0, F.lit("No active job ads.")).when(jobs == 1, F.lit("1 active job ad.")).otherwise(F.concat(jobs.cast("string"), F.lit(" active job ads."))).alias("hiring"),
         "leaders",
-        F.concat(F.lit("Based in "), F.initcap("municipality"), F.lit(".")).alias("place"),
+        F.coalesce(F.concat(F.lit("Business address: "), F.coalesce(F.get_json_object("business_address", "$.address"), F.array_join(F.from_json("business_address", "array<string>"), ", "), F.col("business_address")), F.lit(".")), F.concat(F.lit("Based in "), F.initcap("municipality"), F.lit("."))).alias("place"),
+        "trend",
+        filed.alias("history"),
         F.col("official_website").alias("website"),
         F.concat(F.lit("Last event on "), "last", F.lit(" of "), F.col("n_events").cast("string"), F.lit(".")).alias("activity"),
         F.coalesce(F.nullif(F.array_join(risk_flags(F.col("status_flags"), number("equity")), " "), F.lit("")), F.when(F.col("status_flags").isNotNull(), F.lit("No flag is set."))).alias("risks"),
@@ -86,6 +98,31 @@ def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
     )
 
 
+def _trends(claims: DataFrame) -> DataFrame:
+    """(entity_id, trend): revenue and result of the newest accounts against those of the period before, as one sentence."""
+    ok = claims.where("availability = 'available'")
+    j = lambda k: F.get_json_object("value", f"$.{k}")
+    before = ok.where("field = 'accounts_prior_period'").groupBy("entity_id").agg(F.max(F.struct(j("reporting_period").alias("period"), j("revenue").cast("double").alias("revenue"), j("annual_result").cast("double").alias("annual_result"))).alias("b"))
+    now = ok.where(F.col("field").isin("revenue", "annual_result", "reporting_period")).groupBy("entity_id").agg(
+        *(F.max(F.when(F.col("field") == f, F.col("value"))).cast("double").alias(f) for f in ("revenue", "annual_result")), F.max(F.when(F.col("field") == "reporting_period", F.coalesce(F.get_json_object("value", "$.to"), X.period_end(F.col("value"))))).alias("period")
+    )
+    kr, text = F.lit("NOK"), F.concat
+    year = lambda c: F.left(c, F.lit(4))
+
+    def bit(field: str, label: str) -> Column:
+        old, new = F.col(f"b.{field}"), F.col(field)
+        pct = (new - old) / F.abs(old) * 100
+        ends = text(F.lit(" "), X.money_text(old, kr), F.lit(" ("), year(X.period_end(F.col("b.period"))), F.lit(") to "), X.money_text(new, kr), F.lit(" ("), year(F.col("period")), F.lit(")"))
+        moved = F.when((F.lit(field) == "annual_result") & ((new < 0) != (old < 0)), F.when(new > 0, F.lit(" moved from a loss to a profit,")).otherwise(F.lit(" moved from a profit to a loss,")))
+        moved = F.coalesce(moved, F.when(pct >= 0.5, text(F.lit(" rose "), F.round(pct).cast("int").cast("string"), F.lit("% from"))).when(pct <= -0.5, text(F.lit(" fell "), F.round(F.abs(pct)).cast("int").cast("string"), F.lit("% from"))))
+        flat = F.when(old != 0, text(F.lit(f"{label} was flat at about "), X.money_text(new, kr), F.lit(" between "), year(X.period_end(F.col("b.period"))), F.lit(" and "), year(F.col("period"))))
+        return F.coalesce(text(F.lit(label), moved, ends), flat)
+
+    bits = F.array_compact(F.array(bit("revenue", "revenue"), bit("annual_result", "annual result")))
+    said = X.spoken_list(bits)
+    return now.join(before, "entity_id").select("entity_id", F.when(F.size(bits) > 0, text(F.upper(F.left(said, F.lit(1))), F.substring(said, 2, 10_000), F.lit("."))).alias("trend"))
+
+
 def what_changed(changes: DataFrame, entities: DataFrame) -> DataFrame:
     """entities(entity_id, baseline) -> one sentence: first run, no changes, or counts by type."""
     table = F.create_map(*(F.lit(x) for k, v in PHRASES.items() for x in (k, F"{v[0]}|{v[1]}")))
@@ -109,15 +146,23 @@ def cannot_establish(claims: DataFrame, sections: Sequence[str] = SECTIONS) -> D
 
 
 def answers(claims: DataFrame, text: DataFrame, questions: Sequence[tuple[str, str, Sequence[str]]] = QUESTIONS) -> DataFrame:
-    """T5: every question for every entity of text: answer or a fixed sentence, ids of the claims and of their evidence, sorted."""
+    """T5: every question for every entity of text: answer or a fixed sentence, ids of the claims and of their evidence, sorted.
+
+    text is profile_text's rows, with what_changed and baseline (true: a first run) if the run before is known.
+    """
+    for c, kind in (("what_changed", "string"), ("baseline", "boolean")):
+        if c not in text.columns:
+            text = text.withColumn(c, F.lit(None).cast(kind))
+    first = F.coalesce("baseline", F.lit(False))
+    text = text.withColumn("big", F.coalesce("size", "accounts")).withColumn("what_changed", F.when(~first, F.col("what_changed")))
     q = F.explode(F.array(*(F.struct(F.lit(i).alias("ord"), F.lit(t).alias("question"), F.col(c).alias("answer"), F.array(*map(F.lit, f)).alias("fields")) for i, (t, c, f) in enumerate(questions))))
-    rows = text.select("entity_id", q.alias("q")).select("entity_id", "q.*")
+    rows = text.select("entity_id", first.alias("first_run"), q.alias("q")).select("entity_id", "first_run", "q.*")
     ok = claims.where("availability = 'available'").groupBy("entity_id", "field").agg(F.collect_set("claim_id").alias("c"), F.flatten(F.collect_list("evidence_ids")).alias("e"))
     used = rows.where("answer is not null").select("entity_id", "ord", F.explode("fields").alias("field")).join(ok, ["entity_id", "field"])
     used = used.groupBy("entity_id", "ord").agg(F.array_sort(F.flatten(F.collect_list("c"))).alias("claim_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("e")))).alias("evidence_ids"))
     none = F.array().cast("array<string>")
     out = rows.drop("fields").join(used, ["entity_id", "ord"], "left")
-    return out.select("entity_id", "ord", "question", F.col("answer").isNotNull().alias("answerable"), F.coalesce("answer", F.lit(NOT_ESTABLISHED)).alias("answer"), F.coalesce("claim_ids", none).alias("claim_ids"), F.coalesce("evidence_ids", none).alias("evidence_ids"))
+    return out.select("entity_id", "ord", "question", F.col("answer").isNotNull().alias("answerable"), F.coalesce("answer", F.when(F.col("first_run") & F.col("question").startswith("What changed"), F.lit(FIRST_RUN)), F.lit(NOT_ESTABLISHED)).alias("answer"), F.coalesce("claim_ids", none).alias("claim_ids"), F.coalesce("evidence_ids", none).alias("evidence_ids"))
 
 
 def verification(sites: DataFrame) -> DataFrame:

@@ -403,11 +403,35 @@ def t4_cannot_establish(spark: SparkSession, d: str) -> DataFrame:
     return out.where("text like 'No registry %'").select("entity_id", "text")
 
 
-@query("select q.question, count(*) as entities, count(*) filter (case q.k when 1 then true when 2 then c_custkey % 2 = 0 when 3 then c_custkey % 7 > 0 else c_custkey % 4 > 0 end) as answered from customer, (select unnest(['What does it do?', 'How big is it?', 'Where is it?', 'Are there warning signs?']) as question, unnest([1, 2, 3, 4]) as k) q group by 1")
+#: When a customer's registry record answers a question, as SQL.
+_ANSWERED = {
+    "What does the company do?": "true", "Who leads it?": "false", "How big is it?": "c_custkey % 2 = 0", "What did its latest accounts show?": "false", "Is it growing?": "false", "How long has it filed accounts?": "false", "Where is it?": "c_custkey % 7 > 0",
+    "Is it hiring?": "false", "What is its website?": "false", "What has happened recently?": "false", "What changed since the last run?": "c_custkey % 2 = 1", "Are there warning signs?": "c_custkey % 4 > 0",
+}
+
+
+@query(" union all ".join(f"select '{q}' as question, lpad(c_custkey::varchar, 9, '0') as entity_id, {ok} as answerable, {'c_custkey % 2 = 0' if q.startswith('What changed') else 'false'} as first_run from customer" for q, ok in _ANSWERED.items()))
 def t5_answers(spark: SparkSession, d: str) -> DataFrame:
+    """All twelve questions for every customer; customers with even numbers are in their first run."""
     c = _customer_claims(spark, d)
-    a = synth.answers(c, synth.profile_text(c, 2026)).where(F.col("question").isin("What does it do?", "How big is it?", "Where is it?", "Are there warning signs?"))
-    return a.groupBy("question").agg(F.count("*").alias("entities"), F.count(F.when(F.col("answerable"), 1)).alias("answered"))
+    text = synth.profile_text(c, 2026).withColumn("baseline", F.col("entity_id").cast("long") % 2 == 0).withColumn("what_changed", F.lit("No changes since the last run."))
+    return synth.answers(c, text).select("question", "entity_id", "answerable", (F.col("answer") == synth.FIRST_RUN).alias("first_run"))
+
+
+_SAID = "y as (select o_custkey::varchar as entity_id, year(o_orderdate) as y, round(sum(o_totalprice)) as rev from orders group by 1, 2), r as (select *, lag(rev) over w as old, lag(y) over w as oy, lead(y) over w as later, row_number() over w as k from y window w as (partition by entity_id order by y))"
+
+
+@query(
+    f"""with {_SAID}, p as (select *, (rev - old) / abs(old) * 100 as pct from r where later is null and k > 1)
+    select entity_id, case when pct >= 0.5 then 'rose' when pct <= -0.5 then 'fell' else 'flat' end as direction, oy::varchar as before, y::varchar as now, case when abs(pct) >= 0.5 then round(abs(pct))::int end as percent from p"""
+)
+def t1_trend(spark: SparkSession, d: str) -> DataFrame:
+    """The sentence about the newest year's revenue against the year before, taken apart again."""
+    f = _filings(spark, d)
+    claims = normalise.accounts_claims(f).where("field in ('revenue', 'reporting_period')").unionByName(normalise.prior_periods(f))
+    t = synth.profile_text(normalise.numbered(claims), 2026).where("trend is not null")
+    said = lambda pattern: F.nullif(F.regexp_extract("trend", pattern, 1), F.lit(""))
+    return t.select("entity_id", said("Revenue (?:was )?(rose|fell|flat)").alias("direction"), F.coalesce(said(r"from NOK [^(]*\((\d{4})\)"), said(r"between (\d{4})")).alias("before"), F.coalesce(said(r"to NOK [^(]*\((\d{4})\)"), said(r"and (\d{4})")).alias("now"), said(r"(\d+)%").cast("int").alias("percent"))
 
 
 @query("select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events")

@@ -10,6 +10,7 @@ from ..operators import pages as P
 from ..operators import rank, resolve
 from ..shared import shared_path, stored
 from ..streaming import feeds
+from .evidence import _DIFF, _snapshot
 from .registry import query, table
 
 
@@ -135,8 +136,9 @@ def _events_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1")
 def st1_feed_latest_stream(spark: SparkSession, d: str) -> DataFrame:
-    rows = _run_stream(spark, feeds.feed_latest_stream(_events_stream(spark, d).select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], "ts", "event_id"), "update")
-    return rank.latest_per_key(rows, ["user_id", "event_type"], "_batch", "event_id").select("user_id", "event_type", "event_id")
+    events = _events_stream(spark, d).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    rows = _run_stream(spark, feeds.feed_latest_stream(events, ["user_id", "event_type"], "ts", "event_id"), "update")
+    return rank.latest_per_key(rows, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id")
 
 
 @query("select strftime(date_trunc('day', ts), '%Y-%m-%d') as start, event_type as name, count(*) as n from events where event_id % 2 = 0 group by 1, 2")
@@ -162,6 +164,17 @@ def st3_change_stream(spark: SparkSession, d: str) -> DataFrame:
     return _run_stream(spark, feeds.change_stream(stream), "append").select("entity_id", "run", "field", "change_type")
 
 
+@query(f"{_DIFF} select entity_id, 2001::bigint as run, field, change_type, materiality, count(*) as n from ch group by 1, 3, 4, 5")
+def st3_claim_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Customers' snapshots as a stream of runs, the second one delivered twice; changes by the same rules as between tables."""
+    path = shared_path(spark, "claim-stream")
+    for year in (1998, 2001, 2001):  # the job runs whenever a run has come, and goes on where it stopped
+        run = _snapshot(spark, d, year).withColumn("run", F.lit(year).cast("long"))
+        run.write.mode("append").parquet(f"{path}/in")
+        feeds.claim_change_job(spark.readStream.schema(run.schema).parquet(f"{path}/in"), path).awaitTermination()
+    return spark.read.parquet(f"{path}/changes").groupBy("entity_id", "run", "field", "change_type", "materiality").agg(F.count("*").alias("n"))
+
+
 @query("select count(distinct text) as bodies from documents where text is not null")
 def st5_landing_dedupe(spark: SparkSession, d: str) -> DataFrame:
     schema = table(spark, d, "documents").schema

@@ -7,20 +7,27 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.diff import diff_claims
+from ..shared import stored
 
-def feed_latest_stream(stream: DataFrame, key: Sequence[str], ts: str, tiebreak: str, since: str | None = None) -> DataFrame:
-    """ST1: latest row of each key so far, in update mode; an older row that comes late changes nothing.
 
-    One struct a key is kept as state. `since` drops what is older than the lookback.
+def feed_latest_stream(stream: DataFrame, key: Sequence[str], ts: str, tiebreak: str, since: str | None = None, late: str = "60 days", span: str = "30 days") -> DataFrame:
+    """ST1: latest row of each key and span of event time so far, in update mode; an older row that comes late changes nothing.
+
+    One struct a key and span is kept as state, until the watermark (`late` behind the newest event) has passed the span's end. The
+    newest of a key's rows by ts, tiebreak is its latest one. `since` drops what is older than the lookback.
     """
     if since:
         stream = stream.where(F.col(ts) >= F.lit(since).cast(stream.schema[ts].dataType))
     rest = [c for c in stream.columns if c not in key]
     order = [ts, tiebreak, *[c for c in rest if c not in (ts, tiebreak)]]
-    return stream.groupBy(*key).agg(F.max(F.struct(*order)).alias("_r")).select(*key, *(F.col(f"_r.{c}") for c in rest))
+    rows = stream.withWatermark(ts, late).groupBy(F.window(ts, span), *key).agg(F.max(F.struct(*order)).alias("_r"))
+    return rows.select(*key, *(F.col(f"_r.{c}") for c in rest))
 
 
 def active_counts_stream(stream: DataFrame, name: str, ts: str, window: str = "1 day", late: str = "2 days") -> DataFrame:
@@ -60,6 +67,47 @@ def change_stream(stream: DataFrame) -> DataFrame:
     return stream.groupBy("entity_id").applyInPandasWithState(_compare, CHANGES, "s string", "append", GroupStateTimeout.NoTimeout)
 
 
+def claim_changes(known: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """ST3 by the rules of D: claims of whole runs (run and the columns of diff_claims) -> changes, and the claims to know next.
+
+    known holds the claims of each entity's newest run so far. Runs that are not newer give nothing, so a run delivered again or
+    late leaves all as it is. Each run is compared with the entity's run before it, several runs of a batch too: run pairs are
+    entities of their own for one comparison. Changes have entity_id and run. Both results are read from written tables.
+    """
+    if known is not None:
+        last = known.groupBy("entity_id").agg(F.max("run").alias("_last"))
+        batch = batch.join(last, "entity_id", "left").where("_last is null or run > _last").drop("_last")
+        batch = known.unionByName(batch.select(*known.columns))
+    claims = stored(batch, "claims")
+    runs = claims.select("entity_id", "run").distinct()
+    runs = stored(runs.withColumn("next", F.lead("run").over(W.partitionBy("entity_id").orderBy("run"))), "runs")
+    with_next = claims.join(runs, ["entity_id", "run"])
+    pair = lambda run: F.to_json(F.struct(F.col("entity_id").cast("string").alias("e"), F.col(run).cast("string").alias("r")))
+    before = with_next.where("next is not null").withColumn("entity_id", pair("next")).drop("run", "next")
+    after = claims.join(runs.select("entity_id", F.col("next").alias("run")).where("run is not null"), ["entity_id", "run"], "left_semi").withColumn("entity_id", pair("run")).drop("run")
+    kinds = {f.name: f.dataType for f in claims.schema.fields}
+    changes = diff_claims(before, after)
+    changes = changes.select(F.get_json_object("entity_id", "$.e").cast(kinds["entity_id"]).alias("entity_id"), F.get_json_object("entity_id", "$.r").cast(kinds["run"]).alias("run"), *changes.columns[1:])
+    return changes, with_next.where("next is null").drop("next")
+
+
+def claim_change_job(stream: DataFrame, path: str) -> StreamingQuery:
+    """ST3, ST4: the job over a stream of claims: changes under path/changes and known claims under path/known, a folder a batch.
+
+    A batch that runs again overwrites its own folders and starts from those of the batch before, so nothing is told twice.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at = lambda i: f"{path}/known/batch-{i}"
+        known = spark.read.schema(stream.schema).parquet(at(batch_id - 1)) if batch_id else None
+        changes, now = claim_changes(known, batch)
+        changes.write.mode("overwrite").parquet(f"{path}/changes/_batch={batch_id}")
+        now.select(*stream.columns).write.mode("overwrite").parquet(at(batch_id))
+
+    return stream.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(step).start()
+
+
 def landing_dedupe(stream: DataFrame, ts: str | None = None, late: str = "60 days") -> DataFrame:
     """ST5: each body once, by its hash; with an event time the state of old hashes is let go."""
     out = stream.withColumn("sha256", F.sha2(F.col("body").cast("binary"), 256))
