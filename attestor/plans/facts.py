@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..operators import joins, resolve
+from ..operators import diff, joins, quality, resolve, synth
 from ..operators import pages as P
-from ..shared import stored
+from ..shared import shared_path, stored
+from ..sources import io
 from .registry import query, table
 
 #: A page's facts in front of its own HTML; {n} is its number, {m} two digits of it.
@@ -254,3 +255,160 @@ _texts("x20_labelled_numbers", (("Org.nr: 993 075 558, nr {n}", "993075558"), ("
 _texts("x20_company_names", (("Her er Einar Blåuw AS og Beta{n} ASA.", "Einar Blåuw AS|Beta{n} ASA"), ("Ærlig AS, ÆRLIG AS", "Ærlig AS"), ("ingen as", "")), lambda c: F.array_join(X.company_names(c), "|"))
 _texts("x21_brand", (("Home | Nordlys{n} mat – Nordlys Bakeri{n}", "Nordlys Bakeri{n}"), ("Hjem · Bakeri {n}", "Bakeri {n}"), ("Forside", None)), lambda c: X.brand(X.title_parts(c), F.concat(F.array(F.lit("nordlys"), F.lit("bakeri")), F.transform(F.regexp_extract_all(c, F.lit("([0-9]+)"), F.lit(1)), lambda n: F.concat(F.lit("bakeri"), n)))))
 _texts("x23_punycode_host", (("xn--pnerom-hua.no", "åpnerom.no"), ("a{n}.no", "a{n}.no"), ("xn--{n}-.no", "xn--{n}-.no")), X.punycode_host)
+
+
+_texts("d1_claim_key", (("https://www.A.no/b{n}/", "a.no/b{n}"), ('{"url":"http://a.no/{n}/","name":"x"}', "a.no/{n}"), ('{"name":"A  B{n}","role":"Chair"}', "a b{n}|chair"), ('{"name":"A","role_code":"LEDE","role":"x"}', "a|lede"), ('{"platform":"X"}', "x"), ('{"date":"2024-01-0{n}","change_type":"c"}', "2024-01-0{n}|c"), ('{"name":"Cook {n}"}', "cook {n}"), ('{"b":1,"a":{n}}', "{a:{n},b:1}"), ("plain {n}", "")), diff.claim_key)
+
+
+def _c(field: str, value: object, section: str = "identity", state: str = "available", period: str | None = None, note: str | None = None, source: str | None = None) -> tuple:
+    return field, section, value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":")), state, period, note, source
+
+
+#: Claims of two runs by turns, and the changes between them: (field, type, materiality, earlier value, later value). {n}: the customer.
+_RUNS = (
+    ([_c("legal_name", "Alfa {n}")], [_c("legal_name", "Beta {n}")], [("legal_name", "changed_name", "material", "Alfa {n}", "Beta {n}")]),
+    ([_c("legal_name", "Alfa  {n}")], [_c("legal_name", "ALFA {n}")], []),
+    ([_c("reporting_period", {"to": "2023-12-31"}, "accounts"), _c("revenue", "1.0", "accounts", period="2023")], [_c("reporting_period", {"to": "2024-12-31"}, "accounts"), _c("revenue", "2.0", "accounts", period="2024")], [("reporting_period", "new_filing", "material", '{"to":"2023-12-31"}', '{"to":"2024-12-31"}')]),
+    ([_c("accounts_filing_years", ["2022"], "accounts")], [_c("accounts_filing_years", ["2022", "2023"], "accounts")], [("accounts_filing_years", "new_filing", "material", '["2022"]', '{"new_periods":["2023"]}')]),
+    ([_c("equity", "1.0", "accounts", period="2023"), _c("revenue", "1.0", "accounts", period="2023")], [_c("equity", "2.0", "accounts", period="2024"), _c("revenue", "9.0", "accounts", period="2024")], [("equity", "new_filing", "material", '{"reporting_period":"2023","value":"1.0"}', '{"reporting_period":"2024","value":"2.0"}')]),
+    ([_c("revenue", "1.{n}", "accounts", period="2023")], [_c("revenue", "2.{n}", "accounts", period="2023")], [("revenue", "changed_financials", "material", "1.{n}", "2.{n}")]),
+    (
+        [_c("legal_form", "AS"), _c("business_address", {"a": 1, "b": 2}), _c("registered_address", "x"), _c("status_flags", {"a": True}), _c("registry_website", "a.no"), _c("registry_employees", "1"), _c("industry_code", "1"), _c("public_brand", "A", "web"), _c("website_description", "d", "web"), _c("official_website", "https://a.no", "web")],
+        [_c("legal_form", "ASA"), _c("business_address", {"b": 2, "a": 1}), _c("registered_address", "y"), _c("status_flags", {"a": False}), _c("registry_website", "b.no"), _c("registry_employees", "2"), _c("industry_code", "2"), _c("public_brand", "B", "web"), _c("website_description", "D", "web"), _c("official_website", "https://b.no", "web")],
+        [("legal_form", "changed_legal_form", "material", "AS", "ASA"), ("registered_address", "changed_address", "material", "x", "y"), ("status_flags", "changed_status", "material", '{"a":true}', '{"a":false}'), ("registry_website", "changed_registry_website", "material", "a.no", "b.no"), ("registry_employees", "changed_employee_count", "minor", "1", "2"), ("industry_code", "changed_industry", "material", "1", "2"), ("public_brand", "changed_brand", "minor", "A", "B"), ("website_description", "changed_description", "minor", "d", "D"), ("official_website", "changed_website", "material", "https://a.no", "https://b.no")],
+    ),
+    ([_c("legal_name", "A")], [_c("legal_name", "A"), _c("official_website", "https://a{n}.no", "web")], [("official_website", "new_website", "material", None, "https://a{n}.no")]),
+    ([_c("official_website", "http://www.a.no/", "web")], [_c("official_website", "https://a.no", "web")], []),
+    ([_c("former_names", ["X"])], [_c("former_names", ["X", "Y"])], [("former_names", "changed_name", "material", '["X"]', '{"former_names_added":["Y"]}')]),
+    (
+        [_c("job_posting", {"name": "cook"}, "hiring", source="nav"), _c("job_posting", {"name": "smith"}, "hiring", source="nav"), _c("role", {"name": "A", "role": "chair"}, "leadership"), _c("workplace", {"name": "W"}, "footprint")],
+        [_c("job_posting", {"name": "Cook"}, "hiring", source="nav_feed"), _c("job_posting", {"name": "baker"}, "hiring", source="nav_feed"), _c("role", {"name": "B", "role": "chair"}, "leadership"), _c("workplace", {"name": "V"}, "footprint"), _c("social_profile", {"platform": "x"}, "web")],
+        [("job_posting", "closed_job", "material", '{"name":"smith"}', None), ("job_posting", "new_job", "material", None, '{"name":"baker"}'), ("role", "removed_role", "material", '{"name":"A","role":"chair"}', None), ("role", "new_role", "material", None, '{"name":"B","role":"chair"}'), ("workplace", "removed_location", "material", '{"name":"W"}', None), ("workplace", "new_location", "material", None, '{"name":"V"}'), ("social_profile", "new_social_profile", "minor", None, '{"platform":"x"}')],
+    ),
+    ([_c("job_posting", {"name": "cook"}, "hiring", source="nav")], [_c("job_posting", {"name": "smith"}, "hiring", source="site")], [("job_posting", "new_job", "material", None, '{"name":"smith"}')]),
+    ([_c("job_posting", {"name": "cook"}, "hiring", source="nav")], [_c("job_posting", {"name": "smith"}, "hiring", source="site"), _c("active_job_count", "0", "hiring")], [("job_posting", "closed_job", "material", '{"name":"cook"}', None), ("job_posting", "new_job", "material", None, '{"name":"smith"}')]),
+    ([_c("revenue", "1", "accounts")], [_c("revenue", None, "accounts", "not_available", note="not checked this run: late")], []),
+    ([_c("revenue", "1", "accounts")], [_c("revenue", None, "accounts", "failed")], [("revenue", "availability_changed", "material", "available", "failed")]),
+    ([_c("founded", None, state="failed")], [_c("founded", "2001")], [("founded", "availability_changed", "minor", "failed", "available")]),
+    ([], [_c("legal_name", "New {n}")], []),
+    ([_c("news_item", {"url": "http://a/1"}, "activity"), _c("registry_update", {"date": "2024-01-01", "change_type": "Ny"}, "activity")], [_c("news_item", {"url": "http://a/2"}, "activity"), _c("registry_update", {"date": "2024-02-01", "change_type": "Ny"}, "activity")], [("news_item", "new_news", "minor", None, '{"url":"http://a/2"}'), ("registry_update", "new_registry_update", "minor", None, '{"date":"2024-02-01","change_type":"Ny"}')]),
+)
+
+
+def _side(spark: SparkSession, d: str, side: int) -> DataFrame:
+    """One run's claims of every customer, each with an evidence id of its own; the earlier run read in May, the later one in June."""
+    kinds = "array<struct<ord:int,field:string,section:string,value:string,availability:string,reporting_period:string,note:string,source:string>>"
+    claim = lambda i, c: F.struct(F.lit(i).alias("ord"), *(F.lit(v).cast("string").alias(n) for n, v in zip(("field", "section", "value", "availability", "reporting_period", "note", "source"), c, strict=True)))
+    runs = F.array(*(F.array(*(claim(i, c) for i, c in enumerate(run[side]))).cast(kinds) for run in _RUNS))
+    c = table(spark, d, "customer").select("c_custkey", F.explode(F.element_at(runs, (F.col("c_custkey") % len(_RUNS) + 1).cast("int"))).alias("c"))
+    out = c.select(F.col("c_custkey").alias("entity_id"), "c.*").withColumn("value", F.replace("value", F.lit("{n}"), F.col("entity_id").cast("string")))
+    when = ("2024-05-01", "2024-06-01")[side]
+    return out.withColumns({"observed": F.when(F.col("ord") > 0, F.lit(when)), "run_started": F.lit(when + "T00"), "run_completed": F.lit(when + "T09"), "evidence_ids": F.array(F.concat(F.lit("pc"[side]), F.col("ord").cast("string")))})
+
+
+def _place(claims: list[tuple], field: str, value: str | None) -> int:
+    """Place of a field's claim that holds a value, else its first."""
+    at = [i for i, c in enumerate(claims) if c[0] == field]
+    return next((i for i in at if claims[i][2] == value), at[0])
+
+
+def _told(run: tuple, change: tuple) -> str:
+    """A change as a DuckDB struct, with the time of the earlier claim (of its run where it is the first), else of the later one, and both ids."""
+    field, kind, materiality, before, after = change
+    lone = kind in {*diff.ADDED.values(), *diff.REMOVED.values(), "new_website"}
+    p = None if lone and before is None else _place(run[0], field, before)
+    c = None if lone and after is None else _place(run[1], field, after)
+    at, day = (p, "2024-05-01") if p is not None else (c, "2024-06-01")
+    seen = day if at else day + "T00"
+    ids = [x if x is None else f"{s}{x}" for s, x in (("c", c), ("p", p))]
+    quoted = [_sql_text(x) for x in (field, kind, materiality, before, after, seen)]
+    names = ("field", "change_type", "materiality", "previous_value", "current_value", "first_observed")
+    lists = [f"'{n}': '{i or ''}'" for n, i in zip(("evidence", "previous_evidence"), ids, strict=True)]
+    return "{" + ", ".join([*(f"'{n}': {v}::varchar" for n, v in zip(names, quoted, strict=True)), *lists]) + "}"
+
+
+@query(
+    "select c_custkey as entity_id, x.field as field, x.change_type as change_type, x.materiality as materiality, x.previous_value as previous_value, x.current_value as current_value, x.first_observed as first_observed, '2024-06-01T09' as last_observed, x.evidence as evidence, x.previous_evidence as previous_evidence from ("
+    f"select c_custkey, unnest(case c_custkey % {len(_RUNS)} " + " ".join(f"when {i} then [{', '.join(_told(run, ch) for ch in run[2])}]" for i, run in enumerate(_RUNS) if run[2]) + " end) as x from customer)"
+)
+def d1_d12_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Every rule of change detection on every customer: types, values, times, evidence; the first run of an entity and skipped steps give nothing."""
+    out = diff.diff_claims(_side(spark, d, 0), _side(spark, d, 1))
+    return out.select("entity_id", "field", "change_type", "materiality", "previous_value", "current_value", "first_observed", "last_observed", F.array_join("evidence_ids", ",").alias("evidence"), F.array_join("previous_evidence_ids", ",").alias("previous_evidence"))
+
+
+@query("select user_id::varchar as company, count(*) as requests, sum(1 + event_id % 3)::bigint as attempts, count(*) filter (event_type = 'error') as failed from events group by 1")
+def io7_fetch_log(spark: SparkSession, d: str) -> DataFrame:
+    """A request log of the events, written as JSON lines and read by its schema."""
+    path = shared_path(spark, "fetch-log")
+    log = (
+        "cast(user_id as string) as company", "concat('https://a.no/', event_id) as url", "if(event_type = 'error', 503, 200) as status", "1 + event_id % 3 as attempts", "array() as redirects",
+        "if(event_type = 'error', 'x', null) as error", "event_id as bytes", "5 as elapsed_ms", "ts as at",
+    )
+    table(spark, d, "events").selectExpr(*log).write.json(path)
+    return io.fetch_log(spark, path).groupBy("company").agg(F.count("*").alias("requests"), F.sum("attempts").alias("attempts"), F.count(F.when(F.col("status") >= 400, 1)).alias("failed"))
+
+
+@query("select o_orderkey as id, strftime(o_orderdate, '%Y-%m-%d') as lastmod from orders")
+def io9_xml_items(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as entries of sitemaps, a thousand keys a file, written as XML text and read by their row tag."""
+    path = shared_path(spark, "sitemap")
+    row = F.concat(F.lit("<url><loc>https://a.no/"), F.col("o_orderkey").cast("string"), F.lit("?a=1&amp;b=2</loc><lastmod>"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</lastmod></url>"))
+    maps = table(spark, d, "orders").groupBy(F.expr("o_orderkey div 1000").alias("map")).agg(F.array_join(F.collect_list(row), "").alias("u"))
+    maps.select(F.concat(F.lit("<urlset>"), "u", F.lit("</urlset>")).alias("value"), "map").write.partitionBy("map").text(path)
+    out = io.xml_items(spark, path, "url", "loc string, lastmod string")
+    return out.select(F.regexp_extract("loc", r"/(\d+)\?a=1&b=2$", 1).cast("long").alias("id"), "lastmod")
+
+
+@query("select c_custkey as id, c_name as name, count(o_orderkey) as orders from customer left join orders on o_custkey = c_custkey group by 1, 2")
+def io10_compressed_export(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of customers with their orders, exported as gzipped JSON lines and read back."""
+    path = shared_path(spark, "export")
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list("o_orderkey").alias("orders"))
+    docs = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).join(orders, "id", "left")
+    io.compressed_export(docs, path)
+    return spark.read.schema("id long, name string, orders array<long>").json(path).select("id", "name", F.coalesce(F.size("orders"), F.lit(0)).cast("long").alias("orders"))
+
+
+#: Problems of a site by turns, from what a verdict on it says.
+_AUDITED = (("exact", "org_number_on_page", True, "{n} is here", None), ("review", "name_match_but_other_org_number", True, "{n} is here", "another number,not exact now"), ("review", "title_names_another_entity", False, "{n} is here", "another entity,brand,not exact now"), ("exact", "org_number_on_page", True, "not there", "span not on page"), ("review", "page_lists_many_companies", True, "{n} is here", "a listing,not exact now"))
+
+
+@query(f"select c_custkey as entity_id, unnest(string_split(case when c_custkey % 6 = 5 then 'page gone' else case c_custkey % 6 {' '.join(f'when {i} then {_sql_text(p)}' for i, (*_, p) in enumerate(_AUDITED))} end end, ',')) as problem from customer")
+def q4_site_audit(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("n"), (F.col("c_custkey") % 6).cast("int").alias("turn"))
+    published = c.select(F.col("c_custkey").alias("entity_id"), F.col("c_custkey").alias("page_id"), F.concat("n", F.lit(" is here")).alias("claim_span"))
+    pick = lambda k: F.element_at(F.array(*(F.lit(x[k]) for x in _AUDITED)), F.col("turn") + 1)
+    seen = c.where("turn < 5")
+    verdicts = seen.select(F.col("c_custkey").alias("entity_id"), F.col("c_custkey").alias("page_id"), pick(0).alias("status"), F.array(pick(1)).alias("reasons"), F.replace(pick(3), F.lit("{n}"), F.col("n")).alias("text"), pick(2).alias("brand_shared"))
+    return quality.site_audit(published, verdicts)
+
+
+@query("select c_custkey, case c_custkey % 4 when 0 then 'Marked as bankrupt.' when 1 then 'Marked as being wound up. Marked as under forced liquidation.' when 2 then 'Equity is negative (NOK -' || (1 + c_custkey % 9) || '.0 million).' else '' end as value from customer")
+def t2_risk_flags(spark: SparkSession, d: str) -> DataFrame:
+    flags = F.element_at(F.array(F.lit('{"bankrupt":true}'), F.lit('{"bankrupt":false,"liquidating":true,"forced_liquidation":true}'), F.lit("{}"), F.lit(None).cast("string")), (F.col("c_custkey") % 4 + 1).cast("int"))
+    equity = F.when(F.col("c_custkey") % 4 == 2, -1e6 * (1 + F.col("c_custkey") % 9)).otherwise(F.lit(5.0))
+    return table(spark, d, "customer").select("c_custkey", F.array_join(synth.risk_flags(flags, equity), " ").alias("value"))
+
+
+@query(
+    """select c_custkey as entity_id, case c_custkey % 3 when 0 then 'Verified because the organisation number is printed on the page.' when 1 then 'Verified because the page writes the legal name and the registered address and street with number gate ' || c_custkey || '.' end as text from customer"""
+)
+def t6_verification(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("c_custkey").cast("string")
+    reasons = F.element_at(F.array(F.array(F.lit("org_number_on_page"), F.lit("org_number:labelled")), F.array(F.lit("legal_name_and_registered_address"), F.concat(F.lit("street_with_number:gate "), n)), F.array(F.lit("name_only"))), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return synth.verification(table(spark, d, "customer").select(F.col("c_custkey").alias("entity_id"), reasons.alias("reasons")))
+
+
+@query(
+    """with o as (select o_custkey, count(*) as n, bool_or(o_orderstatus = 'P') as bad from orders group by 1), e as (select user_id, count(*) as n from events group by 1)
+    select c_custkey as entity_id, coalesce(o.n, 0) as claims, coalesce(e.n, 0) as changes, case when o.n is null or c_custkey % 5 = 0 then 'failed' when o.bad then 'completed_with_errors' else 'completed' end as terminal_status from customer left join o on o_custkey = c_custkey left join e on user_id = c_custkey"""
+)
+def t7_profile_document(spark: SparkSession, d: str) -> DataFrame:
+    """One nested document a customer: orders as claims, events as changes, states by section."""
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    claims = o.selectExpr("o_custkey as entity_id", "cast(o_orderkey as string) as claim_id", "'s' as section", "o_orderpriority as field", "'v' as value", "'available' as availability")
+    states = c.selectExpr("c_custkey as entity_id", "'identity' as section", "if(c_custkey % 5 = 0, 'failed', 'available') as state").union(o.groupBy("o_custkey").agg(F.expr("if(bool_or(o_orderstatus = 'P'), 'failed', 'available')").alias("state")).select("o_custkey", F.lit("web"), "state"))
+    changes = table(spark, d, "events").selectExpr("user_id as entity_id", "event_type as field", "'x' as change_type", "'minor' as materiality")
+    out = synth.profile_document(c.selectExpr("c_custkey as pos", "c_custkey as id"), claims, states, changes, c.selectExpr("c_custkey as entity_id", "c_name as what"))
+    return out.select("entity_id", F.coalesce(F.size("claims"), F.lit(0)).cast("long").alias("claims"), F.coalesce(F.size("changes"), F.lit(0)).cast("long").alias("changes"), "terminal_status")

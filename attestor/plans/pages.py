@@ -40,7 +40,7 @@ def p3_site_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def p4_contacts(spark: SparkSession, d: str) -> DataFrame:
-    return P.contacts(_parsed(spark, d))
+    return P.contacts(stored(_parsed(spark, d), "parsed"))
 
 
 @query()
@@ -50,12 +50,12 @@ def p6_nodes_by_type(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def p10_news_items(spark: SparkSession, d: str) -> DataFrame:
-    return P.news_items(_parsed(spark, d))
+    return P.news_items(stored(_parsed(spark, d), "parsed"))
 
 
 @query()
 def p12_fill_absence(spark: SparkSession, d: str) -> DataFrame:
-    parsed = _parsed(spark, d)
+    parsed = stored(_parsed(spark, d), "parsed")
     site = X.registered_domain(X.host(F.col("url")))
     found = P.contacts(parsed).select(F.col("site").alias("entity_id"), F.lit("web").alias("section"), "field")
     return P.fill_absence(found, parsed.select(site.alias("entity_id")).distinct())
@@ -102,6 +102,20 @@ def x7_emails(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("domain", X.email_domain(F.col("email")))
 
 
+_LOW = "replace(replace(lower(text), 'æ', 'ae'), 'ø', 'o')"
+_PLAIN = f"translate({_LOW}, '{X.ACCENTED}', '{X.PLAIN}')"
+_FEED = "translate(replace(replace(replace(lower(text), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), '" + X.ACCENTED + "', '" + X.PLAIN + "')"
+_AD = "replace(replace(replace(replace(lower(text), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), 'å', 'a')"
+_SPACED = r"trim(regexp_replace(regexp_replace({}, '{}', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(rf"select doc_id, sha256(regexp_replace({_PLAIN}, '[^\x00-\x7F]', '', 'g')) as identity, sha256({_SPACED.format(_FEED, '[^a-z0-9 ]+')}) as feed, sha256({_SPACED.format(_AD, r'[^\p{L}\p{N}_]+')}) as ad from documents where text is not null")
+def x1_folds(spark: SparkSession, d: str) -> DataFrame:
+    """The three folds of every document, by their digests."""
+    folds = {"identity": X.fold_ascii, "feed": X.fold_feed, "ad": X.fold_words}
+    return table(spark, d, "documents").where("text is not null").select("doc_id", *(F.sha2(f(F.col("text")), 256).alias(n) for n, f in folds.items()))
+
+
 @query(r"select doc_id, length(trim(regexp_replace(regexp_replace(translate(replace(replace(replace(lower(text), 'ß', 'ss'), 'æ', 'ae'), 'ø', 'o'), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿšž', 'aaaaaaceeeeiiiinooooouuuuyysz'), '[^a-z0-9 ]+', ' ', 'g'), '\s+', ' ', 'g'))) as folded_chars from documents")
 def x1_fold_feed(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.char_length(X.fold_feed(F.col("text"))).cast("long").alias("folded_chars"))
