@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets.append(materialize(all_.join(ids.withColumn("asked", F.lit(True)), "id", "left").where("n > 1 or asked"), "sets"))
         reps = sets[0].where("asked").select("id", F.col("r.doc_id").alias("rep"), F.col("r.row").alias("rep_row"))
         same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("row") == F.col("rep_row"))
-        return docs.join(reps, same).select("id", F.col("text").alias("payload")).dropDuplicates(["id"])
+        return docs.join(reps.hint("merge"), same).select("id", F.col("text").alias("payload")).dropDuplicates(["id"])
 
     labels = link(members, texts, lambda x, y: F.expr(f"100 * least({x}, {y}) >= {PERCENT} * greatest({x}, {y})"), Jaccard)
     labels = materialize(labels, "labels")
