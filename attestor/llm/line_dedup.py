@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, materialize, row_key, ship, spread_join
+from .common import carried, chunks, materialize, row_key, ship, spread_join
 from .linking import Matcher, link
 
 #: Edits between two lines that still count as one, and the characters below which they could rewrite a whole line: each of
@@ -65,13 +65,23 @@ def line_keys(line: str, edits: int = EDITS) -> list[int]:
     return [digest(line[s:e].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for s, e, seed in found]
 
 
+#: Characters that are counted together at most; a longer line is counted in slices.
+COUNTED = 1_000_000
+
+
 def marks(lines: list[str]) -> np.ndarray:
     """The mark of each line. An edit changes the parity of two classes at most, and the length by one."""
+    wide = lambda text: np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) % CLASSES
     size = np.array([len(x) for x in lines], np.int64)
-    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    place = np.repeat(np.arange(len(lines), dtype=np.int64) * CLASSES, size) + flat % CLASSES
-    odd = (np.bincount(place, minlength=len(lines) * CLASSES) & 1).reshape(-1, CLASSES).astype(np.uint64)
-    parity = (odd << np.arange(CLASSES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    odd = np.zeros((len(lines), CLASSES), np.uint64)
+    for lo, hi in chunks(size, COUNTED):
+        if hi == lo + 1:
+            for at in range(0, len(lines[lo]), COUNTED):
+                odd[lo] += np.bincount(wide(lines[lo][at : at + COUNTED]), minlength=CLASSES).astype(np.uint64)
+        else:
+            place = np.repeat(np.arange(hi - lo, dtype=np.int64) * CLASSES, size[lo:hi]) + wide("".join(lines[lo:hi]))
+            odd[lo:hi] = np.bincount(place, minlength=(hi - lo) * CLASSES).reshape(-1, CLASSES)
+    parity = ((odd & np.uint64(1)) << np.arange(CLASSES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
     return (parity | (size.astype(np.uint64) << np.uint64(CLASSES))).view(np.int64)
 
 
@@ -151,6 +161,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     given: set[int] = set()
     rows: list[tuple] = []
     texts: list[str] = []
+    held = 0
 
     def out() -> pa.RecordBatch:
         doc, row, pos, ids, keys = zip(*rows, strict=True) if rows else ((),) * 5
@@ -159,7 +170,6 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
-            held = 0
             for pos, line in enumerate((text or "").split("\n")):
                 if line.strip(_BLANK):
                     h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
@@ -175,7 +185,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield out()
                         rows, texts, held = [], [], 0
         yield out()
-        rows, texts = [], []
+        rows, texts, held = [], [], 0
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
@@ -196,7 +206,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         first = first.join(ids.withColumn("asked", F.lit(True)), "id", "left").where("n > 1 or asked")
         spots.append(materialize(first, "spots"))
         places = spots[0].where("asked").groupBy(F.col("at.doc_id").alias("d"), F.col("at.row").alias("r")).agg(F.collect_list(F.struct("id", "at.pos")).alias("held"))
-        found = docs.join(places, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+        found = docs.join(places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
         found = found.select(F.split("text", "\n", -1).alias("lines"), F.inline("held"))
         return found.select("id", F.col("lines")[F.col("pos")].alias("payload")).dropDuplicates(["id"])
 
@@ -218,7 +228,7 @@ def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     """
     gone = materialize(duplicate_lines(docs).select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "drop"), "gone")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("key"), carried(docs).alias("own"))
-    out = rows.join(gone, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("r")), "left")
+    out = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("r")), "left")
     split = F.when(F.col("drop").isNotNull(), F.split("own.text", "\n", -1))
     out = out.select("own", "drop", split.alias("lines"))
     keep = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop"))

@@ -107,6 +107,34 @@ def test_edit_distance_and_probes():
             assert set(line_dedup.line_keys(a)) & set(line_dedup.line_keys(b))
 
 
+def test_marks_and_probes_of_any_number_of_edits(monkeypatch):
+    """Marks of lines in reach fit, in numpy and by slices; the segments find every pair whatever the edits are."""
+    rng = random.Random(9)
+
+    def edited(a, n):
+        b = list(a)
+        for _ in range(n):
+            i, kind = rng.randrange(len(b) + 1), rng.random()
+            if kind < 0.5:
+                b.insert(i, rng.choice("abé日"))
+            elif i < len(b):
+                b[i : i + 1] = [] if kind < 0.75 else [rng.choice("abz")]
+        return "".join(b)
+
+    lines = ["".join(rng.choices("abcdef é日 ABC", k=rng.randint(0, 200))) for _ in range(500)]
+    near = [edited(x, rng.randint(0, line_dedup.EDITS)) for x in lines]
+    a, b = line_dedup.marks(lines), line_dedup.marks(near)
+    assert line_dedup.Edits().fit(a, b).all()
+    assert not line_dedup.Edits().fit(a, line_dedup.marks([x + "qvw" for x in lines])).any()
+    monkeypatch.setattr(line_dedup, "COUNTED", 7)
+    assert (line_dedup.marks(lines) == a).all() and len(line_dedup.marks([])) == 0
+    for edits in (1, 2, 3, 4):
+        for x in lines:
+            y = edited(x, edits)
+            if min(len(x), len(y)) > edits:
+                assert set(line_dedup.line_keys(x, edits)) & set(line_dedup.line_keys(y, edits)), (edits, x, y)
+
+
 def test_lines_against_brute_force(spark):
     rng = random.Random(2)
     line = lambda n=60: "".join(rng.choices("abcdefghij ", k=n))
