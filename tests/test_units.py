@@ -63,6 +63,10 @@ def values(spark):
         (X.literal_span(s("a"), s("b")), None),
         (X.literal_span(s("Ås/ø 😀"), s('{"u":"\\u00c5s\\/\\u00f8 \\ud83d\\ude00"}')), "\\u00c5s\\/\\u00f8 \\ud83d\\ude00"),
         (X.literal_span(s("Ås/ø"), s('{"u":"\\u00c5s/\\u00f8"}')), "\\u00c5s/\\u00f8"),
+        (X.literal_span(s("Hålandsvegen 33"), s('{"address":"H\\u00E5landsvegen 33 \\nBryne"}')), "H\\u00E5landsvegen 33"),
+        (X.literal_span(s('{"formaal":["Salg av varer","og tjenester"]}'), s('{"navn":"X AS","formaal" : ["Salg av varer","og tjenester"],"z":1}')), '"formaal" : ["Salg av varer","og tjenester"]'),
+        (X.literal_span(s('{"navn":"X AS","n":12,"gone":1}'), s('{"a":0, "navn": "X AS", "b":[1], "n":12}')), '"navn": "X AS", "b":[1], "n":12'),
+        (X.literal_span(s('{"navn":"Y"}'), s('{"navn":"X"}')), None),
         (X.excerpt_match(s("xx ÆRØ  Bakeri yy"), X.accented(F.array(s("aero"), s("bakeri")), r"\s+"), 10), "ÆRØ Bakeri"),
         (X.excerpt_match(s("none"), X.accented(F.array(s("aero")), " "), 10), ""),
         (X.canonical(s('{"b":1,"a":"X  y"}')), '{a:x y,b:1}'),
