@@ -252,32 +252,49 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").selectExpr(
         "lpad(cast(c_custkey as string), 9, '0') as organisasjonsnummer", "c_name as navn", "named_struct('kode', if(c_custkey % 5 = 0, 'ENK', 'AS'), 'beskrivelse', cast(null as string)) as organisasjonsform",
         f"cast(if(c_custkey % 7 = 0, null, named_struct('adresse', array('Gate 1'), 'postnummer', '0150', 'poststed', 'OSLO', 'kommune', concat('K', c_nationkey), 'kommunenummer', '0301', 'land', 'Norge', 'landkode', 'NO')) as {normalise.ADDRESS}) as forretningsadresse",
-        f"cast(null as {normalise.ADDRESS}) as postadresse", "named_struct('kode', cast(c_nationkey as string), 'beskrivelse', c_mktsegment) as naeringskode1", "c_custkey % 2 = 0 as harRegistrertAntallAnsatte", "cast(c_custkey % 50 as int) as antallAnsatte",
-        "'2001-02-03' as registreringsdatoEnhetsregisteret", "cast(null as string) as stiftelsesdato", "if(c_custkey % 3 = 0, null, c_custkey % 3 = 1) as registrertIMvaregisteret", "if(c_custkey % 4 = 0, null, c_acctbal < 0) as konkurs",
-        "cast(null as boolean) as underAvvikling", "cast(null as boolean) as underTvangsavviklingEllerTvangsopplosning", "cast(null as string) as sisteInnsendteAarsregnskap", "cast(null as array<string>) as vedtektsfestetFormaal",
-        "if(c_custkey % 6 = 0, '', concat('www.c', c_custkey, '.no')) as hjemmeside", "cast(null as string) as epostadresse", "cast(null as string) as telefon", "cast(null as string) as mobil", "cast(null as array<struct<navn:string>>) as historiskeNavn")
+        f"cast(if(c_custkey % 8 = 0, named_struct('adresse', array('Postboks', cast(c_custkey as string)), 'postnummer', '0101', 'poststed', 'OSLO', 'kommune', 'P', 'kommunenummer', '0301', 'land', 'Norge', 'landkode', cast(null as string)), null) as {normalise.ADDRESS}) as postadresse", "named_struct('kode', cast(c_nationkey as string), 'beskrivelse', c_mktsegment) as naeringskode1", "c_custkey % 2 = 0 as harRegistrertAntallAnsatte", "cast(c_custkey % 50 as int) as antallAnsatte",
+        "'2001-02-03' as registreringsdatoEnhetsregisteret", "if(c_custkey % 9 = 0, '1999-01-02', null) as stiftelsesdato", "if(c_custkey % 3 = 0, null, c_custkey % 3 = 1) as registrertIMvaregisteret", "if(c_custkey % 4 = 0, null, c_acctbal < 0) as konkurs",
+        "cast(null as boolean) as underAvvikling", "cast(null as boolean) as underTvangsavviklingEllerTvangsopplosning", "if(c_custkey % 10 = 0, '2023', '') as sisteInnsendteAarsregnskap", "if(c_custkey % 11 = 0, array('Salg av', 'varer'), array()) as vedtektsfestetFormaal",
+        "if(c_custkey % 6 = 0, '', concat('www.c', c_custkey, '.no')) as hjemmeside", "if(c_custkey % 12 = 0, concat('post@c', c_custkey, '.no'), null) as epostadresse", "if(c_custkey % 13 = 0, '22 33 44 55', '') as telefon", "if(c_custkey % 14 = 0, '99 88 77 66', null) as mobil",
+        "if(c_custkey % 15 = 0, array(named_struct('navn', 'Old A'), named_struct('navn', concat('Old ', c_custkey))), cast(array() as array<struct<navn:string>>)) as historiskeNavn")
+
+
+#: Every field of a customer's record: its value in SQL, and when there is a claim at all.
+_FIELDS = {
+    "legal_name": ("c_name", "true"), "legal_form": ("'{\"code\":\"' || case when c_custkey % 5 = 0 then 'ENK' else 'AS' end || '\"}'", "true"),
+    "business_address": ("case when c_custkey % 7 > 0 then '{\"street\":\"Gate 1\",\"postcode\":\"0150\",\"city\":\"OSLO\",\"municipality\":\"K' || c_nationkey || '\",\"country\":\"NO\"}' end", "true"),
+    "registered_address": ("'{\"street\":\"Postboks ' || c_custkey || '\",\"postcode\":\"0101\",\"city\":\"OSLO\",\"municipality\":\"P\",\"country\":\"Norge\"}'", "c_custkey % 8 = 0"),
+    "municipality": ("case when c_custkey % 7 > 0 then 'K' || c_nationkey when c_custkey % 8 = 0 then 'P' end", "true"), "industry_code": ("c_nationkey::varchar", "true"), "industry_label": ("c_mktsegment", "true"),
+    "registry_employees": ("case when c_custkey % 2 = 0 then (c_custkey % 50)::varchar end", "true"), "registration_date": ("'2001-02-03'", "true"), "founded": ("'1999-01-02'", "c_custkey % 9 = 0"),
+    "vat_registered": ("case when c_custkey % 3 = 1 then 'true' when c_custkey % 3 = 2 then 'false' end", "true"),
+    "status_flags": ("case when c_custkey % 4 > 0 then '{\"bankrupt\":' || (c_acctbal < 0)::varchar || ',\"liquidating\":false,\"forced_liquidation\":false}' end", "true"),
+    "latest_submitted_accounts_year": ("'2023'", "c_custkey % 10 = 0"), "stated_purpose": ("'Salg av varer'", "c_custkey % 11 = 0"), "registry_website": ("case when c_custkey % 6 > 0 then 'www.c' || c_custkey || '.no' end", "true"),
+    "registry_email": ("'post@c' || c_custkey || '.no'", "c_custkey % 12 = 0"), "registry_phone": ("'22 33 44 55'", "c_custkey % 13 = 0"), "registry_mobile": ("'99 88 77 66'", "c_custkey % 14 = 0"), "former_names": ("'[\"Old A\",\"Old ' || c_custkey || '\"]'", "c_custkey % 15 = 0"),
+}
 
 
 @query(
-    """with f as (select lpad(c_custkey::varchar, 9, '0') as entity_id, unnest([{'f': 'legal_name', 'v': c_name}, {'f': 'municipality', 'v': case when c_custkey % 7 > 0 then 'K' || c_nationkey end}, {'f': 'registry_employees', 'v': case when c_custkey % 2 = 0 then (c_custkey % 50)::varchar end},
-      {'f': 'vat_registered', 'v': case when c_custkey % 3 = 1 then 'true' when c_custkey % 3 = 2 then 'false' end}, {'f': 'registry_website', 'v': case when c_custkey % 6 > 0 then 'www.c' || c_custkey || '.no' end},
-      {'f': 'status_flags', 'v': case when c_custkey % 4 > 0 then '{"bankrupt":' || (c_acctbal < 0)::varchar || ',"liquidating":false,"forced_liquidation":false}' end}]) as x from customer)
-    select entity_id, x.f as field, x.v as value, case when x.v is null then 'not_available' else 'available' end as availability from f"""
+    "with f as (" + " union all ".join(f"select lpad(c_custkey::varchar, 9, '0') as entity_id, '{f}' as field, {v} as value from customer where {keep}" for f, (v, keep) in _FIELDS.items()) + ")"
+    " select entity_id, field, value, case when value is null then 'not_available' else 'available' end as availability, case when field = 'registry_website' then 0.9 else 1.0 end::double as confidence, case when field in ('registration_date', 'founded') then value end as effective_date from f"
 )
 def n1_identity_claims(spark: SparkSession, d: str) -> DataFrame:
-    out = normalise.identity_claims(_records(spark, d)).where(F.col("field").isin("legal_name", "municipality", "registry_employees", "vat_registered", "registry_website", "status_flags"))
-    return out.select("entity_id", "field", "value", "availability")
+    return normalise.identity_claims(_records(spark, d)).select("entity_id", "field", "value", "availability", "confidence", "effective_date")
+
+
+_SEED = {"legal_name": ("c_name", 0.9), "legal_form": ("'{\"code\":\"AS\"}'", 0.9), "municipality": ("'OSLO'", 0.9), "industry_code": ("'1'", 0.9), "industry_label": ("'x'", 0.9), "registry_employees": ("'3'", 0.9), "status_flags": ("'{\"bankrupt\":false,\"liquidating\":false}'", 0.9), "registry_website": ("'w'", 0.8)}
 
 
-@query("select 'identity' as section, case when c_custkey % 3 = 0 then 'seed' else 'none' end as origin, count(*) * case when c_custkey % 3 = 0 then 8 else 1 end as claims from customer where c_custkey % 4 > 0 group by c_custkey % 3 = 0, c_custkey % 3 = 0 , case when c_custkey % 3 = 0 then 'seed' else 'none' end, case when c_custkey % 3 = 0 then 8 else 1 end")
+@query(
+    "with f as (" + " union all ".join(f"select c_custkey, '{f}' as field, {v} as value, 'available' as availability, {c}::double as confidence from customer where c_custkey % 4 > 0 and c_custkey % 3 = 0" for f, (v, c) in _SEED.items())
+    + " union all select c_custkey, 'legal_name', null, 'failed', 1.0 from customer where c_custkey % 4 > 0 and c_custkey % 3 > 0) select lpad(c_custkey::varchar, 9, '0') as entity_id, field, value, availability, confidence, 'live record unavailable (http_500); values of the reference snapshot' as note from f"
+)
 def n2_identity_fallback(spark: SparkSession, d: str) -> DataFrame:
     rec = _records(spark, d)
     n = F.substring("organisasjonsnummer", 1, 9)
     number = F.regexp_extract("navn", r"(\d+)$", 1).cast("long")
     ids = rec.select(n.alias("entity_id"), F.lit("http_500").alias("error"))
     seed = rec.where(number % 3 == 0).select(n.alias("entity_id"), F.col("navn").alias("name"), F.lit("AS").alias("legal_form"), F.lit("OSLO").alias("municipality"), F.lit("1").alias("industry_code"), F.lit("x").alias("industry_label"), F.lit(3).alias("employees"), F.lit("w").alias("website"), F.lit(False).alias("bankrupt"), F.lit(False).alias("liquidating"))
-    out = normalise.identity_fallback(ids, rec.where(number % 4 == 0), seed)
-    return out.groupBy("section", F.when(F.col("availability") == "failed", F.lit("none")).otherwise(F.lit("seed")).alias("origin")).agg(F.count("*").alias("claims"))
+    return normalise.identity_fallback(ids, rec.where(number % 4 == 0), seed).select("entity_id", "field", "value", "availability", "confidence", "note")
 
 
 def _filings(spark: SparkSession, d: str) -> DataFrame:
@@ -389,7 +406,7 @@ def _customer_claims(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """select lpad(c_custkey::varchar, 9, '0') as entity_id, c_name || ' is a company' || case when c_custkey % 7 > 0 then ' in K' || c_nationkey else '' end || ' registered under ' || c_nationkey || ' ' || c_mktsegment || '.' as what,
+    """select lpad(c_custkey::varchar, 9, '0') as entity_id, c_name || ' is a company' || case when c_custkey % 7 > 0 then ' in K' || c_nationkey when c_custkey % 8 = 0 then ' in P' else '' end || ' registered under ' || c_nationkey || ' ' || c_mktsegment || '.' as what,
     case when c_custkey % 2 = 1 then null when c_custkey % 50 = 0 then 'No employees.' when c_custkey % 50 = 1 then '1 employee.' else (c_custkey % 50) || ' employees.' end as size,
     case when c_custkey % 4 = 0 then null when c_acctbal < 0 then 'Marked as bankrupt.' else 'No flag is set.' end as risks from customer"""
 )
@@ -405,7 +422,7 @@ def t4_cannot_establish(spark: SparkSession, d: str) -> DataFrame:
 
 #: When a customer's registry record answers a question, as SQL.
 _ANSWERED = {
-    "What does the company do?": "true", "Who leads it?": "false", "How big is it?": "c_custkey % 2 = 0", "What did its latest accounts show?": "false", "Is it growing?": "false", "How long has it filed accounts?": "false", "Where is it?": "c_custkey % 7 > 0",
+    "What does the company do?": "true", "Who leads it?": "false", "How big is it?": "c_custkey % 2 = 0", "What did its latest accounts show?": "false", "Is it growing?": "false", "How long has it filed accounts?": "false", "Where is it?": "c_custkey % 7 > 0 or c_custkey % 8 = 0",
     "Is it hiring?": "false", "What is its website?": "false", "What has happened recently?": "false", "What changed since the last run?": "c_custkey % 2 = 1", "Are there warning signs?": "c_custkey % 4 > 0",
 }
 
