@@ -20,23 +20,24 @@ from .tokens import pieces, rank_table
 #: Pieces and words that a worker remembers, each.
 REMEMBERED = 300_000
 
-#: Token rows (w: word, p: place, t: token) join the merge table. A step contracts each word's leftmost pair of least rank and,
-#: where the merged token can't be drawn into a merge of lower rank (safe), the later places of the same pair that the next steps
-#: would contract one by one; of overlapping ones (aaa) every other. So the steps of a word are its distinct merges at most,
-#: however long it is. Unfinished words are carried on; finished ones stay behind as the result.
+#: Token rows (w: word, p: place, t: token, nx: the next one's place) join the merge table. A step contracts each word's leftmost
+#: pair of least rank and, where the merged token can't be drawn into a merge of lower rank (safe), the later places of the same
+#: pair that the next steps would contract one by one; of pairs of one token in a run (aaaa) every other place. So the steps of a
+#: word are its distinct merges at most, however long it is. Unfinished words are carried on; finished ones stay behind.
 _ENCODE = """
-with recursive enc(w, p, t, done) as (
-  select w, p, t, false from tokens
+with recursive enc(w, p, t, nx, done) as (
+  select w, p, t, nx, false from tokens
   union all
-  (with pairs as (select w, p, t, lead(t) over v as n, row_number() over v as i from enc where not done window v as (partition by w order by p)),
-   ranked as (select p.w, p.p, p.t, p.i, m.token, m.safe from pairs p left join merges m on m.pair = (p.t::bigint << 20) | p.n),
-   best as (select w, min((token::bigint << 32) | p) as b from ranked group by w),
-   hits as (select r.w, r.p, r.i, r.safe, (b & 4294967295)::integer as spot, r.i - row_number() over (partition by r.w order by r.i) as run
-            from ranked r join best using (w) where r.token = (b >> 32)::integer),
-   chosen as (select w, p from (select *, row_number() over (partition by w, run order by i) as k from hits) where p = spot or (safe and k % 2 = 1)),
-   step as (select r.w, r.p, r.t, r.token, c.p is not null as hit, lag(c.p is not null) over (partition by r.w order by r.p) as gone, best.b is null as done
-            from ranked r join best using (w) left join chosen c on c.w = r.w and c.p = r.p)
-   select w, p, case when hit then token else t end, done from step where gone is null or not gone)
+  (with live as (select w, p, t, nx from enc where not done),
+   pairs as (select a.w, a.p, a.t = n.t as twin, n.p as gone, n.nx as after, m.token, m.safe
+             from live a join live n on n.p = a.nx join merges m on m.pair = (a.t::bigint << 20) | n.t),
+   best as (select w, min((token::bigint << 32) | p) as b from pairs group by w),
+   hits as (select pairs.*, (b & 4294967295) as spot from pairs join best using (w) where token = (b >> 32)),
+   twins as (select w, p, p not in (select gone from hits where twin) as opens from hits where twin),
+   runs as (select p, row_number() over (partition by w, run order by p) as k from (select w, p, sum(opens::int) over (partition by w order by p) as run from twins)),
+   chosen as (select hits.* from hits left join runs using (p) where hits.p = spot or (safe and coalesce(k, 1) % 2 = 1))
+   select l.w, l.p, coalesce(c.token, l.t), case when c.p is null then l.nx else c.after end, best.b is null
+   from live l left join best using (w) left join chosen c on c.p = l.p anti join chosen g on g.gone = l.p)
 )
 select w, p, t from enc where done
 """
@@ -107,7 +108,10 @@ class Bpe:
             part = open_[lo:hi]
             size = np.array([len(words[i]) for i in part])
             token = self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
-            self._table("tokens", {"w": np.repeat(np.arange(len(part), dtype=np.int32), size), "p": np.arange(len(token), dtype=np.int32), "t": token})
+            place = np.arange(len(token), dtype=np.int32)
+            after = place + 1
+            after[np.cumsum(size) - 1] = -1
+            self._table("tokens", {"w": np.repeat(np.arange(len(part), dtype=np.int32), size), "p": place, "t": token, "nx": after})
             self.db.execute(f"create or replace table encoded as {_ENCODE}")
             for w, ids in self.db.execute(_FOLD).fetchall():
                 out[part[w]] = ids
