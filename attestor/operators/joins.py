@@ -127,10 +127,11 @@ def host_blocklist(urls: DataFrame, blocklist: DataFrame, url: str = "url") -> D
     return rows.join(hit, "_h", "left_anti").drop("_h")
 
 
-def website_candidates(entities: DataFrame, blocked: Column | None = None) -> DataFrame:
+def website_candidates(entities: DataFrame, blocked: Column | None = None, suffixes: DataFrame | None = None) -> DataFrame:
     """entities(entity_id, name, website, email) -> candidate URLs, one a registered domain, the registry's own first.
 
-    Origins in order: registry website, domain of the registry's e-mail, guesses from the name.
+    Origins in order: registry website, domain of the registry's e-mail, guesses from the name. Registered domains come from a
+    suffix table, if one is given (see registered_domains), else from the few suffixes of the expression.
     """
     site = F.when(F.coalesce(F.trim("website"), F.lit("")) != "", F.trim("website"))
     tried = F.concat(
@@ -141,7 +142,10 @@ def website_candidates(entities: DataFrame, blocked: Column | None = None) -> Da
     rows = entities.select("entity_id", F.posexplode(tried).alias("seq", "c")).select("entity_id", "seq", "c.*").where("host is not null and host <> ''")
     if blocked is not None:
         rows = rows.where(~blocked)
-    rows = rows.withColumn("domain", X.registered_domain(F.col("host")))
+    if suffixes is None:
+        rows = rows.withColumn("domain", X.registered_domain(F.col("host")))
+    else:
+        rows = registered_domains(rows, suffixes).where("domain is not null")
     return first_wins(rows, ["entity_id", "domain"], ["prio", "seq"]).select("entity_id", "domain", "prio", "seq", "origin", F.concat(F.lit("https://"), "host").alias("url"))
 
 

@@ -222,9 +222,12 @@ def budget_cap(plan: DataFrame, per_entity: int, total: int, order: Sequence[str
 
 
 def role_grouping(roles: DataFrame, most: int = 6) -> DataFrame:
-    """roles(entity_id, pos, role, name) -> first names of each role in order, and how many there are."""
-    out = roles.groupBy("entity_id", "role").agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("h"), F.count("*").alias("n"))
-    return out.select("entity_id", "role", F.array_join(F.slice(F.col("h.name"), 1, most), ", ").alias("holders"), "n")
+    """roles(entity_id, pos, role, name) -> first names of each role in order, and how many there are; only `most` are gathered."""
+    key = ["entity_id", "role"]
+    n = roles.groupBy(*key).agg(F.count("*").alias("n"))
+    first = top_n_per_entity(roles.select(*key, "pos", "name"), key, [F.col("pos"), F.col("name")], most)
+    names = first.groupBy(*key).agg(F.array_join(F.sort_array(F.collect_list(F.struct("rank", "name")))["name"], ", ").alias("holders"))
+    return names.join(n, key).select(*key, "holders", "n")
 
 
 def latest_activity(*items: DataFrame) -> DataFrame:
