@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embedding, line_dedup, minhash, oracle, packing, pii, quality_model, quality_rules, warc
+from . import bpe, chat, embedding, fill_in_middle, line_dedup, minhash, oracle, packing, pii, quality_model, quality_rules, warc
 from .common import text_or_empty
 
 
@@ -63,6 +63,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.transform(_table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
