@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embedding, fill_in_middle, heap_bpe, line_dedup, minhash, oracle, packing, pii, quality_model, quality_rules, warc
+from . import bpe, chat, embedding, fill_in_middle, heap_bpe, line_dedup, minhash, oracle, packing, pii, quality_model, quality_rules, spelling, warc
 from .common import text_or_empty
 
 
@@ -69,6 +69,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_heap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = heap_bpe.decode(heap_bpe.encode(_table(spark, sf_dir, "documents")))
     digests = F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
