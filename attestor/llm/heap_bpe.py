@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import chunks, ship, text_or_empty
 from .tokens import VOCABULARY, added, pieces
 
-#: Pieces of text that a worker remembers, in two generations; a longer piece is not remembered.
+#: Pieces of text, and as many matches, that a worker remembers, in two generations each; longer ones are not remembered.
 REMEMBERED, LONGEST = 200_000, 256
 #: Characters of text whose ids leave a worker together.
 TOGETHER = 4_000_000
@@ -29,6 +29,24 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in kept)}
 
 
+class Recent(dict):
+    """Ids of what was met lately: two generations of a bounded size, so that frequent keys outlive rare ones."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if (ids := self.old.get(key)) is None:
+            ids = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class HeapBpe:
     """Merge table and vocabulary of one file, and the ids of the pieces met lately."""
 
@@ -45,8 +63,7 @@ class HeapBpe:
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.added, self.special = added(path)
         self.bytes = {i: bytes(letters[c] for c in token) for token, i in vocab.items()} | {i: token.encode() for token, i in self.special.items()}
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces, self.matches = Recent(self._piece), Recent(self._match)
 
     def word(self, raw: bytes) -> list[int]:
         """The ids of one match of the pattern.
@@ -84,19 +101,12 @@ class HeapBpe:
             i = after[i]
         return out
 
-    def piece(self, piece: str) -> bytes:
-        """The ids of a piece as little-endian 32-bit numbers."""
-        if (found := self.new.get(piece)) is not None:
-            return found
-        if (found := self.old.get(piece)) is None:
-            matches = self.split.findall(piece)
-            found = np.array([i for m in matches for i in self.word(m.encode("utf-8", "surrogatepass"))], "<i4").tobytes()
-            if len(piece) > LONGEST:
-                return found
-        if len(self.new) >= REMEMBERED:
-            self.old, self.new = self.new, {}
-        self.new[piece] = found
-        return found
+    def _match(self, match: str) -> bytes:
+        """The ids of a match as little-endian 32-bit numbers."""
+        return np.array(self.word(match.encode("utf-8", "surrogatepass")), "<i4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        return b"".join(map(self.matches.__getitem__, self.split.findall(piece)))
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text; tokens that the file adds are taken out before anything else."""
@@ -106,13 +116,13 @@ class HeapBpe:
             if k % 2:
                 out.append(np.array([self.special[part]], "<i4").tobytes())
             elif part:
-                out += map(self.piece, pieces(part))
+                out += map(self.pieces.__getitem__, pieces(part))
         return b"".join(out)
 
-    def decode(self, ids: np.ndarray | list[int]) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings of the ids, joined; unknown ids are left out, broken UTF-8 becomes the replacement sign."""
         known = self.bytes
-        return b"".join([known.get(i, b"") for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]).decode("utf-8", "replace")
+        return b"".join([known.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
 @lru_cache(1)
@@ -151,7 +161,7 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.
         sizes = batch.column("ids").value_lengths().fill_null(0).to_pylist()
         for lo, hi in chunks(sizes, TOGETHER // 4):
             part = batch.slice(lo, hi - lo)
-            texts = [bpe.decode(i.values.to_numpy(zero_copy_only=False)) if i.is_valid else "" for i in part.column("ids")]
+            texts = [bpe.decode(i.values.to_pylist()) if i.is_valid else "" for i in part.column("ids")]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
 

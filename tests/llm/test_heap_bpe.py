@@ -62,7 +62,7 @@ def test_what_a_worker_remembers_is_bounded(ours, theirs, monkeypatch):
     for _ in range(40):
         t = " ".join("".join(rng.choices("abcde", k=rng.randint(1, 20))) for _ in range(20))
         assert ids_of(bpe, t) == theirs.encode(t, add_special_tokens=False).ids
-        assert len(bpe.new) <= 30 and len(bpe.old) <= 30
+        assert all(len(d) <= 30 for kept in (bpe.pieces, bpe.matches) for d in (kept, kept.old))
 
 
 def test_one_long_match(ours, theirs):
