@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +20,7 @@ from .tokens import VOCABULARY, added, pieces
 
 #: Pieces of text, and as many matches, that a worker remembers, in two generations each; longer ones are not remembered.
 REMEMBERED, LONGEST = 200_000, 256
+_NONE = 1 << 30
 #: Characters of text whose ids leave a worker together.
 TOGETHER = 4_000_000
 
@@ -47,6 +49,13 @@ class Recent(dict):
         return ids
 
 
+class _Strings(dict):
+    """The bytes of each id; none of an unknown one."""
+
+    def __missing__(self, key: int) -> bytes:
+        return b""
+
+
 class HeapBpe:
     """Merge table and vocabulary of one file, and the ids of the pieces met lately."""
 
@@ -57,44 +66,46 @@ class HeapBpe:
         self.first = [0] * 256
         for letter, byte in letters.items():
             self.first[byte] = vocab[letter]
-        self.merges = {}
-        for rank, (left, right) in enumerate(model["merges"]):
-            self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
+        self.ranks = {vocab[left] << 20 | vocab[right]: rank for rank, (left, right) in enumerate(model["merges"])}
+        self.merged = [vocab[left + right] for left, right in model["merges"]]
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.added, self.special = added(path)
-        self.bytes = {i: bytes(letters[c] for c in token) for token, i in vocab.items()} | {i: token.encode() for token, i in self.special.items()}
+        self.bytes = _Strings({i: bytes(letters[c] for c in token) for token, i in vocab.items()} | {i: token.encode() for token, i in self.special.items()})
         self.pieces, self.matches = Recent(self._piece), Recent(self._match)
 
     def word(self, raw: bytes) -> list[int]:
         """The ids of one match of the pattern.
 
-        The queue holds (rank, place of the left symbol, both ids) of neighbours that merge, least rank and then leftmost
-        first. An entry is stale when its place holds another symbol by now or is followed by another one.
+        The queue holds rank and place of the left symbol of neighbours that merge, least rank and then leftmost first. An
+        entry is stale when the pair at its place has another rank by now, or none.
         """
         ids = [self.first[b] for b in raw]
-        n, merges = len(ids), self.merges
+        n = len(ids)
         if n < 2:
             return ids
+        rank, merged = self.ranks.get, self.merged
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        queue = []
-        for i in range(n - 1):
-            if found := merges.get((ids[i], ids[i + 1])):
-                queue.append((found[0], i, ids[i], ids[i + 1]))
+        ranks = [rank(a << 20 | b, _NONE) for a, b in pairwise(ids)] + [_NONE]
+        queue = [r << 32 | i for i, r in enumerate(ranks) if r != _NONE]
         heapify(queue)
         while queue:
-            _, i, left, right = heappop(queue)
-            j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
+            entry = heappop(queue)
+            r, i = entry >> 32, entry & 0xFFFFFFFF
+            if ranks[i] != r:
                 continue
-            ids[i] = merged = merges[left, right][1]
-            ids[j] = -1
+            j = after[i]
+            ids[i] = token = merged[r]
             after[i] = k = after[j]
+            ranks[j] = ranks[i] = _NONE
             if k >= 0:
                 before[k] = i
-                if found := merges.get((merged, ids[k])):
-                    heappush(queue, (found[0], i, merged, ids[k]))
-            if (h := before[i]) >= 0 and (found := merges.get((ids[h], merged))):
-                heappush(queue, (found[0], h, ids[h], merged))
+                ranks[i] = r = rank(token << 20 | ids[k], _NONE)
+                if r != _NONE:
+                    heappush(queue, r << 32 | i)
+            if (h := before[i]) >= 0:
+                ranks[h] = r = rank(ids[h] << 20 | token, _NONE)
+                if r != _NONE:
+                    heappush(queue, r << 32 | h)
         out, i = [], 0
         while i >= 0:
             out.append(ids[i])
@@ -121,8 +132,7 @@ class HeapBpe:
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings of the ids, joined; unknown ids are left out, broken UTF-8 becomes the replacement sign."""
-        known = self.bytes
-        return b"".join([known.get(i, b"") for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(1)
@@ -160,8 +170,11 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.
     for batch in batches:
         sizes = batch.column("ids").value_lengths().fill_null(0).to_pylist()
         for lo, hi in chunks(sizes, TOGETHER // 4):
-            part = batch.slice(lo, hi - lo)
-            texts = [bpe.decode(i.values.to_pylist()) if i.is_valid else "" for i in part.column("ids")]
+            part, at, texts = batch.slice(lo, hi - lo), 0, []
+            ids = part.column("ids").flatten().to_numpy(zero_copy_only=False).tolist()
+            for n in sizes[lo:hi]:
+                texts.append(bpe.decode(ids[at : at + n]))
+                at += n
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
 
