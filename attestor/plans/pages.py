@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import expr as X
 from ..operators import pages as P
-from ..operators import rank, resolve
+from ..operators import resolve
 from ..shared import shared_path, stored
+from ..sources import versioned
 from ..streaming import feeds
 from .evidence import _DIFF, _snapshot
 from .registry import query, table
@@ -138,28 +141,39 @@ def _run_stream(spark: SparkSession, out: DataFrame, mode: str) -> DataFrame:
     query_ = out.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start()
     query_.awaitTermination()
     kinds = f"{', '.join(f'`{n}` {t}' for n, t in out.dtypes)}, _batch int"
-    written = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/out")
-    there = written.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(written)
-    return spark.read.schema(kinds).parquet(f"{path}/out") if there else spark.createDataFrame([], kinds)
+    try:
+        return spark.read.schema(kinds).parquet(f"{path}/out")
+    except AnalysisException:  # no batch came
+        return spark.createDataFrame([], kinds)
 
 
-def _events_stream(spark: SparkSession, d: str) -> DataFrame:
-    schema = table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(d)
+def _landed(spark: SparkSession, rows: DataFrame, n: int, job) -> str:
+    """Land rows in n parts that overlap in time, the first one twice, and run job(stream, path) after each; the job's folder."""
+    path = shared_path(spark, "stream")
+    for part in (*range(n), 0):
+        rows.where(F.col("event_id") % n == part).write.mode("append").parquet(f"{path}/in")
+        job(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), path).awaitTermination()
+    return path
 
 
-@query("select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1")
+@query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1 and epoch_ms(ts) > (select epoch_ms(max(ts)) from events) - 10 * 86400000")
 def st1_feed_latest_stream(spark: SparkSession, d: str) -> DataFrame:
-    events = _events_stream(spark, d).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
-    rows = _run_stream(spark, feeds.feed_latest_stream(events, ["user_id", "event_type"], "ts", "event_id"), "update")
-    return rank.latest_per_key(rows, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id")
+    """The latest event of each user and type in the last ten days, out of three landings in no order and one repeated."""
+    events = table(spark, d, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    key = ["user_id", "event_type"]
+    path = _landed(spark, events, 3, lambda s, at: feeds.feed_latest_job(s, at, key, "ts", "event_id", "10 days"))
+    return versioned.read(spark, f"{path}/table", events.schema).select("user_id", "event_type", "event_id", "value")
 
 
-@query("select strftime(date_trunc('day', ts), '%Y-%m-%d') as start, event_type as name, count(*) as n from events where event_id % 2 = 0 group by 1, 2")
+@query(
+    """with k as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as k from events)
+    select event_type as name, count(*) as n from k where k = 1 and event_id % 2 = 0 and epoch_ms(ts) > (select epoch_ms(max(ts)) from events) - 20 * 86400000 group by 1"""
+)
 def st2_active_counts_stream(spark: SparkSession, d: str) -> DataFrame:
-    s = _events_stream(spark, d).selectExpr("if(event_id % 2 = 0, 'ACTIVE', 'INACTIVE') as status", "event_type as name", "cast(ts as timestamp) as ts")
-    rows = _run_stream(spark, feeds.active_counts_stream(s, "name", "ts"), "update")
-    return rank.latest_per_key(rows, ["start", "name"], "_batch", "n").select(F.date_format("start", "yyyy-MM-dd").alias("start"), "name", "n")
+    """Users whose latest event is active, by its type: users move between types and between active and not, out of order."""
+    rows = table(spark, d, "events").select("user_id", F.expr("if(event_id % 2 = 0, 'ACTIVE', 'INACTIVE')").alias("status"), F.col("event_type").alias("name"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    path = _landed(spark, rows, 3, lambda s, at: feeds.active_counts_job(s, at, ["user_id"], "name", "ts", "event_id", "20 days"))
+    return versioned.read(spark, f"{path}/table", StructType().add("name", "string").add("n", "long"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,11 +44,11 @@ def latest_documents(lines: DataFrame, key: str) -> DataFrame:
 
 def load_latest_documents(spark: SparkSession, path: str, key: str) -> DataFrame:
     """IO3 over a path; a missing one gives no rows."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException:
         return spark.createDataFrame([], "key string, doc string")
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
+    lines = lines.select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line"))
     return latest_documents(lines, key)
 
 

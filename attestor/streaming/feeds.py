@@ -3,36 +3,114 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.diff import diff_claims
-from ..shared import stored
+from ..sources import versioned
+from ..sources.versioned import BUCKETS
 
+#: How rows are kept in state: JSON with all digits of their times.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
-def feed_latest_stream(stream: DataFrame, key: Sequence[str], ts: str, tiebreak: str, since: str | None = None, late: str = "60 days", span: str = "30 days") -> DataFrame:
-    """ST1: latest row of each key and span of event time so far, in update mode; an older row that comes late changes nothing.
 
-    One struct a key and span is kept as state, until the watermark (`late` behind the newest event) has passed the span's end. The
-    newest of a key's rows by ts, tiebreak is its latest one. `since` drops what is older than the lookback.
+class _Latest(StatefulProcessor):
+    """The newest row of a key, by (at, tie); a timer at its event time lets it go when the watermark has passed."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.row = handle, handle.getValueState("row", "at bigint, tie bigint, row string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        old = tuple(self.row.get()) if self.row.exists() else None
+        best = max(((r["_at"], r["_tie"], r["_row"]) for r in rows), key=lambda r: r[:2])
+        if old is None or best[:2] > old[:2]:
+            if old is not None:
+                self.handle.deleteTimer(old[0] // 1000)
+            self.row.update(best)
+            self.handle.registerTimer(best[0] // 1000)
+            yield Row(_key=key[0], _before=old and old[2], _after=best[2], _at=best[0])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+        old = tuple(self.row.get())
+        self.row.clear()
+        yield Row(_key=key[0], _before=old[2], _after=None, _at=old[0])
+
+    def close(self) -> None:
+        pass
+
+
+def latest_moves(stream: DataFrame, key: Sequence[str], ts: str, tiebreak: str, lookback: str = "60 days") -> DataFrame:
+    """Every change of a key's latest row: (key columns, before, after), structs of the whole row, null for none.
+
+    State is one row a key. A row that is older than its key's latest one, by ts and the whole number tiebreak, changes
+    nothing, whenever it comes. Rows more than `lookback` behind the newest event are dropped as late, and a key whose latest row
+    falls behind it goes: after is null then. Keys may be of any type; rows without ts or with a null key are dropped.
+    """
+    rows = stream.where(F.col(ts).isNotNull()).where(" and ".join(f"`{c}` is not null" for c in key))
+    at, whole = F.unix_micros(F.col(ts).cast("timestamp")), F.struct(*stream.columns)
+    rows = rows.select(F.to_json(F.struct(*key)).alias("_key"), F.col(ts).cast("timestamp").alias("_ts"), at.alias("_at"), F.coalesce(F.col(tiebreak).cast("long"), F.lit(0).cast("long")).alias("_tie"), F.to_json(whole, _JSON).alias("_row"))
+    moves = rows.withWatermark("_ts", lookback).groupBy("_key").transformWithState(_Latest(), "_key string, _before string, _after string, _at long", "Update", "EventTime")
+    kind = stream.schema
+    parsed = {f"_{c}": F.from_json(F.col(f"_{c}"), kind, _JSON) for c in ("before", "after")}
+    out = moves.select(*(p.alias(c[1:]) for c, p in parsed.items()))
+    return out.select(*(F.coalesce(F.col(f"after.{c}"), F.col(f"before.{c}")).alias(c) for c in key), "before", "after")
+
+
+def _job(moves: DataFrame, path: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Start the job over what there is. State lives in RocksDB, so it needn't fit in the executors' memory."""
+    conf = moves.sparkSession.conf
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in conf.get(provider):
+        conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return moves.writeStream.outputMode("update").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(once).start()
+
+
+def feed_latest_job(stream: DataFrame, path: str, key: Sequence[str], ts: str, tiebreak: str, lookback: str = "60 days", buckets: int = BUCKETS) -> StreamingQuery:
+    """ST1: the latest row of each key within the lookback, as a table under path/table that each batch upserts.
+
+    `versioned.read(spark, path/table, stream.schema)` is the answer, without any ranking. A batch rewrites only the buckets
+    of keys that changed; one that runs again writes the same again.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*(F.col(f"after.{c}").alias(c) if c not in key else F.col(c) for c in stream.columns), F.col("after").isNull().alias(versioned.GONE))
+        versioned.merge(rows, f"{path}/table", batch_id, key, lambda old, new: old.join(new, list(key), "left_anti").unionByName(new), buckets)
+
+    return _job(latest_moves(stream, key, ts, tiebreak, lookback), path, step)
+
+
+def active_counts_job(stream: DataFrame, path: str, key: Sequence[str], name: str, ts: str, tiebreak: str, lookback: str = "60 days", buckets: int = BUCKETS) -> StreamingQuery:
+    """ST2: per name, how many keys' latest row is ACTIVE, as a table (name, n) under path/table; names without any go.
+
+    Two stages: keyed state tells how each key's latest row moved; a move takes back what the row before counted for and adds
+    what the new one counts for. Their sums a name are merged into the table, in the batch's own version of it.
     """
-    if since:
-        stream = stream.where(F.col(ts) >= F.lit(since).cast(stream.schema[ts].dataType))
-    rest = [c for c in stream.columns if c not in key]
-    order = [ts, tiebreak, *[c for c in rest if c not in (ts, tiebreak)]]
-    rows = stream.withWatermark(ts, late).groupBy(F.window(ts, span), *key).agg(F.max(F.struct(*order)).alias("_r"))
-    return rows.select(*key, *(F.col(f"_r.{c}") for c in rest))
 
+    def step(batch: DataFrame, batch_id: int) -> None:
+        side = lambda c, n: F.struct(F.col(f"{c}.{name}").alias(name), F.when(F.col(f"{c}.status") == "ACTIVE", n).otherwise(0).cast("long").alias("n"))
+        moved = batch.select(F.inline(F.array(side("before", -1), side("after", 1)))).where(F.col(name).isNotNull())
+        moved = moved.groupBy(name).agg(F.sum("n").alias("n")).where("n <> 0")
+
+        def fold(old: DataFrame, new: DataFrame) -> DataFrame:
+            both = old.unionByName(new).groupBy(name).agg(F.sum("n").alias("n"))
+            return both.withColumn(versioned.GONE, F.col("n") == 0)
+
+        versioned.merge(moved.withColumn(versioned.GONE, F.lit(False)), f"{path}/table", batch_id, [name], fold, buckets)
 
-def active_counts_stream(stream: DataFrame, name: str, ts: str, window: str = "1 day", late: str = "2 days") -> DataFrame:
-    """ST2: active rows a name and window, with a watermark that lets old windows go."""
-    return stream.where("status = 'ACTIVE'").withWatermark(ts, late).groupBy(F.window(ts, window), name).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), name, "n")
+    return _job(latest_moves(stream, key, ts, tiebreak, lookback), path, step)
 
 
 CHANGES = "entity_id string, run long, field string, change_type string, previous_value string, current_value string"
@@ -67,45 +145,94 @@ def change_stream(stream: DataFrame) -> DataFrame:
     return stream.groupBy("entity_id").applyInPandasWithState(_compare, CHANGES, "s string", "append", GroupStateTimeout.NoTimeout)
 
 
-def claim_changes(known: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """ST3 by the rules of D: claims of whole runs (run and the columns of diff_claims) -> changes, and the claims to know next.
-
-    known holds the claims of each entity's newest run so far. Runs that are not newer give nothing, so a run delivered again or
-    late leaves all as it is. Each run is compared with the entity's run before it, several runs of a batch too: run pairs are
-    entities of their own for one comparison. Changes have entity_id and run. Both results are read from written tables.
+class _Runs(StatefulProcessor):
+    """An entity's claims of its newest run, one state entry a claim; each newer run is told together with the one before it."""
+
+    def __init__(self, timed: bool):
+        self.timed = timed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "run bigint, at bigint")
+        self.claims = handle.getMapState("claims", "field string, ord bigint, n bigint", "claim string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        last, at = self.last.get() if self.last.exists() else (None, None)
+        runs, newest = {}, at
+        for r in rows:
+            if last is None or r["run"] > last:
+                run = runs.setdefault(r["run"], {})
+                field, ord_, n = r["_field"], r["_ord"], 0
+                while run.setdefault((field, ord_, n), r["_claim"]) != r["_claim"]:  # two claims in one place of a document
+                    n += 1
+                newest = r["_at"] if newest is None else max(newest, r["_at"])
+        if not runs:
+            return
+        known = {tuple(k): v[0] for k, v in self.claims.iterator()}
+        stored_ = dict(known)
+        for run in sorted(runs):
+            now = runs[run]
+            if last is not None:
+                for side, claims in (("p", known), ("c", now)):
+                    for claim in claims.values():
+                        yield Row(_entity=key[0], run=run, _side=side, _claim=claim)
+            known, last = now, run
+        for k in stored_.keys() - known.keys():
+            self.claims.removeKey(k)
+        for k, claim in known.items():
+            if stored_.get(k) != claim:
+                self.claims.updateValue(k, (claim,))
+        self.last.update((last, newest))
+        if self.timed and newest != at:
+            if at is not None:
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(newest)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+        self.last.clear()
+        self.claims.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def run_pairs(stream: DataFrame, ts: str | None = None, keep: str = "400 days") -> DataFrame:
+    """ST3: claims of whole runs (entity_id, run, ord, field, ...) -> the claims of each new run and of the run before it.
+
+    Rows (entity_id, run, side, claim): run is the later one of the two, side p or c, claim the whole row. An entity's first run
+    is its baseline and gives nothing; a run that comes again, or after a later one, gives nothing. Several runs in a batch are told
+    one after the other; a run has to come in one batch. A batch reads and writes the state of its own entities only. With ts,
+    the time of a run, entities whose newest run is more than `keep` behind the newest of all are forgotten, so that their next
+    run is a baseline, and runs that are older are dropped as late.
     """
-    if known is not None:
-        last = known.groupBy("entity_id").agg(F.max("run").alias("_last"))
-        batch = batch.join(last, "entity_id", "left").where("_last is null or run > _last").drop("_last")
-        batch = known.unionByName(batch.select(*known.columns))
-    claims = stored(batch, "claims")
-    runs = claims.select("entity_id", "run").distinct()
-    runs = stored(runs.withColumn("next", F.lead("run").over(W.partitionBy("entity_id").orderBy("run"))), "runs")
-    with_next = claims.join(runs, ["entity_id", "run"])
-    pair = lambda run: F.to_json(F.struct(F.col("entity_id").cast("string").alias("e"), F.col(run).cast("string").alias("r")))
-    before = with_next.where("next is not null").withColumn("entity_id", pair("next")).drop("run", "next")
-    after = claims.join(runs.select("entity_id", F.col("next").alias("run")).where("run is not null"), ["entity_id", "run"], "left_semi").withColumn("entity_id", pair("run")).drop("run")
-    kinds = {f.name: f.dataType for f in claims.schema.fields}
-    changes = diff_claims(before, after)
-    changes = changes.select(F.get_json_object("entity_id", "$.e").cast(kinds["entity_id"]).alias("entity_id"), F.get_json_object("entity_id", "$.r").cast(kinds["run"]).alias("run"), *changes.columns[1:])
-    return changes, with_next.where("next is null").drop("next")
-
-
-def claim_change_job(stream: DataFrame, path: str) -> StreamingQuery:
-    """ST3, ST4: the job over a stream of claims: changes under path/changes and known claims under path/known, a folder a batch.
-
-    A batch that runs again overwrites its own folders and starts from those of the batch before, so nothing is told twice.
+    whole = F.to_json(F.struct(*stream.columns), _JSON)
+    rows = stream.where("entity_id is not null and run is not null").select(
+        F.to_json(F.struct("entity_id")).alias("_entity"), F.col("run").cast("long").alias("run"), F.coalesce("field", F.lit("")).alias("_field"), F.coalesce(F.col("ord").cast("long"), F.lit(0).cast("long")).alias("_ord"), whole.alias("_claim"), (F.col(ts).cast("timestamp") if ts else F.lit(None).cast("timestamp")).alias("_ts")
+    )
+    rows = rows.withColumn("_at", F.coalesce(F.unix_millis("_ts"), F.lit(0).cast("long")))
+    rows = rows.where("_ts is not null").withWatermark("_ts", keep) if ts else rows
+    out = rows.groupBy("_entity").transformWithState(_Runs(ts is not None), "_entity string, run long, _side string, _claim string", "Update", "EventTime" if ts else "None")
+    return out.select(F.from_json("_claim", stream.schema, _JSON).alias("claim"), "run", F.col("_side").alias("side")).select("claim.entity_id", F.col("run").cast(stream.schema["run"].dataType), "side", "claim")
+
+
+def claim_change_job(stream: DataFrame, path: str, ts: str | None = None, keep: str = "400 days") -> StreamingQuery:
+    """ST3, ST4: the changes of a stream of claims by the rules of D, under path/changes, a folder a batch.
+
+    Keyed state gives each new run with the run before it; diff_claims compares them, each pair of runs an entity of its own.
+    A batch that runs again overwrites its own folder, so nothing is told twice.
     """
+    kinds = {f.name: f.dataType for f in stream.schema.fields}
+    pair = F.to_json(F.struct(F.col("entity_id").cast("string").alias("e"), F.col("run").cast("string").alias("r"))).alias("entity_id")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        at = lambda i: f"{path}/known/batch-{i}"
-        known = spark.read.schema(stream.schema).parquet(at(batch_id - 1)) if batch_id else None
-        changes, now = claim_changes(known, batch)
-        changes.write.mode("overwrite").parquet(f"{path}/changes/_batch={batch_id}")
-        now.select(*stream.columns).write.mode("overwrite").parquet(at(batch_id))
-
-    return stream.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(step).start()
+        rest = [F.col(f"claim.{c}").alias(c) for c in stream.columns if c not in ("entity_id", "run")]
+        before, after = (batch.where(F.col("side") == side).select(pair, *rest) for side in "pc")
+        changes = diff_claims(before, after)
+        own = (F.get_json_object("entity_id", f"$.{k}").cast(kinds[c]).alias(c) for k, c in (("e", "entity_id"), ("r", "run")))
+        changes.select(*own, *changes.columns[1:]).write.mode("overwrite").parquet(f"{path}/changes/_batch={batch_id}")
+
+    return _job(run_pairs(stream, ts, keep), path, step)
 
 
 def landing_dedupe(stream: DataFrame, ts: str | None = None, late: str = "60 days") -> DataFrame:
