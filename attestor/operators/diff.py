@@ -120,8 +120,8 @@ def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
     site = (f == "official_website") & c_ok & F.col("pa").isNull()
     names = (f == "former_names") & c_ok & more & ~F.col("renamed")
     skipped = F.coalesce(F.col("c.note").startswith(NOT_CHECKED), F.lit(False))
-    # a field that had nothing before has only new items now, so its gain is told by them
-    gained = c_ok & gone & ~f.isin(*FILINGS) & ~site & ~names & ~(f.isin(*ADDED) & F.col("ca").isNotNull())
+    # a field that had nothing before has only new items now, so its gain is told by them; a rename tells the former name
+    gained = c_ok & gone & ~f.isin(*FILINGS) & ~site & ~names & ~((f == "former_names") & F.col("renamed")) & ~(f.isin(*ADDED) & F.col("ca").isNotNull())
     null, empty = F.lit(None).cast("string"), F.array().cast("array<string>")
 
     def told(when: Column, kind: Column, before: Column, after: Column, old: str | None, new: str | None) -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from html.parser import HTMLParser
+from operator import or_
 from urllib.parse import urljoin, urlsplit, urlunsplit
 
 import pyarrow as pa
@@ -34,21 +36,95 @@ LEADER_TITLES = (
 PERSON = r"[A-ZÆØÅ][a-zæøåé]+(?:[ -][A-ZÆØÅ][a-zæøåé]+){1,2}"
 _HIDDEN, _BLOCK = {"script", "style", "noscript", "template"}, {"p", "div", "li", "br", "h1", "h2", "h3", "h4", "tr", "section", "article", "footer", "header", "ul", "address", "td"}
 PARSED = (
-    "page_id long, url string, host string, text string, title string, description string, site_name string, og_title string, links array<struct<pos:int,url:string,anchor:string>>, "
+    "page_id long, url string, host string, text string, title string, description string, site_name string, og_title string, links array<struct<pos:int,url:string,anchor:string,time:string>>, "
     "feeds array<string>, nodes array<struct<type:string,json:string>>, positions array<struct<label:string,text:string>>, strings array<string>"
 )
 
 
+#: Elements without content, and those that a start tag closes though their end tag is left out, up to a boundary. Fixed values of HTML.
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+_CELLS, _ROWS = ("td", "th"), ("tr", "td", "th")
+_CLOSES = {
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option",), ("select", "datalist")), "tr": (_ROWS, ("table",)),
+    "td": (_CELLS, ("tr", "table")), "th": (_CELLS, ("tr", "table")), "tbody": (("thead", "tbody", "tfoot", *_ROWS), ("table",)), "tfoot": (("thead", "tbody", *_ROWS), ("table",)), "body": (("head",), ()),
+}
+_ENDS_P = {
+    "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section",
+    "table", "ul",
+}
+_P = (("p",), ("button", "td", "th", "caption", "object"))
+#: Items inside items, and properties whose text is read, at most; deeper ones count as plain markup.
+_DEEPEST = 60
+
+
 class _Page(HTMLParser):
-    """Visible text, links, metas, JSON-LD, microdata and the places where a page names itself."""
+    """Visible text, links, metas, JSON-LD, microdata and the places where a page names itself.
+
+    Open elements are a stack, with the places of each tag in it, so that an end tag finds its element at once and a stray one
+    is told by its absence; each element is pushed and popped once. What a text lies in is told by counters.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, referred: frozenset[str] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.text, self.title, self.meta, self.links, self.feeds, self.ld = [], [], {}, [], [], []
-        self.stack, self.anchor, self.heads, self.foot, self.items = [], None, [], [], []
+        self.stack, self.at, self.inside = [], {}, dict.fromkeys(("hidden", "title", "head", "foot"), 0)
+        self.anchor, self.heads, self.foot = None, [], []
+        self.scopes, self.props, self.referred, self.parts = [], [], referred, {}
+
+    def _within(self, tag: str, by: int) -> None:
+        for name, tags in (("hidden", _HIDDEN), ("title", ("title",)), ("head", ("h1", "h2")), ("foot", ("footer", "address"))):
+            if tag in tags:
+                self.inside[name] += by
+
+    def _place(self, tags: Sequence[str]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def _end(self, to: int) -> None:
+        """Close all elements from a place of the stack on."""
+        while len(self.stack) > to:
+            tag, _ = self.stack.pop()
+            self.at[tag].pop()
+            self._within(tag, -1)
+            at = len(self.stack)
+            if self.props and self.props[-1][0] == at:
+                _, names, parts = self.props.pop()
+                self._property(names, _squash("".join(parts)))
+            while self.scopes and self.scopes[-1][0] == at:
+                self.scopes.pop()
+
+    def _property(self, names: list[str], value: object) -> None:
+        for _, item, whole in reversed(self.scopes):
+            for name in names:
+                item["props"].setdefault(name, []).append(value)
+            if whole:
+                break
+
+    def _microdata(self, a: dict, tag: str) -> None:
+        at, names = len(self.stack), a.get("itemprop", "").split()
+        deep = len(self.scopes) >= _DEEPEST or tag in _VOID
+        if a.get("id") in self.referred and a["id"] not in self.parts and not deep:
+            self.parts[a["id"]] = part = {"props": {}}
+            self.scopes.append((at, part, False))
+        if "itemscope" in a and not deep:
+            item = {"types": a.get("itemtype", "").split(), "refs": a.get("itemref", "").split(), "props": {}}
+            if names:
+                self._property(names, item)
+            if not names or not any(whole for _, _, whole in self.scopes):
+                self.ld.append(item)
+            self.scopes.append((at, item, True))
+        elif names and self.scopes:
+            value = a.get("content") or a.get("href") or a.get("src") or a.get("datetime")
+            if value or tag in _VOID:
+                self._property(names, value or "")
+            elif len(self.props) < _DEEPEST:
+                self.props.append((at, names, []))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = {k: v or "" for k, v in attrs}
+        for closed, bounds in filter(None, (_P if tag in _ENDS_P else None, _CLOSES.get(tag))):
+            bound = self._place(bounds)
+            if left_open := [x for t in closed for x in self.at.get(t, ())[-1:] if x > bound]:
+                self._end(min(left_open))
         if tag == "meta":
             key = (a.get("property") or a.get("name") or "").lower()
             if key and a.get("content"):
@@ -56,49 +132,73 @@ class _Page(HTMLParser):
         elif tag == "link" and "alternate" in a.get("rel", "") and re.search("rss|atom", a.get("type", "")):
             self.feeds.append(a.get("href", ""))
         elif tag == "a":
-            self.anchor = [a.get("href", ""), ""]
-        if "itemscope" in a:
-            self.items.append({"@type": a.get("itemtype", ""), "_depth": len(self.stack)})
-        if "itemprop" in a and self.items:
-            self.items[-1][a["itemprop"]] = a.get("content") or a.get("href") or ""
+            self._link()
+            self.anchor = [a.get("href", ""), [], ""]
+        elif tag == "time" and self.anchor and not self.anchor[2]:
+            self.anchor[2] = a.get("datetime", "")
         if tag in _BLOCK:
             self.text.append("\n")
-        if tag not in ("meta", "link", "br", "img", "input", "hr"):
-            self.stack.append((tag, a.get("type", ""), a.get("itemprop")))
+        self._microdata(a, tag)
+        if tag not in _VOID:
+            self.at.setdefault(tag, []).append(len(self.stack))
+            self.stack.append((tag, a.get("type", "")))
+            self._within(tag, 1)
             if tag in ("h1", "h2"):
-                self.heads.append("")
+                self.heads.append([])
 
-    def handle_endtag(self, tag: str) -> None:
-        if tag == "a" and self.anchor:
-            self.links.append(self.anchor)
+    def _link(self) -> None:
+        if self.anchor:
+            self.links.append((self.anchor[0], "".join(self.anchor[1]), self.anchor[2]))
             self.anchor = None
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "a":
+            self._link()
         if tag in _BLOCK:
             self.text.append("\n")
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                break
-        while self.items and len(self.stack) <= self.items[-1]["_depth"] and len(self.items) > 0:
-            item = self.items.pop()
-            self.ld.append(json.dumps({k: v for k, v in item.items() if k != "_depth"} | {"@type": item["@type"].rsplit("/", 1)[-1]}))
+        if self.at.get(tag):
+            self._end(self.at[tag][-1])
 
     def handle_data(self, data: str) -> None:
-        tags = [t for t, _, _ in self.stack]
-        if tags and tags[-1] == "script" and "ld+json" in self.stack[-1][1]:
+        if self.stack and self.stack[-1][0] == "script" and "ld+json" in self.stack[-1][1]:
             self.ld.append(data)
-        if _HIDDEN.intersection(tags):
+        if self.inside["hidden"]:
             return
-        if "title" in tags:
+        if self.inside["title"]:
             self.title.append(data)
         self.text.append(f" {data}")
         if self.anchor:
-            self.anchor[1] += data
-        if {"h1", "h2"}.intersection(tags) and self.heads:
-            self.heads[-1] += data
-        if {"footer", "address"}.intersection(tags):
+            self.anchor[1].append(data)
+        if self.inside["head"] and self.heads:
+            self.heads[-1].append(data)
+        if self.inside["foot"]:
             self.foot.append(data)
-        if self.stack and self.stack[-1][2] and self.items and not self.items[-1].get(self.stack[-1][2]):
-            self.items[-1][self.stack[-1][2]] = data.strip()
+        for _, _, parts in self.props:
+            parts.append(data)
+
+    def close(self) -> None:
+        super().close()
+        self._link()
+        self._end(0)
+
+    def items(self) -> Iterator[object]:
+        """JSON-LD blocks and top-level items in the order of the page, an item in the shape of JSON-LD."""
+
+        def shaped(item: dict, through: tuple) -> dict:
+            props = dict(item["props"])
+            for ref in item.get("refs", ()):
+                if ref in self.parts and ref not in through:
+                    props |= {k: [*props.get(k, ()), *v] for k, v in self.parts[ref]["props"].items()}
+            through = (*through, *item.get("refs", ()))
+            out = {k: [shaped(x, through) if isinstance(x, dict) else x for x in v] for k, v in props.items()}
+            types = [t.rsplit("/", 1)[-1] for t in item.get("types", ())]
+            return {"@type": types[0] if len(types) == 1 else types} | {k: v[0] if len(v) == 1 else v for k, v in out.items()}
+
+        for block in self.ld:
+            try:
+                yield json.loads(block) if isinstance(block, str) else shaped(block, ())
+            except (ValueError, RecursionError):
+                continue
 
 
 def _squash(text: str) -> str:
@@ -106,16 +206,16 @@ def _squash(text: str) -> str:
 
 
 def typed_nodes(data: object) -> Iterator[dict]:
-    """Every object with an @type, at any depth."""
+    """Every object with an @type, at any depth, outer ones first."""
     todo = [data]
     while todo:
-        x = todo.pop(0)
+        x = todo.pop()
         if isinstance(x, dict):
             if x.get("@type"):
                 yield x
-            todo = list(x.values()) + todo
+            todo += reversed(list(x.values()))
         elif isinstance(x, list):
-            todo = x + todo
+            todo += reversed(x)
 
 
 #: Types of nodes that name the page's own organisation. Fixed values.
@@ -140,22 +240,26 @@ def _host(url: str | None) -> str | None:
 
 
 def parse_page(url: str | None, html: str | None) -> dict:
-    p = _Page()
-    p.feed(html or "")
-    p.close()
+    referred = {i for m in re.finditer(r"""(?i)\bitemref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", html or "") for i in "".join(filter(None, m.groups())).split()}
+    p = _Page(frozenset(referred))
+    try:
+        p.feed(html or "")
+        p.close()
+    except (AssertionError, ValueError):  # what the standard parser can't go past ends the page, not the job
+        p._link()
+        p._end(0)
     raw = "".join(p.text)
     text, title = _squash(raw), _squash(" ".join(p.title))
     nodes = []
-    for block in p.ld:
+    for n in (n for block in p.items() for n in typed_nodes(block)):
         try:
-            found = list(typed_nodes(json.loads(block)))
-        except ValueError:
+            said = json.dumps(n, ensure_ascii=False, sort_keys=True)
+        except RecursionError:
             continue
-        for n in found:
-            for t in n["@type"] if isinstance(n["@type"], list) else [n["@type"]]:
-                nodes.append({"type": re.split("[/:]", str(t))[-1], "json": json.dumps(n, ensure_ascii=False, sort_keys=True)})
+        for t in n["@type"] if isinstance(n["@type"], list) else [n["@type"]]:
+            nodes.append({"type": re.split("[/:]", str(t))[-1], "json": said})
     links = []
-    for href, anchor in p.links:
+    for href, anchor, time in p.links:
         if not href or href.startswith(("javascript:", "#")):
             continue
         try:
@@ -164,23 +268,29 @@ def parse_page(url: str | None, html: str | None) -> dict:
             clean = urlunsplit((full.scheme, full.netloc.lower(), full.path or "/", "", "")) if full.scheme in ("http", "https") else href
         except ValueError:
             continue
-        links.append({"pos": len(links), "url": clean, "anchor": _squash(anchor)})
+        links.append({"pos": len(links), "url": clean, "anchor": _squash(anchor), "time": time})
     # where a page says whose it is; a fixed value
     cue = re.compile(r"©|\(c\)\s*20\d\d|copyright|alle rettigheter|all rights reserved", re.I)
     marks = [text[max(0, m.start() - 60) : m.end() + 60] for m in cue.finditer(text)][:3]
     author = " ".join(p.meta[k] for k in ("author", "publisher", "copyright") if k in p.meta)
     names = [v for n in nodes if n["type"] in ORG_TYPES for v in _strings(json.loads(n["json"]), ("name", "legalName", "alternateName"))]
-    named = [("title", title), ("og:site_name", p.meta.get("og:site_name", "")), ("og:title", p.meta.get("og:title", "")), *(("json-ld", v) for v in names), ("footer", _squash(" ".join(p.foot))[:2000]), ("headings", _squash(" ".join(p.heads[:8]))[:800]), ("author", author), ("copyright", " ".join(marks))]
+    named = [("title", title), ("og:site_name", p.meta.get("og:site_name", "")), ("og:title", p.meta.get("og:title", "")), *(("json-ld", v) for v in names), ("footer", _squash(" ".join(p.foot))[:2000]), ("headings", _squash(" ".join("".join(h) for h in p.heads[:8]))[:800]), ("author", author), ("copyright", " ".join(marks))]
+    feeds = []
+    for f in p.feeds:
+        try:
+            feeds.append(urljoin(url or "", f))
+        except ValueError:
+            continue
     return {
         "host": _host(url), "text": text, "title": title, "description": p.meta.get("description") or p.meta.get("og:description"), "site_name": p.meta.get("og:site_name"),
-        "og_title": p.meta.get("og:title"), "links": links, "feeds": [urljoin(url or "", f) for f in p.feeds], "nodes": nodes,
+        "og_title": p.meta.get("og:title"), "links": links, "feeds": feeds, "nodes": nodes,
         "positions": [{"label": k, "text": v} for k, v in named if v], "strings": [s for s in map(_squash, raw.split("\n")) if s],
     }
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     node, pos = pa.struct([("type", pa.string()), ("json", pa.string())]), pa.struct([("label", pa.string()), ("text", pa.string())])
-    link = pa.struct([("pos", pa.int32()), ("url", pa.string()), ("anchor", pa.string())])
+    link = pa.struct([("pos", pa.int32()), ("url", pa.string()), ("anchor", pa.string()), ("time", pa.string())])
     kinds = {"host": pa.string(), "text": pa.string(), "title": pa.string(), "description": pa.string(), "site_name": pa.string(), "og_title": pa.string(), "links": pa.list_(link), "feeds": pa.list_(pa.string()), "nodes": pa.list_(node), "positions": pa.list_(pos), "strings": pa.list_(pa.string())}
     for batch in batches:
         made = [parse_page(u, h) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True)]
@@ -201,15 +311,25 @@ def site_links(parsed: DataFrame, kinds: Sequence[tuple[str, Sequence[str]]] = P
     return rows.withColumn("kind", X.page_kind(path, F.col("anchor"), kinds)).withColumn("depth", F.size(F.filter(F.split(path, "/"), lambda s: s != "")))
 
 
+#: Hosts of consumer mail by a part of their name, and the form of an address. Fixed values.
+FREEMAIL = ("gmail.", "hotmail.", "outlook.", "live.", "yahoo.", "icloud.", "online.no", "getmail.")
+ADDRESS = r"^[\w.+-]+@[\w-]+(?:\.[\w-]+)+$"
+
+
 def contacts(parsed: DataFrame) -> DataFrame:
-    """(site, field, value, confidence): linked addresses and numbers at 1.0, written ones at 0.8; three of each, own domain first."""
+    """(site, field, value, confidence, rank): linked addresses and numbers at 1.0, written ones at 0.8; three of each, own domain first.
+
+    Consumer mail addresses, and what is no address or no Norwegian number, are left out.
+    """
     site = X.registered_domain(X.host(F.col("url")))
     linked = parsed.select("page_id", site.alias("site"), F.explode("links").alias("l")).select("page_id", "site", F.col("l.url").alias("u"), F.col("l.pos").alias("pos"))
     mail = linked.where(F.col("u").rlike("(?i)^mailto:")).select("page_id", "site", F.lit("contact_email").alias("field"), F.lower(F.regexp_extract("u", r"(?i)^mailto:([^?]+)", 1)).alias("value"), F.lit(1.0).alias("confidence"), "pos")
-    tel = linked.where(F.col("u").rlike("(?i)^tel:")).select("page_id", "site", F.lit("contact_phone").alias("field"), F.concat(F.lit("+47"), F.right(F.regexp_replace("u", "[^0-9]", ""), F.lit(8))).alias("value"), F.lit(1.0).alias("confidence"), "pos")
+    tel = linked.where(F.col("u").rlike("(?i)^tel:")).select("page_id", "site", F.lit("contact_phone").alias("field"), X.phone(F.substring(F.col("u"), 5, 100)).alias("value"), F.lit(1.0).alias("confidence"), "pos")
     text = lambda f, c: parsed.select("page_id", site.alias("site"), F.lit(f).alias("field"), F.posexplode(c).alias("pos", "value"), F.lit(0.8).alias("confidence")).select("page_id", "site", "field", "value", "confidence", F.col("pos") + 10_000)
     own = text("contact_email", X.emails(F.col("text"))).where(F.col("value").endswith(F.concat(F.lit("@"), F.col("site"))))
-    rows = mail.union(tel).union(own).union(text("contact_phone", X.phones(F.col("text"))))
+    mails = mail.union(own).withColumn("value", F.regexp_replace(F.trim("value"), r"\.+$", "")).where(F.col("value").rlike(ADDRESS))
+    mails = mails.where(~reduce(or_, (F.contains(F.substring_index("value", "@", -1), F.lit(h)) for h in FREEMAIL)))
+    rows = mails.union(tel.where("value is not null")).union(text("contact_phone", X.phones(F.col("text"))))
     rows = first_wins(rows, ["site", "field", "value"], ["page_id", "pos"])
     ours = (~F.coalesce(F.col("value").endswith(F.concat(F.lit("@"), F.col("site"))), F.lit(False))).cast("int")
     return top_n_per_entity(rows, ["site", "field"], [ours, F.col("value")], 3).select("site", "field", "value", "confidence", "rank")
@@ -262,17 +382,24 @@ def job_postings(parsed: DataFrame) -> DataFrame:
 
 
 def news_items(parsed: DataFrame, feed: DataFrame | None = None, most: int = 10) -> DataFrame:
-    """P10: dated articles of nodes, dated links of news pages and items of feed(site, title, link, date): the newest of a site."""
-    site = X.registered_domain(X.host(F.col("url"))).alias("site")
+    """P10: dated articles of nodes, dated links of news pages and items of feed(site, title, link, date): the newest of a site.
+
+    Links count on pages of kind news, to the site itself, with 8 characters of anchor or more; their date is in the anchor, in
+    a time element of it, or in the path, there without the day too. date is text, of ten characters or seven.
+    """
+    domain, path = X.registered_domain(X.host(F.col("url"))), F.regexp_extract("url", r"^[a-z]+://[^/]*(.*)$", 1)
+    site, iso = domain.alias("site"), lambda c: F.date_format(X.loose_date(c), "yyyy-MM-dd")
     j = lambda k: F.get_json_object("json", f"$.{k}")
-    a = typed(parsed, "NewsArticle", "Article", "BlogPosting").select(site, F.coalesce(j("headline"), j("name")).alias("title"), F.coalesce(j("url"), F.col("url")).alias("link"), X.loose_date(j("datePublished")).alias("date"), F.lit(0).alias("pos"))
-    links = parsed.select(site, F.explode("links").alias("l")).select("site", "l.*")
-    in_path = F.try_to_date(F.regexp_replace(F.regexp_extract("url", r"/(\d{4}/\d{2}/\d{2})/", 1), "/", "-"), "yyyy-MM-dd")
-    b = links.select("site", F.col("anchor").alias("title"), F.col("url").alias("link"), F.coalesce(X.loose_date(F.col("anchor")), in_path).alias("date"), (F.col("pos") + 1).alias("pos"))
+    main = F.when(~F.coalesce(j("mainEntityOfPage"), F.lit("{")).startswith("{"), j("mainEntityOfPage"))
+    a = typed(parsed, "NewsArticle", "Article", "BlogPosting").select(site, F.left(F.trim(F.coalesce(j("headline"), j("name"))), F.lit(200)).alias("title"), F.coalesce(j("url"), main).alias("link"), iso(j("datePublished")).alias("date"), F.lit(0).alias("pos"))
+    links = parsed.where(X.page_kind(path, F.lit(""), PAGE_KINDS) == "news").select(site, F.explode("links").alias("l")).select("site", "l.*").where((F.char_length("anchor") >= 8) & (domain == F.col("site")))
+    day, month = (F.regexp_extract(path, rf"/(\d{{4}}/\d{{2}}{d})/", 1) for d in (r"/\d{2}", ""))
+    in_path = F.when(day != "", iso(F.replace(day, F.lit("/"), F.lit("-")))).when(month != "", F.replace(month, F.lit("/"), F.lit("-")))
+    b = links.select("site", F.left("anchor", F.lit(200)).alias("title"), F.col("url").alias("link"), F.coalesce(iso(F.col("anchor")), iso(F.col("time")), in_path).alias("date"), (F.col("pos") + 1).alias("pos"))
     rows = a.union(b)
     if feed is not None:
-        rows = rows.union(feed.select("site", "title", "link", "date", F.lit(0).alias("pos")))
-    rows = first_wins(rows.where("date is not null and title <> ''"), ["site", "link"], ["pos", "title", "date"])
+        rows = rows.union(feed.select("site", "title", "link", F.col("date").cast("string"), F.lit(0).alias("pos")))
+    rows = first_wins(rows.where("date is not null and title <> '' and link is not null"), ["site", "link"], ["pos", "title", "date"])
     return top_n_per_entity(rows, ["site"], [F.desc("date"), F.col("link")], most).select("site", "rank", "date", "title", "link")
 
 

@@ -79,7 +79,8 @@ def frontier_rank(links: DataFrame, kinds: Sequence[str], budget: int = 7) -> Da
     rank = F.array_position(F.array(*map(F.lit, kinds)), F.col("kind"))
     links = links.withColumn("kind_rank", rank.cast("int")).withColumn("n", F.char_length("url"))
     order = ["depth", "n", "url"]
-    links = links.withColumn("i", F.row_number().over(W.partitionBy("site", "kind").orderBy(*order)))
+    # nothing beyond `budget` of a kind can be chosen; Spark cuts at the limit before it shuffles
+    links = links.withColumn("i", F.row_number().over(W.partitionBy("site", "kind").orderBy(*order))).where(F.col("i") <= budget)
     links = links.withColumn("rank", F.row_number().over(W.partitionBy("site").orderBy((F.col("i") > 1).cast("int"), "kind_rank", *order)))
     return links.where(F.col("rank") <= budget).select("site", "rank", "kind", "url")
 

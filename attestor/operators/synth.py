@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..schemas import SECTIONS
+from .rank import top_n_per_entity
 
 #: change type -> one, many. Fixed values; others read "n <type with spaces>(s)".
 PHRASES = {"new_filing": ("new accounts filing", "new accounts filings"), "new_job": ("new job ad", "new job ads"), "closed_job": ("closed job ad", "closed job ads"), "availability_changed": ("availability change", "availability changes"), "new_registry_update": ("new registry update", "new registry updates")}
@@ -62,9 +63,54 @@ def age(founded: Column, as_of: int) -> Column:
     return F.lit(as_of) - F.try_to_number(F.left(founded, F.lit(4)), F.lit("9999")).cast("int")
 
 
+def address_text(value: Column) -> Column:
+    """An address claim as one line: an object's street, then postcode with city; the parts of a list; text as it is."""
+    j = lambda k: F.nullif(F.trim(F.get_json_object(value, f"$.{k}")), F.lit(""))
+    parts = F.concat_ws(", ", F.coalesce(j("street"), j("address")), F.nullif(F.concat_ws(" ", j("postcode"), j("city")), F.lit("")), j("country"))
+    listed = F.array_join(F.filter(F.from_json(value, "array<string>"), lambda x: F.trim(x) != ""), ", ")
+    return F.nullif(F.when(value.startswith("{"), parts).when(value.startswith("["), listed).otherwise(F.trim(value)), F.lit(""))
+
+
+#: field -> how many of its claims are told by name. Fixed values.
+TOLD = {"workplace": 4, "site_location": 5, "job_posting": 3}
+
+
+def _told(claims: DataFrame) -> DataFrame:
+    """(entity_id, workplace, site_location, job_posting): how many there are, and the first few by name, as (n, names)."""
+    j = lambda k: F.nullif(F.trim(F.get_json_object("value", f"$.{k}")), F.lit(""))
+    city = F.initcap(F.coalesce(j("address.city"), F.when(~j("address").startswith("{"), j("address"))))
+    where = {"workplace": (j("name"), city), "site_location": (F.coalesce(j("name"), j("address"), F.when(~F.col("value").startswith("{"), F.col("value"))), None), "job_posting": (j("title"), F.initcap(j("location")))}
+    named = F.coalesce(*(F.when(F.col("field") == f, name if at is None else F.concat(name, F.coalesce(F.concat(F.lit(" ("), at, F.lit(")")), F.lit("")))) for f, (name, at) in where.items()))
+    rows = claims.where("availability = 'available'").where(F.col("field").isin(*TOLD)).select("entity_id", "field", "claim_id", named.alias("name")).where("name is not null")
+    n = rows.groupBy("entity_id", "field").agg(F.count("*").alias("n"))
+    few = top_n_per_entity(rows, ["entity_id", "field"], [F.char_length("claim_id"), F.col("claim_id"), F.col("name")], max(TOLD.values()))
+    few = few.groupBy("entity_id", "field").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"]).alias("names"))
+    both = n.join(few, ["entity_id", "field"]).groupBy("entity_id")
+    return both.agg(*(F.min(F.when(F.col("field") == f, F.struct("n", F.slice("names", 1, most).alias("names")))).alias(f) for f, most in TOLD.items()))
+
+
+def _dated(claims: DataFrame) -> DataFrame:
+    """(entity_id, dated): the newest of news, registry updates, job ads and the sitemap, and how many updates there were."""
+    j = lambda k: F.nullif(F.trim(F.get_json_object("value", f"$.{k}")), F.lit(""))
+    f, say = F.col("field"), F.concat
+    said = (
+        F.when(f == "news_item", say(F.lit("news item “"), F.coalesce(j("title"), F.lit("untitled")), F.lit("”")))
+        .when(f == "registry_update", say(F.lit("registry update ("), F.coalesce(j("change_type"), F.lit("unknown type")), F.lit(")")))
+        .when(f == "job_posting", F.lit("job ad posted"))
+        .when(f == "sitemap_lastmod", F.lit("sitemap update"))
+    )
+    day = F.left(F.when(f == "sitemap_lastmod", F.col("value")).when(f == "job_posting", j("date_posted")).otherwise(j("date")), F.lit(10))
+    rows = claims.where("availability = 'available'").select("entity_id", "field", day.alias("day"), said.alias("said")).where("said is not null and day is not null")
+    update = F.when(f == "registry_update", F.col("day"))
+    rows = rows.groupBy("entity_id").agg(F.max(F.struct("day", "said")).alias("newest"), F.count(update).alias("n"), F.max(update).alias("last_update"))
+    latest = say(F.lit("Latest dated activity: "), "newest.said", F.lit(" on "), "newest.day", F.lit("."))
+    updates = F.when(F.col("n") > 0, say(F.lit(" The registry recorded "), F.col("n").cast("string"), F.when(F.col("n") == 1, F.lit(" update event")).otherwise(F.lit(" update events")), F.lit(", the most recent on "), "last_update", F.lit(".")))
+    return rows.select("entity_id", say(latest, F.coalesce(updates, F.lit(""))).alias("dated"))
+
+
 def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
     """One row of sentences per entity; what has no available claim is NULL."""
-    fields = ["legal_name", "legal_form", "municipality", "industry_code", "industry_label", "registry_employees", "revenue", "annual_result", "equity", "status_flags", "founded", "official_website", "active_job_count", "reporting_period", "accounts_filing_years", "business_address"]
+    fields = ["legal_name", "legal_form", "municipality", "industry_code", "industry_label", "registry_employees", "revenue", "annual_result", "equity", "status_flags", "founded", "official_website", "active_job_count", "reporting_period", "accounts_filing_years", "business_address", "registered_address", "careers_page_url"]
     p = pivoted(claims, fields)
     roles = claims.where("availability = 'available' and field = 'role'").select("entity_id", "claim_id", F.get_json_object("value", "$.role").alias("role"), F.get_json_object("value", "$.name").alias("name"))
     roles = roles.groupBy("entity_id", "role").agg(F.slice(F.sort_array(F.collect_list(F.struct("claim_id", "name")))["name"], 1, 6).alias("n"))
@@ -72,6 +118,7 @@ def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
     events = claims.where("availability = 'available' and effective_date is not null and section = 'activity'")
     events = events.groupBy("entity_id").agg(F.max("effective_date").alias("last"), F.count("*").alias("n_events"))
     p = p.join(roles, "entity_id", "left").join(events, "entity_id", "left").join(_trends(claims), "entity_id", "left")
+    p = p.join(_told(claims), "entity_id", "left").join(_dated(claims), "entity_id", "left")
     years = F.array_sort(F.from_json("accounts_filing_years", "array<string>"))
     filed = F.when(F.size(years) == 1, F.concat(F.lit("One annual-account filing is on file, for "), years[0], F.lit("."))).when(
         F.size(years) > 1, F.concat(F.lit("Annual accounts are on file for "), F.size(years).cast("string"), F.lit(" years, "), years[0], F.lit(" to "), F.element_at(years, -1), F.lit("."))
@@ -81,18 +128,25 @@ def profile_text(claims: DataFrame, as_of: int) -> DataFrame:
     amounts = F.array_compact(F.array(F.concat(F.lit("revenue of "), X.money_text(number("revenue"), kr)), F.concat(F.when(number("annual_result") < 0, F.lit("a loss of ")).otherwise(F.lit("a result of ")), X.money_text(F.abs(number("annual_result")), kr))))
     people = number("registry_employees").cast("int")
     jobs = number("active_job_count").cast("int")
+    said = lambda *parts: F.nullif(F.concat_ws(" ", *parts), F.lit(""))
+    counted = F.when(jobs == 0, F.lit("No active job ads.")).when(jobs == 1, F.lit("1 active job ad.")).otherwise(F.concat(jobs.cast("string"), F.lit(" active job ads.")))
+    line = lambda c, label: F.concat(F.lit(f"{label} address: "), address_text(F.col(c)), F.lit("."))
+    address = F.coalesce(line("business_address", "Business"), line("registered_address", "Registered"))
+    many = lambda c: F.when(F.col(f"{c}.n") == 1, F.lit("")).otherwise(F.lit("s"))
+    units = F.concat(F.lit("The registry lists "), F.col("workplace.n").cast("string"), F.lit(" sub-unit"), many("workplace"), F.lit(": "), X.spoken_list(F.col("workplace.names")), F.when(F.col("workplace.n") > TOLD["workplace"], F.lit(" and others.")).otherwise(F.lit(".")))
+    places = F.concat(F.lit("The website names "), X.spoken_list(F.col("site_location.names")), F.lit(" as location"), many("site_location"), F.lit("."))
     return p.select(
         "entity_id",
-        F.concat("legal_name", F.lit(" is a company"), F.coalesce(F.concat(F.lit(" in "), F.initcap("municipality")), F.lit("")), F.coalesce(F.concat(F.lit(" registered under "), F.concat_ws(" ", "industry_code", "industry_label")), F.lit("")), F.lit(".")).alias("what"),
+        F.concat("legal_name", F.lit(" is a company"), F.coalesce(F.concat(F.lit(" in "), F.initcap("municipality")), F.lit("")), F.coalesce(F.concat(F.lit(" registered under "), F.nullif(F.concat_ws(" ", "industry_code", "industry_label"), F.lit(""))), F.lit("")), F.lit(".")).alias("what"),
         F.when(people == 0, F.lit("No employees.")).when(people == 1, F.lit("1 employee.")).otherwise(F.concat(people.cast("string"), F.lit(" employees."))).alias("size"),
         F.when(F.size(amounts) > 0, F.concat(F.lit("It filed "), X.spoken_list(amounts), F.lit("."))).alias("accounts"),
-        F.when(jobs == 0, F.lit("No active job ads.")).when(jobs == 1, F.lit("1 active job ad.")).otherwise(F.concat(jobs.cast("string"), F.lit(" active job ads."))).alias("hiring"),
+        said(counted, F.concat(F.lit("Open roles include "), X.spoken_list(F.col("job_posting.names")), F.lit(".")), F.concat(F.lit("Careers page: "), "careers_page_url", F.lit("."))).alias("hiring"),
         "leaders",
-        F.coalesce(F.concat(F.lit("Business address: "), F.coalesce(F.get_json_object("business_address", "$.address"), F.array_join(F.from_json("business_address", "array<string>"), ", "), F.col("business_address")), F.lit(".")), F.concat(F.lit("Based in "), F.initcap("municipality"), F.lit("."))).alias("place"),
+        F.coalesce(said(address, units, places), F.concat(F.lit("Based in "), F.initcap("municipality"), F.lit("."))).alias("place"),
         "trend",
         filed.alias("history"),
         F.col("official_website").alias("website"),
-        F.concat(F.lit("Last event on "), "last", F.lit(" of "), F.col("n_events").cast("string"), F.lit(".")).alias("activity"),
+        F.coalesce("dated", F.concat(F.lit("Last event on "), "last", F.lit(" of "), F.col("n_events").cast("string"), F.lit("."))).alias("activity"),
         F.coalesce(F.nullif(F.array_join(risk_flags(F.col("status_flags"), number("equity")), " "), F.lit("")), F.when(F.col("status_flags").isNotNull(), F.lit("No flag is set."))).alias("risks"),
         age(F.col("founded"), as_of).alias("age"),
     )

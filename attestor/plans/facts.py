@@ -54,7 +54,7 @@ _SITE = "'firma' || page_id || '.no' as site"
 
 
 @query(
-    f"""with f as (select {_SITE}, 'contact_email' as field, 'post@firma' || page_id || '.no' as value, 1.0 as confidence, 1 as rank from pages union all select {_SITE}, 'contact_email', 'a.b@gmail.com', 1.0, 2 from pages),
+    f"""with f as (select {_SITE}, 'contact_email' as field, 'post@firma' || page_id || '.no' as value, 1.0 as confidence, 1 as rank from pages),
     t as (select site, value, max(confidence) as confidence from (select {_SITE}, '+4722334455' as value, 1.0 as confidence from pages union all select {_SITE}, '+47223344' || lpad((page_id % 50)::varchar, 2, '0'), 0.8 from pages) group by 1, 2)
     select site, field, value, confidence::double as confidence, rank::int as rank from f union all select site, 'contact_phone', value, confidence::double, (row_number() over (partition by site order by value))::int from t"""
 )
@@ -95,7 +95,7 @@ def p9_job_postings(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"select {_SITE}, 1::int as rank, '2024-03-04' as date, 'Nytt ' || page_id as title, 'https://firma' || page_id || '.no/n/' || page_id as link from pages")
 def p10_site_news(spark: SparkSession, d: str) -> DataFrame:
-    return P.news_items(_fact_pages(spark, d)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return P.news_items(_fact_pages(spark, d))
 
 
 @query("select page_id + 1000000000 as page_id, 'https://www.firma' || page_id || '.no/karriere/' as url, 'ledige stillinger' as cue from pages")
@@ -238,7 +238,7 @@ def _texts(name: str, cases: tuple[tuple[str, str | None], ...], of) -> None:
 _texts("x2_name_words", (("The Nordlys{n} Group AS", "nordlys{n}"), ("Ærfugl og Ås{n} i Norge", "aerfugl as{n}"), ("AS DA", "")), lambda c: F.array_join(X.name_words(c), " "))
 _texts("x3_legal_form", (("alfa{n} se", "alfa{n}"), ("alfa{n} brl", "alfa{n} brl"), ("as", "as"), ("beta{n} asa", "beta{n}")), lambda c: X.without_form(X.fold_words(c), X.AD_LEGAL_FORMS))
 _texts("x6_domain_guesses", (("Nordlys{n} Hansen AS", "nordlys{n}hansen.no nordlys{n}-hansen.no nordlys{n}.no nordlys{n}hansen.com"), ("Holding Invest AS", ""), ("Fjord{n} AS", "fjord{n}.no fjord{n}.com")), lambda c: F.array_join(X.domain_guesses(c), " "))
-_texts("x8_phones", (("Tlf. 22 33 44 55 nr {n}", "+4722334455"), ("0047 91234567, 12345678", "+4791234567"), ("kode 22334455", "")), lambda c: F.array_join(X.phones(c), " "))
+_texts("x8_phones", (("Tlf. 22 33 44 55 nr {n}", "+4722334455"), ("Telefon: 22.33.44.55 / 223 34 456", "+4722334455"), ("mobil 913 34 455 eller tel 12345678", "+4791334455"), ("+47-22334457 og 4722334458", "+4722334457"), ("0047 91234567, 12345678", "+4791234567"), ("kode 22334455", "")), lambda c: F.array_join(X.phones(c), " "))
 _texts("x9_loose_date", (("on 2024-02-03 nr {n}", "2024-02-03"), ("3.2.2024", "2024-02-03"), ("Sat, 03 Feb 2024 10:00:00 +0000", "2024-02-03"), ("31.02.2024", None), ("{n}", None)), X.loose_date)
 _texts("x10_social_platform", (("https://www.facebook.com/f{n}", "facebook"), ("https://x.com/f{n}", "x"), ("https://twitter.com/intent/tweet?x={n}", None), ("https://f{n}.no/facebook", None), ("https://youtube.com/watch?v={n}", None)), X.social_platform)
 _texts("x11_page_kind", (("/om-oss/{n}", "about"), ("/kontakt", "contact"), ("/karriere/{n}", "careers"), ("/x/{n}", None)), lambda c: X.page_kind(c, F.lit(""), P.PAGE_KINDS))
@@ -291,6 +291,8 @@ _RUNS = (
     ([_c("revenue", "1", "accounts")], [_c("revenue", None, "accounts", "failed")], [("revenue", "availability_changed", "material", "available", "failed")]),
     ([_c("founded", None, state="failed")], [_c("founded", "2001")], [("founded", "availability_changed", "minor", "failed", "available")]),
     ([], [_c("legal_name", "New {n}")], []),
+    ([_c("legal_name", "Alfa {n}"), _c("former_names", None, state="not_available")], [_c("legal_name", "Beta {n}"), _c("former_names", ["Alfa {n}"])], [("legal_name", "changed_name", "material", "Alfa {n}", "Beta {n}")]),
+    ([_c("legal_name", "Beta {n}"), _c("former_names", None, state="not_available")], [_c("legal_name", "Beta {n}"), _c("former_names", ["Alfa {n}"])], [("former_names", "changed_name", "material", None, '{"former_names_added":["Alfa {n}"]}')]),
     ([_c("news_item", {"url": "http://a/1"}, "activity"), _c("registry_update", {"date": "2024-01-01", "change_type": "Ny"}, "activity")], [_c("news_item", {"url": "http://a/2"}, "activity"), _c("registry_update", {"date": "2024-02-01", "change_type": "Ny"}, "activity")], [("news_item", "new_news", "minor", None, '{"url":"http://a/2"}'), ("registry_update", "new_registry_update", "minor", None, '{"date":"2024-02-01","change_type":"Ny"}')]),
 )
 
@@ -315,9 +317,8 @@ def _place(claims: list[tuple], field: str, value: str | None) -> int:
 def _told(run: tuple, change: tuple) -> str:
     """A change as a DuckDB struct, with the time of the earlier claim (of its run where it is the first), else of the later one, and both ids."""
     field, kind, materiality, before, after = change
-    lone = kind in {*diff.ADDED.values(), *diff.REMOVED.values(), "new_website"}
-    p = None if lone and before is None else _place(run[0], field, before)
-    c = None if lone and after is None else _place(run[1], field, after)
+    p = None if before is None else _place(run[0], field, before)
+    c = None if after is None else _place(run[1], field, after)
     at, day = (p, "2024-05-01") if p is not None else (c, "2024-06-01")
     seen = day if at else day + "T00"
     ids = [x if x is None else f"{s}{x}" for s, x in (("c", c), ("p", p))]

@@ -8,7 +8,7 @@ import math
 import duckdb
 import pytest
 
-from attestor.plans import core, evidence, facts, pages  # noqa: F401
+from attestor.plans import core, evidence, facts, pages, varied  # noqa: F401
 from attestor.plans.registry import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
