@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rank, rollup
+from ..shared import shared_path
 from ..sources import io
 from .registry import query, table
 
@@ -363,6 +364,29 @@ def io4_snapshot_store(spark: SparkSession, d: str) -> DataFrame:
     return io.snapshot_store(table(spark, d, "documents").where("text is not null").selectExpr("text as body", "'txt' as kind", "lpad(cast(doc_id as string), 9, '0') as path"))
 
 
+@query("select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey in (select l_orderkey from lineitem where l_quantity > 49 and l_partkey % 10 = 0)")
+def io2_converted_reference(spark: SparkSession, d: str) -> DataFrame:
+    """Orders converted once, then asked for those of some lines."""
+    path = shared_path(spark, "reference")
+    io.convert_reference(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, "o_orderkey")
+    ids = table(spark, d, "lineitem").where("l_quantity > 49 and l_partkey % 10 = 0").select(F.col("l_orderkey").alias("id"))
+    return io.load_converted_subset(spark.read.parquet(path), ids, "o_orderkey")
+
+
+@query(
+    """with b as (select doc_id, text, 0 as batch from documents where doc_id % 3 < 2 and text is not null union all select doc_id, text, 1 from documents where doc_id % 3 > 0 and text is not null),
+    f as (select sha256(text) as sha256, min(batch) as batch from b group by 1)
+    select f.sha256, f.batch::bigint as batch, min(lpad(doc_id::varchar, 9, '0')) as first_path, count(*) as copies, sha256(any_value(b.text)) as body_sha256 from f join b on sha256(b.text) = f.sha256 and b.batch = f.batch group by 1, 2"""
+)
+def io4_snapshot_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches of documents that share a third of them, the second one added twice."""
+    docs = table(spark, d, "documents").selectExpr("text as body", "'txt' as kind", "lpad(cast(doc_id as string), 9, '0') as path", "doc_id")
+    store = io.SnapshotStore(spark, shared_path(spark, "snapshots"))
+    for batch, part in ((0, "doc_id % 3 < 2"), (1, "doc_id % 3 > 0"), (1, "doc_id % 3 > 0")):
+        store.add(docs.where(part), batch)
+    return store.rows().select("sha256", "batch", "first_path", "copies", F.sha2("body", 256).alias("body_sha256"))
+
+
 @query("select c_custkey as pos, 'c' || c_custkey as id, n as orders from customer left join (select o_custkey, count(*) as n from orders group by 1) on c_custkey = o_custkey")
 def io5_ordered_profiles(spark: SparkSession, d: str) -> DataFrame:
     profile = table(spark, d, "orders").groupBy(F.concat(F.lit("c"), "o_custkey").alias("entity_id")).agg(F.count("*").alias("orders"))
