@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..operators import pages as P
 from ..operators import synth
 from ..shared import stored
@@ -104,3 +105,20 @@ def t1_footprint_and_activity(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").selectExpr("o_custkey as entity_id", f"inline(array({', '.join(theirs)}))")
     claims = ours.union(orders).selectExpr("*", "if(value is null, 'not_available', 'available') as availability", "cast(null as string) as effective_date", "'x' as section", "array(claim_id) as evidence_ids")
     return synth.profile_text(claims, 2026).select("entity_id", "what", "place", "hiring", "activity")
+
+
+_SELECTED = (
+    """case c_custkey % 6 when 0 then '{"kommune":"' || c_mktsegment || '","kommunenummer":"' || n || '"}' when 1 then '{"a":{"b":{"kode": "DAGL"}}}' when 2 then '{"navn":["FIRMA ' || c_custkey || ' AS"],"gone":{"x":null}}'
+    when 3 then '[{"x.kommune":"' || c_mktsegment || '"},{"alder":' || c_custkey || '}]' when 4 then '{"navn":["ANNET"],"gone":null}' else '{"alder":' || c_custkey || ',"kommune":"' || c_mktsegment || '"}' end"""
+)
+_RECORD = """'{"navn": ["FIRMA ' || c_custkey || ' AS"], "adresse": {"kommune": "' || c_mktsegment || '", "kommunenummer": "' || n || '"}, "roller": [{"type": {"kode": "DAGL"}, "alder": ' || c_custkey || '}]}'"""
+
+
+@query(
+    """with c as (select c_custkey, '"kommune": "' || c_mktsegment || '"' as k, '"kommunenummer": "' || lpad(c_nationkey::varchar, 4, '0') || '"' as n, '"alder": ' || c_custkey as a from customer)
+    select c_custkey, case c_custkey % 6 when 0 then k || ', ' || n when 1 then '"kode": "DAGL"' when 2 then '"navn": ["FIRMA ' || c_custkey || ' AS"]' when 3 then k || ', ' || n || '}, "roller": [{"type": {"kode": "DAGL"}, ' || a when 5 then a end as span from c"""
+)
+def x13_json_selections(spark: SparkSession, d: str) -> DataFrame:
+    """Selections of nested fields, of lists and by dotted names, in each customer's record."""
+    c = table(spark, d, "customer").selectExpr("*", "lpad(cast(c_nationkey as string), 4, '0') as n")
+    return c.select("c_custkey", X.literal_span(F.expr(_SELECTED), F.expr(_RECORD)).alias("span"))
