@@ -60,6 +60,21 @@ def _new_items(cur: Column, prev: Column) -> Column:
 _OPTIONAL = {"evidence_ids": "array<string>", "run_started": "string", "run_completed": "string"}
 
 
+_COLUMNS = ("entity_id", "ord", "field", "section", "value", "availability", "reporting_period", "note", "source", "observed")
+#: Stands for the key of claims that hold nothing; no value has it.
+_NOTHING = "\x00"
+
+
+def _keyed(claims: DataFrame) -> DataFrame:
+    """(entity_id, field, key, claim): each claim with what it is compared by; key and family are made once."""
+    more = [F.col(c) if c in claims.columns else F.lit(None).cast(t).alias(c) for c, t in _OPTIONAL.items()]
+    rows = claims.select(*_COLUMNS, *more).withColumn("value", F.coalesce("value", F.lit("")))
+    family = F.when(F.col("source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("source"))
+    claim = F.struct("ord", "availability", "section", "note", "value", "reporting_period", F.coalesce("observed", "run_started").alias("observed"), F.coalesce("evidence_ids", F.array().cast("array<string>")).alias("evidence_ids"), "run_completed", family.alias("family"))
+    key = F.when(F.col("availability") == "available", F.coalesce(claim_key(F.col("value")), F.lit(""))).otherwise(F.lit(_NOTHING))
+    return X.sealed(rows, F.col("entity_id"), F.col("field"), key.alias("key"), claim.alias("claim"))
+
+
 def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Changes between claims(entity_id, ord, field, section, value, availability, reporting_period, note, source, observed).
 
@@ -69,19 +84,36 @@ def diff_claims(prev: DataFrame, cur: DataFrame) -> DataFrame:
     else of the later one; its evidence's, else its run's start), last_observed (the later run's end), evidence_ids and
     previous_evidence_ids. Two tables are written on the way: one row a claim key with both sides, one row a field.
     """
-    cols = ["entity_id", "ord", "field", "section", "value", "availability", "reporting_period", "note", "source", "observed"]
+    both = _keyed(prev).withColumn("side", F.lit("p")).union(_keyed(cur).withColumn("side", F.lit("c")))
+    one = lambda side: F.min(F.when(F.col("side") == side, F.col("claim"))).alias(side)
+    # one row a key, combined before the shuffle and spread by key: an entity with many items is not one task's work
+    return _changes(both.groupBy("entity_id", "field", "key").agg(one("p"), one("c")))
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        more = [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in _OPTIONAL.items()]
-        return df.select(*cols, *more, F.lit(name).alias("side"))
 
-    both = side(prev, "p").unionByName(side(cur, "c")).withColumn("value", F.coalesce("value", F.lit("")))
-    ok = F.col("availability") == "available"
-    family = F.when(F.col("source").isin("nav", "nav_feed"), F.lit("nav")).otherwise(F.col("source"))
-    claim = F.struct("ord", "availability", "section", "note", "value", "reporting_period", F.coalesce("observed", "run_started").alias("observed"), F.coalesce("evidence_ids", F.array().cast("array<string>")).alias("evidence_ids"), "run_completed", family.alias("family"))
-    both = both.select("entity_id", "field", F.when(ok, F.coalesce(claim_key(F.col("value")), F.lit(""))).alias("key"), F.when(F.col("side") == "p", claim).alias("p"), F.when(F.col("side") == "c", claim).alias("c"))
-    # one row a key, combined before the shuffle and spread by key: an entity with many items is not one task's work
-    items = stored(both.groupBy("entity_id", "field", "key").agg(F.min("p").alias("p"), F.min("c").alias("c")), "diff-items")
+_KEY = ("entity_id", "field", "key")
+
+
+def save_run(claims: DataFrame, name: str, path: str | None = None, buckets: int = 64) -> None:
+    """A run's claims as a table of the catalog, one row a key, bucketed and sorted by it; runs to compare take the same buckets."""
+    rows = _keyed(claims).groupBy(*_KEY).agg(F.min("claim").alias("claim")).repartition(buckets, *_KEY)
+    writer = rows.write.format("parquet").bucketBy(buckets, *_KEY).sortBy(*_KEY).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def joined_runs(prev: DataFrame, cur: DataFrame) -> DataFrame:
+    """(entity_id, field, key, p, c) of two saved runs: a full outer join that meets bucket by bucket, without a shuffle."""
+    side = lambda t, name: t.select(*_KEY, F.col("claim").alias(name))
+    return side(prev, "p").hint("merge").join(side(cur, "c"), list(_KEY), "full_outer")
+
+
+def diff_runs(prev: DataFrame, cur: DataFrame) -> DataFrame:
+    """D0 of two tables of save_run, the same as diff_claims of their claims."""
+    return _changes(joined_runs(prev, cur))
+
+
+def _changes(items: DataFrame) -> DataFrame:
+    """The rules of D over (entity_id, field, key, p, c), one row a claim key with the earlier and the later claim."""
+    items = stored(items.withColumn("key", F.nullif("key", F.lit(_NOTHING))), "diff-items")
     # one row a field: its first claim and its first available one on either side
     live_ = F.col("key").isNotNull()
     fields = items.groupBy("entity_id", "field").agg(

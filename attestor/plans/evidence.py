@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..operators import diff, joins, normalise, quality, synth
+from ..shared import shared_path
 from .registry import query, table
 
 
@@ -230,6 +231,18 @@ def d0_diff_claims(spark: SparkSession, d: str) -> DataFrame:
     return diff.changes_by_type(_changes(spark, d))
 
 
+@query(f"{_DIFF} select entity_id, field, change_type, materiality, count(*) as n from ch group by 1, 2, 3, 4")
+def j11_saved_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The same snapshots as saved tables, compared bucket by bucket."""
+    names = {}
+    for year in (1998, 2001):
+        path = shared_path(spark, f"run_{year}")
+        names[year] = path.rsplit("/", 1)[-1].replace("-", "_")
+        diff.save_run(_snapshot(spark, d, year), names[year], path, buckets=8)
+    changes = diff.diff_runs(spark.table(names[1998]), spark.table(names[2001]))
+    return changes.groupBy("entity_id", "field", "change_type", "materiality").agg(F.count("*").alias("n"))
+
+
 @query(f"{_DIFF} select entity_id, field, change_type, count(*) as n from ch group by 1, 2, 3")
 def d8_changes_by_entity(spark: SparkSession, d: str) -> DataFrame:
     return _changes(spark, d).groupBy("entity_id", "field", "change_type").agg(F.count("*").alias("n"))

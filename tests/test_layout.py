@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from attestor.operators import diff
 from attestor.sources import io
 
 
@@ -58,3 +59,15 @@ def test_a_batch_reads_the_partitions_of_what_may_be_known(spark, tmp_path):
 def test_an_empty_store_knows_nothing(spark, tmp_path, before):
     store = io.SnapshotStore(spark, str(tmp_path / "none"))
     assert store.rows().count() == 0 and store.known(spark.createDataFrame([("ab", "ab")], "prefix string, sha256 string"), before).count() == 0
+
+
+def test_saved_runs_meet_without_a_shuffle(spark, tmp_path):
+    cols = "entity_id long, ord int, field string, section string, value string, availability string, reporting_period string, note string, source string, observed string"
+    run = lambda n: spark.createDataFrame([(e, i, f, "identity", v, "available" if v else "failed", None, None, None, "2024") for e in range(50) for i, (f, v) in enumerate([("legal_name", f"N{e % n}"), ("role", '{"name":"A","role":"%d"}' % (e % n)), ("founded", None if e % n else "2001")])], cols)
+    for name, n in (("run_a", 3), ("run_b", 5)):
+        diff.save_run(run(n), name, str(tmp_path / name), buckets=4)
+    joined = diff.joined_runs(spark.table("run_a"), spark.table("run_b"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+    told = lambda df: sorted(map(str, df.drop("last_observed").collect()))
+    assert told(diff.diff_runs(spark.table("run_a"), spark.table("run_b"))) == told(diff.diff_claims(run(3), run(5)))
