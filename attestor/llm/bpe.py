@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import pairwise
 
 import duckdb
 import numpy as np
@@ -19,6 +21,8 @@ from .tokens import pieces, rank_table
 
 #: Pieces and words that a worker remembers, each.
 REMEMBERED = 300_000
+#: Bytes from which a match is cut where no merge can cross; shorter ones take fewer steps than the cutting.
+LONG = 40
 
 #: Token rows (w: word, p: place, t: token, nx: the next one's place) join the merge table. A step contracts each word's leftmost
 #: pair of least rank and, where the merged token can't be drawn into a merge of lower rank (safe), the later places of the same
@@ -82,8 +86,11 @@ class Bpe:
                     rows.append((left << 20 | right, rank))
                     risky |= {x for x in (left, right) if rank < x}
         self.ranks, self.split = ranks, regex.compile(public_tokenizers.PATTERN)
+        self.twos, self.threes = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+        self.twos[[t[0] << 8 | t[1] for t in ranks if len(t) == 2]] = True
+        self.threes[list({t[i] << 16 | t[i + 1] << 8 | t[i + 2] for t in ranks for i in range(len(t) - 2)})] = True
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
         pair, merged = (np.array(c, np.int64) for c in zip(*rows, strict=True))
         safe = ~np.isin(merged, list(risky))
         self._table("merges", {"pair": pair, "token": merged.astype(np.int32), "safe": safe})
@@ -95,15 +102,39 @@ class Bpe:
         self.db.execute(f"create or replace table {name} as select * from incoming")
         self.db.unregister("incoming")
 
+    def _cuts(self, word: bytes) -> np.ndarray:
+        """Places of a word that no token can reach across, whatever merges come first: neither the two bytes around it are a
+        token, nor are they, with a third one on either side, part of one."""
+        b = np.frombuffer(word, np.uint8).astype(np.int32)
+        pair = b[:-1] << 8 | b[1:]
+        three = np.zeros(len(b), bool)  # three[i]: bytes i to i + 2 stand in some token
+        three[:-2] = self.threes[pair[:-1] << 8 | b[2:]]
+        crossed = self.twos[pair] | three[:-1]
+        crossed[1:] |= three[:-2]
+        return np.flatnonzero(~crossed) + 1
+
     def encode_words(self, words: list[bytes]) -> list[str]:
-        """The ids of each word, joined by spaces."""
-        out: list = [None] * len(words)
-        open_ = []
+        """The ids of each word, joined by spaces. A long one is cut where no merge can cross, and its parts are encoded as words."""
+        out: list = [str(self.ranks[w]) if w in self.ranks else None for w in words]
+        parts, of = [], []
         for i, w in enumerate(words):
-            if (rank := self.ranks.get(w)) is not None:
-                out[i] = str(rank)
-            else:
-                open_.append(i)
+            if out[i] is None:
+                cuts = [0, *self._cuts(w).tolist(), len(w)] if len(w) > LONG else [0, len(w)]
+                parts += [w[a:b] for a, b in pairwise(cuts)]
+                of += [i] * (len(cuts) - 1)
+        distinct = sorted(set(parts))
+        ids = dict(zip(distinct, self._merged(distinct), strict=True))
+        joined: dict[int, list[str]] = {}
+        for i, part in zip(of, parts, strict=True):
+            joined.setdefault(i, []).append(ids[part])
+        for i, found in joined.items():
+            out[i] = " ".join(found)
+        return out
+
+    def _merged(self, words: list[bytes]) -> list[str]:
+        """The ids of each word by merges alone, joined by spaces."""
+        out: list = [None] * len(words)
+        open_ = range(len(words))
         for lo, hi in chunks([len(words[i]) for i in open_], 300_000):
             part = open_[lo:hi]
             size = np.array([len(words[i]) for i in part])

@@ -62,6 +62,21 @@ def test_bpe_forgets_but_stays_right(monkeypatch):
         assert [*map(int, ids.split())] == e.encode_ordinary(t) and raw == t.encode() and n == len(ids.split())
 
 
+def test_bpe_cuts_long_matches():
+    """One match of very many letters: its parts are encoded apart, where no merge can cross."""
+    b, e, rng = bpe.Bpe(), tokens.encoding(), random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet, n in ((letters, 20_000), ("acgt", 2000), ("ABCDEFé", 3000), ("0123456789", 3000), ("-=*#", 3000), ("日本語テキスト", 3000)):
+        t = "".join(rng.choices(alphabet, k=n))
+        assert [*map(int, b.encode_words([t.encode()])[0].split())] == e._encode_single_piece(t.encode())
+    for _ in range(200):
+        t = "".join(rng.choices(letters, rng.choices(range(1, 9), k=26), k=rng.randint(41, 90))).encode()
+        assert [*map(int, b.encode_words([t])[0].split())] == e._encode_single_piece(t)
+    start = time.process_time()
+    assert b.encode_words(["".join(rng.choices(letters, k=300_000)).encode()])[0].count(" ") > 100_000
+    assert time.process_time() - start < 60
+
+
 def test_bpe_decodes_the_ids(monkeypatch):
     """The bytes come from the ids: a wrong id shows in them; a document of several parts stays in order."""
     b = bpe.Bpe()
