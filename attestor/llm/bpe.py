@@ -22,7 +22,7 @@ from .tokens import pieces, rank_table
 #: Pieces and words that a worker remembers, each.
 REMEMBERED = 300_000
 #: Bytes from which a match is cut where no merge can cross; shorter ones take fewer steps than the cutting.
-LONG = 40
+LONG = 256
 
 #: Token rows (w: word, p: place, t: token, nx: the next one's place) join the merge table. A step contracts each word's leftmost
 #: pair of least rank and, where the merged token can't be drawn into a merge of lower rank (safe), the later places of the same
@@ -115,20 +115,21 @@ class Bpe:
 
     def encode_words(self, words: list[bytes]) -> list[str]:
         """The ids of each word, joined by spaces. A long one is cut where no merge can cross, and its parts are encoded as words."""
-        out: list = [str(self.ranks[w]) if w in self.ranks else None for w in words]
-        parts, of = [], []
+        out: list = [None] * len(words)
+        short, long = [], []
         for i, w in enumerate(words):
-            if out[i] is None:
-                cuts = [0, *self._cuts(w).tolist(), len(w)] if len(w) > LONG else [0, len(w)]
-                parts += [w[a:b] for a, b in pairwise(cuts)]
-                of += [i] * (len(cuts) - 1)
-        distinct = sorted(set(parts))
-        ids = dict(zip(distinct, self._merged(distinct), strict=True))
-        joined: dict[int, list[str]] = {}
-        for i, part in zip(of, parts, strict=True):
-            joined.setdefault(i, []).append(ids[part])
-        for i, found in joined.items():
-            out[i] = " ".join(found)
+            if (rank := self.ranks.get(w)) is not None:
+                out[i] = str(rank)
+            else:
+                (short if len(w) <= LONG else long).append(i)
+        parts = {i: [words[i][a:b] for a, b in pairwise([0, *self._cuts(words[i]).tolist(), len(words[i])])] for i in long}
+        distinct = sorted({p for cut in parts.values() for p in cut})
+        ids = self._merged([words[i] for i in short] + distinct)
+        for i, found in zip(short, ids, strict=False):
+            out[i] = found
+        known = dict(zip(distinct, ids[len(short) :], strict=True))
+        for i, cut in parts.items():
+            out[i] = " ".join(map(known.__getitem__, cut))
         return out
 
     def _merged(self, words: list[bytes]) -> list[str]:
