@@ -217,9 +217,17 @@ def span_verify_join(evidence: DataFrame, snapshots: DataFrame, exempt: Sequence
 
 
 def two_run_compare(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Facts (entity_id, field, availability, value) that only one of two runs has."""
+    """Facts (entity_id, field, availability, value) that only one of two runs has, and ids that only one has.
+
+    side is the run that has the fact or the id. An id missing from a run is one row, with availability `missing` and no field;
+    its facts aren't told one by one.
+    """
     cols = ["entity_id", "field", "availability", "value"]
-    return symmetric_difference(a.select(*cols), b.select(*cols))
+    ids = a.select("entity_id", F.lit(1).alias("side")).union(b.select("entity_id", F.lit(2).alias("side"))).groupBy("entity_id").agg(F.min("side").alias("first"), F.max("side").alias("last"))
+    facts = symmetric_difference(a.select(*cols), b.select(*cols)).join(ids.where("first < last").select("entity_id"), "entity_id", "left_semi")
+    none = F.lit(None).cast("string")
+    lone = ids.where("first = last").select("entity_id", none.alias("field"), F.lit("missing").alias("availability"), none.alias("value"), F.when(F.col("first") == 1, F.lit("left")).otherwise(F.lit("right")).alias("side"))
+    return facts.select(*cols, "side").union(lone)
 
 
 #: Routes of questions at most: a table of settings, read by the driver.

@@ -85,6 +85,10 @@ def provenance_audit(claims: DataFrame, evidence: DataFrame, answers: DataFrame
     return out.union(few.select("entity_id", F.lit(None).cast("string"), F.lit("answers missing")))
 
 
+#: How ids that only one run has are told among the fields. Fixed value.
+MISSING = "missing in one run"
+
+
 def determinism_report(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Q6: facts that only one of two runs has, by field, and the entities concerned."""
-    return two_run_compare(a, b).groupBy("field").agg(F.count("*").alias("facts"), F.countDistinct("entity_id").alias("entities"))
+    """Q6: facts that only one of two runs has, by field, and the entities concerned; ids that one lacks are told as such."""
+    return two_run_compare(a, b).groupBy(F.coalesce("field", F.lit(MISSING)).alias("field")).agg(F.count("*").alias("facts"), F.countDistinct("entity_id").alias("entities"))

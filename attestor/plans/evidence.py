@@ -169,15 +169,20 @@ _FACTS = "facts as (select o_custkey as entity_id, o_orderstatus as field, 'avai
 def _runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     o = table(spark, d, "orders")
     make = lambda x: x.groupBy(F.col("o_custkey").alias("entity_id"), F.col("o_orderstatus").alias("field")).agg(F.count("*").cast("string").alias("value")).withColumn("availability", F.lit("available"))
-    return make(o.where("year(o_orderdate) <= 1999")), make(o)
+    return make(o.where("year(o_orderdate) <= 1999")), make(o.where("o_custkey % 11 <> 3"))
 
 
-@query(f"with {_FACTS}, a as (select * exclude half from facts where half = 1), b as (select * exclude half from facts where half = 2) select *, 'left' as side from (select * from a except select * from b) union all select *, 'right' from (select * from b except select * from a)")
+_COMPARED = f"""with {_FACTS}, a as (select * exclude half from facts where half = 1), b as (select * exclude half from facts where half = 2 and entity_id % 11 <> 3),
+  ids as (select entity_id from a intersect select entity_id from b), x as (select *, 'left' as side from (select * from a except select * from b) where entity_id in (from ids) union all select *, 'right' from (select * from b except select * from a) where entity_id in (from ids)
+  union all select distinct entity_id, null, 'missing', null, 'left' from a where entity_id not in (from ids) union all select distinct entity_id, null, 'missing', null, 'right' from b where entity_id not in (from ids))"""
+
+
+@query(f"{_COMPARED} select * from x")
 def j13_two_run_compare(spark: SparkSession, d: str) -> DataFrame:
     return joins.two_run_compare(*_runs(spark, d))
 
 
-@query(f"with {_FACTS}, a as (select * exclude half from facts where half = 1), b as (select * exclude half from facts where half = 2), x as ((select * from a except select * from b) union all (select * from b except select * from a)) select field, count(*) as facts, count(distinct entity_id) as entities from x group by 1")
+@query(f"{_COMPARED} select coalesce(field, 'missing in one run') as field, count(*) as facts, count(distinct entity_id) as entities from x group by 1")
 def q6_determinism_report(spark: SparkSession, d: str) -> DataFrame:
     return quality.determinism_report(*_runs(spark, d))
 
@@ -407,10 +412,20 @@ def q3_span_audit(spark: SparkSession, d: str) -> DataFrame:
     return quality.span_audit(joins.span_verify_join(ev, docs.select("sha256", F.col("text").alias("body"), "text")))
 
 
-@query(f"with {_EV} select count(*) as claims from orders where o_orderkey % 5 in (0, 2) or (o_orderkey % 5 = 1 and o_orderkey || '-1' not in (select evidence_id from ev) and o_orderkey || '-2' not in (select evidence_id from ev)) or (o_orderkey % 5 > 2 and o_orderkey || '-1' not in (select evidence_id from ev))")
+_BARE = "(o_orderkey % 5 in (0, 2) or (o_orderkey % 5 = 1 and o_orderkey || '-1' not in (select evidence_id from ev) and o_orderkey || '-2' not in (select evidence_id from ev)) or (o_orderkey % 5 > 2 and o_orderkey || '-1' not in (select evidence_id from ev)))"
+
+
+@query(
+    f"""with {_EV} select o_custkey::varchar as entity_id, o_orderkey::varchar as claim_id, 'no url or time' as problem from orders where {_BARE}
+    union all select o_custkey::varchar, o_orderkey::varchar, 'differs from evidence' from orders where o_orderkey % 7 = 0
+    union all select distinct o_custkey::varchar, null, 'answers missing' from orders where o_custkey % 4 < 2"""
+)
 def q5_provenance_audit(spark: SparkSession, d: str) -> DataFrame:
+    """All three problems: claims without a source, copies that were changed, entities with nine answers or none."""
     claims, ev = _order_claims(spark, d)
-    return quality.provenance_audit(joins.attach_provenance(claims, ev), ev).where("problem = 'no url or time'").agg(F.count("*").alias("claims"))
+    copied = joins.attach_provenance(claims, ev).withColumn("source_class", F.when(F.col("claim_id").cast("long") % 7 == 0, F.lit("changed")).otherwise(F.col("source_class")))
+    answers = table(spark, d, "customer").where("c_custkey % 4 > 0").selectExpr("cast(c_custkey as string) as entity_id", "explode(sequence(1, if(c_custkey % 4 = 1, 9, 12))) as ord")
+    return quality.provenance_audit(copied, ev, answers)
 
 
 def _customer_claims(spark: SparkSession, d: str) -> DataFrame:
@@ -427,10 +442,16 @@ def t1_profile_text(spark: SparkSession, d: str) -> DataFrame:
     return synth.profile_text(_customer_claims(spark, d), 2026).select("entity_id", "what", "size", "risks")
 
 
-@query("select lpad(c_custkey::varchar, 9, '0') as entity_id, 'No registry employees is on record (no registered employee count).' as text from customer where c_custkey % 2 = 1 union all select lpad(c_custkey::varchar, 9, '0'), 'No registry website is on record (the registry lists no website).' from customer where c_custkey % 6 = 0")
+_NOTES = {"registry_employees": "no registered employee count", "registry_website": "the registry lists no website"}
+
+
+@query(
+    " union all ".join(
+        f"select lpad(c_custkey::varchar, 9, '0') as entity_id, 1 as ord, 'No {f.replace('_', ' ')} is on record ({_NOTES.get(f, normalise.ABSENT)}).' as text from customer where ({keep}) and {value} is null" for f, (value, keep) in _FIELDS.items()
+    )
+)
 def t4_cannot_establish(spark: SparkSession, d: str) -> DataFrame:
-    out = synth.cannot_establish(_customer_claims(spark, d))
-    return out.where("text like 'No registry %'").select("entity_id", "text")
+    return synth.cannot_establish(_customer_claims(spark, d))
 
 
 #: When a customer's registry record answers a question, as SQL.
