@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import STATES
+from ..schemas import SECTIONS, SOURCE_CLASSES, STATES
 from .joins import attach_provenance, orphan_refs, two_run_compare
 
 
@@ -34,6 +34,46 @@ def validate_records(claims: DataFrame, evidence: DataFrame | None = None) -> Da
     return out if evidence is None else out.union(orphan_refs(claims, evidence).select("entity_id", "claim_id", "problem"))
 
 
+#: Table -> the column that names its rows, columns that have to be filled, and columns with their allowed values. Fixed values.
+RECORDS = {
+    "claims": ("claim_id", ("claim_id", "section", "field", "availability", "confidence"), {"availability": STATES, "section": SECTIONS}),
+    "evidence": ("evidence_id", ("evidence_id", "source_url", "source_class", "retrieved_at", "claim_span", "extraction_method"), {"source_class": SOURCE_CLASSES}),
+    "changes": ("field", ("field", "change_type", "materiality", "first_observed", "last_observed"), {}),
+    "errors": ("stage", ("stage", "message", "availability"), {}),
+    "sections": ("section", ("section", "state"), {"section": SECTIONS, "state": STATES}),
+    "runs": ("run_id", ("run_id", "started_at", "completed_at", "terminal_status", "agent_version"), {}),
+    "operations": (None, ("requests", "runtime_ms", "third_party_cost_usd", "bytes", "budget_exhausted"), {}),
+}
+
+
+def validate_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q2 over all tables of a batch, by the names of RECORDS: (entity_id, record, row, problem), one row a broken rule.
+
+    Every row belongs to an id of nine digits and has its required columns; a column that a table lacks is missing in all of its
+    rows. Enumerated columns hold one of their values. Confidence is between 0 and 1; an available claim names evidence, and
+    where evidence is given, evidence that exists. Tables that aren't given aren't checked; no problems give no rows.
+    """
+    out = None
+    for record, rows in tables.items():
+        name, required, allowed = RECORDS[record]
+        col = lambda c, rows=rows: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+        rules = [("bad entity_id", ~F.coalesce(F.col("entity_id").rlike(r"^\d{9}$"), F.lit(False)))]
+        rules += [(f"missing {c}", col(c).isNull()) for c in required]
+        rules += [(f"bad {c}", ~col(c).isin(*values)) for c, values in allowed.items()]
+        if record == "claims":
+            rules.append(("bad confidence", ~col("confidence").cast("double").between(0, 1)))
+            if "evidence" not in tables:
+                rules.append(("no evidence", F.expr("availability = 'available' and coalesce(size(evidence_ids), 0) < 1")))
+        found = F.array_compact(F.array(*(F.when(bad, F.lit(problem)) for problem, bad in rules)))
+        row = col(name).cast("string") if name else F.lit(None).cast("string")
+        said = rows.select("entity_id", F.lit(record).alias("record"), row.alias("row"), F.explode(found).alias("problem"))
+        out = said if out is None else out.union(said)
+    if "claims" in tables and "evidence" in tables:
+        lone = orphan_refs(tables["claims"], tables["evidence"])
+        out = out.union(lone.select("entity_id", F.lit("claims"), F.col("claim_id"), "problem"))
+    return out
+
+
 def span_audit(verified: DataFrame) -> DataFrame:
     """Q3: spans checked and bad by extraction method, of span_verify_join's rows."""
     bad = F.count(F.when(F.col("verdict").isin("not_verbatim", "no_snapshot"), 1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..operators import pages as P
-from ..operators import synth
+from ..operators import quality, synth
 from ..shared import stored
 from .registry import query, table
 
@@ -122,3 +122,37 @@ def x13_json_selections(spark: SparkSession, d: str) -> DataFrame:
     """Selections of nested fields, of lists and by dotted names, in each customer's record."""
     c = table(spark, d, "customer").selectExpr("*", "lpad(cast(c_nationkey as string), 4, '0') as n")
     return c.select("c_custkey", X.literal_span(F.expr(_SELECTED), F.expr(_RECORD)).alias("span"))
+
+
+_ID = "lpad({}::varchar, 9, '0')"
+
+
+@query(
+    f"""with c as (select case when o_orderkey % 23 = 0 then 'x' || o_custkey else {_ID.format('o_custkey')} end as entity_id, 'c-' || o_orderkey as claim_id, case when o_orderkey % 5 = 0 then null else o_orderstatus end as field, case o_orderkey % 4 when 0 then 'identity' when 1 then 'web' when 2 then 'sales' else 'hiring' end as section,
+      case o_orderkey % 6 when 0 then 'maybe' when 1 then null when 2 then 'failed' else 'available' end as availability, case when o_totalprice > 200000 then 1.5 else 0.5 end as confidence from orders),
+    e as (select {_ID.format('l_suppkey')} as entity_id, l_orderkey || '-' || l_linenumber as id, case l_linenumber % 3 when 0 then 'company_owned' when 1 then 'press' end as sc, l_quantity > 25 as spanned from lineitem),
+    s as (select {_ID.format('c_custkey')} as entity_id, case when c_custkey % 7 = 0 then 'open' else 'available' end as state from customer),
+    v as (select {_ID.format('user_id')} as entity_id, event_type as stage, event_id % 2 = 0 as told from events)
+    select entity_id, 'claims' as record, claim_id as row, p.problem as problem from c, (select unnest(['bad entity_id', 'missing field', 'bad section', 'missing availability', 'bad availability', 'bad confidence', 'no evidence']) as problem) p
+      where case p.problem when 'bad entity_id' then entity_id[1] = 'x' when 'missing field' then field is null when 'bad section' then section = 'sales' when 'missing availability' then availability is null when 'bad availability' then availability = 'maybe' when 'bad confidence' then confidence > 1 else availability = 'available' and substr(claim_id, 3)::bigint % 3 = 0 end
+    union all select entity_id, 'evidence', id, p.problem from e, (select unnest(['missing source_class', 'bad source_class', 'missing claim_span', 'missing retrieved_at']) as problem) p where case p.problem when 'missing source_class' then sc is null when 'bad source_class' then sc = 'press' when 'missing claim_span' then not spanned else true end
+    union all select entity_id, 'sections', 'web', 'bad state' from s where state = 'open' union all select entity_id, 'errors', stage, 'missing message' from v where not told
+    union all select entity_id, 'operations', null, 'missing budget_exhausted' from s union all select entity_id, 'changes', 'f', 'missing last_observed' from s where entity_id like '%3' union all select entity_id, 'runs', 'r', 'missing agent_version' from s where entity_id like '%4'"""
+)
+def q2_validate_tables(spark: SparkSession, d: str) -> DataFrame:
+    """All seven tables of a batch out of orders, lines, customers and events, with faults by their numbers."""
+    id_ = lambda c: f"lpad(cast({c} as string), 9, '0') as entity_id"
+    customers = table(spark, d, "customer")
+    claims = table(spark, d, "orders").selectExpr(
+        "if(o_orderkey % 23 = 0, concat('x', o_custkey), lpad(cast(o_custkey as string), 9, '0')) as entity_id", "concat('c-', o_orderkey) as claim_id", "if(o_orderkey % 5 = 0, null, o_orderstatus) as field", "element_at(array('identity', 'web', 'sales', 'hiring'), cast(o_orderkey % 4 + 1 as int)) as section",
+        "case o_orderkey % 6 when 0 then 'maybe' when 1 then null when 2 then 'failed' else 'available' end as availability", "if(o_totalprice > 200000, 1.5D, 0.5D) as confidence", "if(o_orderkey % 3 = 0, if(o_orderkey % 2 = 0, null, cast(array() as array<string>)), array('e')) as evidence_ids",
+    )
+    evidence = table(spark, d, "lineitem").selectExpr(id_("l_suppkey"), "concat(l_orderkey, '-', l_linenumber) as evidence_id", "'u' as source_url", "case l_linenumber % 3 when 0 then 'company_owned' when 1 then 'press' end as source_class", "if(l_quantity > 25, 's', null) as claim_span", "'m' as extraction_method")
+    tables = {
+        "sections": customers.selectExpr(id_("c_custkey"), "'web' as section", "if(c_custkey % 7 = 0, 'open', 'available') as state"),
+        "errors": table(spark, d, "events").selectExpr(id_("user_id"), "event_type as stage", "if(event_id % 2 = 0, 'm', null) as message", "'failed' as availability"),
+        "operations": customers.selectExpr(id_("c_custkey"), "1 as requests", "2 as runtime_ms", "0.0D as third_party_cost_usd", "3 as bytes"),
+        "changes": customers.selectExpr(id_("c_custkey"), "'f' as field", "'t' as change_type", "'minor' as materiality", "'2024' as first_observed", "if(c_custkey % 10 = 3, null, '2024') as last_observed"),
+        "runs": customers.selectExpr(id_("c_custkey"), "'r' as run_id", "'a' as started_at", "'b' as completed_at", "'completed' as terminal_status", "if(c_custkey % 10 = 4, null, '1') as agent_version"),
+    }
+    return quality.validate_tables({"claims": claims} | tables).union(quality.validate_tables({"evidence": evidence}))

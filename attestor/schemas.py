@@ -9,6 +9,10 @@ STATES = (AVAILABLE, NOT_AVAILABLE, BLOCKED, NOT_APPLICABLE, AMBIGUOUS, FAILED)
 #: Fixed values.
 SECTIONS = ("identity", "accounts", "leadership", "workplaces", "web", "hiring", "activity")
 
+SOURCE_CLASSES = (
+    "official_registry", "official_accounts", "official_roles", "official_subunits", "official_updates", "company_owned", "official_job_board", "search_candidate",
+)
+
 CLAIM = (
     "entity_id string, claim_id string, section string, field string, value string, availability string, "
     "confidence double, evidence_ids array<string>, reporting_period string, effective_date string, note string"

@@ -212,3 +212,11 @@ def test_replay_gives_nothing_new(spark, tmp_path):
     q.foreachBatch(lambda df, _: got.extend((r.run, r.field, r.change_type) for r in df.collect())).start().awaitTermination()
     # whichever file comes first is the baseline; no change is told twice
     assert len(got) == len(set(got)) and set(got) <= {(2, "name", "changed"), (2, "city", "removed")}
+
+
+def test_evidence_that_is_named_has_to_exist(spark):
+    claims = spark.createDataFrame([("123456789", "c-1", "identity", "f", "available", 1.0, ["e-1"]), ("123456789", "c-2", "identity", "f", "available", 1.0, ["e-9"]), ("123456789", "c-3", "identity", "f", "failed", 1.0, [])], "entity_id string, claim_id string, section string, field string, availability string, confidence double, evidence_ids array<string>")
+    evidence = spark.createDataFrame([("123456789", "e-1", "u", "company_owned", "t", "s", "m")], "entity_id string, evidence_id string, source_url string, source_class string, retrieved_at string, claim_span string, extraction_method string")
+    got = quality.validate_tables({"claims": claims, "evidence": evidence}).collect()
+    assert [r.row for r in got] == ["c-2"] * len(got) and got
+    assert quality.validate_tables({"evidence": evidence}).count() == 0
