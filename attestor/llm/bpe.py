@@ -21,6 +21,8 @@ from .tokens import pieces, rank_table
 
 #: Pieces and words that a worker remembers, each.
 REMEMBERED = 300_000
+#: Bytes of matches that one recursive query takes.
+TOGETHER = 300_000
 #: Bytes from which a match is cut where no merge can cross; shorter ones take fewer steps than the cutting.
 LONG = 256
 
@@ -136,7 +138,7 @@ class Bpe:
         """The ids of each word by merges alone, joined by spaces."""
         out: list = [None] * len(words)
         open_ = range(len(words))
-        for lo, hi in chunks([len(words[i]) for i in open_], 300_000):
+        for lo, hi in chunks([len(words[i]) for i in open_], TOGETHER):
             part = open_[lo:hi]
             size = np.array([len(words[i]) for i in part])
             token = self.bytes[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
@@ -153,7 +155,7 @@ class Bpe:
         """The bytes of each document's ids (joined by spaces), by the vocabulary alone."""
         out: list[list[bytes]] = [[] for _ in ids]
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), [i.count(" ") + 1 if i else 0 for i in ids])
-        token = np.array(" ".join(filter(None, ids)).split(), np.int32)
+        token = np.fromstring(" ".join(filter(None, ids)), np.int32, sep=" ")
         for at in range(0, len(token), DECODED):
             part = slice(at, at + DECODED)
             self._table("coded", {"d": doc[part], "p": np.arange(len(token[part]), dtype=np.int32), "t": token[part]})
