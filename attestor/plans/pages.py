@@ -158,10 +158,10 @@ def _landed(spark: SparkSession, rows: DataFrame, n: int, job) -> str:
 
 @query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1 and epoch_ms(ts) > (select epoch_ms(max(ts)) from events) - 10 * 86400000")
 def st1_feed_latest_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The latest event of each user and type in the last ten days, out of three landings in no order and one repeated."""
+    """The latest event of each user and type in the last ten days, out of two landings in no order, the first one repeated."""
     events = table(spark, d, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
     key = ["user_id", "event_type"]
-    path = _landed(spark, events, 3, lambda s, at: feeds.feed_latest_job(s, at, key, "ts", "event_id", "10 days"))
+    path = _landed(spark, events, 2, lambda s, at: feeds.feed_latest_job(s, at, key, "ts", "event_id", "10 days"))
     return versioned.read(spark, f"{path}/table", events.schema).select("user_id", "event_type", "event_id", "value")
 
 

@@ -26,7 +26,7 @@ class _Latest(StatefulProcessor):
         self.handle, self.row = handle, handle.getValueState("row", "at bigint, tie bigint, row string")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        old = tuple(self.row.get()) if self.row.exists() else None
+        old = None if (found := self.row.get()) is None else tuple(found)  # each call of the state is a message: no more than needed
         best = max(((r["_at"], r["_tie"], r["_row"]) for r in rows), key=lambda r: r[:2])
         if old is None or best[:2] > old[:2]:
             if old is not None:
@@ -157,7 +157,7 @@ class _Runs(StatefulProcessor):
         self.claims = handle.getMapState("claims", "field string, ord bigint, n bigint", "claim string")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        last, at = self.last.get() if self.last.exists() else (None, None)
+        last, at = self.last.get() or (None, None)
         runs, newest = {}, at
         for r in rows:
             if last is None or r["run"] > last:
@@ -168,7 +168,7 @@ class _Runs(StatefulProcessor):
                 newest = r["_at"] if newest is None else max(newest, r["_at"])
         if not runs:
             return
-        known = {tuple(k): v[0] for k, v in self.claims.iterator()}
+        known = {tuple(k): v[0] for k, v in self.claims.iterator()} if last is not None else {}
         stored_ = dict(known)
         for run in sorted(runs):
             now = runs[run]
