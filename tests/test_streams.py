@@ -28,7 +28,11 @@ def landing(spark, tmp_path):
         q = job(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "job"))
         q.awaitTermination()
 
-    return land
+    # state is kept a partition; these streams are small
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield land
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_latest_rows_are_a_table(spark, landing, tmp_path):
