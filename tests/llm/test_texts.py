@@ -199,6 +199,17 @@ def wide(shape, tweak, key):
     return refill(shape, "".join(feistel(w[18 * j : 18 * j + 18], 36, f"{tweak}{j}", key) for j in range(-(-len(w) // 18))))
 
 
+def placed(shape, tweak, key):
+    """Digits among digits, letters among letters."""
+    letters, radix = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdefghijklmnop"
+    ds, ls = (re.sub(p, "", shape) for p in ("[^0-9]", "[^A-Z]"))
+    cut = lambda x: [(j, x[18 * j : 18 * j + 18]) for j in range(-(-len(x) // 18))]
+    ds = iter("".join(feistel(x, 10, f"{tweak}{j}", key) for j, x in cut(ds)))
+    ls = "".join(feistel(x, 26, f"{tweak}letters{j}", key) for j, x in cut(ls.translate(str.maketrans(letters, radix))))
+    ls = iter(ls.translate(str.maketrans(radix, letters)))
+    return "".join(next(ds) if c.isdigit() else next(ls) for c in shape)
+
+
 def pseudonym(kind, v, key):
     """What one value of a kind becomes, by plain loops."""
     digits = re.sub("[^0-9]", "", v)
@@ -210,18 +221,19 @@ def pseudonym(kind, v, key):
             pass
         return refill(v, digits)
     if kind in ("%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%m/%d/%Y"):
-        first, month_first = date(1900, 1, 1), kind == "%m/%d/%Y"
+        first = date(1900, 1, 1)
         x = (datetime.strptime(v, kind).date() - first).days
+        late = (first + timedelta(x)).day > 12
         while True:
             x = int(feistel(f"{x:05d}", 10, "date", key))
-            if x < pii.DAYS and (not month_first or (first + timedelta(x)).day > 12):
+            if x < pii.DAYS and ((first + timedelta(x)).day > 12) == late:
                 return (first + timedelta(x)).strftime(kind)
     if kind == "ip":
         g = feistel("".join(f"{int(o):02x}" for o in v.split(".")), 16, "ip", key)
         return ".".join(str(int(g[k : k + 2], 16)) for k in range(0, 8, 2))
     if kind == "iban":
         q = v.replace(" ", "").upper()
-        g = wide(q[4:], "iban", key).upper()
+        g = placed(q[4:], "iban", key)
         rest = int("".join(str(int(c, 36)) for c in g + q[:2] + "00")) % 97
         return refill(v, q[:2] + f"{98 - rest:02d}" + g)
     if kind == "phone":
@@ -236,6 +248,53 @@ def pseudonym(kind, v, key):
     return "".join(feistel(v[20 * j : 20 * j + 20], 16, f"hex{j}", key) for j in range(-(-len(v) // 20)))
 
 
+def iban(country, account):
+    check = 98 - int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
+    return f"{country}{check:02d}{account}"
+
+
+def test_ibans_keep_their_country_s_places(spark):
+    """Places of digits and letters by country, with and without spaces; longer than 34 characters is none."""
+    forms = {"DE": "0" * 18, "GB": "A" * 4 + "0" * 14, "NL": "A" * 4 + "0" * 10, "NO": "0" * 11, "FR": "0" * 10 + "0A0B0C0D0E0" + "00", "MT": "A" * 4 + "0" * 5 + "X" * 18, "LC": "A" * 4 + "0" * 24}
+    rng = random.Random(5)
+    made = [iban(c, "".join(rng.choice("0123456789" if x == "0" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for x in f)) for c, f in forms.items() for _ in range(8)]
+    spaced = [" ".join(re.findall(".{1,4}", x)) for x in made]
+    long = iban("DE", "0123456789" * 3 + "01")
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate([*made, *spaced, long])), "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    assert got[-1] == long
+    shape = lambda x: re.sub("[0-9]", "0", re.sub("[A-Z]", "A", x))
+    for before, after, wide_form in zip(made, got, got[len(made) :], strict=False):
+        assert after != before and after[:2] == before[:2] and shape(after) == shape(before)
+        assert int("".join(str(int(c, 36)) for c in after[4:] + after[:4])) % 97 == 1
+        assert wide_form.replace(" ", "") == after and len(wide_form.split(" ")[0]) == 4
+    assert len(set(got[: len(made)])) == len(set(made))
+
+
+def test_days_stay_linked_in_every_spelling(spark):
+    first = date(1900, 1, 1)
+    days = [first + timedelta(x) for x in random.Random(8).sample(range(pii.DAYS), 60)]
+    kinds = ["%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%m/%d/%Y"]
+    rows = [(4 * i + k, d.strftime(f)) for i, d in enumerate(days) for k, f in enumerate(kinds) if k < 3 or d.day > 12]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    for i, d in enumerate(days):
+        seen = {datetime.strptime(got[4 * i + k], f).date() for k, f in enumerate(kinds) if 4 * i + k in got}
+        assert len(seen) == 1 and (seen.copy().pop().day > 12) == (d.day > 12)
+
+
+def test_every_run_of_a_match_is_replaced(spark):
+    a, b, at, be = "4111 1111 1111 1111", "5500 0000 0000 0004", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"
+    rows = [f"{be} {a}", f"{at} {a}", f"REF1 2345 {a}"[4:], f"AB12 {a}", f"{be} {at}", f"4111111111111111 {b}"]
+    wanted = [[be, a], [at, a], [a], [a], [be, at], ["4111111111111111", b]]
+    one = sorted({x for w in wanted for x in w})
+    alone = spark.createDataFrame(list(enumerate(one)), "doc_id long, text string")
+    new = {one[r.doc_id]: r.text for r in pii.pseudonymise(alone, key="k").collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), key="k").collect()}
+    for i, (text, private) in enumerate(zip(rows, wanted, strict=True)):
+        for x in private:
+            text = text.replace(x, new[x])
+        assert (got[i].text, got[i].n_pii) == (text, len(private))
+
+
 def test_pseudonyms_against_brute_force(spark):
     rng, key = random.Random(11), "some key"
     number = lambda n: "".join(rng.choices("0123456789", k=n))
@@ -251,9 +310,7 @@ def test_pseudonyms_against_brute_force(spark):
         if (d := day()).day > 12:
             rows.append(("%m/%d/%Y", d.strftime("%m/%d/%Y")))
         rows.append(("ip", ".".join(str(rng.randrange(256)) for _ in range(4))))
-        account = "".join(rng.choices("ABC0123456789", k=18))
-        check = 98 - int("".join(str(int(c, 36)) for c in account + "DE00")) % 97
-        rows.append(("iban", " ".join(re.findall(".{1,4}", f"DE{check:02d}{account}"))))
+        rows.append(("iban", " ".join(re.findall(".{1,4}", iban("DE", "".join(rng.choices("ABC0123456789", k=18)))))))
         rows += [("phone", f"+{rng.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}"), ("phone", f"{number(3)}-{number(3)}-{number(4)}")]
         rows.append(("email", "".join(rng.choices("abcDEF019._", k=rng.randint(1, 25))).strip("._") + "x@" + "".join(rng.choices("abC1", k=rng.randint(1, 9))) + ".Example.com"))
         rows += [("aws", "AKIA" + "".join(rng.choices("ABC0123", k=16))), ("hex", "".join(rng.choices("0123456789abcdef", k=rng.randint(32, 64))))]
