@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import os
+import tempfile
+from collections.abc import Iterable, Iterator
 from datetime import UTC, datetime, timedelta
 from urllib.parse import urlsplit
 
@@ -23,8 +25,12 @@ END = "\r\n\r\n"
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
 #: Payloads shorter than this are always stored.
 MIN_REVISIT = 0
-#: Bytes of payload a file holds at most, about, and index rows a merging task gets, about.
-FILE_BYTES, RUN_ROWS = 16 << 20, 20_000
+#: Bytes of records a file holds at most, or else one record.
+FILE_BYTES = 16 << 20
+#: Bytes of index rows a merging task gets, about; at least so many rows, where the session shuffles to more tasks.
+RANGE_BYTES, RANGE_ROWS = 128 << 20, 20_000
+#: Index rows that a merging task sorts in memory at a time, rows of a batch it spills, and runs it merges at once.
+BLOCK_ROWS, BATCH_ROWS, FAN_IN = 16_384, 512, 64
 
 
 def digest(payload: bytes) -> str:
@@ -70,9 +76,18 @@ def record(page: int | None, url: str | None, html: str, original: int | None) -
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records and the file of the task that each belongs to: a new file begins where a record would pass FILE_BYTES."""
+    file, filled = 0, 0
     for batch in batches:
-        out = [record(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "original")), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(out)], ["value"])
+        out, files = [], []
+        for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "original")), strict=True):
+            out.append(record(*row))
+            size = len(out[-1].encode("utf-8", "surrogatepass")) + len(END)
+            if filled and filled + size > FILE_BYTES:
+                file, filled = file + 1, 0
+            filled += size
+            files.append(file)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(files, pa.int32())], ["value", "file"])
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
@@ -89,8 +104,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     newest = materialize(newest.select("hash", "newest"), "newest")
     rows = spread_join(pages, newest, "hash", F.col("page_id"), "left")
     rows = rows.withColumn("original", F.expr("if(page_id < newest, newest, null)")).select("page_id", "url", "html", "original")
-    most = max(1, FILE_BYTES // max(1, int(pages.agg(F.avg("size")).first()[0] or 1)))
-    rows.mapInArrow(_records, "value string").write.option("lineSep", END).option("maxRecordsPerFile", most).text(path)
+    # a folder for the first file of every task, one for the second, and so on: files are filled by bytes, whatever the pages' sizes
+    rows.mapInArrow(_records, "value string, file int").write.partitionBy("file").option("lineSep", END).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -141,22 +156,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class LoserTree:
-    """k-way merge: inner nodes keep the loser of their match, the overall winner stands at the root."""
+    """k-way merge of sorted runs, each read as it is used up: inner nodes keep the loser of their match, the overall winner
+    stands at the root.
+    """
 
-    def __init__(self, runs: list[list]):
-        self.runs, self.k, self.next = runs, len(runs), [0] * len(runs)
-        self.node = [-1] * max(1, self.k)  # node 0: winner
-        for leaf in range(self.k):
+    def __init__(self, runs: Iterable[Iterable[tuple]]):
+        self.runs = [iter(r) for r in runs]
+        self.head = [next(r, None) for r in self.runs]
+        self.order = [h and _order(h) for h in self.head]
+        self.node = [-1] * max(1, len(self.runs))  # node 0: winner
+        for leaf in range(len(self.runs)):
             self._play(leaf, building=True)
 
     def _less(self, a: int, b: int) -> bool:
-        x, y = self.next[a], self.next[b]
-        if x >= len(self.runs[a]) or y >= len(self.runs[b]):
-            return x < len(self.runs[a])
-        return (_order(self.runs[a][x]), a) < (_order(self.runs[b][y]), b)
+        if self.head[a] is None or self.head[b] is None:
+            return self.head[a] is not None
+        return (self.order[a], a) < (self.order[b], b)
 
     def _play(self, leaf: int, building: bool = False) -> None:
-        winner, at = leaf, (leaf + self.k) // 2
+        winner, at = leaf, (leaf + len(self.runs)) // 2
         while at > 0:
             if building and self.node[at] < 0:
                 self.node[at] = winner
@@ -166,43 +184,104 @@ class LoserTree:
             at //= 2
         self.node[0] = winner
 
-    def __iter__(self) -> Iterator:
-        while self.k:
+    def __iter__(self) -> Iterator[tuple]:
+        while self.runs:
             run = self.node[0]
-            if self.next[run] >= len(self.runs[run]):
+            row = self.head[run]
+            if row is None:
                 return
-            yield self.runs[run][self.next[run]]
-            self.next[run] += 1
+            yield row
+            self.head[run] = row = next(self.runs[run], None)
+            self.order[run] = row and _order(row)
             self._play(run)
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index rows of one key range, each run's part in its own order, into one ordered run."""
-    runs: dict[str, list[tuple]] = {}
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            runs.setdefault(row[0], []).append(row)
-    out = []
-    for row in LoserTree([sorted(r, key=lambda x: x[1]) for _, r in sorted(runs.items())]):
+def _sliced(rows: Iterable[tuple], size: int) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for row in rows:
         out.append(row)
-        if len(out) >= 10_000:
+        if len(out) >= size:
             yield _rows(out)
             out = []
-    yield _rows(out)
+    if out:
+        yield _rows(out)
+
+
+def _tuples(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+class Spill:
+    """Sorted runs in a file of the task's own, that goes with the task; a lost task makes it anew."""
+
+    def __init__(self) -> None:
+        # where Spark itself spills on this executor
+        self.file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
+        self.runs: list[list[tuple[int, int]]] = []
+
+    def write(self, rows: Iterable[tuple]) -> None:
+        places = []
+        for batch in _sliced(rows, BATCH_ROWS):
+            data = batch.serialize()
+            self.file.seek(0, 2)
+            places.append((self.file.tell(), data.size))
+            self.file.write(data)
+        self.runs.append(places)
+
+    def read(self, places: list[tuple[int, int]]) -> Iterator[tuple]:
+        for at, size in places:
+            self.file.seek(at)
+            yield from _tuples([pa.ipc.read_record_batch(self.file.read(size), _INDEX)])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Index rows of one key range, in order of (run, i), into one ordered run: an external merge.
+
+    The parts of runs that stand in a block are merged in memory and spilled as one run; then as many runs at a time as a
+    tree may have are merged into longer ones, until one tree takes all. In memory are a block, or a batch of each run of a tree.
+    """
+    spill, block, last = Spill(), [], None
+
+    def flush() -> None:
+        nonlocal block, last
+        spill.write(LoserTree(block))
+        block, last = [], None
+
+    n = 0
+    for row in _tuples(batches):
+        if row[0] != last:
+            last = row[0]
+            block.append([])
+        block[-1].append(row)
+        n += 1
+        if n % BLOCK_ROWS == 0:
+            flush()
+    if block:
+        flush()
+    while len(spill.runs) > FAN_IN:
+        runs, spill.runs = spill.runs, []
+        for k in range(0, len(runs), FAN_IN):
+            spill.write(LoserTree(map(spill.read, runs[k : k + FAN_IN])))
+    yield from _sliced(LoserTree(map(spill.read, spill.runs)), 10_000)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Capture index of the archives under path, in global order of url_key, timestamp and page_id.
 
     Each file gives a locally sorted run; the runs are dealt to key ranges, which split hot keys by time and id, and each
-    range merges its parts of the runs with a loser tree. The ranges follow each other. Payload digests are verified.
+    range merges its parts of the runs with loser trees, from and to a file of the task beyond what memory holds. The ranges
+    follow each other. Payload digests are verified.
     """
     ship(spark)
     kinds = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'string'}" for f in _INDEX)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     runs = materialize(files.mapInArrow(_runs, kinds), "runs")
-    parts = max(1, -(-runs.count() // RUN_ROWS))
-    return runs.repartitionByRange(parts, "url_key", "timestamp", "page_id").mapInArrow(_merge, kinds)
+    told = F.coalesce(F.octet_length("url"), F.lit(0)) + F.octet_length("url_key") + F.octet_length("run") + 120
+    n, size = runs.agg(F.count("*"), F.coalesce(F.sum(told), F.lit(0))).first()
+    parts = max(1, -(-size // RANGE_BYTES), min(-(-n // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ranges = runs.repartitionByRange(parts, "url_key", "timestamp", "page_id")
+    return ranges.sortWithinPartitions("run", "i").mapInArrow(_merge, kinds)
 
 
 def archive(pages: DataFrame, path: str | None = None) -> DataFrame:

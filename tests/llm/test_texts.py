@@ -15,6 +15,7 @@ from datetime import date, datetime, timedelta
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -495,7 +496,7 @@ def test_archives(spark, sf_dir, tmp_path):
         assert (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) == (len(html.encode()), digest, "revisit" if other else "response", last if other else None)
     assert len(got) == len(plain)
     assert [(r.url_key, r.timestamp) for r in got] == sorted((r.url_key, r.timestamp) for r in got)
-    for f in (tmp_path / "warc").glob("part-*"):
+    for f in (tmp_path / "warc").glob("*/part-*"):
         data = f.read_bytes()
         assert all(h["warc-record-id"] for _, h, _ in warc.parse(data)) and data.endswith(b"\r\n\r\n")
     none = warc.archive(pages.limit(0), f"file://{tmp_path}/none")
@@ -509,5 +510,38 @@ def test_loser_tree():
         assert [warc._order(x) for x in warc.LoserTree(runs)] == sorted(warc._order(x) for r in runs for x in r)
 
 
+def test_files_are_filled_by_bytes(spark, tmp_path, monkeypatch):
+    """A very large page among small ones, and large ones in a row: no file passes its bytes but by one record."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    sizes = [10] * 300 + [50_000, 7_000, 7_000, 7_000, 7_000] + [10] * 300 + [15_000] * 5
+    rows = [(i, f"http://a.b/{i % 7}", f"{i} " + "x" * n) for i, n in enumerate(sizes)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    batches = [pa.RecordBatch.from_pylist([{**dict(zip(("page_id", "url", "html"), r, strict=True)), "original": None} for r in rows[k : k + 100]], pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("original", pa.int64())])) for k in range(0, len(rows), 100)]
+    files: dict[int, list[int]] = {}
+    for b in warc._records(iter(batches)):
+        for v, f in zip(b.column("value").to_pylist(), b.column("file").to_pylist(), strict=True):
+            files.setdefault(f, []).append(len(v) + 4)
+    assert list(files) == sorted(files) and all(sum(x) <= 20_000 or len(x) == 1 for x in files.values()) and len(files) > 8
+    got = warc.archive(frame, f"file://{tmp_path}/big").collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == [(i, len(h)) for i, _, h in rows]
+
+
+def test_external_merge(monkeypatch):
+    """Blocks and fan-in far below the rows, so that several rounds of spilled runs are merged."""
+    rng = random.Random(9)
+    runs = [[(rng.choice("abcd"), f"{rng.randint(0, 99):02d}", rng.choice([None, rng.randint(0, 9)])) for _ in range(rng.randint(1, 40))] for _ in range(30)]
+    rows = []
+    for r, run in enumerate(runs):
+        made = sorted(((f"run{r:02d}", 0, k, t, p, k, "response", None, 1, "d", 0) for k, t, p in run), key=warc._order)
+        rows += [(x[0], i, *x[2:]) for i, x in enumerate(made)]
+    for block, batch, fan in ((16_384, 512, 64), (50, 7, 3), (1, 1, 2)):
+        monkeypatch.setattr(warc, "BLOCK_ROWS", block)
+        monkeypatch.setattr(warc, "BATCH_ROWS", batch)
+        monkeypatch.setattr(warc, "FAN_IN", fan)
+        got = [x for b in warc._merge(iter([warc._rows(rows[k : k + 33]) for k in range(0, len(rows), 33)])) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert [warc._order(x) for x in got] == sorted(map(warc._order, rows)) and sorted(got, key=repr) == sorted(rows, key=repr)
+    assert list(warc._merge(iter([]))) == []
+
+
 def test_names():
     assert [n for n in range(1, 11) if any(q.startswith(f"op{n}_") for q in queries.queries())] == list(range(1, 11))
