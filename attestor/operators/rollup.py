@@ -73,10 +73,12 @@ def run_report(profile: DataFrame, states: DataFrame | None = None, claims: Data
         sums["validation_problems"] = F.sum("problems")
     one = profile.agg(*(v.cast("long").alias(k) for k, v in sums.items()))
     out = one.select(F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in sums))).alias("m")).select("m.*")
-    ms = profile.select("elapsed_ms")
-    middle = kth(ms, "elapsed_ms", max(1, (n + 1) // 2)).union(kth(ms, "elapsed_ms", n // 2 + 1)).agg(F.floor(F.avg("elapsed_ms")).alias("value"))
-    out = out.union(middle.select(F.lit("p50_ms"), F.col("value").cast("long")))
-    out = out.union(kth(ms, "elapsed_ms", max(1, int(n * 0.95))).select(F.lit("p95_ms"), F.col("elapsed_ms").cast("long")))
+    places = {"low": max(1, (n + 1) // 2), "high": n // 2 + 1, "p95": max(1, int(n * 0.95))}
+    ms = kth(profile, "elapsed_ms", *places.values()).agg(*(F.max(F.when(F.col("k") == k, F.col("elapsed_ms"))).alias(name) for name, k in places.items()))
+    middle = F.floor((F.coalesce("low", "high") + F.coalesce("high", "low")) / 2).cast("long")
+    shown = ms.select(F.explode(F.array(F.struct(F.lit("p50_ms").alias("metric"), middle.alias("value")), F.struct(F.lit("p95_ms").alias("metric"), F.col("p95").cast("long").alias("value")))).alias("m")).select("m.*")
+    # an empty table has no 95th percentile, and a null middle
+    out = out.union(shown if n else shown.where("metric = 'p50_ms'"))
     counted = lambda df, *name: df.groupBy(F.concat(*name).alias("metric")).agg(F.count("*").alias("value"))
     out = out.union(counted(profile, F.lit("status:"), F.col("status")))
     if "exhausted" in profile.columns:
@@ -90,10 +92,11 @@ def run_report(profile: DataFrame, states: DataFrame | None = None, claims: Data
     return out
 
 
-def kth(df: DataFrame, col: str, k: int) -> DataFrame:
-    """The k-th smallest value as one row: counts by value, then a running sum over distinct values in ranges."""
+def kth(df: DataFrame, col: str, *ks: int) -> DataFrame:
+    """(k, value) of the k-th smallest values, for all ks by one pass: counts by value, then a running sum over distinct values in ranges."""
     counts = running_total(df.groupBy(col).agg(F.count("*").alias("n")), [col], "n")
-    return counts.where(F.col("before") < k).where(F.col("before") + F.col("n") >= k).select(col)
+    met = F.filter(F.array(*map(F.lit, dict.fromkeys(ks))), lambda k: (k > F.col("before")) & (k <= F.col("before") + F.col("n")))
+    return counts.select(F.explode(met).alias("k"), col)
 
 
 def running_total(df: DataFrame, order: Sequence[str], amount: str, partitions: int | None = None) -> DataFrame:

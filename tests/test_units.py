@@ -220,3 +220,14 @@ def test_evidence_that_is_named_has_to_exist(spark):
     got = quality.validate_tables({"claims": claims, "evidence": evidence}).collect()
     assert [r.row for r in got] == ["c-2"] * len(got) and got
     assert quality.validate_tables({"evidence": evidence}).count() == 0
+
+
+def test_run_report_percentiles(spark):
+    """p50 and p95 off one range table: ties, one row, an even number of rows and none."""
+    for ms in ([], [7], [1, 2], [5] * 40 + [9], [3, 1, 2, 2, 100, 8], list(range(200, 0, -1))):
+        frame = spark.createDataFrame([(i, "ok", 1, 2, x) for i, x in enumerate(ms)], "entity_id long, status string, requests long, bytes long, elapsed_ms long")
+        got = {r.metric: r.value for r in rollup.run_report(frame).collect()}
+        s, n = sorted(ms), len(ms)
+        assert got["p50_ms"] == ((s[(n - 1) // 2] + s[n // 2]) // 2 if ms else None)
+        assert got.get("p95_ms") == (s[max(1, int(n * 0.95)) - 1] if ms else None) and ("p95_ms" in got) == bool(ms)
+        assert rollup.kth(frame, "elapsed_ms", 1, 1, n + 1).count() == min(n, 1)
