@@ -209,7 +209,8 @@ _SNAP = """select c_custkey as entity_id, 'o' as k, count(o_orderkey) as n, max_
 def _snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
     o = table(spark, d, "orders").where(f"year(o_orderdate) <= {year}")
     s = o.groupBy(F.col("o_custkey").alias("entity_id")).agg(
-        F.max_by("o_orderpriority", "o_orderkey").alias("p"), F.max(F.year("o_orderdate")).cast("string").alias("y"), F.round(F.sum("o_totalprice")).cast("long").cast("string").alias("t"))
+        F.max_by("o_orderpriority", "o_orderkey").alias("p"), F.max(F.year("o_orderdate")).cast("string").alias("y"), F.round(F.sum(F.col("o_totalprice").cast("decimal(28,10)"))).cast("long").cast("string").alias("t"))
+    # prices are added as decimals: sums of doubles that end in .5 would round by the order in which tasks add them
     claim = lambda i, f, v, sec: F.struct(F.lit(i).alias("ord"), F.lit(f).alias("field"), F.lit(sec).alias("section"), v.alias("value"))
     one = s.select("entity_id", F.explode(F.array(claim(1, "legal_form", F.col("p"), "identity"), claim(2, "latest_submitted_accounts_year", F.col("y"), "accounts"), claim(3, "revenue", F.col("t"), "accounts"))).alias("c"), "y")
     one = one.select("entity_id", "c.*", F.when(F.col("c.field") == "revenue", F.lit("p")).alias("reporting_period"))
