@@ -22,11 +22,14 @@ def seed_enrich(ids: DataFrame, seed: DataFrame, live: DataFrame, key: str, fiel
 
 
 def attach_provenance(claims: DataFrame, evidence: DataFrame) -> DataFrame:
-    """Each claim with source_url, source_class, retrieved_at, content_sha256 and claim_span of its first existing evidence id."""
+    """Each claim with source_url, source_class, retrieved_at, content_sha256 and claim_span of its first existing evidence id.
+
+    Where rows share an evidence id, the least of them by these columns counts, whatever the partitions.
+    """
     fields = ("source_url", "source_class", "retrieved_at", "content_sha256", "claim_span")
     refs = claims.select("entity_id", "claim_id", F.posexplode("evidence_ids").alias("pos", "evidence_id"))
     found = refs.join(evidence.select("entity_id", "evidence_id", F.struct(*fields).alias("e")), ["entity_id", "evidence_id"])
-    first = found.groupBy("entity_id", "claim_id").agg(F.min_by("e", "pos").alias("e"))
+    first = found.groupBy("entity_id", "claim_id").agg(F.min(F.struct("pos", "e"))["e"].alias("e"))
     return claims.join(first, ["entity_id", "claim_id"], "left").select(*claims.columns, *(F.col(f"e.{f}").alias(f) for f in fields))
 
 

@@ -22,9 +22,11 @@ def _order_claims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """An order as a claim whose evidence are its line items; the first id given does not exist."""
     o = table(spark, d, "orders")
     claims = o.selectExpr("cast(o_custkey as string) as entity_id", "cast(o_orderkey as string) as claim_id", "if(o_orderkey % 5 = 0, array('gone'), if(o_orderkey % 5 = 1, array('gone', concat(o_orderkey, '-2'), concat(o_orderkey, '-1')), if(o_orderkey % 5 = 2, array(), array(concat(o_orderkey, '-1'))))) as evidence_ids", "'available' as availability")
+    key, fields = ["entity_id", "evidence_id"], ("source_url", "source_class", "retrieved_at", "content_sha256", "claim_span")
     li = table(spark, d, "lineitem").join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    ev = li.selectExpr("cast(o_custkey as string) as entity_id", "concat(l_orderkey, '-', l_linenumber) as evidence_id", "concat('part/', l_partkey) as source_url", "l_linestatus as source_class", "date_format(l_shipdate, 'yyyy-MM-dd') as retrieved_at", "l_returnflag as content_sha256", "cast(l_suppkey as string) as claim_span").dropDuplicates(["entity_id", "evidence_id"])
-    return claims, ev
+    ev = li.selectExpr("cast(o_custkey as string) as entity_id", "concat(l_orderkey, '-', l_linenumber) as evidence_id", "concat('part/', l_partkey) as source_url", "l_linestatus as source_class", "date_format(l_shipdate, 'yyyy-MM-dd') as retrieved_at", "l_returnflag as content_sha256", "cast(l_suppkey as string) as claim_span")
+    # of rows with one id the least, not any: the evidence is read more than once and has to be the same each time
+    return claims, ev.groupBy(*key).agg(F.min(F.struct(*fields)).alias("e")).select(*key, "e.*")
 
 
 _EV = "ev as (select o_custkey::varchar as entity_id, l_orderkey || '-' || l_linenumber as evidence_id, min('part/' || l_partkey) as source_url, count(*) as n from lineitem join orders on l_orderkey = o_orderkey group by 1, 2)"
