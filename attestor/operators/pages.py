@@ -36,7 +36,7 @@ LEADER_TITLES = (
 PERSON = r"[A-ZÆØÅ][a-zæøåé]+(?:[ -][A-ZÆØÅ][a-zæøåé]+){1,2}"
 _HIDDEN, _BLOCK = {"script", "style", "noscript", "template"}, {"p", "div", "li", "br", "h1", "h2", "h3", "h4", "tr", "section", "article", "footer", "header", "ul", "address", "td"}
 PARSED = (
-    "page_id long, url string, host string, text string, title string, description string, site_name string, og_title string, links array<struct<pos:int,url:string,anchor:string,time:string>>, "
+    "page_id long, url string, host string, text string, title string, title_markup string, description string, site_name string, og_title string, links array<struct<pos:int,url:string,anchor:string,time:string>>, "
     "feeds array<string>, nodes array<struct<type:string,json:string>>, positions array<struct<label:string,text:string>>, strings array<string>"
 )
 
@@ -240,6 +240,17 @@ def _host(url: str | None) -> str | None:
 
 
 def parse_page(url: str | None, html: str | None) -> dict:
+#: The start and the end tag of a title.
+_TITLE, _TITLE_END = re.compile(r"<title(?:\s[^<>]*)?>", re.I), re.compile(r"</title", re.I)
+
+
+def title_markup(html: str) -> str:
+    """The first title as it is written, entities and all; empty without one or where it isn't closed."""
+    start = _TITLE.search(html)
+    end = _TITLE_END.search(html, start.end()) if start else None
+    return html[start.end() : end.start()] if end else ""
+
+
     referred = {i for m in re.finditer(r"""(?i)\bitemref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", html or "") for i in "".join(filter(None, m.groups())).split()}
     p = _Page(frozenset(referred))
     try:
@@ -282,7 +293,7 @@ def parse_page(url: str | None, html: str | None) -> dict:
         except ValueError:
             continue
     return {
-        "host": _host(url), "text": text, "title": title, "description": p.meta.get("description") or p.meta.get("og:description"), "site_name": p.meta.get("og:site_name"),
+        "host": _host(url), "text": text, "title": title, "title_markup": title_markup(html or ""), "description": p.meta.get("description") or p.meta.get("og:description"), "site_name": p.meta.get("og:site_name"),
         "og_title": p.meta.get("og:title"), "links": links, "feeds": feeds, "nodes": nodes,
         "positions": [{"label": k, "text": v} for k, v in named if v], "strings": [s for s in map(_squash, raw.split("\n")) if s],
     }
@@ -291,7 +302,7 @@ def parse_page(url: str | None, html: str | None) -> dict:
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     node, pos = pa.struct([("type", pa.string()), ("json", pa.string())]), pa.struct([("label", pa.string()), ("text", pa.string())])
     link = pa.struct([("pos", pa.int32()), ("url", pa.string()), ("anchor", pa.string()), ("time", pa.string())])
-    kinds = {"host": pa.string(), "text": pa.string(), "title": pa.string(), "description": pa.string(), "site_name": pa.string(), "og_title": pa.string(), "links": pa.list_(link), "feeds": pa.list_(pa.string()), "nodes": pa.list_(node), "positions": pa.list_(pos), "strings": pa.list_(pa.string())}
+    kinds = {"host": pa.string(), "text": pa.string(), "title": pa.string(), "title_markup": pa.string(), "description": pa.string(), "site_name": pa.string(), "og_title": pa.string(), "links": pa.list_(link), "feeds": pa.list_(pa.string()), "nodes": pa.list_(node), "positions": pa.list_(pos), "strings": pa.list_(pa.string())}
     for batch in batches:
         made = [parse_page(u, h) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True)]
         cols = [pa.array([m[k] for m in made], t) for k, t in kinds.items()]
@@ -299,8 +310,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html) -> PARSED, one Arrow pass."""
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(_parse, PARSED)
+    """pages(page_id, url, html) -> PARSED, one Arrow pass over pages dealt out by their ids.
+
+    title is as a browser shows it, title_markup as the page writes it.
+    """
+    return dealt(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "page_id").mapInArrow(_parse, PARSED)
 
 
 def site_links(parsed: DataFrame, kinds: Sequence[tuple[str, Sequence[str]]] = PAGE_KINDS) -> DataFrame:
