@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..operators import pages as P
 from ..operators import quality, synth
-from ..shared import stored
+from ..shared import dealt, stored
 from .registry import query, table
 
 #: Eight digits of a customer, and the host that its mail is at.
@@ -120,7 +120,7 @@ _RECORD = """'{"navn": ["FIRMA ' || c_custkey || ' AS"], "adresse": {"kommune":
 )
 def x13_json_selections(spark: SparkSession, d: str) -> DataFrame:
     """Selections of nested fields, of lists and by dotted names, in each customer's record."""
-    c = table(spark, d, "customer").selectExpr("*", "lpad(cast(c_nationkey as string), 4, '0') as n")
+    c = dealt(table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey").selectExpr("*", "lpad(cast(c_nationkey as string), 4, '0') as n")
     return c.select("c_custkey", X.literal_span(F.expr(_SELECTED), F.expr(_RECORD)).alias("span"))
 
 

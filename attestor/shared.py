@@ -19,6 +19,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys over as many tasks as a shuffle has, cores at least: for rows that are few bytes in a file but dear to work on.
+
+    The number is given, so adaptive execution doesn't merge the parts by their bytes.
+    """
+    session = df.sparkSession
+    return df.repartition(max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism), *keys)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: made once, and still there when an executor is lost."""
     path = shared_path(df.sparkSession, name)

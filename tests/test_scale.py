@@ -67,3 +67,10 @@ def test_let_makes_its_value_once(spark):
     assert [r.m for r in got.collect()] == ["er parkert", None, None]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("lower(") == 1
+
+
+def test_selected_fields_are_sought_once_each(spark):
+    rows = spark.createDataFrame([('{"a":1,"b":[2, 3]}', '{"x": 0, "a": 1, "b": [2, 3]}')], "s string, r string")
+    got = rows.select(X.literal_span(F.col("s"), F.col("r")).alias("v"))
+    assert [r.v for r in got.collect()] == ['"a": 1, "b": [2, 3]']
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_instr(") == 1
