@@ -79,6 +79,11 @@ def entity_facts(entities: DataFrame, *kept: str) -> DataFrame:
     return X.sealed(d, *map(F.col, ("entity_id", "name")), facts.alias("e"), *map(F.col, kept))
 
 
+def parked(folded: Column) -> Column:
+    """The first of the parked-domain marks that stands in a folded text."""
+    return F.get(F.filter(F.array(*map(F.lit, PARKED)), lambda m: F.contains(folded, m)), F.lit(0))
+
+
 def page_facts(pages: DataFrame, *kept: str) -> DataFrame:
     """Once a page: pages as parse_pages gives them -> page_id, url, p, kept.
 
@@ -97,7 +102,7 @@ def page_facts(pages: DataFrame, *kept: str) -> DataFrame:
     vat = F.transform(F.regexp_extract_all(f("text"), F.lit(r"(?i)\bNO\s*(\d(?:[\s.]?\d){8})\s*MVA\b"), F.lit(1)), lambda x: F.regexp_replace(x, "[^0-9]", ""))
     facts = F.struct(
         f("text"), f("_folded").alias("folded"), f("_host").alias("host"), X.fold_ascii(f("_host")).alias("folded_host"), F.regexp_replace(X.fold_ascii(f("_host")), "[^a-z0-9]", "").alias("compact"),
-        F.filter(X.labelled_numbers(f("text")), lambda n: F.char_length(n) == 9).alias("numbers"), vat.alias("vat"), F.get(F.filter(F.array(*map(F.lit, PARKED)), lambda m: F.contains(f("_folded"), m)), F.lit(0)).alias("parked"),
+        F.filter(X.labelled_numbers(f("text")), lambda n: F.char_length(n) == 9).alias("numbers"), vat.alias("vat"), X.let(f("_folded"), parked).alias("parked"),
         X.company_names(f("text")).alias("companies"), F.array_distinct(F.regexp_extract_all("_folded", F.lit("([a-z0-9]+)"), F.lit(1))).alias("body"),
         X.fold_ascii(f("_identity")).alias("identity"), F.array_distinct(X.words(f("_identity"))).alias("identity_words"), named(X.company_names(f("_identity"))).alias("identity_companies"), named(titles).alias("titled"),
         F.transform("_positions", lambda p: F.struct(p["text"].alias("text"), X.words(p["text"]).alias("w"))).alias("positions"),

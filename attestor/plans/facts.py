@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..operators import diff, joins, quality, resolve, synth
 from ..operators import pages as P
-from ..shared import shared_path, stored
+from ..shared import dealt, shared_path, stored
 from ..sources import io
 from .registry import query, table
 
@@ -218,7 +218,7 @@ def x5_suffix_table(spark: SparkSession, d: str) -> DataFrame:
 def _turns(spark: SparkSession, d: str, cases: tuple[tuple[str, str], ...]) -> DataFrame:
     """Customers with one of the cases' inputs in turn, {n} their number: c_custkey, said."""
     said = F.element_at(F.array(*(F.lit(x) for x, _ in cases)), (F.col("c_custkey") % len(cases) + 1).cast("int"))
-    return table(spark, d, "customer").select("c_custkey", F.replace(said, F.lit("{n}"), F.col("c_custkey").cast("string")).alias("said"))
+    return dealt(table(spark, d, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.replace(said, F.lit("{n}"), F.col("c_custkey").cast("string")).alias("said"))
 
 
 def _wanted(cases: tuple[tuple[str, str | None], ...]) -> str:
@@ -250,7 +250,7 @@ _texts("x14_spoken_list", (("a{n}", "a{n}"), ("a{n};b", "a{n} and b"), ("a;b;c{n
 _texts("x15_canonical", (('{"b":1,"a":"X  {n}"}', "{a:x {n},b:1}"), ('{"a":"x {n}","b":1}', "{a:x {n},b:1}"), (" A  b{n} ", "a b{n}")), X.canonical)
 _texts("x16_period_end", (("2023-01-01..2023-12-31", "2023-12-31"), ("2024", "2024"), ("{n}", "{n}")), X.period_end)
 _texts("x18_url_class", (("https://a{n}.no/x", "safe"), ("ftp://a{n}.no", "scheme"), ("http://u:p@a{n}.no", "credentials"), ("http://192.168.0.1/{n}", "address"), ("http://db{n}.internal/", "suffix")), X.url_class)
-_texts("x19_parked", (("This DOMAIN is for sale {n}", "domain is for sale"), ("Kjøp dette domenet nå", "kjop dette domenet"), ("Velkommen {n}", None)), lambda c: F.get(F.filter(F.array(*map(F.lit, resolve.PARKED)), lambda m: F.contains(X.fold_ascii(c), m)), F.lit(0)))
+_texts("x19_parked", (("This DOMAIN is for sale {n}", "domain is for sale"), ("Kjøp dette domenet nå", "kjop dette domenet"), ("Velkommen {n}", None)), lambda c: X.let(X.fold_ascii(c), resolve.parked))
 _texts("x20_labelled_numbers", (("Org.nr: 993 075 558, nr {n}", "993075558"), ("VAT no NO 911.111.111 og Foretaksnummer 922222222", "911111111 922222222"), ("ring 993 075 558", "")), lambda c: F.array_join(X.labelled_numbers(c), " "))
 _texts("x20_company_names", (("Her er Einar Blåuw AS og Beta{n} ASA.", "Einar Blåuw AS|Beta{n} ASA"), ("Ærlig AS, ÆRLIG AS", "Ærlig AS"), ("ingen as", "")), lambda c: F.array_join(X.company_names(c), "|"))
 _texts("x21_brand", (("Home | Nordlys{n} mat – Nordlys Bakeri{n}", "Nordlys Bakeri{n}"), ("Hjem · Bakeri {n}", "Bakeri {n}"), ("Forside", None)), lambda c: X.brand(X.title_parts(c), F.concat(F.array(F.lit("nordlys"), F.lit("bakeri")), F.transform(F.regexp_extract_all(c, F.lit("([0-9]+)"), F.lit(1)), lambda n: F.concat(F.lit("bakeri"), n)))))
