@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..shared import dealt
 from .rank import first_wins, top_n_per_entity
 
 #: kind -> words of path or anchor text. Fixed values.
@@ -239,7 +240,6 @@ def _host(url: str | None) -> str | None:
         return host or None
 
 
-def parse_page(url: str | None, html: str | None) -> dict:
 #: The start and the end tag of a title.
 _TITLE, _TITLE_END = re.compile(r"<title(?:\s[^<>]*)?>", re.I), re.compile(r"</title", re.I)
 
@@ -251,6 +251,7 @@ def title_markup(html: str) -> str:
     return html[start.end() : end.start()] if end else ""
 
 
+def parse_page(url: str | None, html: str | None) -> dict:
     referred = {i for m in re.finditer(r"""(?i)\bitemref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", html or "") for i in "".join(filter(None, m.groups())).split()}
     p = _Page(frozenset(referred))
     try:
@@ -299,14 +300,25 @@ def title_markup(html: str) -> str:
     }
 
 
+#: Characters of HTML, and pages, that are parsed before what they gave leaves the worker. Fixed values.
+_AT_ONCE, _PAGES = 1_000_000, 250
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages by small groups: a worker holds one batch of HTML as Arrow has it, and the parts of a few pages."""
     node, pos = pa.struct([("type", pa.string()), ("json", pa.string())]), pa.struct([("label", pa.string()), ("text", pa.string())])
     link = pa.struct([("pos", pa.int32()), ("url", pa.string()), ("anchor", pa.string()), ("time", pa.string())])
     kinds = {"host": pa.string(), "text": pa.string(), "title": pa.string(), "title_markup": pa.string(), "description": pa.string(), "site_name": pa.string(), "og_title": pa.string(), "links": pa.list_(link), "feeds": pa.list_(pa.string()), "nodes": pa.list_(node), "positions": pa.list_(pos), "strings": pa.list_(pa.string())}
     for batch in batches:
-        made = [parse_page(u, h) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True)]
-        cols = [pa.array([m[k] for m in made], t) for k, t in kinds.items()]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *cols], ["page_id", "url", *kinds])
+        urls, pages, start, made, size = batch.column("url"), batch.column("html"), 0, [], 0
+        for i in range(batch.num_rows):
+            html = pages[i].as_py()
+            made.append(parse_page(urls[i].as_py(), html))
+            size += len(html or "")
+            if size >= _AT_ONCE or len(made) >= _PAGES or i + 1 == batch.num_rows:
+                cols = [pa.array([m[k] for m in made], t) for k, t in kinds.items()]
+                yield pa.RecordBatch.from_arrays([batch.column("page_id").slice(start, len(made)), urls.slice(start, len(made)), *cols], ["page_id", "url", *kinds])
+                start, made, size = i + 1, [], 0
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:

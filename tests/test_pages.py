@@ -68,3 +68,22 @@ def test_news_only_from_news_pages(spark):
     pages = spark.createDataFrame([(1, "https://firma.no/nyheter/", link), (2, "https://firma.no/om-oss/", link.replace("/a", "/z"))], "page_id long, url string, html string")
     got = P.news_items(P.parse_pages(pages)).select("date", F.col("link")).collect()
     assert [tuple(r) for r in sorted(got, reverse=True)] == [("2024-07-01", "https://firma.no/b"), ("2024-06-01", "https://firma.no/a"), ("2024-05", "https://firma.no/2024/05/x")]
+
+
+def test_title_as_written(spark):
+    html = "<head><TITLE lang=no> A &amp;amp;&quot;b &amp</title><title>no</title>"
+    r = P.parse_page("https://a.no/", html)
+    assert r["title_markup"] == " A &amp;amp;&quot;b &amp"
+    assert P.parse_page("https://a.no/", "<title>open")["title_markup"] == P.parse_page(None, None)["title_markup"] == ""
+
+
+def test_pages_leave_the_parser_in_groups():
+    import pyarrow as pa
+
+    n = 2 * P._PAGES + 1
+    html = [None if i == 3 else "x" * (P._AT_ONCE if i == 5 else 10) for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([f"https://a{i}.no/" for i in range(n)]), pa.array(html)], ["page_id", "url", "html"])
+    out = list(P._parse(iter([batch])))
+    assert [b.num_rows for b in out] == [6, P._PAGES, P._PAGES - 5]
+    assert [i for b in out for i in b.column("page_id").to_pylist()] == list(range(n))
+    assert [u for b in out for u in b.column("url").to_pylist()] == [f"https://a{i}.no/" for i in range(n)]
