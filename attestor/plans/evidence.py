@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..operators import diff, joins, normalise, quality, synth
-from ..shared import shared_path
+from ..shared import dealt, shared_path
 from .registry import query, table
 
 
@@ -210,9 +210,9 @@ _SNAP = """select c_custkey as entity_id, 'o' as k, count(o_orderkey) as n, max_
 
 def _snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
     o = table(spark, d, "orders").where(f"year(o_orderdate) <= {year}")
+    # prices are added as decimals: sums of doubles that end in .5 would round by the order in which tasks add them
     s = o.groupBy(F.col("o_custkey").alias("entity_id")).agg(
         F.max_by("o_orderpriority", "o_orderkey").alias("p"), F.max(F.year("o_orderdate")).cast("string").alias("y"), F.round(F.sum(F.col("o_totalprice").cast("decimal(28,10)"))).cast("long").cast("string").alias("t"))
-    # prices are added as decimals: sums of doubles that end in .5 would round by the order in which tasks add them
     claim = lambda i, f, v, sec: F.struct(F.lit(i).alias("ord"), F.lit(f).alias("field"), F.lit(sec).alias("section"), v.alias("value"))
     one = s.select("entity_id", F.explode(F.array(claim(1, "legal_form", F.col("p"), "identity"), claim(2, "latest_submitted_accounts_year", F.col("y"), "accounts"), claim(3, "revenue", F.col("t"), "accounts"))).alias("c"), "y")
     one = one.select("entity_id", "c.*", F.when(F.col("c.field") == "revenue", F.lit("p")).alias("reporting_period"))
@@ -270,7 +270,7 @@ def t3_what_changed(spark: SparkSession, d: str) -> DataFrame:
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
     """Customers as registry records."""
-    return table(spark, d, "customer").selectExpr(
+    return dealt(table(spark, d, "customer"), "c_custkey").selectExpr(
         "lpad(cast(c_custkey as string), 9, '0') as organisasjonsnummer", "c_name as navn", "named_struct('kode', if(c_custkey % 5 = 0, 'ENK', 'AS'), 'beskrivelse', cast(null as string)) as organisasjonsform",
         f"cast(if(c_custkey % 7 = 0, null, named_struct('adresse', array('Gate 1'), 'postnummer', '0150', 'poststed', 'OSLO', 'kommune', concat('K', c_nationkey), 'kommunenummer', '0301', 'land', 'Norge', 'landkode', 'NO')) as {normalise.ADDRESS}) as forretningsadresse",
         f"cast(if(c_custkey % 8 = 0, named_struct('adresse', array('Postboks', cast(c_custkey as string)), 'postnummer', '0101', 'poststed', 'OSLO', 'kommune', 'P', 'kommunenummer', '0301', 'land', 'Norge', 'landkode', cast(null as string)), null) as {normalise.ADDRESS}) as postadresse", "named_struct('kode', cast(c_nationkey as string), 'beskrivelse', c_mktsegment) as naeringskode1", "c_custkey % 2 = 0 as harRegistrertAntallAnsatte", "cast(c_custkey % 50 as int) as antallAnsatte",
