@@ -184,7 +184,7 @@ _RULED = " ".join(f"when {i} then {{'score': {score}, 'reasons': {_sql_text(reas
 def r1_r15_ladder(spark: SparkSession, d: str) -> DataFrame:
     """Every customer as a company and a page about it: each step of the ladder, the reasons, the brand, and spans that
     stand on the page (a number that the page writes with spaces is told without)."""
-    c = table(spark, d, "customer").selectExpr("c_custkey", "cast(c_custkey % 17 as int) as turn", "initcap(lower(c_mktsegment)) as w", "cast(1 + c_custkey % 90 as string) as s", "concat('9', lpad(cast(c_custkey as string), 8, '0')) as o")
+    c = dealt(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey").selectExpr("c_custkey", "cast(c_custkey % 17 as int) as turn", "initcap(lower(c_mktsegment)) as w", "cast(1 + c_custkey % 90 as string) as s", "concat('9', lpad(cast(c_custkey as string), 8, '0')) as o")
     c = c.withColumn("c", F.concat(F.lit("Nordlys "), "w"))
     html = F.element_at(F.array(*(F.lit(h) for h, *_ in _LADDER)), F.col("turn") + 1)
     for name in "cosw":
