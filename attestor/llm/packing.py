@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, text_or_empty
-from .tokens import added, encoding, pieces
+from .tokens import added, encoding
 
 WINDOW, EOS = 2048, 1
 #: Windows a group, and tokens left free in each for the imbalance.
@@ -21,18 +21,12 @@ WINDOWS, SLACK = 48, 5
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-class _Ids(dict):
-    """Piece of text -> its ids as little-endian 32-bit bytes."""
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[piece] = np.array(encoding().encode_ordinary(piece), "<u4").tobytes()
-        return value
+_END = np.array([EOS], "<u4").tobytes()
 
 
-_ids = _Ids()
-_END = np.array([EOS], "<u4").tobytes()
+def _plain_ids(text: str) -> bytes:
+    """The ids of a text as little-endian 32-bit bytes; tiktoken gives them as an array, without a Python number an id."""
+    return encoding().encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 def document_ids(text: str) -> bytes:
@@ -42,8 +36,8 @@ def document_ids(text: str) -> bytes:
     pattern, ids = added()
     parts = pattern.split(text)
     if len(parts) == 1:
-        return b"".join(map(_ids.__getitem__, pieces(text))) + _END
-    out = [np.array([ids[p]], "<u4").tobytes() if k % 2 else b"".join(map(_ids.__getitem__, pieces(p))) for k, p in enumerate(parts) if p]
+        return _plain_ids(text) + _END
+    out = [np.array([ids[p]], "<u4").tobytes() if k % 2 else _plain_ids(p) for k, p in enumerate(parts) if p]
     return b"".join(out) + _END
 
 

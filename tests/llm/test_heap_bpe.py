@@ -93,3 +93,13 @@ def test_query(spark, sf_dir, theirs):
         ids = theirs.encode(d.text or "", add_special_tokens=False).ids
         want.add((d.doc_id, len(ids), sha(",".join(map(str, ids))), sha(theirs.decode(ids, skip_special_tokens=False))))
     assert got == want
+
+
+def test_packing_encodes_whole_texts_as_the_library_does():
+    from attestor.llm import packing
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("a  b", " ", "a \n b", "   x", "å båt\U0001f600", "one <|endoftext|> two", "x" * 5000):
+        raw = packing.document_ids(text)
+        assert [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)] == [*library.encode(text, add_special_tokens=False).ids, packing.EOS]
+    assert not hasattr(packing, "_ids")  # no table of pieces grows in a worker
