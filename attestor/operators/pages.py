@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from html.parser import HTMLParser
+from itertools import islice
 from operator import or_
 from urllib.parse import urljoin, urlsplit, urlunsplit
 
@@ -54,6 +55,14 @@ _ENDS_P = {
     "table", "ul",
 }
 _P = (("p",), ("button", "td", "th", "caption", "object"))
+_CLOSED_BY = {t: tuple(filter(None, (_P if t in _ENDS_P else None, _CLOSES.get(t)))) for t in {*_ENDS_P, *_CLOSES}}
+#: What a text in an element of a tag counts as.
+_COUNTED = dict.fromkeys(_HIDDEN, "hidden") | {"title": "title", "h1": "head", "h2": "head", "footer": "foot", "address": "foot"}
+#: A start tag as most are written, its attributes, and tags whose content the standard parser reads in its own way.
+_START, _ATTRIBUTE = re.compile(r'<([a-z][a-z0-9]*)((?: [a-z:_-]+="[^"&<>]*")*)>'), re.compile(r' ([a-z:_-]+)="([^"]*)"')
+_OWN_CONTENT = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+#: A path from the root without dots, which a join with a page's URL leaves as it is.
+_ROOTED = re.compile(r"(/[\w-]+(?:/[\w-]+)*/?)(?:[?#][!-~]*)?", re.A)
 #: Items inside items, and properties whose text is read, at most; deeper ones count as plain markup.
 _DEEPEST = 60
 
@@ -72,10 +81,19 @@ class _Page(HTMLParser):
         self.anchor, self.heads, self.foot = None, [], []
         self.scopes, self.props, self.referred, self.parts = [], [], referred, {}
 
+    def updatepos(self, i: int, j: int) -> int:  # lines aren't counted, nobody asks for them
+        return j
+
+    def parse_starttag(self, i: int) -> int:
+        m = _START.match(self.rawdata, i)
+        if not m or m[1] in _OWN_CONTENT:
+            return super().parse_starttag(i)
+        self.handle_starttag(m[1], _ATTRIBUTE.findall(m[2]) if m[2] else [])
+        return m.end()
+
     def _within(self, tag: str, by: int) -> None:
-        for name, tags in (("hidden", _HIDDEN), ("title", ("title",)), ("head", ("h1", "h2")), ("foot", ("footer", "address"))):
-            if tag in tags:
-                self.inside[name] += by
+        if name := _COUNTED.get(tag):
+            self.inside[name] += by
 
     def _place(self, tags: Sequence[str]) -> int:
         return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
@@ -101,6 +119,8 @@ class _Page(HTMLParser):
                 break
 
     def _microdata(self, a: dict, tag: str) -> None:
+        if not (self.scopes or self.referred or "itemscope" in a):
+            return
         at, names = len(self.stack), a.get("itemprop", "").split()
         deep = len(self.scopes) >= _DEEPEST or tag in _VOID
         if a.get("id") in self.referred and a["id"] not in self.parts and not deep:
@@ -122,7 +142,7 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = {k: v or "" for k, v in attrs}
-        for closed, bounds in filter(None, (_P if tag in _ENDS_P else None, _CLOSES.get(tag))):
+        for closed, bounds in _CLOSED_BY.get(tag, ()):
             bound = self._place(bounds)
             if left_open := [x for t in closed for x in self.at.get(t, ())[-1:] if x > bound]:
                 self._end(min(left_open))
@@ -203,7 +223,7 @@ class _Page(HTMLParser):
 
 
 def _squash(text: str) -> str:
-    return re.sub(r"\s+", " ", text).strip()
+    return " ".join(text.split())
 
 
 def typed_nodes(data: object) -> Iterator[dict]:
@@ -251,8 +271,22 @@ def title_markup(html: str) -> str:
     return html[start.end() : end.start()] if end else ""
 
 
+#: Ids that an item refers to, and where a page says whose it is. Fixed values.
+_REFERRED = re.compile(r"""(?i)\bitemref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_WHOSE = re.compile(r"©|\(c\)\s*20\d\d|copyright|alle rettigheter|all rights reserved", re.I)
+
+
+def _root(url: str | None) -> str | None:
+    """Scheme and host of a web page's URL, for links from the root; None for other URLs."""
+    try:
+        at = urlsplit(url or "")
+    except ValueError:
+        return None
+    return f"{at.scheme}://{at.netloc.lower()}" if at.scheme in ("http", "https") and at.netloc else None
+
+
 def parse_page(url: str | None, html: str | None) -> dict:
-    referred = {i for m in re.finditer(r"""(?i)\bitemref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", html or "") for i in "".join(filter(None, m.groups())).split()}
+    referred = {i for m in _REFERRED.finditer(html) for i in "".join(filter(None, m.groups())).split()} if html and "itemref" in html.lower() else ()
     p = _Page(frozenset(referred))
     try:
         p.feed(html or "")
@@ -270,10 +304,13 @@ def parse_page(url: str | None, html: str | None) -> dict:
             continue
         for t in n["@type"] if isinstance(n["@type"], list) else [n["@type"]]:
             nodes.append({"type": re.split("[/:]", str(t))[-1], "json": said})
-    links = []
+    links, root = [], _root(url)
     for href, anchor, time in p.links:
         if not href or href.startswith(("javascript:", "#")):
             continue
+        if root and (rooted := _ROOTED.fullmatch(href)):
+            links.append({"pos": len(links), "url": root + rooted[1], "anchor": _squash(anchor), "time": time})
+            continue
         try:
             full = urlsplit(urljoin(url or "", href))
             # mail and phone links keep their all; pages lose query and fragment
@@ -281,9 +318,7 @@ def parse_page(url: str | None, html: str | None) -> dict:
         except ValueError:
             continue
         links.append({"pos": len(links), "url": clean, "anchor": _squash(anchor), "time": time})
-    # where a page says whose it is; a fixed value
-    cue = re.compile(r"©|\(c\)\s*20\d\d|copyright|alle rettigheter|all rights reserved", re.I)
-    marks = [text[max(0, m.start() - 60) : m.end() + 60] for m in cue.finditer(text)][:3]
+    marks = [text[max(0, m.start() - 60) : m.end() + 60] for m in islice(_WHOSE.finditer(text), 3)]
     author = " ".join(p.meta[k] for k in ("author", "publisher", "copyright") if k in p.meta)
     names = [v for n in nodes if n["type"] in ORG_TYPES for v in _strings(json.loads(n["json"]), ("name", "legalName", "alternateName"))]
     named = [("title", title), ("og:site_name", p.meta.get("og:site_name", "")), ("og:title", p.meta.get("og:title", "")), *(("json-ld", v) for v in names), ("footer", _squash(" ".join(p.foot))[:2000]), ("headings", _squash(" ".join("".join(h) for h in p.heads[:8]))[:800]), ("author", author), ("copyright", " ".join(marks))]
@@ -418,14 +453,19 @@ def news_items(parsed: DataFrame, feed: DataFrame | None = None, most: int = 10)
     j = lambda k: F.get_json_object("json", f"$.{k}")
     main = F.when(~F.coalesce(j("mainEntityOfPage"), F.lit("{")).startswith("{"), j("mainEntityOfPage"))
     a = typed(parsed, "NewsArticle", "Article", "BlogPosting").select(site, F.left(F.trim(F.coalesce(j("headline"), j("name"))), F.lit(200)).alias("title"), F.coalesce(j("url"), main).alias("link"), iso(j("datePublished")).alias("date"), F.lit(0).alias("pos"))
-    links = parsed.where(X.page_kind(path, F.lit(""), PAGE_KINDS) == "news").select(site, F.explode("links").alias("l")).select("site", "l.*").where((F.char_length("anchor") >= 8) & (domain == F.col("site")))
-    day, month = (F.regexp_extract(path, rf"/(\d{{4}}/\d{{2}}{d})/", 1) for d in (r"/\d{2}", ""))
-    in_path = F.when(day != "", iso(F.replace(day, F.lit("/"), F.lit("-")))).when(month != "", F.replace(month, F.lit("/"), F.lit("-")))
-    b = links.select("site", F.left("anchor", F.lit(200)).alias("title"), F.col("url").alias("link"), F.coalesce(iso(F.col("anchor")), iso(F.col("time")), in_path).alias("date"), (F.col("pos") + 1).alias("pos"))
+    links = parsed.where(X.page_kind(path, F.lit(""), PAGE_KINDS) == "news").select(site, F.explode("links").alias("l")).select("site", "l.*").where(F.char_length("anchor") >= 8)
+    links = X.sealed(links, *map(F.col, ("site", "pos", "url", "anchor", "time")), domain.alias("_domain"), path.alias("_path")).where("_domain = site")
+    part = lambda p, d: F.regexp_extract(p, rf"/(\d{{4}}/\d{{2}}{d})/", 1)
+    month = lambda p: X.let(part(p, ""), lambda m: F.when(m != "", F.replace(m, F.lit("/"), F.lit("-"))))
+    in_path = lambda p: X.let(part(p, r"/\d{2}"), lambda d: F.when(d != "", iso(F.replace(d, F.lit("/"), F.lit("-")))).otherwise(month(p)))
+    said = X.let(F.struct("anchor", "time", "_path"), lambda x: F.coalesce(iso(x["anchor"]), iso(x["time"]), in_path(x["_path"])))
+    b = links.select("site", F.left("anchor", F.lit(200)).alias("title"), F.col("url").alias("link"), said.alias("date"), (F.col("pos") + 1).alias("pos"))
     rows = a.union(b)
     if feed is not None:
         rows = rows.union(feed.select("site", "title", "link", F.col("date").cast("string"), F.lit(0).alias("pos")))
-    rows = first_wins(rows.where("date is not null and title <> '' and link is not null"), ["site", "link"], ["pos", "title", "date"])
+    # dates are made before the filter, which would make them twice
+    rows = X.sealed(rows, *map(F.col, rows.columns)).where("date is not null and title <> '' and link is not null")
+    rows = first_wins(rows, ["site", "link"], ["pos", "title", "date"])
     return top_n_per_entity(rows, ["site"], [F.desc("date"), F.col("link")], most).select("site", "rank", "date", "title", "link")
 
 

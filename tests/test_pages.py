@@ -87,3 +87,18 @@ def test_pages_leave_the_parser_in_groups():
     assert [b.num_rows for b in out] == [6, P._PAGES, P._PAGES - 5]
     assert [i for b in out for i in b.column("page_id").to_pylist()] == list(range(n))
     assert [u for b in out for u in b.column("url").to_pylist()] == [f"https://a{i}.no/" for i in range(n)]
+
+
+def test_plain_tags_and_links_read_as_the_standard_parser_reads_them():
+    head = '<div itemscope itemtype="x/T"><p itemprop="n" class="">t<br>u</p><meta itemprop="m" content="c"></div><h1>H</h1><textarea><b>'
+    for href in ("/a/b?x=1#y", "/a/../b", "//C.no/d", "/a//b", "/a;b", "/å/b", "/", "/?q", "/u/", "/a b", "/x?a=[b"):
+        plain = P.parse_page("HTTPS://A.no/x/y", f'{head}</textarea><a href="{href}">x</a>')
+        odd = P.parse_page("HTTPS://A.no/x/y", f"{head.replace('<p ', '<P  ')}</textarea><a  href='{href}' >x</a>")
+        assert plain == odd
+    assert P._START.match('<a href="/x">') and not P._START.match("<a href='/x'>")
+
+
+def test_dates_of_news_are_made_once(spark):
+    rows = P.news_items(spark.createDataFrame([], P.PARSED))
+    # of an article, an anchor, a time element and a path; a filter on the date used to make each of them again
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("date_format(") == 4
