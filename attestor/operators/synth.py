@@ -63,9 +63,14 @@ def age(founded: Column, as_of: int) -> Column:
     return F.lit(as_of) - F.try_to_number(F.left(founded, F.lit(4)), F.lit("9999")).cast("int")
 
 
+def _part(value: Column, k: str) -> Column:
+    """A field of a JSON value as text, sought once; NULL where it is empty."""
+    return X.let(F.trim(F.get_json_object(value, f"$.{k}")), lambda x: F.when(x != "", x))
+
+
 def address_text(value: Column) -> Column:
     """An address claim as one line: an object's street, then postcode with city; the parts of a list; text as it is."""
-    j = lambda k: F.nullif(F.trim(F.get_json_object(value, f"$.{k}")), F.lit(""))
+    j = lambda k: _part(value, k)
     parts = F.concat_ws(", ", F.coalesce(j("street"), j("address")), F.nullif(F.concat_ws(" ", j("postcode"), j("city")), F.lit("")), j("country"))
     listed = F.array_join(F.filter(F.from_json(value, "array<string>"), lambda x: F.trim(x) != ""), ", ")
     return F.nullif(F.when(value.startswith("{"), parts).when(value.startswith("["), listed).otherwise(F.trim(value)), F.lit(""))
@@ -77,11 +82,12 @@ TOLD = {"workplace": 4, "site_location": 5, "job_posting": 3}
 
 def _told(claims: DataFrame) -> DataFrame:
     """(entity_id, workplace, site_location, job_posting): how many there are, and the first few by name, as (n, names)."""
-    j = lambda k: F.nullif(F.trim(F.get_json_object("value", f"$.{k}")), F.lit(""))
+    j = lambda k: _part(F.col("value"), k)
     city = F.initcap(F.coalesce(j("address.city"), F.when(~j("address").startswith("{"), j("address"))))
     where = {"workplace": (j("name"), city), "site_location": (F.coalesce(j("name"), j("address"), F.when(~F.col("value").startswith("{"), F.col("value"))), None), "job_posting": (j("title"), F.initcap(j("location")))}
     named = F.coalesce(*(F.when(F.col("field") == f, name if at is None else F.concat(name, F.coalesce(F.concat(F.lit(" ("), at, F.lit(")")), F.lit("")))) for f, (name, at) in where.items()))
-    rows = claims.where("availability = 'available'").where(F.col("field").isin(*TOLD)).select("entity_id", "field", "claim_id", named.alias("name")).where("name is not null")
+    rows = claims.where("availability = 'available'").where(F.col("field").isin(*TOLD))
+    rows = X.sealed(rows, *map(F.col, ("entity_id", "field", "claim_id")), named.alias("name")).where("name is not null")
     n = rows.groupBy("entity_id", "field").agg(F.count("*").alias("n"))
     few = top_n_per_entity(rows, ["entity_id", "field"], [F.char_length("claim_id"), F.col("claim_id"), F.col("name")], max(TOLD.values()))
     few = few.groupBy("entity_id", "field").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"]).alias("names"))
@@ -91,7 +97,7 @@ def _told(claims: DataFrame) -> DataFrame:
 
 def _dated(claims: DataFrame) -> DataFrame:
     """(entity_id, dated): the newest of news, registry updates, job ads and the sitemap, and how many updates there were."""
-    j = lambda k: F.nullif(F.trim(F.get_json_object("value", f"$.{k}")), F.lit(""))
+    j = lambda k: _part(F.col("value"), k)
     f, say = F.col("field"), F.concat
     said = (
         F.when(f == "news_item", say(F.lit("news item “"), F.coalesce(j("title"), F.lit("untitled")), F.lit("”")))
@@ -100,7 +106,8 @@ def _dated(claims: DataFrame) -> DataFrame:
         .when(f == "sitemap_lastmod", F.lit("sitemap update"))
     )
     day = F.left(F.when(f == "sitemap_lastmod", F.col("value")).when(f == "job_posting", j("date_posted")).otherwise(j("date")), F.lit(10))
-    rows = claims.where("availability = 'available'").select("entity_id", "field", day.alias("day"), said.alias("said")).where("said is not null and day is not null")
+    rows = claims.where("availability = 'available'").where(F.col("field").isin("news_item", "registry_update", "job_posting", "sitemap_lastmod"))
+    rows = X.sealed(rows, *map(F.col, ("entity_id", "field")), day.alias("day"), said.alias("said")).where("said is not null and day is not null")
     update = F.when(f == "registry_update", F.col("day"))
     rows = rows.groupBy("entity_id").agg(F.max(F.struct("day", "said")).alias("newest"), F.count(update).alias("n"), F.max(update).alias("last_update"))
     latest = say(F.lit("Latest dated activity: "), "newest.said", F.lit(" on "), "newest.day", F.lit("."))

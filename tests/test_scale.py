@@ -6,7 +6,7 @@ import datetime
 
 import pytest
 from attestor.functions import expr as X
-from attestor.operators import joins, resolve
+from attestor.operators import joins, resolve, synth
 from attestor.plans import evidence, facts, pages, varied
 from attestor.shared import dealt
 from pyspark.sql import functions as F
@@ -74,3 +74,13 @@ def test_selected_fields_are_sought_once_each(spark):
     got = rows.select(X.literal_span(F.col("s"), F.col("r")).alias("v"))
     assert [r.v for r in got.collect()] == ['"a": 1, "b": [2, 3]']
     assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_instr(") == 1
+
+
+def test_fields_of_claims_are_sought_once(spark):
+    claims = spark.createDataFrame([("e", "c1", "job_posting", '{"title":" Baker ","location":"OSLO","date_posted":"2024-01-02"}', "available"), ("e", "c2", "job_posting", '{"title":" "}', "available")], "entity_id string, claim_id string, field string, value string, availability string")
+    told, dated = synth._told(claims), synth._dated(claims)
+    assert [(r.job_posting.n, r.job_posting.names) for r in told.collect()] == [(1, ["Baker (Oslo)"])]
+    assert [r.dated for r in dated.collect()] == ["Latest dated activity: job ad posted on 2024-01-02."]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    # once for the count and once for the names; once for the date
+    assert plan(told).count("$.title") == 2 and plan(dated).count("$.date_posted") == 1
