@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from functools import partial, reduce
 from html.parser import HTMLParser
 from itertools import islice
 from operator import or_
@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import expr as X
 from ..shared import dealt
@@ -339,11 +340,12 @@ def parse_page(url: str | None, html: str | None) -> dict:
 _AT_ONCE, _PAGES = 1_000_000, 250
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse(batches: Iterator[pa.RecordBatch], columns: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
     """Pages by small groups: a worker holds one batch of HTML as Arrow has it, and the parts of a few pages."""
     node, pos = pa.struct([("type", pa.string()), ("json", pa.string())]), pa.struct([("label", pa.string()), ("text", pa.string())])
     link = pa.struct([("pos", pa.int32()), ("url", pa.string()), ("anchor", pa.string()), ("time", pa.string())])
     kinds = {"host": pa.string(), "text": pa.string(), "title": pa.string(), "title_markup": pa.string(), "description": pa.string(), "site_name": pa.string(), "og_title": pa.string(), "links": pa.list_(link), "feeds": pa.list_(pa.string()), "nodes": pa.list_(node), "positions": pa.list_(pos), "strings": pa.list_(pa.string())}
+    kinds = {k: t for k, t in kinds.items() if not columns or k in columns}
     for batch in batches:
         urls, pages, start, made, size = batch.column("url"), batch.column("html"), 0, [], 0
         for i in range(batch.num_rows):
@@ -356,12 +358,17 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start, made, size = i + 1, [], 0
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, *columns: str) -> DataFrame:
     """pages(page_id, url, html) -> PARSED, one Arrow pass over pages dealt out by their ids.
 
-    title is as a browser shows it, title_markup as the page writes it.
+    title is as a browser shows it, title_markup as the page writes it. Of PARSED only page_id, url and the named columns leave the
+    worker, all where none is named: Spark can't tell a worker what is read of its result.
     """
-    return dealt(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "page_id").mapInArrow(_parse, PARSED)
+    kinds = StructType.fromDDL(PARSED)
+    if unknown := set(columns) - set(kinds.names):
+        raise ValueError(f"no columns of a parsed page: {sorted(unknown)}")
+    kinds = StructType([f for f in kinds if not columns or f.name in ("page_id", "url", *columns)])
+    return dealt(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "page_id").mapInArrow(partial(_parse, columns=columns), kinds)
 
 
 def site_links(parsed: DataFrame, kinds: Sequence[tuple[str, Sequence[str]]] = PAGE_KINDS) -> DataFrame:

@@ -41,13 +41,13 @@ def _filled(template: str) -> Column:
     return out
 
 
-def _fact_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Every page, on a site of its own and with facts ahead of it, and a careers page for each; parsed once."""
+def _fact_pages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Every page, on a site of its own and with facts ahead of it, and a careers page for each; parsed once, into the named columns."""
     rows = table(spark, d, "pages").select("page_id", "html")
     site = F.concat(F.lit("https://www.firma"), F.col("page_id").cast("string"), F.lit(".no/"))
     front = rows.select("page_id", site.alias("url"), F.concat(_filled(_BLOCK), F.lit("<p>"), "html").alias("html"))
     careers = rows.select((F.col("page_id") + 1_000_000_000).alias("page_id"), F.concat(site, F.lit("karriere/")).alias("url"), _filled(_CAREERS).alias("html"))
-    return stored(P.parse_pages(front.union(careers)), "fact-pages")
+    return stored(P.parse_pages(front.union(careers), *columns), "fact-pages")
 
 
 _SITE = "'firma' || page_id || '.no' as site"
@@ -72,7 +72,7 @@ def p5_socials(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select t as type, count(*) as nodes from pages, (select unnest(['Organization', 'JobPosting', 'NewsArticle', 'Person']) as t) group by 1")
 def p6_page_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return P.typed(_fact_pages(spark, d)).groupBy("type").agg(F.count("*").alias("nodes"))
+    return P.typed(_fact_pages(spark, d, "nodes")).groupBy("type").agg(F.count("*").alias("nodes"))
 
 
 @query(

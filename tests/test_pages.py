@@ -7,6 +7,7 @@ import time
 
 import pytest
 from attestor.operators import pages as P
+from attestor.plans import facts, pages
 from pyspark.sql import functions as F
 
 N = 100_000
@@ -102,3 +103,27 @@ def test_dates_of_news_are_made_once(spark):
     rows = P.news_items(spark.createDataFrame([], P.PARSED))
     # of an article, an anchor, a time element and a path; a filter on the date used to make each of them again
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("date_format(") == 4
+
+
+#: Columns besides page_id and url that a query reads of parsed pages.
+READ = (
+    (facts.p6_page_nodes, ("nodes",)),
+)
+
+
+@pytest.mark.parametrize(("query", "columns"), READ, ids=[f.__name__ for f, _ in READ])
+def test_only_what_a_query_reads_leaves_the_parser(spark, tmp_path, monkeypatch, query, columns):
+    made, parse = [], P.parse_pages
+    monkeypatch.setattr(P, "parse_pages", lambda *a: made.append(parse(*a)) or made[-1])
+    spark.createDataFrame([(1, "https://a.no/", "<a href='/b'>b</a>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    query(spark, str(tmp_path)).collect()
+    assert [set(m.columns) for m in made] == [{"page_id", "url", *columns}]
+
+
+def test_named_columns_are_those_of_all(spark):
+    pages = spark.createDataFrame([(1, "https://a.no/", "<title>t</title><a href='/b'>b</a>"), (2, None, None)], "page_id long, url string, html string")
+    whole, some = P.parse_pages(pages), P.parse_pages(pages, "links", "title")
+    assert whole.columns == spark.createDataFrame([], P.PARSED).columns and set(some.columns) == {"page_id", "url", "links", "title"}
+    assert sorted(some.collect()) == sorted(whole.select(*some.columns).collect())
+    with pytest.raises(ValueError, match="nod"):
+        P.parse_pages(pages, "nod")
