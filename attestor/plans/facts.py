@@ -110,7 +110,7 @@ def p11_careers_pages(spark: SparkSession, d: str) -> DataFrame:
 )
 def p12_site_absence(spark: SparkSession, d: str) -> DataFrame:
     """Contacts and profiles are looked for, the other required fields stay open."""
-    parsed = _fact_pages(spark, d)
+    parsed = _fact_pages(spark, d, "links", "text", "nodes")
     site = X.registered_domain(X.host(F.col("url")))
     found = P.contacts(parsed).select(F.col("site").alias("entity_id"), F.lit("web").alias("section"), "field")
     found = found.union(P.socials(parsed).select("site", F.lit("web"), F.lit("social_profile")))

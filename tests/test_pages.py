@@ -108,6 +108,7 @@ def test_dates_of_news_are_made_once(spark):
 #: Columns besides page_id and url that a query reads of parsed pages.
 READ = (
     (facts.p6_page_nodes, ("nodes",)),
+    (facts.p12_site_absence, ("links", "text", "nodes")),
 )
 
 
