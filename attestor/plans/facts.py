@@ -80,7 +80,7 @@ def p6_page_nodes(spark: SparkSession, d: str) -> DataFrame:
     {'field': 'contact_email', 'value': 'mail' || page_id || '@firma' || page_id || '.no'}, {'field': 'site_location', 'value': 'Gate ' || page_id || ', 0150, Oslo'}]) as f from pages)"""
 )
 def p7_org_facts(spark: SparkSession, d: str) -> DataFrame:
-    return P.org_facts(_fact_pages(spark, d))
+    return P.org_facts(_fact_pages(spark, d, "nodes"))
 
 
 @query("select page_id, f.n as name, f.t as title, f.r::int as rank from (select page_id, unnest([{'n': 'Kari Nes', 't': 'Daglig leder', 'r': 1}, {'n': 'Ola Berg', 't': 'Styreleder', 'r': 2}]) as f from pages)")

@@ -109,6 +109,7 @@ def test_dates_of_news_are_made_once(spark):
 READ = (
     (facts.p6_page_nodes, ("nodes",)),
     (facts.p12_site_absence, ("links", "text", "nodes")),
+    (facts.p7_org_facts, ("nodes",)),
 )
 
 
