@@ -100,7 +100,7 @@ def p10_site_news(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select page_id + 1000000000 as page_id, 'https://www.firma' || page_id || '.no/karriere/' as url, 'ledige stillinger' as cue from pages")
 def p11_careers_pages(spark: SparkSession, d: str) -> DataFrame:
-    return P.careers_pages(_fact_pages(spark, d))
+    return P.careers_pages(_fact_pages(spark, d, "text", "nodes"))
 
 
 @query(

@@ -110,6 +110,7 @@ READ = (
     (facts.p6_page_nodes, ("nodes",)),
     (facts.p12_site_absence, ("links", "text", "nodes")),
     (facts.p7_org_facts, ("nodes",)),
+    (facts.p11_careers_pages, ("text", "nodes")),
 )
 
 
