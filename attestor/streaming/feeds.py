@@ -6,10 +6,12 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from ..operators.diff import diff_claims
 from ..sources import versioned
@@ -75,7 +77,11 @@ def _job(moves: DataFrame, path: str, step: Callable[[DataFrame, int], None]) ->
         finally:
             batch.unpersist()
 
-    return moves.writeStream.outputMode("update").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(once).start()
+    return _start(moves, path, once)
+
+
+def _start(rows: DataFrame, path: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    return rows.writeStream.outputMode("update").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(step).start()
 
 
 def feed_latest_job(stream: DataFrame, path: str, key: Sequence[str], ts: str, tiebreak: str, lookback: str = "60 days", buckets: int = BUCKETS) -> StreamingQuery:
@@ -145,94 +151,76 @@ def change_stream(stream: DataFrame) -> DataFrame:
     return stream.groupBy("entity_id").applyInPandasWithState(_compare, CHANGES, "s string", "append", GroupStateTimeout.NoTimeout)
 
 
-class _Runs(StatefulProcessor):
-    """An entity's claims of its newest run, one state entry a claim; each newer run is told together with the one before it."""
+def _kept(spark: SparkSession, schema: StructType, paths: Sequence[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
-    def __init__(self, timed: bool):
-        self.timed = timed
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "run bigint, at bigint")
-        self.claims = handle.getMapState("claims", "field string, ord bigint, n bigint", "claim string")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        last, at = self.last.get() or (None, None)
-        runs, newest = {}, at
-        for r in rows:
-            if last is None or r["run"] > last:
-                run = runs.setdefault(r["run"], {})
-                field, ord_, n = r["_field"], r["_ord"], 0
-                while run.setdefault((field, ord_, n), r["_claim"]) != r["_claim"]:  # two claims in one place of a document
-                    n += 1
-                newest = r["_at"] if newest is None else max(newest, r["_at"])
-        if not runs:
-            return
-        known = {tuple(k): v[0] for k, v in self.claims.iterator()} if last is not None else {}
-        stored_ = dict(known)
-        for run in sorted(runs):
-            now = runs[run]
-            if last is not None:
-                for side, claims in (("p", known), ("c", now)):
-                    for claim in claims.values():
-                        yield Row(_entity=key[0], run=run, _side=side, _claim=claim)
-            known, last = now, run
-        for k in stored_.keys() - known.keys():
-            self.claims.removeKey(k)
-        for k, claim in known.items():
-            if stored_.get(k) != claim:
-                self.claims.updateValue(k, (claim,))
-        self.last.update((last, newest))
-        if self.timed and newest != at:
-            if at is not None:
-                self.handle.deleteTimer(at)
-            self.handle.registerTimer(newest)
+def _limit(spark: SparkSession, path: str, batch: int, keep: str) -> Column | None:
+    """The time that lies `keep` behind the newest row of all batches before this one; None before the first."""
+    try:
+        seen = spark.read.schema("batch long, at long").parquet(f"{path}/seen/*").where(F.col("batch") < batch).agg(F.max("at")).first()[0]
+    except AnalysisException:  # nothing is there yet
+        return None
+    return None if seen is None else F.timestamp_micros(F.lit(seen)) - F.expr(f"interval {keep}")
 
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
-        self.last.clear()
-        self.claims.clear()
-        return iter(())
 
-    def close(self) -> None:
-        pass
+def claim_change_job(stream: DataFrame, path: str, ts: str | None = None, keep: str = "400 days", buckets: int = BUCKETS) -> StreamingQuery:
+    """ST3, ST4: the changes of a stream of claims (entity_id, run, ord, field, ...) by the rules of D, under path/changes, a folder a batch.
 
+    An entity's first run is its baseline and gives nothing; a run that comes again, or after a later one, gives nothing. Several
+    runs in a batch are told one after the other; a run has to come in one batch. With ts, the time of a run, entities whose newest
+    run is more than `keep` behind the newest row of the batches before are forgotten, so that their next run is a baseline, and
+    rows that are older are dropped as late.
 
-def run_pairs(stream: DataFrame, ts: str | None = None, keep: str = "400 days") -> DataFrame:
-    """ST3: claims of whole runs (entity_id, run, ord, field, ...) -> the claims of each new run and of the run before it.
-
-    Rows (entity_id, run, side, claim): run is the later one of the two, side p or c, claim the whole row. An entity's first run
-    is its baseline and gives nothing; a run that comes again, or after a later one, gives nothing. Several runs in a batch are told
-    one after the other; a run has to come in one batch. A batch reads and writes the state of its own entities only. With ts,
-    the time of a run, entities whose newest run is more than `keep` behind the newest of all are forgotten, so that their next
-    run is a baseline, and runs that are older are dropped as late.
-    """
-    whole = F.to_json(F.struct(*stream.columns), _JSON)
-    rows = stream.where("entity_id is not null and run is not null").select(
-        F.to_json(F.struct("entity_id")).alias("_entity"), F.col("run").cast("long").alias("run"), F.coalesce("field", F.lit("")).alias("_field"), F.coalesce(F.col("ord").cast("long"), F.lit(0).cast("long")).alias("_ord"), whole.alias("_claim"), (F.col(ts).cast("timestamp") if ts else F.lit(None).cast("timestamp")).alias("_ts")
-    )
-    rows = rows.withColumn("_at", F.coalesce(F.unix_millis("_ts"), F.lit(0).cast("long")))
-    rows = rows.where("_ts is not null").withWatermark("_ts", keep) if ts else rows
-    out = rows.groupBy("_entity").transformWithState(_Runs(ts is not None), "_entity string, run long, _side string, _claim string", "Update", "EventTime" if ts else "None")
-    return out.select(F.from_json("_claim", stream.schema, _JSON).alias("claim"), "run", F.col("_side").alias("side")).select("claim.entity_id", F.col("run").cast(stream.schema["run"].dataType), "side", "claim")
-
-
-def claim_change_job(stream: DataFrame, path: str, ts: str | None = None, keep: str = "400 days") -> StreamingQuery:
-    """ST3, ST4: the changes of a stream of claims by the rules of D, under path/changes, a folder a batch.
-
-    Keyed state gives each new run with the run before it; diff_claims compares them, each pair of runs an entity of its own.
-    A batch that runs again overwrites its own folder, so nothing is told twice.
+    The claims of new runs are written once, under path/claims, a folder a batch, by buckets of their entity. What a batch rewrites
+    is one short row an entity in the buckets that it touches: path/known has its newest run and the batch that brought it. So a batch
+    finds the run before each of its own in the buckets of a few folders, by a join. diff_claims compares the two, each pair
+    of runs an entity of its own. A batch that runs again overwrites its own folders, so nothing is told twice.
     """
     kinds = {f.name: f.dataType for f in stream.schema.fields}
+    index = StructType([StructField("entity_id", kinds["entity_id"]), StructField("run", LongType()), StructField("batch", LongType()), StructField("at", TimestampType())])
+    held = StructType([*index.fields[:3], StructField("claim", stream.schema)])
+    bucket = F.pmod(F.xxhash64("entity_id"), F.lit(buckets)).cast("int")
     pair = F.to_json(F.struct(F.col("entity_id").cast("string").alias("e"), F.col("run").cast("string").alias("r"))).alias("entity_id")
+    rest = [F.col(f"claim.{c}").alias(c) for c in stream.columns if c not in ("entity_id", "run")]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rest = [F.col(f"claim.{c}").alias(c) for c in stream.columns if c not in ("entity_id", "run")]
-        before, after = (batch.where(F.col("side") == side).select(pair, *rest) for side in "pc")
-        changes = diff_claims(before, after)
-        own = (F.get_json_object("entity_id", f"$.{k}").cast(kinds[c]).alias(c) for k, c in (("e", "entity_id"), ("r", "run")))
-        changes.select(*own, *changes.columns[1:]).write.mode("overwrite").parquet(f"{path}/changes/_batch={batch_id}")
+        spark, here = batch.sparkSession, F.lit(batch_id).cast("long")
+        at = F.col(ts) if ts else F.lit(None)
+        rows = batch.select("entity_id", F.col("run").cast("long").alias("run"), here.alias("batch"), at.cast("timestamp").alias("at"), F.struct(*stream.columns).alias("claim")).where("entity_id is not null and run is not null")
+        fresh = lambda df: df
+        if ts:
+            rows = rows.where("at is not null")
+            limit = _limit(spark, path, batch_id, keep)
+            rows.agg(here.alias("batch"), F.max(F.unix_micros("at")).alias("at")).write.mode("overwrite").parquet(f"{path}/seen/{batch_id}")
+            if limit is not None:
+                fresh = lambda df: df.where(F.col("at") >= limit)
+        came = fresh(rows).groupBy("entity_id", "run").agg(F.max("at").alias("at")).persist()
+        touched = sorted(r[0] for r in came.select(bucket).distinct().collect())  # `buckets` rows at most
+        known = fresh(versioned.read(spark, f"{path}/known", index, batch_id, touched)).select("entity_id", F.struct("run", "batch", "at").alias("last"))
+        # new runs, each with the run before it: of this batch, else the one that is known
+        inside = F.lag("run").over(Window.partitionBy("entity_id").orderBy("run"))
+        runs = came.hint("merge").join(known, "entity_id", "left").where("last is null or run > last.run")
+        runs = runs.select("entity_id", "run", F.greatest("at", "last.at").alias("at"), F.coalesce(inside, "last.run").alias("before"), F.when(inside.isNotNull(), here).otherwise(F.col("last.batch")).alias("before_batch")).persist()
+        try:
+            new = fresh(rows).hint("merge").join(runs.select("entity_id", "run"), ["entity_id", "run"]).select(*held.names, bucket.alias("_bucket"))
+            # a bucket is four tasks' work
+            new.repartition(4 * max(len(touched), 1), "_bucket", F.pmod(F.hash("entity_id"), F.lit(4))).write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/claims/{batch_id}")
+            pairs = runs.where("before is not null")
+            folder = lambda df, b: [f"{path}/claims/{r[0]}/_bucket={r[1]}" for r in df.select(b, bucket).distinct().collect()]
+            after = _kept(spark, held, folder(pairs, here)).hint("merge").join(pairs.select("entity_id", "run"), ["entity_id", "run"]).select(pair, *rest)
+            earlier = pairs.select("entity_id", F.col("before").alias("run"), F.col("before_batch").alias("batch"), F.col("run").alias("later"))
+            before = _kept(spark, held, folder(pairs, "before_batch")).hint("merge").join(earlier, ["entity_id", "run", "batch"]).drop("run").withColumnRenamed("later", "run").select(pair, *rest)
+            changes = diff_claims(before, after)
+            own = (F.get_json_object("entity_id", f"$.{k}").cast(kinds[c]).alias(c) for k, c in (("e", "entity_id"), ("r", "run")))
+            changes.select(*own, *changes.columns[1:]).write.mode("overwrite").parquet(f"{path}/changes/_batch={batch_id}")
+            newest = runs.groupBy("entity_id").agg(F.max("run").alias("run"), F.max("at").alias("at")).select("entity_id", "run", here.alias("batch"), "at", F.lit(False).alias(versioned.GONE))
+            versioned.merge(newest, f"{path}/known", batch_id, ["entity_id"], lambda old, new: fresh(old).join(new, "entity_id", "left_anti").unionByName(new), buckets)
+        finally:
+            runs.unpersist()
+            came.unpersist()
 
-    return _job(run_pairs(stream, ts, keep), path, step)
+    return _start(stream, path, step)
 
 
 def landing_dedupe(stream: DataFrame, ts: str | None = None, late: str = "60 days") -> DataFrame:

@@ -122,3 +122,21 @@ def test_a_batch_merged_again_changes_nothing(spark, tmp_path):
     for _ in range(2):
         versioned.merge(frame([(k, -v) for k, v in said(3).items()]), path, 3, ["k"], add, 4)
         assert said() == {} and said(1) == {i: 1 for i in range(20)}
+
+
+def test_claims_are_written_once_and_no_state_store_is_asked(spark, landing, tmp_path):
+    jobs = []
+
+    def land(*runs):
+        landing([r for run in runs for r in run], CLAIMS, lambda s, at: jobs.append(feeds.claim_change_job(s, at, buckets=64)) or jobs[-1])
+        assert [p["stateOperators"] for p in jobs[-1].recentProgress if p["stateOperators"]] == []
+        at, n = tmp_path / "job", len(jobs) - 1
+        claims = spark.read.schema("entity_id string").parquet(*map(str, (at / "claims" / str(n)).glob("_bucket=*"))) if list((at / "claims" / str(n)).glob("_bucket=*")) else None
+        return Counter(r.entity_id for r in claims.collect()) if claims else Counter(), len(list((at / "known" / "rows" / str(n)).glob("_bucket=*")))
+
+    claims, buckets = land(*(run_of(f"e{i}", 1, legal_name="A", legal_form="AS") for i in range(40)))
+    assert claims == Counter({f"e{i}": 2 for i in range(40)}) and buckets > 8
+    # a batch writes its own claims and the buckets of its own entities
+    assert land(run_of("e7", 2, legal_name="B", legal_form="AS")) == (Counter({"e7": 2}), 1)
+    assert land(run_of("e7", 2, legal_name="B", legal_form="AS")) == (Counter(), 0)
+    assert [(r.entity_id, r.run, r.change_type) for r in spark.read.parquet(str(tmp_path / "job" / "changes")).collect()] == [("e7", 2, "changed_name")]
