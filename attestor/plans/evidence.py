@@ -208,21 +208,27 @@ _SNAP = """select c_custkey as entity_id, 'o' as k, count(o_orderkey) as n, max_
   from customer join orders on c_custkey = o_custkey where year(o_orderdate) <= {year} group by c_custkey"""
 
 
-def _snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
+def _snapshot(spark: SparkSession, d: str, year: int, customers: DataFrame | None = None) -> DataFrame:
+    """Claims of those who ordered until a year; of given customers (entity_id) only, if there are any given."""
     o = table(spark, d, "orders").where(f"year(o_orderdate) <= {year}")
+    of = lambda x: x if customers is None else x.join(customers, "entity_id", "left_semi")
     # prices are added as decimals: sums of doubles that end in .5 would round by the order in which tasks add them
     s = o.groupBy(F.col("o_custkey").alias("entity_id")).agg(
-        F.max_by("o_orderpriority", "o_orderkey").alias("p"), F.max(F.year("o_orderdate")).cast("string").alias("y"), F.round(F.sum(F.col("o_totalprice").cast("decimal(28,10)"))).cast("long").cast("string").alias("t"))
+        F.max_by("o_orderpriority", F.when(F.col("o_orderpriority").isNotNull(), F.col("o_orderkey"))).alias("p"), F.max(F.year("o_orderdate")).cast("string").alias("y"), F.round(F.sum(F.col("o_totalprice").cast("decimal(28,10)"))).cast("long").cast("string").alias("t"))
     claim = lambda i, f, v, sec: F.struct(F.lit(i).alias("ord"), F.lit(f).alias("field"), F.lit(sec).alias("section"), v.alias("value"))
-    one = s.select("entity_id", F.explode(F.array(claim(1, "legal_form", F.col("p"), "identity"), claim(2, "latest_submitted_accounts_year", F.col("y"), "accounts"), claim(3, "revenue", F.col("t"), "accounts"))).alias("c"), "y")
-    one = one.select("entity_id", "c.*", F.when(F.col("c.field") == "revenue", F.lit("p")).alias("reporting_period"))
+    one = of(s).select("entity_id", F.explode(F.array(claim(1, "legal_form", F.col("p"), "identity"), claim(2, "latest_submitted_accounts_year", F.col("y"), "accounts"), claim(3, "revenue", F.col("t"), "accounts"))).alias("c"), "y")
+    one = one.where("c.value is not null").select("entity_id", "c.*", F.when(F.col("c.field") == "revenue", F.lit("p")).alias("reporting_period"))
     job = o.selectExpr("o_custkey as entity_id", "10 as ord", "'job_posting' as field", "'hiring' as section", "to_json(named_struct('name', concat('job ', o_orderpriority), 'source', 'feed')) as value", "cast(null as string) as reporting_period").distinct()
-    out = one.union(job).withColumn("source", F.when(F.col("field") == "job_posting", F.lit("feed")))
+    out = one.union(of(job)).withColumn("source", F.when(F.col("field") == "job_posting", F.lit("feed")))
     return out.withColumns({"availability": F.lit("available"), "note": F.lit(None).cast("string"), "observed": F.lit(str(year))})
 
 
+def _customer_snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
+    return _snapshot(spark, d, year, table(spark, d, "customer").select(F.col("c_custkey").alias("entity_id")))
+
+
 def _changes(spark: SparkSession, d: str) -> DataFrame:
-    return diff.diff_claims(_snapshot(spark, d, 1998), _snapshot(spark, d, 2001))
+    return diff.diff_claims(_customer_snapshot(spark, d, 1998), _customer_snapshot(spark, d, 2001))
 
 
 _DIFF = f"""with a as ({_SNAP.format(year=1998)}), b as ({_SNAP.format(year=2001)}), x as (select a.entity_id, a.last_priority as pa, b.last_priority as pb, a.last_year as ya, b.last_year as yb, a.turnover as ta, b.turnover as tb from a join b using (entity_id)),
@@ -246,7 +252,7 @@ def j11_saved_runs(spark: SparkSession, d: str) -> DataFrame:
     for year in (1998, 2001):
         path = shared_path(spark, f"run_{year}")
         names[year] = path.rsplit("/", 1)[-1].replace("-", "_")
-        diff.save_run(_snapshot(spark, d, year), names[year], path, buckets=8)
+        diff.save_run(_customer_snapshot(spark, d, year), names[year], path, buckets=8)
     changes = diff.diff_runs(spark.table(names[1998]), spark.table(names[2001]))
     return changes.groupBy("entity_id", "field", "change_type", "materiality").agg(F.count("*").alias("n"))
 
@@ -263,7 +269,7 @@ def d8_changes_by_entity(spark: SparkSession, d: str) -> DataFrame:
     select c_custkey as entity_id, case when c_custkey not in (select entity_id from a) then 'First run, no earlier snapshot.' when t is null then 'No changes since the last run.' else 'Since the last run: ' || t || '.' end as text from customer left join s on entity_id = c_custkey"""
 )
 def t3_what_changed(spark: SparkSession, d: str) -> DataFrame:
-    known = _snapshot(spark, d, 1998).select("entity_id", F.lit(False).alias("_b")).distinct()
+    known = _customer_snapshot(spark, d, 1998).select("entity_id", F.lit(False).alias("_b")).distinct()
     entities = table(spark, d, "customer").select(F.col("c_custkey").alias("entity_id")).join(known, "entity_id", "left").select("entity_id", F.coalesce("_b", F.lit(True)).alias("baseline"))
     return synth.what_changed(_changes(spark, d), entities)
 
